@@ -1,12 +1,9 @@
-"""Base64 and strict JSON as column expressions."""
+"""Base64 and strict JSON as SQL expressions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def base64_bytes(text: Column) -> Column:
+def base64_bytes(text: str) -> str:
     """Bytes of a base64 text, NULL when it is malformed.
 
     Characters outside the alphabet are skipped, reading stops where padding
@@ -16,77 +13,61 @@ def base64_bytes(text: Column) -> Column:
     """
     # Nearly every text is canonical, which encoding the bytes again proves; only
     # the others pay for the cleaning.
-    direct = F.try_to_binary(text, F.lit("base64"))
-    return F.when(F.base64(direct) == text, direct).otherwise(_lenient_base64(text))
+    direct = f"try_to_binary({text}, 'base64')"
+    return f"CASE WHEN base64({direct}) = {text} THEN {direct} ELSE {_lenient_base64(text)} END"
 
 
-def _lenient_base64(text: Column) -> Column:
-    ascii_only = F.octet_length(text) == F.char_length(text)
-    kept = F.when(ascii_only, F.regexp_replace(text, "[^A-Za-z0-9+/=]", ""))
-    # One-element arrays name a value, so that it is computed once.
-    head_first = F.transform(
-        F.array(kept),
-        lambda t: F.struct(t.alias("kept"), F.substring_index(t, "=", 1).alias("head")),
+def _lenient_base64(text: str) -> str:
+    kept = (
+        f"CASE WHEN octet_length({text}) = char_length({text}) "
+        f"THEN regexp_replace({text}, '[^A-Za-z0-9+/=]', '') END"
     )
-    return F.element_at(F.transform(head_first, lambda part: _padded(part["kept"], part["head"])), 1)
-
-
-def _padded(kept: Column, head: Column) -> Column:
-    over = F.char_length(head) % 4
-    rest = F.substring(kept, F.char_length(head) + 1, F.lit(2))
-    only_pads_follow = F.char_length(F.rtrim(kept, F.lit("="))) == F.char_length(head)
-    return (
-        F.when((over == 0) & only_pads_follow, F.try_to_binary(head, F.lit("base64")))
-        .when((over == 2) & (rest == "=="), _unpad(head, "=="))
-        .when((over == 3) & F.startswith(rest, F.lit("=")), _unpad(head, "="))
-    )
-
-
-def _unpad(head: Column, pads: str) -> Column:
-    return F.try_to_binary(F.concat(head, F.lit(pads)), F.lit("base64"))
-
-
-def utf8_text(data: Column) -> Column:
+    # The lambda names the text and its part before the first pad.
+    only_pads = "char_length(rtrim('=', t.kept)) = char_length(t.head)"
+    rest = "substr(t.kept, char_length(t.head) + 1, 2)"
+    over = "char_length(t.head) % 4"
+    return f"""element_at(transform(
+        transform(array({kept}),
+                  x -> named_struct('kept', x, 'head', substring_index(x, '=', 1))),
+        t -> CASE
+            WHEN {over} = 0 AND {only_pads} THEN try_to_binary(t.head, 'base64')
+            WHEN {over} = 2 AND {rest} = '==' THEN try_to_binary(t.head || '==', 'base64')
+            WHEN {over} = 3 AND startswith({rest}, '=') THEN try_to_binary(t.head || '=', 'base64')
+        END), 1)"""
+
+
+def utf8_text(data: str) -> str:
     """Text of UTF-8 bytes, NULL when they are not valid UTF-8."""
-    return F.when(F.is_valid_utf8(data), data.cast("string"))
+    return f"CASE WHEN is_valid_utf8({data}) THEN CAST({data} AS STRING) END"
 
 
-def utf8_preview(data: Column, size: int) -> Column:
+def utf8_preview(data: str, size: int) -> str:
     """The first ``size`` bytes as text, invalid bytes replaced."""
-    return F.make_valid_utf8(F.substring(data, 1, size).cast("string"))
+    return f"make_valid_utf8(CAST(substring({data}, 1, {size}) AS STRING))"
 
 
-def framed_json(text: Column) -> Column:
+def framed_json(text: str) -> str:
     """Parse ``text`` as the first of two array items, the second a fingerprint of it.
 
     The JSON functions ignore whatever follows the first complete value. Inside the
     frame such a rest either breaks the parse or hides the fingerprint, so one
     parse both reads the document and proves that nothing follows it.
     """
-    return F.try_parse_json(
-        F.concat(F.lit("["), text, F.lit(',"'), F.xxhash64(text).cast("string"), F.lit('"]'))
-    )
+    return f"""try_parse_json('[' || {text} || ',"' || xxhash64({text}) || '"]')"""
 
 
-def frame_is_whole(framed: Column, text: Column) -> Column:
+def frame_is_whole(framed: str, text: str) -> str:
     """Whether the framed text was exactly one JSON document (never NULL)."""
-    return F.coalesce(
-        (F.try_variant_get(framed, "$[1]", "string") == F.xxhash64(text).cast("string"))
-        & F.variant_get(framed, "$[2]", "variant").isNull(),
-        F.lit(False),
+    return (
+        f"coalesce(try_variant_get({framed}, '$[1]', 'string') = CAST(xxhash64({text}) AS STRING) "
+        f"AND variant_get({framed}, '$[2]', 'variant') IS NULL, false)"
     )
 
 
-def framed_document(framed: Column) -> Column:
-    return F.variant_get(framed, "$[0]", "variant")
-
-
-def strict_json(text: Column) -> Column:
-    """Variant of a text that is exactly one JSON document, else NULL."""
-    framed = framed_json(text)
-    return F.when(frame_is_whole(framed, text), framed_document(framed))
+def framed_document(framed: str) -> str:
+    return f"variant_get({framed}, '$[0]', 'variant')"
 
 
-def starts_object(text: Column) -> Column:
+def starts_object(text: str) -> str:
     """Whether a valid JSON text holds an object; looks at one character."""
-    return F.startswith(F.ltrim(text, F.lit(" \t\r\n")), F.lit("{"))
+    return rf"startswith(ltrim(' \t\r\n', {text}), '{{')"

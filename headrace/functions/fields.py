@@ -2,116 +2,103 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+_SPACES = r"' \t\n\r\f\u000B'"
+_DIGITS = "'-','0','1','2','3','4','5','6','7','8','9'"
 
-_EMPTY_JSON = ("null", "false", '""', "[]", "{}")
-_SPACES = " \t\n\r\f\v"
 
-
-def field(payload: Column, name: str) -> Column:
+def field(payload: str, name: str) -> str:
     """The field as a Variant: SQL NULL when absent, a Variant null when JSON null."""
-    return F.variant_get(payload, f"$.{name}", "variant")
+    return f"variant_get({payload}, '$.{name}', 'variant')"
 
 
-def text(payload: Column, name: str) -> Column:
+def text(payload: str, name: str) -> str:
     """The field as text: NULL when absent or JSON null."""
-    return F.try_variant_get(payload, f"$.{name}", "string")
-
+    return f"try_variant_get({payload}, '$.{name}', 'string')"
 
-def _starts(json: Column, *chars: str) -> Column:
-    return F.substring(json, 1, 1).isin(*chars)
 
+def _json_number(json: str) -> str:
+    return f"CASE WHEN substr({json}, 1, 1) IN ({_DIGITS}) THEN try_cast({json} AS DOUBLE) END"
 
-def _json_number(json: Column) -> Column:
-    return F.when(_starts(json, *"-0123456789"), json.try_cast("double"))
 
-
-def truthy(value: Column) -> Column:
+def truthy(value: str) -> str:
     """False for absent, null, false, zero, "", [] and {}; never NULL."""
-    json = F.to_json(value)
-    return F.coalesce(
-        ~json.isin(*_EMPTY_JSON) & ~F.coalesce(_json_number(json) == 0, F.lit(False)),
-        F.lit(False),
+    json = f"to_json({value})"
+    return (
+        f"""coalesce({json} NOT IN ('null', 'false', '""', '[]', '{{}}') """
+        f"AND NOT coalesce({_json_number(json)} = 0, false), false)"
     )
 
 
-def truthy_text(payload: Column, name: str) -> Column:
+def truthy_text(payload: str, name: str) -> str:
     """The field as text when truthy, else NULL; chain with ``coalesce``."""
-    return F.when(truthy(field(payload, name)), text(payload, name))
+    return f"CASE WHEN {truthy(field(payload, name))} THEN {text(payload, name)} END"
 
 
-def number_text(value: Column) -> Column:
+def number_text(value: str) -> str:
     """A number written as text, NULL when it is not one.
 
     Surrounding white space, single underscores between digits, and signed
     inf/infinity/nan in any case are accepted; type suffixes are not.
     """
-    trimmed = F.lower(F.btrim(value, F.lit(_SPACES)))
-    stray_underscore = F.rlike(trimmed, F.lit("(^|[^0-9])_|_([^0-9]|$)"))
-    plain = F.replace(trimmed, F.lit("_"), F.lit(""))
-    unsigned = F.regexp_replace(trimmed, "^[+-]", "")
-    sign = F.when(F.startswith(trimmed, F.lit("-")), -1.0).otherwise(1.0)
-    return (
-        F.when(unsigned.isin("inf", "infinity"), sign * F.lit(float("inf")))
-        .when(unsigned == "nan", F.lit(float("nan")))
-        .when(
-            ~stray_underscore
-            & F.rlike(plain, F.lit(r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)(e[+-]?[0-9]+)?$")),
-            plain.try_cast("double"),
-        )
-    )
-
-
-def number(payload: Column, name: str) -> Column:
+    trimmed = f"lower(btrim({value}, {_SPACES}))"
+    plain = f"replace({trimmed}, '_', '')"
+    return f"""CASE
+        WHEN ltrim('+', {trimmed}) IN ('inf', 'infinity') AND NOT startswith({trimmed}, '++')
+            THEN DOUBLE('Infinity')
+        WHEN {trimmed} IN ('-inf', '-infinity') THEN DOUBLE('-Infinity')
+        WHEN {trimmed} IN ('nan', '+nan', '-nan') THEN DOUBLE('NaN')
+        WHEN NOT {trimmed} RLIKE '(^|[^0-9])_|_([^0-9]|$)'
+            AND {plain} RLIKE '^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)(e[+-]?[0-9]+)?$'
+            THEN try_cast({plain} AS DOUBLE)
+        END"""
+
+
+def number(payload: str, name: str) -> str:
     """The field as a double: 0 when falsy, NULL when it cannot be a number."""
     value = field(payload, name)
-    json = F.to_json(value)
-    return (
-        F.when(~truthy(value), F.lit(0.0))
-        .when(json == "true", F.lit(1.0))
-        .when(_starts(json, '"'), number_text(text(payload, name)))
-        .otherwise(_json_number(json))
-    )
+    json = f"to_json({value})"
+    return f"""CASE
+        WHEN NOT {truthy(value)} THEN 0D
+        WHEN {json} = 'true' THEN 1D
+        WHEN startswith({json}, '"') THEN {number_text(text(payload, name))}
+        ELSE {_json_number(json)} END"""
 
 
-def has_field(payload: Column, name: str) -> Column:
+def has_field(payload: str, name: str) -> str:
     """Whether the key is present, JSON null included."""
-    return field(payload, name).isNotNull()
+    return f"({field(payload, name)} IS NOT NULL)"
 
 
-def iso_timestamp(value: Column) -> Column:
+def iso_timestamp(value: str) -> str:
     """Wall-clock time of an ISO date or date-time; an offset is dropped."""
-    return F.when(
-        F.rlike(value, F.lit(r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([T ]|\s*$)")),
-        value.try_cast("timestamp_ntz"),
+    return (
+        f"CASE WHEN {value} RLIKE '^ *[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([T ]|$)' "
+        f"THEN try_cast({value} AS TIMESTAMP_NTZ) END"
     )
 
 
-def flag(payload: Column, name: str) -> Column:
+def flag(payload: str, name: str) -> str:
     """The field as a boolean, NULL when absent or not a truth value."""
-    word = F.lower(F.btrim(text(payload, name), F.lit(_SPACES)))
+    word = f"lower(btrim({text(payload, name)}, {_SPACES}))"
     return (
-        F.when(word == "on", F.lit(True))
-        .when(word == "off", F.lit(False))
-        .otherwise(F.try_variant_get(payload, f"$.{name}", "boolean"))
+        f"CASE {word} WHEN 'on' THEN true WHEN 'off' THEN false "
+        f"ELSE try_variant_get({payload}, '$.{name}', 'boolean') END"
     )
 
 
-def decimal(value: Column, precision: int, scale: int) -> Column:
-    """Decimal of a number text, rounded half up; NULL when malformed or too big."""
-    return value.try_cast(f"decimal({precision},{scale})")
-
-
-def epoch_to_ntz(seconds: Column) -> Column:
+def epoch_to_ntz(seconds: str) -> str:
     """UTC wall-clock time of epoch seconds, independent of the session time zone."""
-    return F.timestamp_add(
-        "MICROSECOND",
-        F.round(seconds * 1_000_000).cast("bigint"),
-        F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+    return (
+        f"timestampadd(MICROSECOND, CAST(round({seconds} * 1000000) AS BIGINT), "
+        "TIMESTAMP_NTZ'1970-01-01 00:00:00')"
     )
 
 
-def ntz(moment) -> Column:
+def ntz(moment) -> str:
     """A literal run time, given as a datetime or an ISO text."""
-    return F.lit(str(moment)).cast("timestamp_ntz")
+    return f"TIMESTAMP_NTZ'{moment}'"
+
+
+def quoted(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
-def with_once(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+def with_once(df: DataFrame, values: dict[str, str]) -> DataFrame:
     """Add columns that later filters refer to instead of repeating.
 
     A filter on a projected column is moved below the projection with the
@@ -14,6 +13,5 @@ def with_once(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     and again in the projection. The output of a generator is not taken apart like
     that: a one-element array of structs gives each row back with the values fixed.
     """
-    return df.select(
-        "*", F.inline(F.array(F.struct(*(v.alias(name) for name, v in values.items()))))
-    )
+    pairs = ", ".join(f"'{name}', {value}" for name, value in values.items())
+    return df.selectExpr("*", f"inline(array(named_struct({pairs})))")

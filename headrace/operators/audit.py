@@ -64,21 +64,15 @@ def contract(records: DataFrame) -> DataFrame:
     Base fields must be present, the type known, and an event of a known type must
     hold that type's fields.
     """
-    payload = F.col("payload")
-    kind = fields.text(payload, "event_type")
-    broken = {f"missing {f}": ~fields.has_field(payload, f) for f in S.BASE_FIELDS}
-    broken["unknown type"] = ~F.coalesce(kind.isin(*S.EVENT_TYPES), F.lit(False))
+    kind = fields.text("payload", "event_type")
+    known = ", ".join(f"'{t}'" for t in S.EVENT_TYPES)
+    broken = {f"missing {f}": f"NOT {fields.has_field('payload', f)}" for f in S.BASE_FIELDS}
+    broken["unknown type"] = f"NOT coalesce({kind} IN ({known}), false)"
     for name, required in S.TYPE_FIELDS.items():
-        absent = [~fields.has_field(payload, f) for f in required]
-        lacking = absent[0]
-        for one in absent[1:]:
-            lacking = lacking | one
-        broken[f"incomplete {name}"] = (kind == name) & lacking
-    counts = records.agg(
-        *(F.count_if(test).alias(rule) for rule, test in broken.items()),
-        F.count("*").alias("events"),
+        lacking = " OR ".join(f"NOT {fields.has_field('payload', f)}" for f in required)
+        broken[f"incomplete {name}"] = f"{kind} = '{name}' AND ({lacking})"
+    counts = records.selectExpr(
+        *(f"count_if({test}) AS `{rule}`" for rule, test in broken.items()), "count(*) AS events"
     )
-    rules = F.array(
-        *(F.struct(F.lit(r).alias("rule"), F.col(f"`{r}`").alias("violations")) for r in broken)
-    )
-    return counts.select(F.inline(rules), "events")
+    rules = ", ".join(f"named_struct('rule', '{r}', 'violations', `{r}`)" for r in broken)
+    return counts.selectExpr(f"inline(array({rules}))", "events")

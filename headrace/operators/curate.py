@@ -26,47 +26,40 @@ def project(rows: DataFrame, curated_at, payload: str = "payload") -> DataFrame:
     ``ingested_at``. Rules are the admission test (id present, time readable), the
     NOT NULL columns and strict types; a bad row is set aside, never the batch.
     """
-    p = F.col(payload)
-    number = fields.decimal(fields.text(p, "quantity"), 38, 0)
+    number = f"try_cast({fields.text(payload, 'quantity')} AS DECIMAL(38,0))"
     typed = {
-        **{name: fields.text(p, name) for name in _TEXT_FIELDS},
-        "event_time": fields.iso_timestamp(fields.text(p, "event_time")),
-        "quantity": number.try_cast("decimal(10,0)"),
-        "unit_price": fields.decimal(fields.text(p, "unit_price"), 12, 2),
-        "amount": fields.decimal(fields.text(p, "amount"), 14, 2),
-        "is_high_value": fields.flag(p, "is_high_value"),
-        "user_ltv": fields.decimal(fields.text(p, "user_lifetime_value"), 14, 2),
+        **{name: fields.text(payload, name) for name in _TEXT_FIELDS},
+        "event_time": fields.iso_timestamp(fields.text(payload, "event_time")),
+        "_quantity": number,
+        "unit_price": f"try_cast({fields.text(payload, 'unit_price')} AS DECIMAL(12,2))",
+        "amount": f"try_cast({fields.text(payload, 'amount')} AS DECIMAL(14,2))",
+        "is_high_value": fields.flag(payload, "is_high_value"),
+        "user_ltv": f"try_cast({fields.text(payload, 'user_lifetime_value')} AS DECIMAL(14,2))",
         "curated_at": fields.ntz(curated_at),
-        "_wide_quantity": number,
-        "_flag_text": fields.text(p, "is_high_value"),
+        "_flag_text": fields.text(payload, "is_high_value"),
     }
-    lineage = [F.col(c) for c in FIRST_WRITE]
-    values = rows.select(*lineage, *(value.alias(name) for name, value in typed.items()))
-    rule = (
-        F.when(F.col("event_id").isNull(), "event_id missing")
-        .when(F.col("event_time").isNull(), "event_time unreadable")
-        .when(F.col("event_type").isNull(), "event_type missing")
-        .when(
-            F.col("_flag_text").isNotNull() & F.col("is_high_value").isNull(),
-            "is_high_value not boolean",
-        )
-        .when(
-            F.col("_wide_quantity").isNotNull() & F.col("quantity").isNull(),
-            "quantity out of range",
-        )
+    values = rows.selectExpr(
+        *FIRST_WRITE, *(f"{value} AS {name}" for name, value in typed.items())
+    ).selectExpr(
+        "*",
+        "to_date(event_time) AS event_date",
+        "try_cast(_quantity AS DECIMAL(10,0)) AS quantity",
     )
-    checked = with_once(
-        values.withColumn("event_date", F.to_date("event_time")), {"reject_rule": rule}
-    )
-    return checked.select(*S.columns(S.CURATED), "reject_rule")
+    rule = """CASE
+        WHEN event_id IS NULL THEN 'event_id missing'
+        WHEN event_time IS NULL THEN 'event_time unreadable'
+        WHEN event_type IS NULL THEN 'event_type missing'
+        WHEN _flag_text IS NOT NULL AND is_high_value IS NULL THEN 'is_high_value not boolean'
+        WHEN _quantity IS NOT NULL AND quantity IS NULL THEN 'quantity out of range' END"""
+    return with_once(values, {"reject_rule": rule}).select(*S.columns(S.CURATED), "reject_rule")
 
 
 def accepted(projected: DataFrame) -> DataFrame:
-    return projected.where(F.col("reject_rule").isNull()).drop("reject_rule")
+    return projected.where("reject_rule IS NULL").drop("reject_rule")
 
 
 def rejects(projected: DataFrame) -> DataFrame:
-    return projected.where(F.col("reject_rule").isNotNull())
+    return projected.where("reject_rule IS NOT NULL")
 
 
 def first_write(rows: DataFrame, key: str = "event_id", order: tuple[str, ...] = FIRST_WRITE) -> DataFrame:

@@ -32,22 +32,21 @@ def envelope(letters: DataFrame, received_at) -> DataFrame:
 
     The record id is a hash of the message, so a repeated task gives the same one.
     """
-    body = F.coalesce("body", F.lit(""))
-    moment = fields.ntz(received_at)
-    framed = letters.withColumn("_framed", codec.framed_json(body))
-    parsed = F.when(
-        codec.frame_is_whole(F.col("_framed"), body), codec.framed_document(F.col("_framed"))
+    message = letters.selectExpr("* EXCEPT (body)", "coalesce(body, '') AS _text").selectExpr(
+        "*", f"{codec.framed_json('_text')} AS _framed"
     )
-    return framed.select(
-        F.sha2(F.concat_ws("|", "message_id", body), 256).alias("dlq_record_id"),
-        F.concat(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
-        .alias("received_at"),
-        F.col("message_id").alias("source_message_id"),
-        F.col("attributes")["ApproximateReceiveCount"].alias("approximate_receive_count"),
-        F.col("attributes")["SentTimestamp"].alias("sent_timestamp"),
+    body = f"""CASE WHEN {codec.frame_is_whole('_framed', '_text')}
+        THEN {codec.framed_document('_framed')} ELSE CAST(_text AS VARIANT) END"""
+    stamp = f"date_format({fields.ntz(received_at)}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") || '+00:00'"
+    return message.selectExpr(
+        "sha2(concat_ws('|', message_id, _text), 256) AS dlq_record_id",
+        f"{stamp} AS received_at",
+        "message_id AS source_message_id",
+        "attributes['ApproximateReceiveCount'] AS approximate_receive_count",
+        "attributes['SentTimestamp'] AS sent_timestamp",
         "event_source_arn",
-        F.coalesce(parsed, body.cast("variant")).alias("body"),
-        F.coalesce("message_attributes", F.parse_json(F.lit("{}"))).alias("message_attributes"),
+        f"{body} AS body",
+        "coalesce(message_attributes, parse_json('{}')) AS message_attributes",
     )
 
 

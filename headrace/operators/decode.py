@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from headrace import schemas as S
 from headrace.functions import codec
 from headrace.functions.once import with_once
 
+_HEAD = ["sequence_number", "partition_key", "approximate_arrival_timestamp"]
 _ENVELOPE = tuple(S.columns(S.ENVELOPE))
 
 
@@ -18,71 +18,57 @@ def decode(envelopes: DataFrame) -> DataFrame:
     ``reason`` is NULL for a decoded record and names the failure otherwise, with
     ``raw`` holding what was received. Columns beyond the envelope pass through.
     """
-    extra = [F.col(c) for c in envelopes.columns if c not in _ENVELOPE]
-    head = [F.col(c) for c in ("sequence_number", "partition_key", "approximate_arrival_timestamp")]
+    kept = _HEAD + [c for c in envelopes.columns if c not in _ENVELOPE]
     # Each step names a value the next one uses several times, so that the costly
     # calls (base64, JSON parse) appear once in the plan.
-    opened = envelopes.select(
-        *head, *extra, "data", codec.base64_bytes(F.col("data")).alias("_bytes")
-    )
-    read = opened.select(
-        *head, *extra, "data", "_bytes", codec.utf8_text(F.col("_bytes")).alias("_text")
-    )
-    parsed = read.select(
-        *head, *extra, "data", "_bytes", "_text", codec.framed_json(F.col("_text")).alias("_framed")
-    )
-    whole = codec.frame_is_whole(F.col("_framed"), F.col("_text"))
-    is_object = codec.starts_object(F.col("_text"))
-    reason = (
-        F.when(F.coalesce(F.col("data"), F.lit("")) == "", S.REASON_MISSING)
-        .when(F.col("_bytes").isNull(), S.REASON_BASE64 + ": malformed text")
-        .when(F.col("_text").isNull(), S.REASON_JSON + ": not valid UTF-8")
-        .when(~whole, S.REASON_JSON + ": not one JSON document")
-        .when(~is_object, S.REASON_NOT_OBJECT)
-    )
-    failed_class = reason_class(F.col("reason"))
-    raw = (
-        F.when(failed_class == S.REASON_MISSING, "")
-        .when(failed_class == S.REASON_BASE64, F.col("data"))
-        .when(failed_class == S.REASON_JSON, codec.utf8_preview(F.col("_bytes"), S.RAW_PREVIEW))
-        .when(
-            failed_class == S.REASON_NOT_OBJECT,
-            F.substring(
-                F.coalesce(F.col("_document").try_cast("string"), F.lit("null")), 1, S.RAW_PREVIEW
-            ),
-        )
+    parsed = (
+        envelopes.selectExpr(*kept, "data", f"{codec.base64_bytes('data')} AS _bytes")
+        .selectExpr(*kept, "data", "_bytes", f"{codec.utf8_text('_bytes')} AS _text")
+        .selectExpr(*kept, "data", "_bytes", "_text", f"{codec.framed_json('_text')} AS _framed")
     )
+    reason = f"""CASE
+        WHEN coalesce(data, '') = '' THEN '{S.REASON_MISSING}'
+        WHEN _bytes IS NULL THEN '{S.REASON_BASE64}: malformed text'
+        WHEN _text IS NULL THEN '{S.REASON_JSON}: not valid UTF-8'
+        WHEN NOT {codec.frame_is_whole('_framed', '_text')}
+            THEN '{S.REASON_JSON}: not one JSON document'
+        WHEN NOT {codec.starts_object('_text')} THEN '{S.REASON_NOT_OBJECT}' END"""
     judged = with_once(
-        parsed, {"reason": reason, "_document": codec.framed_document(F.col("_framed"))}
+        parsed, {"reason": reason, "_document": codec.framed_document("_framed")}
     )
-    return judged.select(
-        *head,
-        F.when(F.col("reason").isNull(), F.col("_document")).alias("payload"),
+    raw = f"""CASE {reason_class('reason')}
+        WHEN '{S.REASON_MISSING}' THEN ''
+        WHEN '{S.REASON_BASE64}' THEN data
+        WHEN '{S.REASON_JSON}' THEN {codec.utf8_preview('_bytes', S.RAW_PREVIEW)}
+        WHEN '{S.REASON_NOT_OBJECT}'
+            THEN substr(coalesce(try_variant_get(_document, '$', 'string'), 'null'),
+                        1, {S.RAW_PREVIEW}) END"""
+    return judged.selectExpr(
+        *_HEAD,
+        "CASE WHEN reason IS NULL THEN _document END AS payload",
         "reason",
-        raw.alias("raw"),
-        *extra,
+        f"{raw} AS raw",
+        *kept[len(_HEAD):],
     )
 
 
-def reason_class(reason: Column) -> Column:
+def reason_class(reason: str) -> str:
     """The failure class, without its detail."""
-    return F.substring_index(reason, ":", 1)
+    return f"substring_index({reason}, ':', 1)"
 
 
 def decoded(classified: DataFrame) -> DataFrame:
     """The records that decoded; absent sequence numbers and keys become empty."""
-    return (
-        classified.where(F.col("reason").isNull())
-        .drop("reason", "raw")
-        .withColumns(
-            {
-                "sequence_number": F.coalesce("sequence_number", F.lit("")),
-                "partition_key": F.coalesce("partition_key", F.lit("")),
-            }
+    filled = ("sequence_number", "partition_key")
+    return classified.where("reason IS NULL").selectExpr(
+        *(
+            f"coalesce({c}, '') AS {c}" if c in filled else c
+            for c in classified.columns
+            if c not in ("reason", "raw")
         )
     )
 
 
 def failures(classified: DataFrame) -> DataFrame:
     """The records that did not decode."""
-    return classified.where(F.col("reason").isNotNull()).select(*S.columns(S.FAILED))
+    return classified.where("reason IS NOT NULL").select(*S.columns(S.FAILED))

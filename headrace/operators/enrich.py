@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headrace import schemas as S
@@ -14,6 +14,8 @@ _ATTRIBUTES = {
     "user_country": "country",
     "user_lifetime_value": "lifetime_value",
 }
+_TAG = "ingestion_pipeline"
+_SIDE = ("hit", *_ATTRIBUTES, _TAG)
 
 
 def enrich(
@@ -30,84 +32,66 @@ def enrich(
     splits hot users; ``salts`` above one spreads every user over that many tasks
     where adaptive execution is off.
     """
-    payload = F.col("payload")
-    tag = F.coalesce(
-        fields.field(payload, "ingestion_pipeline"), F.lit(S.INGESTION_PIPELINE).cast("variant")
+    own = records.columns
+    tag = (
+        f"coalesce({fields.field('payload', _TAG)}, "
+        f"CAST('{S.INGESTION_PIPELINE}' AS VARIANT)) AS {_TAG}"
     )
     if users is None:
-        own = {name: fields.field(payload, name) for name in _ATTRIBUTES}
-        return records.withColumns({"hit": F.lit(False), **own, "ingestion_pipeline": tag})
+        kept = (f"{fields.field('payload', name)} AS {name}" for name in _ATTRIBUTES)
+        return records.selectExpr(*own, "false AS hit", *kept, tag)
 
     # A falsy user id is never looked up: its key is NULL and matches nothing.
-    keyed = records.withColumn("_user", fields.truthy_text(payload, "user_id"))
-    dimension = users.select(
-        F.col("user_id").alias("_user"),
-        *(F.col(c).alias(f"_{c}") for c in _ATTRIBUTES.values()),
-        F.lit(True).alias("_hit"),
-    ).where(F.col("_user").isNotNull())
+    keyed = records.selectExpr("*", f"{fields.truthy_text('payload', 'user_id')} AS _user")
+    dimension = users.where("user_id IS NOT NULL").selectExpr(
+        "user_id AS _user", *(f"{c} AS _{c}" for c in _ATTRIBUTES.values()), "true AS _hit"
+    )
     if user_rows is not None and user_rows <= BROADCAST_ROWS:
         joined = keyed.join(F.broadcast(dimension), "_user", "left")
     elif salts > 1:
-        joined = salted_join(
-            keyed,
-            dimension,
-            "_user",
-            "left",
-            salts,
-            ["sequence_number", "approximate_arrival_timestamp", "_user"],
-        )
+        spread = ["sequence_number", "approximate_arrival_timestamp", "_user"]
+        joined = salted_join(keyed, dimension, "_user", "left", salts, spread)
     else:
         joined = keyed.join(dimension, "_user", "left")
 
-    hit = F.coalesce(F.col("_hit"), F.lit(False))
-    null_variant = F.parse_json(F.lit("null"))
-    merged = {
-        name: F.when(
-            hit, F.coalesce(F.col(f"_{source}").cast("variant"), null_variant)
-        ).otherwise(fields.field(payload, name))
+    merged = (
+        f"""CASE WHEN _hit THEN coalesce(CAST(_{source} AS VARIANT), parse_json('null'))
+            ELSE {fields.field('payload', name)} END AS {name}"""
         for name, source in _ATTRIBUTES.items()
-    }
-    return (
-        joined.withColumns({"hit": hit, **merged, "ingestion_pipeline": tag})
-        .drop("_user", "_hit", *(f"_{c}" for c in _ATTRIBUTES.values()))
     )
+    return joined.selectExpr(*own, "coalesce(_hit, false) AS hit", *merged, tag)
 
 
-def event_json() -> Column:
+def event_json() -> str:
     """The whole enriched event as one compact JSON object.
 
     Built only where the event leaves the job; filters and joins use the payload
     and the side columns. New fields are appended to the payload's text, and only
     an object that now holds a key twice is parsed again to keep the later one.
     """
-    payload = F.col("payload")
-    body = F.to_json(payload)
-    inner = F.substr(body, F.lit(2), F.length(body) - 2)
+    body = "to_json(payload)"
     added = [
-        F.when(F.col("hit"), F.concat(F.lit(f'"{name}":'), F.to_json(F.col(name))))
-        for name in _ATTRIBUTES
+        f"""CASE WHEN hit THEN '"{name}":' || to_json({name}) END""" for name in _ATTRIBUTES
     ]
-    tag = F.when(
-        ~fields.has_field(payload, "ingestion_pipeline"),
-        F.concat(F.lit('"ingestion_pipeline":'), F.to_json(F.col("ingestion_pipeline"))),
-    )
-    joined = F.concat(
-        F.lit("{"), F.concat_ws(",", F.nullif(inner, F.lit("")), *added, tag), F.lit("}")
+    added.append(
+        f"""CASE WHEN NOT {fields.has_field('payload', _TAG)}
+            THEN '"{_TAG}":' || to_json({_TAG}) END"""
     )
-    own = fields.has_field(payload, "user_segment")
-    for name in ("user_country", "user_lifetime_value"):
-        own = own | fields.has_field(payload, name)
-    return F.when(F.col("hit") & own, F.to_json(F.parse_json(joined))).otherwise(joined)
+    inner = f"nullif(substr({body}, 2, length({body}) - 2), '')"
+    joined = f"'{{' || concat_ws(',', {inner}, {', '.join(added)}) || '}}'"
+    own = " OR ".join(fields.has_field("payload", name) for name in _ATTRIBUTES)
+    return f"CASE WHEN hit AND ({own}) THEN to_json(parse_json({joined})) ELSE {joined} END"
 
 
 def hit_rate(enriched: DataFrame) -> DataFrame:
     """Lookups that hit, by event type."""
     return (
-        enriched.groupBy(fields.text(F.col("payload"), "event_type").alias("event_type"))
+        enriched.selectExpr(f"{fields.text('payload', 'event_type')} AS event_type", "hit")
+        .groupBy("event_type")
         .agg(F.count("*").alias("events"), F.count_if("hit").alias("hits"))
     )
 
 
 def repeated_users(users: DataFrame) -> DataFrame:
     """User ids held by more than one dimension row; must be empty before a join."""
-    return users.groupBy("user_id").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    return users.groupBy("user_id").agg(F.count("*").alias("n")).where("n > 1")

@@ -1,15 +1,15 @@
-"""Landing: partition columns, the error split, layout, and both outlets."""
+"""Landing: partition columns, the error split, layout, and path columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from headrace.functions import fields
 from headrace.functions.once import with_once
 from headrace.operators.enrich import event_json
 
 PARTITIONS = ("event_type", "dt", "hh")
+DAILY = ("event_type", "dt")
 ERROR_PARTITIONS = ("error_type", "dt", "hh")
 NO_PARTITION_KEY = "missing-partition-key"
 SAME_KEY = "keys-differ-by-case"
@@ -24,51 +24,57 @@ def prepare(enriched: DataFrame, run_at, transform=None) -> DataFrame:
     error. ``transform`` is an optional DataFrame step applied before delivery.
     """
     records = enriched if transform is None else enriched.transform(transform)
-    payload = F.col("payload")
-    kind_json = F.to_json(fields.field(payload, "event_type"))
-    kind = F.when(
-        ~F.substring(kind_json, 1, 1).isin("{", "["), fields.text(payload, "event_type")
+    kind_json = f"to_json({fields.field('payload', 'event_type')})"
+    kind = (
+        f"CASE WHEN substr({kind_json}, 1, 1) NOT IN ('{{', '[') "
+        f"THEN nullif({fields.text('payload', 'event_type')}, '') END"
     )
-    arrival = F.coalesce(
-        fields.epoch_to_ntz(F.col("approximate_arrival_timestamp")), fields.ntz(run_at)
+    arrival = (
+        f"coalesce({fields.epoch_to_ntz('approximate_arrival_timestamp')}, {fields.ntz(run_at)})"
     )
-    bodies = records.withColumns(
-        {"body": event_json(), "_kind": F.nullif(kind, F.lit("")), "_arrival": arrival}
-    )
-    keyed = bodies.withColumn("_keys", F.json_object_keys("body"))
-    same = F.size(F.array_distinct(F.split(F.lower(F.array_join("_keys", "\n")), "\n"))) < F.size(
-        "_keys"
+    bodies = records.selectExpr(
+        "sequence_number",
+        f"{event_json()} AS body",
+        f"{kind} AS event_type",
+        f"{arrival} AS _arrival",
     )
-    mixed = F.array_join("_keys", "\n") != F.lower(F.array_join("_keys", "\n"))
-    error = F.when(F.col("_kind").isNull(), NO_PARTITION_KEY).when(mixed & same, SAME_KEY)
-    return with_once(keyed.withColumn("_mixed", mixed), {"error_type": error}).select(
+    keyed = bodies.selectExpr(
+        "*", "json_object_keys(body) AS _keys"
+    ).selectExpr("*", "array_join(_keys, '\\u0001') AS _names")
+    error = f"""CASE
+        WHEN event_type IS NULL THEN '{NO_PARTITION_KEY}'
+        WHEN _mixed AND size(array_distinct(split(lower(_names), '\\u0001'))) < size(_keys)
+            THEN '{SAME_KEY}' END"""
+    return with_once(
+        keyed.selectExpr("*", "_names <> lower(_names) AS _mixed"), {"error_type": error}
+    ).selectExpr(
         "sequence_number",
         "body",
         "_mixed",
         "error_type",
-        F.col("_kind").alias("event_type"),
-        F.to_date("_arrival").alias("dt"),
-        F.date_format("_arrival", "HH").alias("hh"),
+        "event_type",
+        "to_date(_arrival) AS dt",
+        "date_format(_arrival, 'HH') AS hh",
     )
 
 
 def landable(prepared: DataFrame) -> DataFrame:
     """The rows that can be partitioned, with the event as a Variant."""
-    lowered = F.to_variant_object(
-        F.transform_keys(
-            F.try_variant_get(F.parse_json("body"), "$", "map<string,variant>"),
-            lambda key, _: F.lower(key),
-        )
+    lowered = (
+        "to_variant_object(transform_keys("
+        "try_variant_get(parse_json(body), '$', 'map<string,variant>'), (key, _) -> lower(key)))"
     )
-    return prepared.where(F.col("error_type").isNull()).select(
-        F.when(F.col("_mixed"), lowered).otherwise(F.parse_json("body")).alias("payload"),
-        *PARTITIONS,
+    # The test names the generated column, which keeps the lowering, an error on
+    # doubled keys, above the split.
+    payload = (
+        f"CASE WHEN _mixed AND error_type IS NULL THEN {lowered} ELSE parse_json(body) END"
     )
+    return prepared.where("error_type IS NULL").selectExpr(f"{payload} AS payload", *PARTITIONS)
 
 
 def unlandable(prepared: DataFrame) -> DataFrame:
     """The complement: rows for the error output."""
-    return prepared.where(F.col("error_type").isNotNull()).select(
+    return prepared.where("error_type IS NOT NULL").select(
         "sequence_number", "body", *ERROR_PARTITIONS
     )
 
@@ -83,17 +89,24 @@ def layout(df: DataFrame, partitions: tuple[str, ...], salts: int = 1) -> DataFr
     """
     if salts <= 1:
         return df.hint("rebalance", *partitions)
-    spread = [c for c in ("body", "sequence_number") if c in df.columns]
-    source = F.xxhash64(*spread) if spread else F.xxhash64(F.to_json("payload"))
-    salt = F.pmod(source, F.lit(salts))
-    return df.repartition(*(F.col(c) for c in partitions), salt)
+    rows = "xxhash64(sequence_number, body)" if "body" in df.columns else "xxhash64(to_json(payload))"
+    salted = df.selectExpr("*", f"pmod({rows}, {salts}) AS _salt")
+    return salted.repartition(*partitions, "_salt").drop("_salt")
 
 
-def write(df: DataFrame, path: str, partitions: tuple[str, ...], mode: str = "append",
-          salts: int = 1) -> None:
-    """Write Snappy Parquet below ``path``, one folder level per partition column."""
+def write(
+    df: DataFrame,
+    path: str,
+    partitions: tuple[str, ...],
+    mode: str = "append",
+    salts: int = 1,
+) -> None:
+    """Write Snappy Parquet below ``path``, one folder level per partition column.
+
+    A layout without hours leaves the hour out.
+    """
     (
-        layout(df, partitions, salts)
+        layout(without_hour(df, partitions), partitions, salts)
         .write.mode(mode)
         .option("compression", "snappy")
         .partitionBy(*partitions)
@@ -101,21 +114,23 @@ def write(df: DataFrame, path: str, partitions: tuple[str, ...], mode: str = "ap
     )
 
 
-def path_part(path: Column, from_end: int) -> Column:
+def without_hour(df: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
+    return df if "hh" in partitions else df.drop("hh")
+
+
+def path_part(path: str, from_end: int) -> str:
     """A folder name of a file path, counted from the end, without ``name=``."""
-    part = F.split_part(path, F.lit("/"), F.lit(-from_end))
-    return F.coalesce(
-        F.nullif(F.split_part(part, F.lit("="), F.lit(2)), F.lit("")), part
-    )
+    part = f"split_part({path}, '/', {-from_end})"
+    return f"coalesce(nullif(split_part({part}, '=', 2), ''), {part})"
 
 
-def path_columns(path: Column) -> dict[str, Column]:
+def path_columns(path: str) -> list[str]:
     """Partition values read from ``…/<type>/dt=<date>/hh=<hour>/<file>``.
 
     For folders written elsewhere; these columns do not prune a scan.
     """
-    return {
-        "event_type": path_part(path, 4),
-        "dt": F.to_date(path_part(path, 3), "yyyy-MM-dd"),
-        "hh": path_part(path, 2).try_cast("int"),
-    }
+    return [
+        f"{path_part(path, 4)} AS event_type",
+        f"to_date({path_part(path, 3)}, 'yyyy-MM-dd') AS dt",
+        f"try_cast({path_part(path, 2)} AS INT) AS hh",
+    ]

@@ -28,8 +28,8 @@ def candidates(
     """
     landed = landing.scan(spark, landing_path, landing_date, event_type)
     cutoff = run_at - timedelta(hours=lookback_h)
-    rows = landed.select(
-        "payload", "source_file", "source_row", fields.ntz(cutoff).alias("ingested_at")
+    rows = landed.selectExpr(
+        "payload", "source_file", "source_row", f"{fields.ntz(cutoff)} AS ingested_at"
     )
     return curate.project(rows, run_at)
 
@@ -62,5 +62,5 @@ def late_repair(
         F.lit(event_type).cast("string").alias("event_type"),
         F.lit(lookback_h).cast("bigint").alias("lookback_h"),
         F.lit(merged).cast("bigint").alias("rows_merged"),
-        fields.ntz(run_at).alias("run_at"),
+        F.expr(fields.ntz(run_at)).alias("run_at"),
     )

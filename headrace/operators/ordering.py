@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,15 +15,15 @@ def ordered(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return df.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
 
 
-def positions(df: DataFrame, key: str, order: list[str], chunk: Column) -> DataFrame:
+def positions(df: DataFrame, key: str, order: list[str], chunk: str) -> DataFrame:
     """The position of each row within its key, from 1, as ``position``.
 
-    ``chunk`` cuts a key into slices that follow the order, such as the hour of the
+    ``chunk``, a SQL expression, cuts a key into slices that follow the order, such as the hour of the
     leading order column. Rows are numbered within a slice, and the sizes of the
     earlier slices, a small table, are added; no task sorts a whole key. The number
     and the join share one partitioning by key and slice.
     """
-    cut = df.withColumn("_chunk", F.coalesce(chunk.cast("bigint"), F.lit(-(2**62))))
+    cut = df.selectExpr("*", f"coalesce(CAST({chunk} AS BIGINT), {-(2**62)}) AS _chunk")
     numbered = cut.withColumn(
         "_local", F.row_number().over(Window.partitionBy(key, "_chunk").orderBy(*order))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headrace import schemas as S
@@ -15,16 +15,15 @@ def to_raw(landed: DataFrame, ingested_at) -> DataFrame:
 
     File and row are the natural key; no counter is shared between tasks.
     """
-    payload = F.col("payload")
-    return landed.select(
+    return landed.selectExpr(
         "payload",
-        fields.text(payload, "event_type").alias("event_type"),
-        fields.iso_timestamp(fields.text(payload, "event_time")).alias("event_time"),
-        fields.text(payload, "user_id").alias("user_id"),
+        f"{fields.text('payload', 'event_type')} AS event_type",
+        f"{fields.iso_timestamp(fields.text('payload', 'event_time'))} AS event_time",
+        f"{fields.text('payload', 'user_id')} AS user_id",
         "source_file",
         "source_row",
-        fields.ntz(ingested_at).alias("ingested_at"),
-        F.lit(S.RAW_PIPELINE).alias("pipeline"),
+        f"{fields.ntz(ingested_at)} AS ingested_at",
+        f"'{S.RAW_PIPELINE}' AS pipeline",
     )
 
 
@@ -33,13 +32,32 @@ def raw_id(raw: DataFrame) -> DataFrame:
     return raw.withColumn("raw_id", F.concat_ws("#", "source_file", "source_row"))
 
 
-def bad_row() -> Column:
+def write_clustered(raw: DataFrame, path: str) -> None:
+    """Lay raw rows out by day, sorted by type within each file.
+
+    The rebalance splits a day that outgrows the advisory size.
+    """
+    (
+        raw.withColumn("event_date", F.to_date("event_time"))
+        .hint("rebalance", "event_date")
+        .sortWithinPartitions("event_date", "event_type")
+        .write.option("compression", "snappy")
+        .partitionBy("event_date")
+        .parquet(path)
+    )
+
+
+def read_clustered(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{S.RAW}, event_date date").parquet(path)
+
+
+def bad_row() -> str:
     """A landed row without an object payload cannot be loaded."""
-    return ~F.startswith(F.coalesce(F.to_json("payload"), F.lit("")), F.lit("{"))
+    return "NOT startswith(coalesce(to_json(payload), ''), '{')"
 
 
 def file_verdicts(
-    rows: DataFrame, bad: Column, file: str, percent: int = S.FILE_ERROR_RATIO_PERCENT
+    rows: DataFrame, bad: str, file: str, percent: int = S.FILE_ERROR_RATIO_PERCENT
 ) -> DataFrame:
     """Per file: rows, bad rows, and whether the bad share exceeds the limit.
 
@@ -47,22 +65,19 @@ def file_verdicts(
     costs one partial row per task.
     """
     return (
-        rows.groupBy(file)
-        .agg(F.count("*").alias("rows"), F.count_if(bad).alias("bad_rows"))
-        .withColumn("skipped", F.col("bad_rows") * 100 > F.col("rows") * percent)
+        rows.selectExpr(file, f"{bad} AS _bad")
+        .groupBy(file)
+        .agg(F.count("*").alias("rows"), F.count_if("_bad").alias("bad_rows"))
+        .selectExpr("*", f"bad_rows * 100 > rows * {percent} AS skipped")
     )
 
 
 def gate_files(
-    rows: DataFrame,
-    bad: Column,
-    file: str,
-    skipped: DataFrame,
-    skipped_rows: int,
+    rows: DataFrame, bad: str, file: str, skipped: DataFrame, skipped_rows: int
 ) -> DataFrame:
     """The good rows of files that passed.
 
     ``skipped`` holds the names of skipped files and ``skipped_rows`` their count;
     see ``keys_join`` for how the count picks the join.
     """
-    return keys_join(rows.where(~bad), skipped, file, "left_anti", skipped_rows)
+    return keys_join(rows.where(f"NOT ({bad})"), skipped, file, "left_anti", skipped_rows)

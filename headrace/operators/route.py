@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headrace import schemas as S
@@ -11,37 +11,34 @@ from headrace.operators.decode import reason_class
 from headrace.operators.enrich import event_json
 
 
-def is_high_value_order(payload: Column, threshold: float) -> Column:
+def is_high_value_order(payload: str, threshold: float) -> str:
     """An order whose amount reaches the threshold; NaN and non-numbers never do."""
+    # An IF keeps the amount from being read for events that are no order.
     amount = fields.number(payload, "amount")
-    return F.coalesce(
-        (fields.text(payload, "event_type") == "order")
-        & ~F.isnan(amount)
-        & (amount >= F.lit(float(threshold))),
-        F.lit(False),
+    return (
+        f"IF({fields.text(payload, 'event_type')} = 'order', "
+        f"coalesce(nanvl({amount}, DOUBLE('-Infinity')) >= {float(threshold)}D, false), false)"
     )
 
 
-def is_fraud_signal(payload: Column) -> Column:
+def is_fraud_signal(payload: str) -> str:
     """The first truthy of two risk fields is a known signal.
 
     An unknown truthy first field hides a known second one.
     """
-    signal = F.coalesce(
-        fields.truthy_text(payload, "fraud_signal"), fields.truthy_text(payload, "risk_flag")
-    )
-    return F.coalesce(signal.isin(*S.FRAUD_SIGNALS), F.lit(False))
+    signals = ", ".join(f"'{s}'" for s in S.FRAUD_SIGNALS)
+    first = fields.truthy_text(payload, "fraud_signal")
+    second = fields.truthy_text(payload, "risk_flag")
+    return f"coalesce(coalesce({first}, {second}) IN ({signals}), false)"
 
 
 def route(records: DataFrame, threshold: float = S.DEFAULT_HIGH_VALUE_THRESHOLD) -> DataFrame:
     """Flag every record; all are delivered, those with ``is_alert`` also alert."""
-    payload = F.col("payload")
-    return records.withColumns(
-        {
-            "is_high_value": is_high_value_order(payload, threshold),
-            "is_fraud": is_fraud_signal(payload),
-        }
-    ).withColumn("is_alert", F.col("is_high_value") | F.col("is_fraud"))
+    return records.selectExpr(
+        "*",
+        f"{is_high_value_order('payload', threshold)} AS is_high_value",
+        f"{is_fraud_signal('payload')} AS is_fraud",
+    ).selectExpr("*", "is_high_value OR is_fraud AS is_alert")
 
 
 def alerts(routed: DataFrame) -> DataFrame:
@@ -50,73 +47,84 @@ def alerts(routed: DataFrame) -> DataFrame:
     ``alert_key`` is the event id, or a hash of the message where the event has
     none, so that a repeated delivery can be told from a new alert.
     """
-    payload = F.col("payload")
-    kind = F.coalesce(fields.text(payload, "event_type"), F.lit(S.UNKNOWN))
-    built = routed.where("is_alert").select(
-        fields.text(payload, "event_id").alias("event_id"),
-        kind.alias("event_type"),
-        F.concat(F.lit(S.ALERT_SUBJECT), kind).alias("subject"),
-        event_json().alias("message"),
-    )
-    return built.select(
-        F.coalesce("event_id", F.sha2("message", 256)).alias("alert_key"), *built.columns
+    return (
+        routed.where("is_alert")
+        .selectExpr(
+            f"{fields.text('payload', 'event_id')} AS event_id",
+            f"coalesce({fields.text('payload', 'event_type')}, '{S.UNKNOWN}') AS event_type",
+            f"{event_json()} AS message",
+        )
+        .selectExpr(
+            "coalesce(event_id, sha2(message, 256)) AS alert_key",
+            "event_id",
+            "event_type",
+            f"'{S.ALERT_SUBJECT}' || event_type AS subject",
+            "message",
+        )
     )
 
 
 def route_counts(routed: DataFrame) -> DataFrame:
     """Delivered and alerting events, by event type."""
-    return (
-        routed.groupBy(fields.text(F.col("payload"), "event_type").alias("event_type"))
-        .agg(
-            F.count("*").alias("delivered"),
-            F.count_if("is_high_value").alias("high_value"),
-            F.count_if("is_fraud").alias("fraud"),
-            F.count_if("is_alert").alias("alerts"),
+    return routed.selectExpr(
+        f"{fields.text('payload', 'event_type')} AS event_type",
+        "is_high_value",
+        "is_fraud",
+        "is_alert",
+    ).groupBy("event_type").agg(
+        *_counts(
+            delivered="true", high_value="is_high_value", fraud="is_fraud", alerts="is_alert"
         )
     )
 
 
+def _counts(**tests: str):
+    return [F.expr(f"count_if({test})").alias(name) for name, test in tests.items()]
+
+
 def ndjson(records: DataFrame) -> DataFrame:
     """The delivery outlet: each enriched event as one compact JSON line."""
-    return records.select("sequence_number", event_json().alias("line"))
+    return records.selectExpr("sequence_number", f"{event_json()} AS line")
 
 
-def partition_key(payload: Column) -> Column:
+def partition_key(payload: str) -> str:
     """The first truthy of user id and event id, else a fixed word."""
-    return F.coalesce(
-        fields.truthy_text(payload, "user_id"),
-        fields.truthy_text(payload, "event_id"),
-        F.lit(S.UNKNOWN),
+    return (
+        f"coalesce({fields.truthy_text(payload, 'user_id')}, "
+        f"{fields.truthy_text(payload, 'event_id')}, '{S.UNKNOWN}')"
     )
 
 
-def batch_metrics(
-    classified: DataFrame, alert: Column, undelivered: Column | None = None
-) -> DataFrame:
+def batch_metrics(classified: DataFrame, alert: str, undelivered: str = "false") -> DataFrame:
     """The five counters of a batch, as one row from one pass.
 
     ``alert`` flags alerting records and ``undelivered`` records the delivery sink
     refused; both are expressions over the classified records.
     """
-    good = F.col("reason").isNull()
-    refused = good & F.coalesce(undelivered if undelivered is not None else F.lit(False), F.lit(False))
-    failing = ~good | refused
-    return classified.agg(
-        F.count_if(good).alias("processed"),
-        F.count_if(good & ~refused).alias("delivered"),
-        F.count_if(good & alert).alias("alerts"),
-        F.count_distinct(F.when(failing & (F.col("sequence_number") != ""), F.col("sequence_number")))
-        .alias("failed"),
-        F.count_if(refused).alias("firehose_failed"),
+    marked = classified.selectExpr(
+        "sequence_number",
+        "reason IS NULL AS good",
+        f"{alert} AS alerting",
+        f"reason IS NULL AND coalesce({undelivered}, false) AS refused",
+    )
+    return marked.selectExpr(
+        "count_if(good) AS processed",
+        "count_if(good AND NOT refused) AS delivered",
+        "count_if(good AND alerting) AS alerts",
+        "count(DISTINCT CASE WHEN refused OR NOT good THEN nullif(sequence_number, '') END) AS failed",
+        "count_if(refused) AS firehose_failed",
     )
 
 
-def batch_failures(classified: DataFrame, undelivered: Column | None = None) -> DataFrame:
+def batch_failures(classified: DataFrame, undelivered: str = "false") -> DataFrame:
     """The distinct sequence numbers to retry, each with one reason class."""
-    refused = F.coalesce(undelivered if undelivered is not None else F.lit(False), F.lit(False))
     return (
-        classified.where(F.col("reason").isNotNull() | refused)
-        .where(F.col("sequence_number") != "")
+        classified.where(f"reason IS NOT NULL OR coalesce({undelivered}, false)")
+        .where("sequence_number <> ''")
+        .selectExpr(
+            "sequence_number", f"coalesce({reason_class('reason')}, 'not delivered') AS reason"
+        )
         .groupBy("sequence_number")
-        .agg(F.min(F.coalesce(reason_class(F.col("reason")), F.lit("not delivered"))).alias("reason"))
+        .agg({"reason": "min"})
+        .toDF("sequence_number", "reason")
     )

@@ -7,14 +7,21 @@ that each failure class and null rule meets real rows at every scale.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 ARRIVAL_LAG_SECONDS = 90
 
+_TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -33,146 +40,154 @@ def user_rows(spark: SparkSession, sf_dir: str) -> int:
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The user dimension; a negative balance leaves the lifetime value open."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (
-        table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .select(
-            F.col("c_custkey").cast("string").alias("user_id"),
-            F.col("c_mktsegment").alias("segment"),
-            F.col("n_name").alias("country"),
-            F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal"))
-            .cast("decimal(14,2)")
-            .alias("lifetime_value"),
-        )
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").selectExpr(
+        "CAST(c_custkey AS STRING) AS user_id",
+        "c_mktsegment AS segment",
+        "n_name AS country",
+        "CASE WHEN c_acctbal >= 0 THEN CAST(c_acctbal AS DECIMAL(14,2)) END AS lifetime_value",
     )
 
 
-def _unless(*codes: int) -> Column:
-    return ~F.col("k").isin(*codes)
+def _object(**members: str) -> str:
+    """A JSON object text; members that are NULL are left out."""
+    return "to_json(named_struct(" + ", ".join(f"'{k}', {v}" for k, v in members.items()) + "))"
+
+
+def _when(test: str, **members: str) -> dict[str, str]:
+    return {k: f"CASE WHEN {test} THEN {v} END" for k, v in members.items()}
+
+
+def _event_json(amount_shift: int) -> str:
+    body = _object(
+        event_id="CASE WHEN k NOT IN (11, 12) THEN id END",
+        event_type="CASE WHEN k NOT IN (13, 14) THEN kind END",
+        event_time="""CASE WHEN k = 9 THEN 'not-a-time' WHEN k = 28 THEN iso || '+02:00'
+            WHEN k <> 29 THEN iso || '+00:00' END""",
+        user_id="CASE WHEN k = 16 THEN '' WHEN kind = 'signup' THEN 'new-' || user_id "
+        "ELSE CAST(user_id AS STRING) END",
+        session_id="'S-' || id",
+        source="'web'",
+        **_when(
+            "kind = 'page_view'",
+            page="'/p/' || k",
+            referrer="'https://example.org/'",
+            user_agent="'Mozilla/5.0'",
+            ip="'192.0.2.1'",
+        ),
+        **_when(
+            "kind = 'order'",
+            order_id="'O-' || id",
+            product_id="'P-' || k",
+            product_name="""'Article "A", größe 1'""",
+            category="'home'",
+            quantity="CASE WHEN k = 25 THEN '2.5' ELSE CAST(quantity AS STRING) END",
+            unit_price="price",
+            amount=f"CASE WHEN k NOT IN (18, 19, 26) THEN amount + {amount_shift} END",
+            currency="'USD'",
+            is_high_value="CASE WHEN k = 39 THEN amount < 100 WHEN k <> 15 THEN amount >= 100 END",
+            payment_method="'credit_card'",
+        ),
+        **_when(
+            "kind = 'signup'",
+            email="'u' || id || '@example.org'",
+            country="'DE'",
+            referral_source="'organic'",
+        ),
+        fraud_signal="CASE k WHEN 10 THEN 'fraud_suspected' WHEN 20 THEN '' "
+        "WHEN 30 THEN 'card_velocity_high' WHEN 40 THEN 'other' END",
+        risk_flag="CASE WHEN k IN (20, 40) THEN 'geo_mismatch' END",
+        user_segment="CASE WHEN k = 17 THEN 'own' END",
+        ingestion_pipeline="CASE WHEN k = 23 THEN 'backfill' END",
+    )
+    # Fields whose written form matters come first in the text. Under code 27 keys
+    # are repeated, and the later, real values count.
+    extra = """CASE k
+        WHEN 12 THEN '"event_id":null'
+        WHEN 13 THEN '"event_type":null'
+        WHEN 15 THEN '"is_high_value":"zzz"'
+        WHEN 18 THEN '"amount":" 1_500 "'
+        WHEN 19 THEN '"amount":"1500d"'
+        WHEN 26 THEN '"amount":[1500]'
+        WHEN 27 THEN '"amount":99999,"session_id":"x"'
+        WHEN 31 THEN '"Channel":"app"'
+        WHEN 32 THEN '"SOURCE":"app"' END"""
+    return f"'{{' || concat_ws(',', {extra}, substr({body}, 2))"
 
 
-def _event_json(amount_shift: int) -> Column:
-    k = F.col("k")
-    order = F.col("kind") == "order"
-    view = F.col("kind") == "page_view"
-    signup = F.col("kind") == "signup"
-    event_id = F.col("event_id").cast("string")
-    iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-    quantity = F.floor(k / 25).cast("int") + 1
-    price = F.col("value").cast("decimal(12,2)")
-    amount = (quantity * price + F.when(k.between(33, 38), 1).otherwise(0) + amount_shift).cast(
-        "decimal(14,2)"
-    )
-    high = F.when(k == 39, amount < 100).otherwise(amount >= 100)
-    body = F.to_json(
-        F.struct(
-            F.when(_unless(11, 12), event_id).alias("event_id"),
-            F.when(_unless(13, 14), F.col("kind")).alias("event_type"),
-            F.when(k == 9, "not-a-time")
-            .when(k == 28, F.concat(iso, F.lit("+02:00")))
-            .when(_unless(29), F.concat(iso, F.lit("+00:00")))
-            .alias("event_time"),
-            F.when(k == 16, "")
-            .when(signup, F.concat(F.lit("new-"), F.col("user_id").cast("string")))
-            .otherwise(F.col("user_id").cast("string"))
-            .alias("user_id"),
-            F.concat(F.lit("S-"), event_id).alias("session_id"),
-            F.lit("web").alias("source"),
-            F.when(view, F.concat(F.lit("/p/"), k.cast("string"))).alias("page"),
-            F.when(view, F.lit("https://example.org/")).alias("referrer"),
-            F.when(view, F.lit("Mozilla/5.0")).alias("user_agent"),
-            F.when(view, F.lit("192.0.2.1")).alias("ip"),
-            F.when(order, F.concat(F.lit("O-"), event_id)).alias("order_id"),
-            F.when(order, F.concat(F.lit("P-"), k.cast("string"))).alias("product_id"),
-            F.when(order, F.lit("Article \"A\", größe 1")).alias("product_name"),
-            F.when(order, F.lit("home")).alias("category"),
-            F.when(order, F.when(k == 25, "2.5").otherwise(quantity.cast("string"))).alias("quantity"),
-            F.when(order, price).alias("unit_price"),
-            F.when(order & _unless(18, 19, 26), amount).alias("amount"),
-            F.when(order, F.lit("USD")).alias("currency"),
-            F.when(order & _unless(15), high).alias("is_high_value"),
-            F.when(order, F.lit("credit_card")).alias("payment_method"),
-            F.when(signup, F.concat(F.lit("u"), event_id, F.lit("@example.org"))).alias("email"),
-            F.when(signup, F.lit("DE")).alias("country"),
-            F.when(signup, F.lit("organic")).alias("referral_source"),
-            F.when(k.isin(10, 30, 40), F.when(k == 10, "fraud_suspected")
-                   .when(k == 30, "card_velocity_high").otherwise("other"))
-            .when(k == 20, "")
-            .alias("fraud_signal"),
-            F.when(k.isin(20, 40), "geo_mismatch").alias("risk_flag"),
-            F.when(k == 17, "own").alias("user_segment"),
-            F.when(k == 23, "backfill").alias("ingestion_pipeline"),
-        )
-    )
-    # Fields whose written form matters are spliced into the text.
-    extra = (
-        F.when(k == 12, '"event_id":null')
-        .when(k == 13, '"event_type":null')
-        .when(k == 15, '"is_high_value":"zzz"')
-        .when(k == 18, '"amount":" 1_500 "')
-        .when(k == 19, '"amount":"1500d"')
-        .when(k == 26, '"amount":[1500]')
-        .when(k == 31, '"Channel":"app"')
-        .when(k == 32, '"SOURCE":"app"')
-    )
-    opened = F.when(
-        extra.isNotNull(), F.concat(F.lit("{"), extra, F.lit(","), F.substr(body, F.lit(2)))
-    ).otherwise(body)
-    # The same key twice: the later, real value counts.
-    return F.when(
-        k == 27, F.concat(F.lit('{"amount":99999,"session_id":"x",'), F.substr(body, F.lit(2)))
-    ).otherwise(opened)
+def _coded(text: str) -> str:
+    return f"base64(encode({text}, 'UTF-8'))"
 
 
 def envelopes(
-    spark: SparkSession, sf_dir: str, rows: Column | None = None, amount_shift: int = 0
+    spark: SparkSession, sf_dir: str, rows: str = "true", amount_shift: int = 0
 ) -> DataFrame:
     """One envelope per event; ``k`` and ``ts`` ride along for later steps.
 
     ``rows`` picks a delivery of its own, such as the re-sent events, and
     ``amount_shift`` tells its copies from the first ones.
     """
-    kind = (
-        F.when(F.col("event_type") == "purchase", "order")
-        .when(F.col("event_type") == "view", "page_view")
-        .otherwise(F.col("event_type"))
-    )
-    events = spread(table(spark, sf_dir, "events"), "event_id").select(
-        "event_id",
-        "ts",
-        "user_id",
-        "value",
-        kind.alias("kind"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-    )
-    if rows is not None:
-        events = events.where(rows)
-    built = events.withColumn("json", _event_json(amount_shift))
-    k = F.col("k")
-    plain = F.base64(F.encode("json", "UTF-8"))
-    data = (
-        F.when(k == 0, None)
-        .when(k == 1, "")
-        .when(k == 2, F.substr(plain, F.lit(1), F.length(plain) - 1))
-        .when(k == 3, F.concat(plain, F.lit("é")))
-        .when(k == 4, F.base64(F.encode(F.concat(F.lit("not json "), "event_id"), "UTF-8")))
-        .when(k == 5, F.base64(F.encode(F.concat("json", F.lit(" x")), "UTF-8")))
-        .when(k == 6, F.base64(F.encode(F.concat(F.lit("["), "event_id", F.lit("]")), "UTF-8")))
-        .when(k == 7, F.base64(F.encode(F.concat(F.lit('"'), "event_id", F.lit('"')), "UTF-8")))
-        .when(k == 8, F.base64(F.concat(F.unhex(F.lit("FFFE")), F.encode(F.col("event_id").cast("string"), "UTF-8"))))
-        .when(k == 24, F.concat(F.lit(" \n"), plain, F.lit("\n!")))
-        .otherwise(plain)
+    events = (
+        spread(table(spark, sf_dir, "events"), "event_id")
+        .selectExpr(
+            "CAST(event_id AS STRING) AS id",
+            "ts",
+            "user_id",
+            "CASE event_type WHEN 'purchase' THEN 'order' WHEN 'view' THEN 'page_view' "
+            "ELSE event_type END AS kind",
+            "CAST(value AS DECIMAL(12,2)) AS price",
+            "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        )
+        .where(rows)
+        .selectExpr(
+            "*",
+            "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") AS iso",
+            "CAST(floor(k / 25) AS INT) + 1 AS quantity",
+        )
+        .selectExpr(
+            "*",
+            "CAST(quantity * price + IF(k BETWEEN 33 AND 38, 1, 0) AS DECIMAL(14,2)) AS amount",
+        )
     )
-    micros = F.timestamp_diff(
-        "MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")
+    plain = events.selectExpr(
+        "id", "user_id", "ts", "k", f"{_coded(_event_json(amount_shift))} AS plain"
     )
-    return built.select(
-        F.when(_unless(1, 21), F.concat(F.lit("seq-"), F.lpad(F.col("event_id").cast("string"), 12, "0")))
-        .alias("sequence_number"),
-        F.col("user_id").cast("string").alias("partition_key"),
-        data.alias("data"),
-        (micros / 1_000_000 + ARRIVAL_LAG_SECONDS).alias("approximate_arrival_timestamp"),
+    event_text = _coded("'event ' || id")
+    data = f"""CASE k
+        WHEN 0 THEN NULL
+        WHEN 1 THEN ''
+        WHEN 2 THEN {event_text} || 'Q'
+        WHEN 3 THEN {event_text} || 'é'
+        WHEN 4 THEN {_coded("'not json ' || id")}
+        WHEN 5 THEN {_coded("'{' || '\"event_id\":\"' || id || '\"} x'")}
+        WHEN 6 THEN {_coded("'[' || id || ']'")}
+        WHEN 7 THEN {_coded("'\"' || id || '\"'")}
+        WHEN 8 THEN base64(X'FFFE' || encode(id, 'UTF-8'))
+        WHEN 24 THEN ' \\n' || plain || '\\n!'
+        ELSE plain END"""
+    return plain.selectExpr(
+        "CASE WHEN k NOT IN (1, 21) THEN 'seq-' || lpad(id, 12, '0') END AS sequence_number",
+        "CAST(user_id AS STRING) AS partition_key",
+        f"{data} AS data",
+        "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) / 1000000 "
+        f"+ {ARRIVAL_LAG_SECONDS} AS approximate_arrival_timestamp",
         "k",
         "ts",
     )
+
+
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One dead-letter message per event; the upper half of the codes is not JSON."""
+    return (
+        table(spark, sf_dir, "events")
+        .selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+        .selectExpr(
+            "'m-' || event_id AS message_id",
+            "CASE WHEN k < 50 THEN props ELSE 'event ' || event_id || ' broken' END AS body",
+            "map('ApproximateReceiveCount', CAST(floor(k / 25) + 1 AS STRING), 'SentTimestamp', "
+            "CAST(timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS STRING)) "
+            "AS attributes",
+            "CAST(NULL AS VARIANT) AS message_attributes",
+            "'arn:example:dead-letters' AS event_source_arn",
+        )
+    )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from headrace import schemas as S
 
@@ -23,12 +22,11 @@ def read_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -
 
 def flatten(batches: DataFrame) -> DataFrame:
     """Envelopes out of nested batches; a batch without records gives no rows."""
-    record = F.col("record.kinesis")
-    return batches.select(F.explode("Records").alias("record")).select(
-        record["sequenceNumber"].alias("sequence_number"),
-        record["partitionKey"].alias("partition_key"),
-        record["data"].alias("data"),
-        record["approximateArrivalTimestamp"].alias("approximate_arrival_timestamp"),
+    return batches.selectExpr("explode(Records) AS record").selectExpr(
+        "record.kinesis.sequenceNumber AS sequence_number",
+        "record.kinesis.partitionKey AS partition_key",
+        "record.kinesis.data AS data",
+        "record.kinesis.approximateArrivalTimestamp AS approximate_arrival_timestamp",
     )
 
 

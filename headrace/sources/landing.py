@@ -8,17 +8,11 @@ from pyspark.sql import functions as F
 from headrace import schemas as S
 from headrace.operators.land import path_columns
 
-
-def _with_source(df: DataFrame) -> DataFrame:
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias("source_file"),
-        (F.col("_metadata.row_index") + 1).alias("source_row"),
-    )
+_SOURCE = ("_metadata.file_path AS source_file", "_metadata.row_index + 1 AS source_row")
 
 
 def scan(
-    spark: SparkSession, path: str, landing_date: str | None = None, event_type: str | None = None
+    spark: SparkSession, path: str, landing_date=None, event_type: str | None = None
 ) -> DataFrame:
     """Landed events with partition columns and file lineage.
 
@@ -29,28 +23,22 @@ def scan(
         df = df.where(F.col("dt") == F.lit(str(landing_date)).cast("date"))
     if event_type is not None:
         df = df.where(F.col("event_type") == event_type)
-    return _with_source(df)
+    return df.selectExpr("*", *_SOURCE)
 
 
 def scan_paths(spark: SparkSession, path: str) -> DataFrame:
-    """Landed events of a foreign layout, partition columns parsed from the path.
-
-    ``path`` names the files or a glob over them.
-    """
-    df = (
-        spark.read.schema("payload variant")
-        .option("recursiveFileLookup", "true")
-        .parquet(path)
-    )
-    return _with_source(df).withColumns(path_columns(F.col("source_file")))
+    """Landed events of a foreign layout, partition columns parsed from the path."""
+    files = spark.read.schema("payload variant").option("recursiveFileLookup", "true")
+    lineage = files.parquet(path).selectExpr("payload", *_SOURCE)
+    return lineage.selectExpr("*", *path_columns("source_file"))
 
 
 def stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
     """Landed files as they appear, each read once per checkpoint."""
-    df = (
+    return (
         spark.readStream.schema(S.LANDING)
         .option("maxFilesPerTrigger", files_per_trigger)
         .option("ignoreMissingFiles", "true")
         .parquet(path)
+        .selectExpr("*", *_SOURCE)
     )
-    return _with_source(df)

@@ -57,6 +57,7 @@ def process_stream(
     user_rows=None,
     threshold: float = S.DEFAULT_HIGH_VALUE_THRESHOLD,
     files_per_trigger: int = 1000,
+    partitions: tuple[str, ...] = land.PARTITIONS,
     clock=_utc_now,
     trigger: dict = DRAIN,
 ) -> StreamingQuery:
@@ -81,7 +82,7 @@ def process_stream(
             routed = route.route(joined, threshold)
             landed = land.prepare(routed, clock())
             for part, name, columns in (
-                (land.landable(landed), "events", land.PARTITIONS),
+                (land.landable(landed), "events", partitions),
                 (land.unlandable(landed), "errors", land.ERROR_PARTITIONS),
             ):
                 _land_batch(part, f"{root}/{name}", columns, batch_id)
@@ -99,7 +100,7 @@ def process_stream(
             route.batch_failures(classified).write.mode("overwrite").parquet(
                 f"{root}/failures/batch_id={batch_id}"
             )
-            route.batch_metrics(flagged, F.col("is_alert")).write.mode("overwrite").parquet(
+            route.batch_metrics(flagged, "is_alert").write.mode("overwrite").parquet(
                 f"{root}/metrics/batch_id={batch_id}"
             )
         finally:
@@ -117,7 +118,7 @@ def process_stream(
 def _land_batch(part: DataFrame, path: str, partitions: tuple[str, ...], batch_id: int) -> None:
     """Write one batch under its own last folder level, replacing an earlier try."""
     (
-        land.layout(part, partitions)
+        land.layout(land.without_hour(part, partitions), partitions)
         .withColumn("batch_id", F.lit(batch_id))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -146,7 +147,7 @@ def ingest_stream(
     def handle(batch: DataFrame, epoch: int) -> None:
         _adaptive(batch)
         bad = raw.bad_row()
-        verdicts = raw.file_verdicts(batch.withColumn("bad", bad), F.col("bad"), "source_file")
+        verdicts = raw.file_verdicts(batch, bad, "source_file")
         skipped = verdicts.where("skipped").select("source_file")
         good = raw.gate_files(batch, bad, "source_file", skipped, files_per_trigger)
         raw.to_raw(good, clock()).write.mode("overwrite").parquet(
