@@ -22,6 +22,9 @@ PREFERRED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Parsing and partitioned writes are work for every core even on small inputs;
+    # at scale partitions are far above this.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.parquet.compression.codec": "snappy",
 }
 

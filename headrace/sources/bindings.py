@@ -152,12 +152,11 @@ def envelopes(
     plain = events.selectExpr(
         "id", "user_id", "ts", "k", f"{_coded(_event_json(amount_shift))} AS plain"
     )
-    event_text = _coded("'event ' || id")
     data = f"""CASE k
         WHEN 0 THEN NULL
         WHEN 1 THEN ''
-        WHEN 2 THEN {event_text} || 'Q'
-        WHEN 3 THEN {event_text} || 'é'
+        WHEN 2 THEN lpad(id, 12, '0') || 'Q'
+        WHEN 3 THEN lpad(id, 12, '0') || 'é'
         WHEN 4 THEN {_coded("'not json ' || id")}
         WHEN 5 THEN {_coded("'{' || '\"event_id\":\"' || id || '\"} x'")}
         WHEN 6 THEN {_coded("'[' || id || ']'")}

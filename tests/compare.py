@@ -1,0 +1,31 @@
+"""Comparing a query with its expected SQL result."""
+
+from __future__ import annotations
+
+import math
+from decimal import Decimal
+from pathlib import Path
+
+import duckdb
+
+
+def expected(sf_dir: str, sql: str) -> tuple[list[str], list[tuple]]:
+    with duckdb.connect() as db:
+        for file in sorted(Path(sf_dir).glob("*.parquet")):
+            db.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+        cursor = db.execute(sql)
+        return [c[0] for c in cursor.description], cursor.fetchall()
+
+
+def _plain(value):
+    if isinstance(value, Decimal):
+        return float(value)
+    if isinstance(value, float) and math.isnan(value):
+        return "NaN"
+    return value
+
+
+def normal(names: list[str], rows: list[tuple]) -> list[tuple]:
+    """Rows with columns by name, in a fixed order."""
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted((tuple(_plain(row[i]) for i in order) for row in rows), key=repr)
