@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_SPACES = r"' \t\n\r\f\u000B'"
+_SPACES = r"' \t\n\r\u000B\u000C'"
 _DIGITS = "'-','0','1','2','3','4','5','6','7','8','9'"
 
 
