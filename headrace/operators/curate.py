@@ -76,19 +76,52 @@ def first_write(rows: DataFrame, key: str = "event_id", order: tuple[str, ...] =
     )
 
 
-def not_in(batch: DataFrame, target: DataFrame, batch_rows: int, key: str = "event_id") -> DataFrame:
-    """The batch rows whose key the target lacks.
-
-    Both sides are unique by key, so no key is hot. A batch of bounded size is
-    broadcast against the one key column of the target, which is not shuffled, and
-    the few keys found are broadcast back. Beyond the bound both sides shuffle
-    their keys once.
+def insert_small(
+    batch: DataFrame, target: DataFrame, key: str, order: tuple[str, ...], stage: str
+) -> DataFrame:
+    """New rows of a batch of at most ``BROADCAST_ROWS`` rows.
+
+    The de-duplicated batch is staged once, which fixes it for both joins. Its keys
+    are broadcast against the one key column of the target, which is not shuffled,
+    and the keys found, no more than the batch has, are broadcast back.
+    """
+    first_write(batch, key, order).write.mode("overwrite").parquet(stage)
+    fixed = batch.sparkSession.read.schema(batch.schema).parquet(stage)
+    seen = target.select(key).join(F.broadcast(fixed.select(key)), key, "left_semi")
+    return fixed.join(F.broadcast(seen), key, "left_anti")
+
+
+def insert_large(
+    batch: DataFrame, target: DataFrame, key: str, order: tuple[str, ...], stage: str
+) -> DataFrame:
+    """New rows of a batch of any size, such as a replay of the raw table.
+
+    Only keys are shuffled at first: their copies are counted, before the shuffle
+    where they can be, and looked up in the target. Keys that occur once and are new,
+    nearly all of them, need no more; the others are staged and counted. While
+    those are few enough to broadcast, whole rows are shuffled only for keys that
+    repeat. Otherwise the batch is shuffled once for both steps.
     """
-    keys = target.select(key)
-    if batch_rows > BROADCAST_ROWS:
-        return batch.join(keys, key, "left_anti")
-    seen = keys.join(F.broadcast(batch.select(key)), key, "left_semi")
-    return batch.join(F.broadcast(seen), key, "left_anti")
+    spark = batch.sparkSession
+    counted = Observation()
+    held = target.select(key).withColumn("_held", F.lit(True))
+    (
+        batch.groupBy(key)
+        .agg(F.count("*").alias("_copies"))
+        .join(held, key, "left")
+        .where("_held OR _copies > 1")
+        .select(key, F.coalesce("_held", F.lit(False)).alias("_held"))
+        .observe(counted, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .parquet(stage)
+    )
+    special = spark.read.schema(f"{key} string, _held boolean").parquet(stage)
+    if counted.get["rows"] > BROADCAST_ROWS:
+        return first_write(batch, key, order).join(held, key, "left_anti")
+    marked = batch.join(F.broadcast(special), key, "left")
+    single = marked.where("_held IS NULL").select(*batch.columns)
+    repeated = marked.where("NOT _held").select(*batch.columns)
+    return single.unionByName(first_write(repeated, key, order))
 
 
 def create_target(spark: SparkSession, path: str, schema: str = S.CURATED) -> None:
@@ -109,27 +142,25 @@ def merge(
     schema: str = S.CURATED,
     key: str = "event_id",
     order: tuple[str, ...] = FIRST_WRITE,
+    batch_rows: int | None = None,
 ) -> int:
     """Insert the batch rows whose key is new; returns the number inserted.
 
-    The first copy of a key stays for good: nothing is updated or deleted. The
-    de-duplicated batch is staged once, which fixes it for the steps after and
-    gives its size. Rows go to the folder of their batch, which a replay of the
-    same batch overwrites. One merge may run at a time; batch 0 is the empty start,
-    stream batches count from 1 and repairs count down from -1.
+    The first copy of a key stays for good: nothing is updated or deleted.
+    ``batch_rows`` is the size of the batch or a bound of it, counted here if not
+    given; it picks how keys are matched. Rows go to the folder of their batch,
+    which a replay of the same batch overwrites. One merge may run at a time; batch
+    0 is the empty start, stream batches count from 1 and repairs down from -1.
     """
     if batch_id == 0:
         raise ValueError("batch_id 0 is the empty start of the target")
-    staged = Observation()
-    first_write(batch, key, order).observe(staged, F.count(F.lit(1)).alias("rows")).write.mode(
-        "overwrite"
-    ).parquet(stage_path)
-    fixed = spark.read.schema(schema).parquet(stage_path)
+    size = batch.count() if batch_rows is None else batch_rows
     others = read_target(spark, path, schema).where(F.col("batch_id") != batch_id)
-    fresh = not_in(fixed, others, staged.get["rows"], key)
+    insert = insert_small if size <= BROADCAST_ROWS else insert_large
+    fresh = insert(batch.select(*S.columns(schema)), others, key, order, stage_path)
     inserted = Observation()
-    clustered = [c for c in ("event_date", "event_type") if c in fresh.columns]
     counted = fresh.observe(inserted, F.count(F.lit(1)).alias("rows"))
+    clustered = [c for c in ("event_date", "event_type") if c in fresh.columns]
     if clustered:
         counted = counted.sortWithinPartitions(*clustered)
     counted.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

@@ -18,25 +18,28 @@ def ordered(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 def positions(df: DataFrame, key: str, order: list[str], chunk: str) -> DataFrame:
     """The position of each row within its key, from 1, as ``position``.
 
-    ``chunk``, a SQL expression, cuts a key into slices that follow the order, such as the hour of the
-    leading order column. Rows are numbered within a slice, and the sizes of the
-    earlier slices, a small table, are added; no task sorts a whole key. The number
-    and the join share one partitioning by key and slice.
+    ``chunk``, a SQL expression, cuts a key into slices that follow the order, such
+    as the hour of the leading order column; NULL is the first slice. Rows are
+    numbered within a slice, and the sizes of the earlier slices, a small table, are
+    added; no task sorts a whole key. The rows are shuffled once, by slice, for the
+    numbering and the join alike.
     """
-    cut = df.selectExpr("*", f"coalesce(CAST({chunk} AS BIGINT), {-(2**62)}) AS _chunk")
+    cut = df.selectExpr("*", f"named_struct('key', {key}, 'at', CAST({chunk} AS BIGINT)) AS _slice")
     numbered = cut.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(key, "_chunk").orderBy(*order))
+        "_local", F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
     )
-    sizes = cut.groupBy(key, "_chunk").agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col(key).alias("_key"),
-        F.col("_chunk").alias("_at"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
+    before = (
+        Window.partitionBy("_slice.key")
+        .orderBy(F.col("_slice.at").asc_nulls_first())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = (
+        cut.groupBy("_slice")
+        .agg(F.count("*").alias("_size"))
+        .select("_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     )
-    same_slice = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_chunk") == F.col("_at"))
     return (
-        numbered.join(offsets, same_slice, "inner")
+        numbered.join(offsets, "_slice")
         .withColumn("position", F.col("_offset") + F.col("_local"))
-        .drop("_chunk", "_local", "_key", "_at", "_offset")
+        .drop("_slice", "_local", "_offset")
     )

@@ -228,6 +228,7 @@ _EXPECTED = {
     "dedup_first_write": _FIRST_COPIES,
     "merge_idempotent": """
         SELECT event_id, amount, ingested_at, CAST(1 AS BIGINT) AS batch_id FROM curated""",
+    "replay_merge": f"{_FIRST_COPIES} WHERE k NOT BETWEEN 50 AND 59",
     "incremental_merge": _CURATED_COLUMNS,
     "replay_equals_incremental": """
         SELECT event_type, count(*) AS incremental, count(*) AS replayed,

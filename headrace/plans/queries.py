@@ -99,12 +99,17 @@ def _resent_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate.project(_loaded(spark, sf_dir, SECOND_RUN, RESENT, 1), SECOND_RUN)
 
 
+def _stored(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Curated rows written once, for merges that read them several times."""
+    path = fresh_dir(spark, "batch")
+    curate.accepted(rows).write.parquet(path)
+    return spark.read.schema(S.CURATED).parquet(path)
+
+
 def _merge_all(spark: SparkSession, path: str, *batches: tuple[int, DataFrame]) -> None:
     curate.create_target(spark, path)
     for batch_id, rows in batches:
-        curate.merge(
-            spark, curate.accepted(rows), path, batch_id, fresh_dir(spark, "merge-stage")
-        )
+        curate.merge(spark, rows, path, batch_id, fresh_dir(spark, "merge-stage"))
 
 
 def _land(spark: SparkSession, sf_dir: str, partitions=land.PARTITIONS) -> str:
@@ -371,13 +376,29 @@ def dedup_first_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch merged, merged again, merged as another batch, then the re-sent events."""
     path = fresh_dir(spark, "curated")
-    first = _first_curated(spark, sf_dir)
-    _merge_all(
-        spark, path, (1, first), (1, first), (2, first), (3, _resent_curated(spark, sf_dir))
-    )
+    first = _stored(spark, _first_curated(spark, sf_dir))
+    resent = _stored(spark, _resent_curated(spark, sf_dir))
+    _merge_all(spark, path, (1, first), (1, first), (2, first), (3, resent))
     return curate.read_target(spark, path).select("event_id", "amount", "ingested_at", "batch_id")
 
 
+@_query
+def replay_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both deliveries replayed as one batch of any size onto a table that has one."""
+    path = fresh_dir(spark, "curated")
+    resent = _stored(spark, _resent_curated(spark, sf_dir))
+    _merge_all(spark, path, (1, resent))
+    both = resent.unionByName(_stored(spark, _first_curated(spark, sf_dir)))
+    fresh = curate.insert_large(
+        both,
+        curate.read_target(spark, path),
+        "event_id",
+        curate.FIRST_WRITE,
+        fresh_dir(spark, "replay-stage"),
+    )
+    return fresh.select("event_id", "event_type", "amount", "ingested_at")
+
+
 def _stream_twice(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Two deliveries through the raw table into the curated one."""
     table, curated, state = (fresh_dir(spark, n) for n in ("raw", "curated", "state"))
@@ -429,9 +450,8 @@ def replay_equals_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compact_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All batches rewritten by date and type; no row is lost or doubled."""
     path, out = fresh_dir(spark, "curated"), fresh_dir(spark, "compacted")
-    _merge_all(
-        spark, path, (1, _first_curated(spark, sf_dir)), (2, _resent_curated(spark, sf_dir))
-    )
+    first = _stored(spark, _first_curated(spark, sf_dir))
+    _merge_all(spark, path, (1, first), (2, _stored(spark, _resent_curated(spark, sf_dir))))
     curate.compact(spark, path, out)
     return _plain(curate.read_compacted(spark, out)).select(
         "event_id", "event_type", "event_date", "amount"
@@ -444,7 +464,7 @@ def compact_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _repaired(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     landed, path = _land(spark, sf_dir, land.DAILY), fresh_dir(spark, "curated")
     on_time = curate.project(_loaded(spark, sf_dir, FIRST_RUN, ON_TIME), FIRST_RUN)
-    _merge_all(spark, path, (1, on_time))
+    _merge_all(spark, path, (1, _stored(spark, on_time)))
     return late.late_repair(spark, landed, path, REPAIR_DATE, REPAIR_RUN), path
 
 

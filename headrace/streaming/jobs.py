@@ -80,12 +80,11 @@ def process_stream(
             size = user_rows(session) if users and user_rows else None
             joined = enrich.enrich(decode.decoded(classified), dimension, user_rows=size)
             routed = route.route(joined, threshold)
-            landed = land.prepare(routed, clock())
-            for part, name, columns in (
-                (land.landable(landed), "events", partitions),
-                (land.unlandable(landed), "errors", land.ERROR_PARTITIONS),
-            ):
-                _land_batch(part, f"{root}/{name}", columns, batch_id)
+            landed = land.prepare(routed, clock()).persist(StorageLevel.MEMORY_AND_DISK)
+            _land_batch(land.landable(landed), f"{root}/events", partitions, batch_id)
+            error_partitions = ("error_type", *partitions[1:])
+            _land_batch(land.unlandable(landed), f"{root}/errors", error_partitions, batch_id)
+            landed.unpersist()
             curate.merge(
                 session,
                 route.alerts(routed),
