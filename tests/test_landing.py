@@ -1,0 +1,150 @@
+"""Landing, the error split, path columns, raw rows and the file gate."""
+
+from __future__ import annotations
+
+import json
+from datetime import date, datetime
+
+import pytest
+
+from headrace import schemas as S
+from headrace.operators import decode, enrich, land, raw
+from headrace.sources import landing
+
+RUN = datetime(2024, 2, 1, 6)
+
+
+def prepared(envelopes, *events, transform=None, arrival=1700000000.0):
+    records = decode.decoded(decode.decode(envelopes(*events, arrival=arrival)))
+    return land.prepare(enrich.enrich(records, None), RUN, transform)
+
+
+def test_partitions_follow_arrival_and_payload(spark, envelopes, tmp_path):
+    df = prepared(
+        envelopes,
+        {"event_id": "1", "event_type": "order", "event_time": "1999-01-01T00:00:00Z"},
+        {"event_id": "2", "event_type": "sign up/x=1"},
+        {"event_id": "3", "event_type": 5},
+    )
+    land.write(land.landable(df), str(tmp_path), land.PARTITIONS)
+    rows = landing.scan(spark, str(tmp_path)).collect()
+    assert {(r.event_type, r.dt, r.hh) for r in rows} == {
+        (kind, date(2023, 11, 14), 22) for kind in ("order", "sign up/x=1", "5")
+    }
+    assert all(r.source_row == 1 for r in rows)
+    assert landing.scan(spark, str(tmp_path), "2023-11-14", "order").count() == 1
+    assert landing.scan(spark, str(tmp_path), "2023-11-15").count() == 0
+
+
+def test_scan_prunes_partitions(spark, envelopes, tmp_path):
+    land.write(land.landable(prepared(envelopes, {"event_type": "a"})), str(tmp_path), land.PARTITIONS)
+    plan = landing.scan(spark, str(tmp_path), "2023-11-14", "a")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
+
+
+def test_missing_arrival_uses_the_run_time(spark, envelopes):
+    df = envelopes({"event_type": "a"}).selectExpr(
+        "sequence_number", "partition_key", "data", "CAST(NULL AS DOUBLE) AS approximate_arrival_timestamp"
+    )
+    row = land.prepare(enrich.enrich(decode.decoded(decode.decode(df)), None), RUN).collect()[0]
+    assert (row.dt, row.hh) == (date(2024, 2, 1), "06")
+
+
+@pytest.mark.parametrize(
+    "event, error",
+    [
+        ({"event_id": "1"}, "missing-partition-key"),
+        ({"event_type": None}, "missing-partition-key"),
+        ({"event_type": ""}, "missing-partition-key"),
+        ({"event_type": {"a": 1}}, "missing-partition-key"),
+        ({"Event_Type": "order"}, "missing-partition-key"),
+        ({"event_type": "order", "A": 1, "a": 2}, "keys-differ-by-case"),
+        ({"event_type": "order", "A": 1, "b": {"C": 1, "c": 2}}, None),
+    ],
+)
+def test_errors(envelopes, event, error):
+    df = prepared(envelopes, event)
+    assert [r.error_type for r in df.collect()] == [error]
+    assert land.landable(df).count() + land.unlandable(df).count() == 1
+
+
+def test_top_level_keys_are_lower_cased(envelopes):
+    df = prepared(envelopes, {"event_type": "order", "USER": {"Name": 1}})
+    text = land.landable(df).selectExpr("to_json(payload) AS j").collect()[0].j
+    assert json.loads(text) == {
+        "event_type": "order",
+        "user": {"Name": 1},
+        "ingestion_pipeline": "kinesis-lambda-firehose",
+    }
+
+
+def test_delivery_transform(envelopes):
+    df = prepared(
+        envelopes, {"event_type": "order"}, {"event_type": "signup"},
+        transform=lambda d: d.where("try_variant_get(payload, '$.event_type', 'string') = 'order'"),
+    )
+    assert [r.event_type for r in df.collect()] == ["order"]
+
+
+def test_salted_layout_splits_a_hot_partition(spark, tmp_path):
+    hot = spark.range(2000).selectExpr(
+        "parse_json('{\"n\":' || id || '}') AS payload", "'order' AS event_type", "'2024-01-01' AS dt", "'05' AS hh"
+    )
+    laid = land.layout(hot, land.PARTITIONS, salts=16)
+    assert laid.count() == 2000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert laid.selectExpr("spark_partition_id()").distinct().count() > 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_foreign_layout(spark, tmp_path):
+    """Folders that name the type alone, as another writer lays them out."""
+    for kind, hour in (("order", "07"), ("signup", "x")):
+        spark.range(2).selectExpr("parse_json('{\"id\":' || id || '}') AS payload").coalesce(1).write.parquet(
+            f"{tmp_path}/events/{kind}/dt=2024-01-15/hh={hour}"
+        )
+    rows = landing.scan_paths(spark, f"{tmp_path}/events").collect()
+    assert {(r.event_type, r.dt, r.hh, r.source_row) for r in rows} == {
+        ("order", date(2024, 1, 15), 7, 1), ("order", date(2024, 1, 15), 7, 2),
+        ("signup", date(2024, 1, 15), None, 1), ("signup", date(2024, 1, 15), None, 2),
+    }
+
+
+def test_raw_rows(spark):
+    df = spark.sql(
+        """SELECT parse_json('{"event_type":"a","event_time":"2024-01-15T10:00:00+02:00","user_id":7}')
+           AS payload, 'f' AS source_file, 3L AS source_row"""
+    )
+    row = raw.raw_id(raw.to_raw(df, RUN)).collect()[0]
+    assert (row.event_type, row.event_time, row.user_id) == ("a", datetime(2024, 1, 15, 10), "7")
+    assert (row.pipeline, row.ingested_at, row.raw_id) == ("snowpipe-firehose", RUN, "f#3")
+
+
+def test_file_gate_boundary(spark):
+    """Exactly 10 % bad rows still load; one more skips the whole file."""
+    rows = spark.createDataFrame(
+        [("ten", i, i < 1) for i in range(10)]
+        + [("eleven", i, i < 2) for i in range(19)]
+        + [("clean", i, False) for i in range(3)]
+        + [("one", 0, True)],
+        "file string, n int, bad boolean",
+    )
+    verdicts = raw.file_verdicts(rows, "bad", "file")
+    assert {r.file: r.skipped for r in verdicts.collect()} == {
+        "ten": False, "eleven": True, "clean": False, "one": True,
+    }
+    skipped = verdicts.where("skipped").select("file")
+    for count in (2, 10**9):  # broadcast, and the shuffled way
+        kept = raw.gate_files(rows, "bad", "file", skipped, count)
+        assert {r.file: r["count"] for r in kept.groupBy("file").count().collect()} == {
+            "ten": 9, "clean": 3,
+        }
+
+
+def test_error_table_schema_matches(envelopes, spark, tmp_path):
+    df = prepared(envelopes, {"event_id": "1"})
+    land.write(land.unlandable(df), str(tmp_path), land.ERROR_PARTITIONS)
+    row = spark.read.schema(S.LANDING_ERRORS).parquet(str(tmp_path)).collect()[0]
+    assert (row.sequence_number, row.error_type, row.hh) == ("seq-0", "missing-partition-key", 22)

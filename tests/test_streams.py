@@ -1,0 +1,144 @@
+"""Streams: once per record, restart, replay, gate, and the shared folder."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+
+from headrace import schemas as S
+from headrace import session
+from headrace.operators import curate, land, raw
+from headrace.streaming import jobs
+
+RUN = datetime(2024, 2, 1, 6)
+
+
+def test_process_stream_restarts_where_it_stopped(spark, envelopes, tmp_path):
+    source, root, state = (f"{tmp_path}/{n}" for n in ("in", "out", "state"))
+
+    def run():
+        jobs.process_stream(spark, source, root, state, threshold=500, clock=lambda: RUN).awaitTermination()
+
+    def metrics():
+        df = spark.read.schema(
+            "processed bigint, delivered bigint, alerts bigint, failed bigint, firehose_failed bigint, batch_id int"
+        ).parquet(f"{root}/metrics")
+        return {r.batch_id: (r.processed, r.alerts, r.failed) for r in df.collect()}
+
+    first = envelopes(
+        {"event_id": "1", "event_type": "order", "amount": 900},
+        {"event_id": "2", "event_type": "page_view"},
+        b"broken",
+        {"event_id": "3"},
+    )
+    first.coalesce(1).write.parquet(source)
+    run()
+    assert metrics() == {1: (3, 1, 1)}
+    run()
+    assert metrics() == {1: (3, 1, 1)}
+    # The alerting event comes again, with a new one.
+    envelopes(
+        ("seq-8", {"event_id": "1", "event_type": "order", "amount": 900}),
+        ("seq-9", {"event_id": "5", "event_type": "page_view", "risk_flag": "geo_mismatch"}),
+    ).coalesce(1).write.mode("append").parquet(source)
+    run()
+    assert metrics() == {1: (3, 1, 1), 2: (2, 2, 0)}
+    alerts = curate.read_target(spark, f"{root}/alerts", S.ALERTS)
+    assert sorted(r.event_id for r in alerts.collect()) == ["1", "5"]
+    events = spark.read.schema(f"{S.LANDING}, batch_id int").parquet(f"{root}/events")
+    assert events.count() == 4
+    errors = spark.read.schema(S.LANDING_ERRORS).parquet(f"{root}/errors")
+    assert [r.error_type for r in errors.collect()] == [land.NO_PARTITION_KEY]
+
+
+def test_a_replayed_batch_replaces_its_files(spark, tmp_path):
+    part = spark.range(4).selectExpr(
+        "parse_json('{}') AS payload", "'a' AS event_type", "'2024-01-0' || (id % 2 + 1) AS dt", "'05' AS hh"
+    )
+    for batch_id in (1, 2, 1):
+        jobs._land_batch(part, str(tmp_path), land.PARTITIONS, batch_id)
+    df = spark.read.schema(f"{S.LANDING}, batch_id int").parquet(str(tmp_path))
+    assert {r.batch_id: r["count"] for r in df.groupBy("batch_id").count().collect()} == {1: 4, 2: 4}
+
+
+def test_micro_batches_plan_adaptively(spark, tmp_path):
+    """The batch session of a stream has adaptive execution off until asked."""
+    spark.range(3).write.parquet(f"{tmp_path}/in")
+    seen = []
+
+    def handle(batch, epoch):
+        jobs._adaptive(batch)
+        seen.append(batch.groupBy("id").count()._jdf.queryExecution().executedPlan().toString())
+
+    spark.readStream.schema("id bigint").parquet(f"{tmp_path}/in").writeStream.foreachBatch(handle).option(
+        "checkpointLocation", f"{tmp_path}/state"
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert seen and "AdaptiveSparkPlan" in seen[0]
+
+
+def test_ingest_skips_bad_files_and_loads_each_file_once(spark, tmp_path):
+    files, table, state = (f"{tmp_path}/{n}" for n in ("events", "raw", "state"))
+
+    def land_file(kind, bad, good):
+        rows = spark.range(bad + good).coalesce(1).selectExpr(
+            f"CASE WHEN id >= {bad} THEN parse_json('{{\"event_type\":\"{kind}\"}}') END AS payload"
+        )
+        rows.write.mode("append").parquet(f"{files}/event_type={kind}/dt=2024-01-01/hh=05")
+
+    def run():
+        jobs.ingest_stream(spark, files, table, state, clock=lambda: RUN).awaitTermination()
+        loaded = jobs.read_raw(spark, table)
+        return {r.event_type: r["count"] for r in loaded.groupBy("event_type").count().collect()}
+
+    land_file("edge", 1, 9)
+    land_file("bad", 2, 17)
+    assert run() == {"edge": 9}
+    assert run() == {"edge": 9}
+    land_file("more", 0, 2)
+    assert run() == {"edge": 9, "more": 2}
+    rows = jobs.read_raw(spark, table).where("event_type = 'edge'").collect()
+    assert sorted(r.source_row for r in rows) == list(range(2, 11))
+    assert all("/event_type=edge/dt=2024-01-01/hh=05/" in r.source_file for r in rows)
+
+
+def test_merge_stream_without_new_files_runs_no_batch(spark, tmp_path):
+    table, curated, state = (f"{tmp_path}/{n}" for n in ("raw", "curated", "state"))
+    rows = spark.sql(
+        """SELECT parse_json('{"event_id":"1","event_type":"a","event_time":"2024-01-01T00:00:00Z"}')
+           AS payload, 'f' AS source_file, 1L AS source_row
+           UNION ALL SELECT parse_json('{"event_type":"a"}'), 'f', 2L"""
+    )
+    raw.to_raw(rows, RUN).write.parquet(f"{table}/batch_id=1")
+    for _ in range(2):
+        jobs.merge_stream(spark, table, curated, state, clock=lambda: RUN).awaitTermination()
+    target = curate.read_target(spark, f"{curated}/events").collect()
+    assert [(r.event_id, r.batch_id) for r in target] == [("1", 1)]
+    rejected = spark.read.parquet(f"{curated}/rejects").collect()
+    assert [r.reject_rule for r in rejected] == ["event_id missing"]
+
+
+class Session:
+    """A session that only has settings."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_the_cluster_folder_is_used():
+    cluster = Session(**{"spark.master": "spark://host:7077", "spark.checkpoint.dir": "hdfs:///shared/"})
+    assert session.fresh_dir(cluster, "x").startswith("hdfs:///shared/headrace/x-")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError):
+        session.shared_root(Session(**{"spark.master": "spark://host:7077"}))
+
+
+def test_a_local_session_keeps_one_folder(spark):
+    assert session.shared_root(spark) == session.shared_root(spark)
+    assert session.fresh_dir(spark, "x") != session.fresh_dir(spark, "x")
