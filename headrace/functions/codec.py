@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 
-def base64_bytes(text: str) -> str:
+def base64_direct(text: str) -> str:
+    """Bytes of a well-formed base64 text; the first step of ``base64_bytes``."""
+    return f"try_to_binary({text}, 'base64')"
+
+
+def base64_bytes(text: str, direct: str) -> str:
     """Bytes of a base64 text, NULL when it is malformed.
 
     Characters outside the alphabet are skipped, reading stops where padding
     completes a group of four, missing padding is an error and so is any
     non-ASCII character. A pad character inside a group that is followed by more
     data is an error.
+
+    ``direct`` holds ``base64_direct`` of the text. Nearly every text is canonical,
+    which encoding those bytes again proves; only the others pay for the cleaning.
     """
-    # Nearly every text is canonical, which encoding the bytes again proves; only
-    # the others pay for the cleaning.
-    direct = f"try_to_binary({text}, 'base64')"
     return f"CASE WHEN base64({direct}) = {text} THEN {direct} ELSE {_lenient_base64(text)} END"
 
 

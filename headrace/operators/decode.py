@@ -22,7 +22,8 @@ def decode(envelopes: DataFrame) -> DataFrame:
     # Each step names a value the next one uses several times, so that the costly
     # calls (base64, JSON parse) appear once in the plan.
     parsed = (
-        envelopes.selectExpr(*kept, "data", f"{codec.base64_bytes('data')} AS _bytes")
+        envelopes.selectExpr(*kept, "data", f"{codec.base64_direct('data')} AS _direct")
+        .selectExpr(*kept, "data", f"{codec.base64_bytes('data', '_direct')} AS _bytes")
         .selectExpr(*kept, "data", "_bytes", f"{codec.utf8_text('_bytes')} AS _text")
         .selectExpr(*kept, "data", "_bytes", "_text", f"{codec.framed_json('_text')} AS _framed")
     )

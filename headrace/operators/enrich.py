@@ -62,25 +62,31 @@ def enrich(
     return joined.selectExpr(*own, "coalesce(_hit, false) AS hit", *merged, tag)
 
 
-def event_json() -> str:
-    """The whole enriched event as one compact JSON object.
+def with_event_json(enriched: DataFrame, name: str) -> DataFrame:
+    """Add the whole enriched event as one compact JSON object.
 
     Built only where the event leaves the job; filters and joins use the payload
     and the side columns. New fields are appended to the payload's text, and only
     an object that now holds a key twice is parsed again to keep the later one.
     """
-    body = "to_json(payload)"
     added = [
-        f"""CASE WHEN hit THEN '"{name}":' || to_json({name}) END""" for name in _ATTRIBUTES
+        f"""CASE WHEN hit THEN '"{attribute}":' || to_json({attribute}) END"""
+        for attribute in _ATTRIBUTES
     ]
     added.append(
         f"""CASE WHEN NOT {fields.has_field('payload', _TAG)}
             THEN '"{_TAG}":' || to_json({_TAG}) END"""
     )
-    inner = f"nullif(substr({body}, 2, length({body}) - 2), '')"
-    joined = f"'{{' || concat_ws(',', {inner}, {', '.join(added)}) || '}}'"
-    own = " OR ".join(fields.has_field("payload", name) for name in _ATTRIBUTES)
-    return f"CASE WHEN hit AND ({own}) THEN to_json(parse_json({joined})) ELSE {joined} END"
+    inner = "nullif(substr(_text, 2, char_length(_text) - 2), '')"
+    own = " OR ".join(fields.has_field("payload", attribute) for attribute in _ATTRIBUTES)
+    return (
+        enriched.selectExpr("*", "to_json(payload) AS _text")
+        .selectExpr("*", f"'{{' || concat_ws(',', {inner}, {', '.join(added)}) || '}}' AS _joined")
+        .selectExpr(
+            *enriched.columns,
+            f"CASE WHEN hit AND ({own}) THEN to_json(parse_json(_joined)) ELSE _joined END AS {name}",
+        )
+    )
 
 
 def hit_rate(enriched: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from headrace.functions import fields
 from headrace.functions.once import with_once
-from headrace.operators.enrich import event_json
+from headrace.operators.enrich import with_event_json
 
 PARTITIONS = ("event_type", "dt", "hh")
 DAILY = ("event_type", "dt")
@@ -32,9 +32,9 @@ def prepare(enriched: DataFrame, run_at, transform=None) -> DataFrame:
     arrival = (
         f"coalesce({fields.epoch_to_ntz('approximate_arrival_timestamp')}, {fields.ntz(run_at)})"
     )
-    bodies = records.selectExpr(
+    bodies = with_event_json(records, "body").selectExpr(
         "sequence_number",
-        f"{event_json()} AS body",
+        "body",
         f"{kind} AS event_type",
         f"{arrival} AS _arrival",
     )
@@ -114,6 +114,11 @@ def write(
     )
 
 
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Deliver one JSON object per line as compressed text."""
+    lines.select("line").write.mode("append").option("compression", "gzip").text(path)
+
+
 def without_hour(df: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
     return df if "hh" in partitions else df.drop("hh")
 

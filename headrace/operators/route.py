@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from headrace import schemas as S
 from headrace.functions import fields
 from headrace.operators.decode import reason_class
-from headrace.operators.enrich import event_json
+from headrace.operators.enrich import with_event_json
 
 
 def is_high_value_order(payload: str, threshold: float) -> str:
@@ -48,11 +48,11 @@ def alerts(routed: DataFrame) -> DataFrame:
     none, so that a repeated delivery can be told from a new alert.
     """
     return (
-        routed.where("is_alert")
+        with_event_json(routed.where("is_alert"), "message")
         .selectExpr(
             f"{fields.text('payload', 'event_id')} AS event_id",
             f"coalesce({fields.text('payload', 'event_type')}, '{S.UNKNOWN}') AS event_type",
-            f"{event_json()} AS message",
+            "message",
         )
         .selectExpr(
             "coalesce(event_id, sha2(message, 256)) AS alert_key",
@@ -84,7 +84,7 @@ def _counts(**tests: str):
 
 def ndjson(records: DataFrame) -> DataFrame:
     """The delivery outlet: each enriched event as one compact JSON line."""
-    return records.selectExpr("sequence_number", f"{event_json()} AS line")
+    return with_event_json(records, "line").select("sequence_number", "line")
 
 
 def partition_key(payload: str) -> str:

@@ -96,6 +96,12 @@ CURATED = (
 
 ALERTS = "alert_key string, event_id string, event_type string, subject string, message string"
 
+# One batch of dead-letter messages as JSON, nested as it arrives.
+DEAD_LETTER_BATCH = (
+    "Records array<struct<messageId: string, body: string, attributes: map<string,string>, "
+    "messageAttributes: variant, eventSourceARN: string>>"
+)
+
 DEAD_LETTERS = (
     "message_id string, body string, attributes map<string,string>, "
     "message_attributes variant, event_source_arn string"

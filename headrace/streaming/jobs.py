@@ -1,8 +1,7 @@
 """Structured Streaming wiring around the operators.
 
-Each function starts a query and returns it. ``trigger`` is passed to the writer,
-for instance ``{"processingTime": "1 minute"}`` in service or
-``{"availableNow": True}`` to drain and stop. Batch ids count from 1, since batch
+Each function starts a query and returns it. ``trigger`` is passed to the writer:
+``EVERY_MINUTE`` in service, ``DRAIN`` to take what is there and stop. Batch ids count from 1, since batch
 0 is the empty start of a target table.
 """
 
@@ -20,6 +19,9 @@ from headrace.operators import curate, decode, enrich, land, raw, route
 from headrace.sources import envelopes, landing
 
 DRAIN = {"availableNow": True}
+# The service intervals: landed files are cut every minute, or at the advisory
+# partition size of 64 MB, whichever comes first, and merges run every minute.
+EVERY_MINUTE = {"processingTime": "60 seconds"}
 
 
 def _utc_now() -> datetime:

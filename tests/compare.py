@@ -29,3 +29,30 @@ def normal(names: list[str], rows: list[tuple]) -> list[tuple]:
     """Rows with columns by name, in a fixed order."""
     order = sorted(range(len(names)), key=lambda i: names[i])
     return sorted((tuple(_plain(row[i]) for i in order) for row in rows), key=repr)
+
+
+# Type families, as both engines name them.
+_FAMILIES = {
+    "string": ("string", "varchar"),
+    "date": ("date",),
+    "timestamp": ("timestamp_ntz", "timestamp"),
+    "boolean": ("boolean", "bool"),
+    "double": ("double",),
+    "int": ("int", "integer"),
+    "bigint": ("bigint",),
+    "hugeint": ("hugeint",),
+}
+
+
+def family(type_name: str) -> str:
+    name = type_name.lower()
+    if name.startswith("decimal"):
+        return name.replace(" ", "")
+    return next((f for f, names in _FAMILIES.items() if name in names), name)
+
+
+def expected_types(sf_dir: str, sql: str) -> dict[str, str]:
+    with duckdb.connect() as db:
+        for file in sorted(Path(sf_dir).glob("*.parquet")):
+            db.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+        return {r[0]: family(r[1]) for r in db.execute(f"DESCRIBE {sql}").fetchall()}

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import random
 from datetime import datetime
 
 from headrace import schemas as S
 from headrace.operators import deadletter, ordering
+from headrace.sources import deadletters
 
 RUN = datetime(2024, 2, 2, 9, 30)
 
@@ -51,6 +53,24 @@ def test_envelope_and_archive(spark, tmp_path):
     }
 
 
+def test_nested_batches(spark, tmp_path):
+    """Messages as delivered: nested batches in JSON lines, one of them empty."""
+    batch = {
+        "Records": [
+            {"messageId": "m1", "body": '{"event_id":"1","broken":true}',
+             "attributes": {"ApproximateReceiveCount": "3"},
+             "messageAttributes": {"kind": {"dataType": "String"}}, "eventSourceARN": "arn"},
+            {"messageId": "m2", "body": "non-json body"},
+        ]
+    }
+    (tmp_path / "batch.json").write_text(json.dumps(batch) + "\n" + json.dumps({"Records": []}) + "\n{}\n")
+    df = deadletters.read_batches(spark, str(tmp_path))
+    rows = deadletter.envelope(df, RUN).selectExpr("*", "to_json(message_attributes) AS more").collect()
+    assert {(r.source_message_id, r.approximate_receive_count, r.more) for r in rows} == {
+        ("m1", "3", '{"kind":{"dataType":"String"}}'), ("m2", None, "{}"),
+    }
+
+
 def test_empty_archive(spark, tmp_path):
     assert deadletter.archive(letters(spark, "x").where("false"), str(tmp_path), RUN)["archived"] == 0
 

@@ -12,6 +12,9 @@ import pytest
 from headrace.functions import codec, fields
 
 
+BYTES = codec.base64_bytes("v", codec.base64_direct("v"))
+
+
 def evaluate(spark, expression: str, values: list, schema: str = "v string") -> list:
     """The expression over column ``v``, in input order."""
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, {schema}")
@@ -34,7 +37,7 @@ BASE64_CASES = [
 
 
 def test_base64_cases(spark):
-    got = evaluate(spark, codec.base64_bytes("v"), BASE64_CASES)
+    got = evaluate(spark, BYTES, BASE64_CASES)
     for text, value in zip(BASE64_CASES, got):
         assert (None if value is None else bytes(value)) == host_base64(text), text
 
@@ -52,14 +55,14 @@ def test_base64_random(spark):
         head = body.split("=")[0]
         if not ("=" in body and body.rstrip("=") != head and len(head) % 4 != 3):
             cases.append(text)
-    got = evaluate(spark, codec.base64_bytes("v"), cases)
+    got = evaluate(spark, BYTES, cases)
     for text, value in zip(cases, got):
         assert (None if value is None else bytes(value)) == host_base64(text), text
 
 
 def test_long_base64_and_json(spark):
     text = base64.b64encode(b"x" * 3_000_000).decode()
-    got = evaluate(spark, f"length({codec.base64_bytes('v')})", [text, text + "\n"])
+    got = evaluate(spark, f"length({BYTES})", [text, text + "\n"])
     assert got == [3_000_000, 3_000_000]
 
 

@@ -8,7 +8,7 @@ from datetime import date, datetime
 import pytest
 
 from headrace import schemas as S
-from headrace.operators import decode, enrich, land, raw
+from headrace.operators import decode, enrich, land, raw, route
 from headrace.sources import landing
 
 RUN = datetime(2024, 2, 1, 6)
@@ -143,6 +143,13 @@ def test_file_gate_boundary(spark):
         }
 
 
+def test_delivery_lines(envelopes, spark, tmp_path):
+    records = decode.decoded(decode.decode(envelopes({"event_id": "1"}, {"event_id": "two\nlines"})))
+    land.write_lines(route.ndjson(enrich.enrich(records, None)), str(tmp_path))
+    lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path)).collect()]
+    assert sorted(e["event_id"] for e in lines) == ["1", "two\nlines"]
+
+
 def test_error_table_schema_matches(envelopes, spark, tmp_path):
     df = prepared(envelopes, {"event_id": "1"})
     land.write(land.unlandable(df), str(tmp_path), land.ERROR_PARTITIONS)

@@ -10,6 +10,7 @@ import pytest
 from headrace.functions import fields
 from headrace.operators import decode, enrich, route
 from headrace.sources import envelopes as sources
+from headrace.sources import users as user_source
 
 
 def payloads(spark, *events):
@@ -192,5 +193,29 @@ def test_enrichment(envelopes, users, salts, rows):
     assert all("\n" not in r.line for r in lines)
 
 
+def test_stored_dimension(spark, users, tmp_path):
+    users(VIP, ("u2", None, "DE", None)).write.parquet(f"{tmp_path}/users")
+    assert user_source.rows(spark, f"{tmp_path}/users") == 2
+    assert user_source.read(spark, f"{tmp_path}/users").where("segment = 'vip'").count() == 1
+
+
+def test_a_hot_user_is_spread_over_tasks(spark, users):
+    """Salting cuts one user's rows into several tasks and loses none."""
+    records = spark.range(4000).selectExpr(
+        "'s' || id AS sequence_number", "CAST(id AS DOUBLE) AS approximate_arrival_timestamp",
+        "parse_json('{\"user_id\":\"u1\"}') AS payload",
+    )
+    broadcast, coalesce = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"
+    spark.conf.set(broadcast, "-1")
+    spark.conf.set(coalesce, "false")
+    try:
+        out = enrich.enrich(records, users(VIP), salts=16).selectExpr("hit", "spark_partition_id() AS p")
+        assert out.where("hit").count() == 4000
+        assert out.select("p").distinct().count() > 4
+    finally:
+        spark.conf.unset(broadcast)
+        spark.conf.set(coalesce, "true")
+
+
 def test_repeated_users_are_found(users):
     assert [r.user_id for r in enrich.repeated_users(users(VIP, VIP, ("u2", "a", "b", None))).collect()] == ["u1"]

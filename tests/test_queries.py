@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from compare import expected, normal
+from compare import expected, expected_types, family, normal
 from conftest import SMALL
 
 import __spark_entry__ as entry
@@ -22,6 +22,7 @@ def test_entry_has_rows(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     result = QUERIES[name](spark, SMALL)
+    assert {n: family(t) for n, t in result.dtypes} == expected_types(SMALL, ORACLES[name])
     names, rows = expected(SMALL, ORACLES[name])
     assert sorted(result.columns) == sorted(names)
     assert normal(result.columns, [tuple(r) for r in result.collect()]) == normal(names, rows)
