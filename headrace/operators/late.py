@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,12 @@ def candidates(
     return curate.project(rows, run_at)
 
 
+def repair_id(run_at: datetime, landing_date, event_type: str | None) -> int:
+    """A negative batch id, the same for the same repair and no other."""
+    name = f"{run_at.isoformat()}|{landing_date}|{event_type or ''}"
+    return -1 - int.from_bytes(sha256(name.encode()).digest()[:7], "big")
+
+
 def late_repair(
     spark: SparkSession,
     landing_path: str,
@@ -46,11 +53,11 @@ def late_repair(
 ) -> DataFrame:
     """Merge what landed on a date but is not curated; returns the one-row summary.
 
-    Lateness is unlimited. The repair has a negative batch id, by default from its
-    run time, so that running it again with the same time replaces its own rows.
+    Lateness is unlimited. The repair has a negative batch id, by default a hash of
+    its time, date and type: running it again replaces its own rows and no others.
     """
     if batch_id is None:
-        batch_id = -int((run_at - datetime(1970, 1, 1)).total_seconds())
+        batch_id = repair_id(run_at, landing_date, event_type)
     if batch_id >= 0:
         raise ValueError("a repair needs a negative batch_id")
     rows = candidates(spark, landing_path, landing_date, run_at, event_type, lookback_h)

@@ -45,9 +45,22 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 
+# Result types that every client holds alike: decimals here have few digits.
+_PORTABLE = {"decimal": "double", "date": "string"}
+
+
+def _portable(df: DataFrame) -> DataFrame:
+    casts = {
+        name: _PORTABLE[kind.partition("(")[0]]
+        for name, kind in df.dtypes
+        if kind.partition("(")[0] in _PORTABLE
+    }
+    return df.withColumns({name: F.col(name).cast(kind) for name, kind in casts.items()}) if casts else df
+
+
 def _query(run: Query) -> Query:
     def tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run(tune(spark), sf_dir)
+        return _portable(run(tune(spark), sf_dir))
 
     tuned.__doc__ = run.__doc__
     _QUERIES[run.__name__] = tuned
@@ -514,7 +527,7 @@ def _letter_columns() -> list[str]:
         "approximate_receive_count",
         "sent_timestamp",
         "event_source_arn",
-        f"{body_k} AS body_k",
+        f"CAST({body_k} AS STRING) AS body_k",
         f"CASE WHEN {body_k} IS NULL THEN try_variant_get(body, '$', 'string') END AS body_text",
     ]
 

@@ -187,6 +187,10 @@ def test_late_repair(spark, tmp_path):
     assert rows == {"1": RUN, "2": run - timedelta(hours=12), "3": run - timedelta(hours=6)}
     with pytest.raises(ValueError):
         repair(batch_id=5)
+    # A repair of another date at the same time keeps the rows of this one.
+    other = late.late_repair(spark, files, path, "2024-01-17", run).collect()[0]
+    assert other.rows_merged == 1
+    assert curate.read_target(spark, path).count() == 4
 
 
 def test_reconcile(spark):
