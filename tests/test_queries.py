@@ -7,14 +7,21 @@ from compare import expected, expected_types, family, normal
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from headrace.plans.oracles import all_oracles
+from headrace.plans.queries import all_queries
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 def test_every_query_has_an_expected_result():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_the_entry_registers_them():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
 
