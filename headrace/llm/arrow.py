@@ -1,51 +1,17 @@
-"""Plumbing shared by the Arrow operators."""
+"""Applying a function to the Arrow batches of a frame."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from headrace import session
-
-# Batches are bounded by bytes as well as rows, so that long texts do not pile up.
-BATCH_CONF = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
-}
-
-
-ROOT = str(Path(__file__).resolve().parents[2])
-
-
-def tune(spark: SparkSession) -> SparkSession:
-    """The settings the operators of this package rely on, and its folder for the workers."""
-    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
-    if ROOT not in known:
-        path = os.pathsep.join([ROOT, *filter(None, known)])
-        spark.sparkContext.environment["PYTHONPATH"] = path
-    for key, value in BATCH_CONF.items():
-        spark.conf.set(key, value)
-    return spark
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def texts(docs: DataFrame) -> DataFrame:
-    """The two columns that most operators need, in fixed types."""
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+from pyspark.sql import DataFrame
 
 
 def map_batches(
     frame: DataFrame, schema: str, make: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]
 ) -> DataFrame:
-    """Apply ``make`` to every Arrow batch of a frame."""
+    """Apply ``make`` to every batch that has rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -53,11 +19,3 @@ def map_batches(
                 yield from make(batch)
 
     return frame.mapInArrow(run, schema)
-
-
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared folder and read back: computed once, lineage cut."""
-    spark = frame.sparkSession
-    path = session.fresh_dir(spark, f"llm-{name}")
-    frame.write.parquet(path)
-    return tune(spark).read.schema(frame.schema).parquet(path)

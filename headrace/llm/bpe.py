@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headrace.llm import arrow, vocabulary
+from headrace.llm import arrow, frames, vocabulary
 
 SEPARATOR = b" "
 
@@ -55,7 +55,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             names=["doc_id", "ids", "decoded"],
         )
 
-    return arrow.map_batches(arrow.texts(docs), "doc_id long, ids array<int>, decoded string", make)
+    return arrow.map_batches(frames.texts(docs), "doc_id long, ids array<int>, decoded string", make)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -68,7 +68,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     rows = [(i, s) for i, s in vocab.strings.items()]  # as many as the vocabulary has
     strings = F.broadcast(spark.createDataFrame(rows, "id int, string string"))
     key = F.monotonically_increasing_id()
-    keyed = arrow.stored(encoded.withColumn("_row", key), "decode")
+    keyed = frames.stored(encoded.withColumn("_row", key), "decode")
     joined = (
         keyed.select("_row", F.posexplode(ids).alias("at", "id"))
         .join(strings, "id")
@@ -99,4 +99,4 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         )
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return arrow.map_batches(arrow.texts(docs), schema, make)
+    return arrow.map_batches(frames.texts(docs), schema, make)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from headrace import session
-from headrace.llm import arrow, bpe, token_blocks, token_counts
+from headrace.llm import bpe, frames, quality, token_blocks, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -29,15 +29,21 @@ def all_queries() -> dict[str, Query]:
 @query
 def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = session.fresh_dir(spark, "llm-token-blocks")
-    token_blocks.write(arrow.table(spark, sf_dir, "documents"), path, WORD_BPE)
+    token_blocks.write(frames.table(spark, sf_dir, "documents"), path, WORD_BPE)
     return token_blocks.digests(spark, path)
 
 
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(arrow.table(spark, sf_dir, "documents"), WORD_BPE)
+    return bpe.digests(frames.table(spark, sf_dir, "documents"), WORD_BPE)
 
 
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count(arrow.table(spark, sf_dir, "documents"), BYTE_BPE)
+    return token_counts.count(frames.table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = quality.rate(frames.table(spark, sf_dir, "documents"))
+    return rated.drop("votes")

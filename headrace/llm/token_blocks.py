@@ -29,7 +29,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from headrace.llm import arrow, vocabulary
+from headrace.llm import arrow, frames, vocabulary
 
 BLOCK = 128
 PERCENTILE = 90
@@ -169,7 +169,7 @@ def write(docs: DataFrame, path: str, vocab_path: str, end_id: int = 2) -> None:
         if waiting:
             yield flush()
 
-    ordered = arrow.texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = frames.texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(run, PAGES).write.parquet(f"{path}/pages")
     pages = docs.sparkSession.read.schema(PAGES).parquet(f"{path}/pages")
     # One row per writing task, so the window's single partition stays small.

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from headrace.llm import arrow, vocabulary
+from headrace.llm import arrow, frames, vocabulary
 
 
 def prefix_counts(vocab: vocabulary.Vocabulary, word: str) -> list[int]:
@@ -105,7 +105,7 @@ def truncate(docs: DataFrame, path: str, budget: int) -> DataFrame:
             [batch.column(0), sizes, pa.array(kept, pa.string())], names=["doc_id", "n_bytes", "text"]
         )
 
-    return arrow.map_batches(arrow.texts(docs), "doc_id long, n_bytes long, text string", make)
+    return arrow.map_batches(frames.texts(docs), "doc_id long, n_bytes long, text string", make)
 
 
 def count(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
@@ -126,4 +126,4 @@ def count(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
         )
 
     schema = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
-    return arrow.map_batches(arrow.texts(docs), schema, make)
+    return arrow.map_batches(frames.texts(docs), schema, make)
