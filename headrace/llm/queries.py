@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from headrace import session
-from headrace.llm import bpe, frames, quality, token_blocks, token_counts
+from headrace.llm import bpe, frames, licenses, quality, token_blocks, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -47,3 +47,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = quality.rate(frames.table(spark, sf_dir, "documents"))
     return rated.drop("votes")
+
+
+@query
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(frames.table(spark, sf_dir, "documents"))
