@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from headrace import session
-from headrace.llm import bpe, frames, language, licenses, quality, token_blocks, token_counts
+from headrace.llm import bpe, frames, language, licenses, quality, simhash, token_blocks, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -57,3 +57,8 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.classify(frames.table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(frames.table(spark, sf_dir, "documents"))
