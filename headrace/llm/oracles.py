@@ -53,3 +53,37 @@ oracle(
     FROM w LEFT JOIN base USING (r) LEFT JOIN added USING (r)
     """,
 )
+
+# Every place of every document against every window.
+oracle(
+    "op4_contamination",
+    f"""
+    WITH b AS (
+        SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS id,
+               regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '{_ALNUM}') AS w
+        FROM benchmark WHERE text IS NOT NULL
+    ), win AS (
+        SELECT DISTINCT id, n, array_to_string(w[i:i + n - 1], ' ') AS k FROM (
+            SELECT id, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i
+            FROM b WHERE len(w) > 0
+        )
+    ), d AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_ALNUM}') AS w
+        FROM documents
+    ), place AS (
+        SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS k
+        FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d), (SELECT DISTINCT n FROM win)
+        WHERE i + n - 1 <= len(w)
+    ), hit AS (SELECT r, i, n, id FROM place JOIN win USING (n, k)),
+    covered AS (
+        SELECT r, count(*) AS n_hit
+        FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS i FROM (SELECT DISTINCT r, i, n FROM hit)) GROUP BY r
+    ), item AS (SELECT r, list_sort(list(DISTINCT id)) AS ids FROM hit GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+           sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
+           coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+    FROM d LEFT JOIN covered USING (r) LEFT JOIN item USING (r)
+    """,
+)

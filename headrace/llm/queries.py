@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from headrace import session
-from headrace.llm import bpe, frames, language, licenses, quality, simhash, token_blocks, token_counts
+from headrace.llm import bpe, contamination, frames, language, licenses, quality, simhash, token_blocks, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -62,3 +62,9 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(frames.table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = frames.table(spark, sf_dir, "documents")
+    return contamination.report(documents, frames.table(spark, sf_dir, "benchmark"))
