@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from headrace import session
-from headrace.llm import bpe, contamination, frames, language, licenses, quality, simhash, token_blocks, token_counts
+from headrace.llm import bpe, contamination, frames, language, licenses, quality, simhash, substring_dedup, token_blocks, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -68,3 +68,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = frames.table(spark, sf_dir, "documents")
     return contamination.report(documents, frames.table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.spans(frames.table(spark, sf_dir, "documents"))
