@@ -80,23 +80,31 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     return keyed.join(joined, "_row", "left").withColumn("decoded", filled).drop("_row")
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
-    """Per document the number of ids and the SHA-256 of the ids and of the decoded text."""
+def digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+    """Per document the number of ids and the SHA-256 of the ids and of the decoded text.
+
+    With ``with_ids`` the ids themselves follow, as an array.
+    """
     shared = vocabulary.share(docs.sparkSession, path)
 
     def make(batch: pa.RecordBatch):
         vocab = vocabulary.load(shared, "digests")
         value = _make(vocab)
-        counts, ids, decoded = [], [], []
+        counts, ids, decoded, lists = [], [], [], []
         for text in batch.column(1).to_pylist():
             raw, shown = _encode_text(vocab, value, text or "")
             counts.append(len(raw) // 4)
             ids.append(hashlib.sha256(raw).hexdigest())
             decoded.append(hashlib.sha256(shown).hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids), pa.array(decoded)],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+            if with_ids:
+                lists.append(np.frombuffer(raw, "<i4"))
+        columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids), pa.array(decoded)]
+        if with_ids:
+            columns.append(pa.array(lists, pa.list_(pa.int32())))
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+        yield pa.RecordBatch.from_arrays(columns, names=names[: len(columns)])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    if with_ids:
+        schema += ", ids array<int>"
     return arrow.map_batches(frames.texts(docs), schema, make)

@@ -207,3 +207,14 @@ def classify(docs: DataFrame) -> DataFrame:
     return out.select("row.doc_id", "lang_pred", "score").select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+def accepted(docs: DataFrame, least: float = 0.25) -> DataFrame:
+    """The documents whose language is known, with all their columns.
+
+    Rejected are ``und`` and texts that every machine puts far on the side of the rest.
+    """
+    known = docs.where(~F.coalesce(held_out(), F.lit(False)))
+    model = fit(known.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.col("lang").cast("string")))
+    judged = predict(docs, model)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from headrace import session
-from headrace.llm import bpe, contamination, frames, language, licenses, quality, simhash, substring_dedup, token_blocks, token_counts
+from headrace.llm import bpe, contamination, frames, language, licenses, line_dedup, quality, simhash, substring_dedup, token_blocks, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -73,3 +73,8 @@ def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.spans(frames.table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(frames.table(spark, sf_dir, "documents"))

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headrace.llm import arrow, frames
@@ -202,3 +202,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     return printed.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One document of each component, the one with the smallest ``doc_id``, with all its columns.
+
+    Of rows that share a ``doc_id`` the one whose text has the smallest hash stays.
+    """
+    groups = near_duplicates(docs, shingle, max_bits)
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept"))
+    kept = frames.stored(kept.distinct(), "representatives")
+    row = F.struct("*").alias("row")
+    by_id = Window.partitionBy("id").orderBy("h")
+    return (
+        docs.select(row, F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("h"))
+        .join(kept, F.col("id").eqNullSafe(F.col("kept")), "left_semi")
+        .withColumn("nth", F.row_number().over(by_id))
+        .where("nth = 1")
+        .select("row.*")
+    )
