@@ -120,6 +120,7 @@ def posteriors(voted: DataFrame) -> DataFrame:
         voted.groupBy("votes")
         .agg(F.count(F.lit(1)).cast("double").alias("n"))
         .agg(F.sort_array(F.collect_list(F.struct("votes", "n"))).alias("p"))
+        .where("size(p) > 0")
     )
     last = len(RULES) - 1
     weights = f"transform(p, x -> 1 / (1 + exp(-({_log_odds('x.votes', 's')}))))"

@@ -108,10 +108,7 @@ def words(column: pa.Array, fold: np.ndarray) -> Words:
     raw, at = buffers(column)
     folded = fold[raw]
     inside = folded != 0
-    change = np.empty(len(raw) + 1, bool)
-    change[:1], change[-1:] = inside[:1], inside[-1:]
-    np.not_equal(inside[1:], inside[:-1], out=change[1:-1])
-    edge = np.flatnonzero(change)
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]])))
     start, end = edge[0::2], edge[1::2]
     # A word that runs on from one text into the next is cut where the next begins.
     cut = np.unique(at[1:-1])
