@@ -97,8 +97,3 @@ def epoch_to_ntz(seconds: str) -> str:
 def ntz(moment) -> str:
     """A literal run time, given as a datetime or an ISO text."""
     return f"TIMESTAMP_NTZ'{moment}'"
-
-
-def quoted(value: str) -> str:
-    """A SQL string literal."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
 
 
 def with_once(df: DataFrame, values: dict[str, str]) -> DataFrame:
@@ -15,3 +16,15 @@ def with_once(df: DataFrame, values: dict[str, str]) -> DataFrame:
     """
     pairs = ", ".join(f"'{name}', {value}" for name, value in values.items())
     return df.selectExpr("*", f"inline(array(named_struct({pairs})))")
+
+
+def rows_seen(observation: Observation) -> int:
+    """The count observed under ``rows`` by an action that has ended.
+
+    A part of a plan that turns out to be empty is taken out of it, and with it the
+    counter; there is then nothing to report.
+    """
+    try:
+        return observation.get["rows"]
+    except Py4JJavaError:
+        return 0

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from headrace import schemas as S
+from headrace import session
 from headrace.functions import fields
-from headrace.functions.once import with_once
+from headrace.functions.once import rows_seen, with_once
 from headrace.operators.skew import BROADCAST_ROWS
 
 _TEXT_FIELDS = (
@@ -116,7 +117,7 @@ def insert_large(
         .parquet(stage)
     )
     special = spark.read.schema(f"{key} string, _held boolean").parquet(stage)
-    if counted.get["rows"] > BROADCAST_ROWS:
+    if rows_seen(counted) > BROADCAST_ROWS:
         return first_write(batch, key, order).join(held, key, "left_anti")
     marked = batch.join(F.broadcast(special), key, "left")
     single = marked.where("_held IS NULL").select(*batch.columns)
@@ -124,13 +125,33 @@ def insert_large(
     return single.unionByName(first_write(repeated, key, order))
 
 
+# Batch ids below this are compactions; stream batches and repairs lie above.
+COMPACTIONS = -(1 << 62)
+MANIFEST = "version bigint, compaction bigint, retired array<bigint>"
+
+
 def create_target(spark: SparkSession, path: str, schema: str = S.CURATED) -> None:
     """Make an empty target folder, so that the first merge can read it."""
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch_id=0")
 
 
+def _manifest(spark: SparkSession, path: str) -> tuple[int, int | None, list[int]]:
+    """The latest version: its number, the live compaction and the batches it replaced."""
+    folder = f"{path}.manifest"
+    if not session.exists(spark, folder):
+        return 0, None, []
+    versions = spark.read.schema(MANIFEST).parquet(folder)
+    row = versions.orderBy(F.desc("version")).first()
+    return (row["version"], row["compaction"], row["retired"]) if row else (0, None, [])
+
+
 def read_target(spark: SparkSession, path: str, schema: str = S.CURATED) -> DataFrame:
-    return spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
+    """The live rows. Folders are chosen by their batch id, so no other one is opened."""
+    _, compaction, retired = _manifest(spark, path)
+    live = F.col("batch_id") > COMPACTIONS
+    if compaction is not None:
+        live = (live & ~F.col("batch_id").isin(retired)) | (F.col("batch_id") == compaction)
+    return spark.read.schema(f"{schema}, batch_id bigint").parquet(path).where(live)
 
 
 def merge(
@@ -146,42 +167,62 @@ def merge(
 ) -> int:
     """Insert the batch rows whose key is new; returns the number inserted.
 
-    The first copy of a key stays for good: nothing is updated or deleted.
-    ``batch_rows`` is the size of the batch or a bound of it, counted here if not
-    given; it picks how keys are matched. Rows go to the folder of their batch,
-    which a replay of the same batch overwrites. One merge may run at a time; batch
-    0 is the empty start, stream batches count from 1 and repairs down from -1.
+    The first copy of a key stays for good: nothing is updated or deleted. The batch is
+    computed once, into ``stage_path``, which is removed at the end. ``batch_rows``, or
+    else the rows staged, picks how keys are matched. Rows go to the folder of their
+    batch, which a replay of the same batch overwrites. One merge or compaction may run
+    at a time; batch 0 is the empty start, stream batches count from 1 and repairs down
+    from -1.
     """
-    if batch_id == 0:
-        raise ValueError("batch_id 0 is the empty start of the target")
-    size = batch.count() if batch_rows is None else batch_rows
+    if batch_id == 0 or batch_id <= COMPACTIONS:
+        raise ValueError("batch_id 0 is the empty start of the target, the lowest are compactions")
+    staged = Observation()
+    (
+        batch.select(*S.columns(schema))
+        .observe(staged, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
+        .parquet(f"{stage_path}/rows")
+    )
+    fixed = spark.read.schema(schema).parquet(f"{stage_path}/rows")
+    size = rows_seen(staged) if batch_rows is None else batch_rows
     others = read_target(spark, path, schema).where(F.col("batch_id") != batch_id)
     insert = insert_small if size <= BROADCAST_ROWS else insert_large
-    fresh = insert(batch.select(*S.columns(schema)), others, key, order, stage_path)
+    fresh = insert(fixed, others, key, order, f"{stage_path}/keys")
     inserted = Observation()
     counted = fresh.observe(inserted, F.count(F.lit(1)).alias("rows"))
     clustered = [c for c in ("event_date", "event_type") if c in fresh.columns]
     if clustered:
         counted = counted.sortWithinPartitions(*clustered)
     counted.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-    return inserted.get["rows"]
+    session.remove(spark, stage_path)
+    return rows_seen(inserted)
 
 
-def compact(spark: SparkSession, path: str, out: str) -> None:
-    """Rewrite all batches by date, sorted by date and type, into a new folder.
+def compact(spark: SparkSession, path: str) -> int:
+    """Rewrite all live rows by date, type and id into one batch; returns its id.
 
-    The id ends the range key so that one hot date and type spans many files.
+    The rows are written to a folder that readers do not see until a new version of the
+    manifest names it and retires the batches it replaces; these are then removed. The
+    id ends the range key so that one hot date and type spans many files. A replay of a
+    retired batch finds its rows in the compaction and adds none.
     """
+    version, compaction, retired = _manifest(spark, path)
+    live = [r[0] for r in read_target(spark, path).select("batch_id").distinct().collect()]
+    replaced = sorted(set(live) | set(retired))
+    fresh = COMPACTIONS - 1 - version
     (
         read_target(spark, path)
         .drop("batch_id")
         .repartitionByRange("event_date", "event_type", "event_id")
         .sortWithinPartitions("event_date", "event_type", "event_id")
-        .write.option("compression", "snappy")
-        .partitionBy("event_date")
-        .parquet(out)
+        .write.mode("overwrite")
+        .option("compression", "snappy")
+        .parquet(f"{path}/batch_id={fresh}")
     )
-
-
-def read_compacted(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.CURATED).parquet(path)
+    retire = [b for b in replaced if b > COMPACTIONS]
+    spark.createDataFrame([(version + 1, fresh, retire)], MANIFEST).coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(f"{path}.manifest/v={version + 1}")
+    for batch_id in live:
+        session.remove(spark, f"{path}/batch_id={batch_id}")
+    return fresh

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from headrace import schemas as S
 from headrace.functions import codec, fields
+from headrace.functions.once import rows_seen
 
 
 def retry_split(attempts: DataFrame, max_retries: int = S.MAX_RETRIES) -> DataFrame:
@@ -54,24 +55,48 @@ def archive_path(root: str, prefix: str = S.DEAD_LETTER_PREFIX) -> str:
     return f"{root.rstrip('/')}/{prefix.rstrip('/')}"
 
 
+def letters(failures: DataFrame) -> DataFrame:
+    """Stored failures as dead-letter messages: the body is all that was received.
+
+    A record without a sequence number is named by a hash of what it holds.
+    """
+    name = "sha2(concat_ws('|', partition_key, approximate_arrival_timestamp, data), 256)"
+    sent = "CAST(CAST(approximate_arrival_timestamp * 1000 AS BIGINT) AS STRING)"
+    return failures.selectExpr(
+        f"coalesce(nullif(sequence_number, ''), {name}) AS message_id",
+        "coalesce(data, '') AS body",
+        f"map('ApproximateReceiveCount', '1', 'SentTimestamp', {sent}, 'Reason', reason) AS attributes",
+        "CAST(NULL AS VARIANT) AS message_attributes",
+        "CAST(NULL AS STRING) AS event_source_arn",
+    )
+
+
 def archive(
-    letters: DataFrame, root: str, run_at: datetime, prefix: str = S.DEAD_LETTER_PREFIX
+    letters: DataFrame, root: str, run_at: datetime, prefix: str = S.DEAD_LETTER_PREFIX,
+    batch: str | None = None,
 ) -> dict[str, int]:
-    """Append the envelopes as JSON lines below ``prefix/dt=…/hh=…``.
+    """Write the envelopes as JSON lines below ``prefix/dt=…/hh=…/batch=…``.
 
-    The folder comes from the processing time, given by the caller. Many records
-    share a file. Returns the number archived; a failed write fails the job and is
-    retried whole, so no record is reported as failed on its own.
+    The folders come from the processing time, given by the caller, and from the batch, by
+    default that time: archiving a batch again replaces its own files. Many records share
+    a file. Returns the number archived and, of the letters read, the number that was not;
+    a failed write fails the job and is retried whole. No letters give ``archived`` alone.
     """
-    archived = Observation()
+    received, archived = Observation(), Observation()
     (
-        envelope(letters, run_at)
+        envelope(letters.observe(received, F.count(F.lit(1)).alias("rows")), run_at)
         .withColumns(
-            {"dt": F.lit(f"{run_at:%Y-%m-%d}"), "hh": F.lit(f"{run_at:%H}")}
+            {
+                "dt": F.lit(f"{run_at:%Y-%m-%d}"),
+                "hh": F.lit(f"{run_at:%H}"),
+                "batch": F.lit(batch or f"{run_at:%Y%m%dT%H%M%S%f}"),
+            }
         )
         .observe(archived, F.count(F.lit(1)).alias("rows"))
-        .write.mode("append")
-        .partitionBy("dt", "hh")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt", "hh", "batch")
         .json(archive_path(root, prefix))
     )
-    return {"archived": archived.get["rows"], "failed": 0}
+    n, stored = rows_seen(received), rows_seen(archived)
+    return {"archived": stored, "failed": n - stored} if n else {"archived": 0}

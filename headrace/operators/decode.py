@@ -12,11 +12,12 @@ _HEAD = ["sequence_number", "partition_key", "approximate_arrival_timestamp"]
 _ENVELOPE = tuple(S.columns(S.ENVELOPE))
 
 
-def decode(envelopes: DataFrame) -> DataFrame:
+def decode(envelopes: DataFrame, keep_data: bool = False) -> DataFrame:
     """Classify every envelope; one row in, one row out, no shuffle.
 
     ``reason`` is NULL for a decoded record and names the failure otherwise, with
-    ``raw`` holding what was received. Columns beyond the envelope pass through.
+    ``raw`` holding a preview of what was received. With ``keep_data`` the whole of it
+    follows in ``data`` for failed records. Columns beyond the envelope pass through.
     """
     kept = _HEAD + [c for c in envelopes.columns if c not in _ENVELOPE]
     # Each step names a value the next one uses several times, so that the costly
@@ -49,6 +50,7 @@ def decode(envelopes: DataFrame) -> DataFrame:
         "CASE WHEN reason IS NULL THEN _document END AS payload",
         "reason",
         f"{raw} AS raw",
+        *(["CASE WHEN reason IS NOT NULL THEN data END AS data"] if keep_data else []),
         *kept[len(_HEAD):],
     )
 
@@ -65,11 +67,11 @@ def decoded(classified: DataFrame) -> DataFrame:
         *(
             f"coalesce({c}, '') AS {c}" if c in filled else c
             for c in classified.columns
-            if c not in ("reason", "raw")
+            if c not in ("reason", "raw", "data")
         )
     )
 
 
-def failures(classified: DataFrame) -> DataFrame:
-    """The records that did not decode."""
-    return classified.where("reason IS NOT NULL").select(*S.columns(S.FAILED))
+def failures(classified: DataFrame, schema: str = S.FAILED) -> DataFrame:
+    """The records that did not decode, those without a sequence number included."""
+    return classified.where("reason IS NOT NULL").select(*S.columns(schema))

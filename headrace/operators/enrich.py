@@ -30,7 +30,7 @@ def enrich(
     it is broadcast and the records are not shuffled. Without it Spark decides by
     ``spark.sql.autoBroadcastJoinThreshold``. In a shuffled join adaptive execution
     splits hot users; ``salts`` above one spreads every user over that many tasks
-    where adaptive execution is off.
+    where adaptive execution is off. Repeated user ids count once, see ``one_per_user``.
     """
     own = records.columns
     tag = (
@@ -41,18 +41,27 @@ def enrich(
         kept = (f"{fields.field('payload', name)} AS {name}" for name in _ATTRIBUTES)
         return records.selectExpr(*own, "false AS hit", *kept, tag)
 
-    # A falsy user id is never looked up: its key is NULL and matches nothing.
-    keyed = records.selectExpr("*", f"{fields.truthy_text('payload', 'user_id')} AS _user")
-    dimension = users.where("user_id IS NOT NULL").selectExpr(
+    dimension = one_per_user(users).selectExpr(
         "user_id AS _user", *(f"{c} AS _{c}" for c in _ATTRIBUTES.values()), "true AS _hit"
     )
+    user = fields.truthy_text("payload", "user_id")
     if user_rows is not None and user_rows <= BROADCAST_ROWS:
+        # A falsy user id is never looked up: its key is NULL and matches nothing.
+        keyed = records.selectExpr("*", f"{user} AS _user")
         joined = keyed.join(F.broadcast(dimension), "_user", "left")
-    elif salts > 1:
-        spread = ["sequence_number", "approximate_arrival_timestamp", "_user"]
-        joined = salted_join(keyed, dimension, "_user", "left", salts, spread)
     else:
-        joined = keyed.join(dimension, "_user", "left")
+        # Shuffled, the records without an id would meet in one task; a hash of the record
+        # spreads them, and the second key keeps them from matching a user of that name.
+        record = "hex(xxhash64(sequence_number, approximate_arrival_timestamp))"
+        keyed = records.selectExpr("*", f"{user} AS _id").selectExpr(
+            "* EXCEPT (_id)", f"struct(_id IS NOT NULL AS known, coalesce(_id, {record}) AS id) AS _user"
+        )
+        dimension = dimension.withColumn("_user", F.struct(F.lit(True).alias("known"), F.col("_user").alias("id")))
+        if salts > 1:
+            spread = ["sequence_number", "approximate_arrival_timestamp", "_user"]
+            joined = salted_join(keyed, dimension, "_user", "left", salts, spread)
+        else:
+            joined = keyed.join(dimension, "_user", "left")
 
     merged = (
         f"""CASE WHEN _hit THEN coalesce(CAST(_{source} AS VARIANT), parse_json('null'))
@@ -98,6 +107,15 @@ def hit_rate(enriched: DataFrame) -> DataFrame:
     )
 
 
-def repeated_users(users: DataFrame) -> DataFrame:
-    """User ids held by more than one dimension row; must be empty before a join."""
-    return users.groupBy("user_id").agg(F.count("*").alias("n")).where("n > 1")
+def one_per_user(users: DataFrame) -> DataFrame:
+    """One row per user id, so that a lookup never multiplies an event.
+
+    Of several rows for an id the greatest by its attributes stays, the same in every run.
+    """
+    attributes = F.struct(*_ATTRIBUTES.values())
+    return (
+        users.where("user_id IS NOT NULL")
+        .groupBy("user_id")
+        .agg(F.max(attributes).alias("_kept"))
+        .select("user_id", "_kept.*")
+    )

@@ -15,13 +15,14 @@ NO_PARTITION_KEY = "missing-partition-key"
 SAME_KEY = "keys-differ-by-case"
 
 
-def prepare(enriched: DataFrame, run_at, transform=None) -> DataFrame:
+def prepare(enriched: DataFrame, run_at, transform=None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Landing columns for every delivered record, errors marked in ``error_type``.
 
     The partition type comes from the payload, ``dt`` and ``hh`` from the arrival
     time, or from ``run_at`` where no arrival time was sent. Top-level keys are
     lower-cased; keys that differ only by case cannot be kept apart and are an
-    error. ``transform`` is an optional DataFrame step applied before delivery.
+    error. ``transform`` is an optional DataFrame step applied before delivery; the
+    columns or expressions of ``keep`` follow unchanged.
     """
     records = enriched if transform is None else enriched.transform(transform)
     kind_json = f"to_json({fields.field('payload', 'event_type')})"
@@ -37,7 +38,9 @@ def prepare(enriched: DataFrame, run_at, transform=None) -> DataFrame:
         "body",
         f"{kind} AS event_type",
         f"{arrival} AS _arrival",
+        *keep,
     )
+    kept = bodies.columns[4:]
     keyed = bodies.selectExpr(
         "*", "json_object_keys(body) AS _keys"
     ).selectExpr("*", "array_join(_keys, '\\u0001') AS _names")
@@ -55,6 +58,7 @@ def prepare(enriched: DataFrame, run_at, transform=None) -> DataFrame:
         "event_type",
         "to_date(_arrival) AS dt",
         "date_format(_arrival, 'HH') AS hh",
+        *kept,
     )
 
 
@@ -123,19 +127,23 @@ def without_hour(df: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
     return df if "hh" in partitions else df.drop("hh")
 
 
-def path_part(path: str, from_end: int) -> str:
-    """A folder name of a file path, counted from the end, without ``name=``."""
-    part = f"split_part({path}, '/', {-from_end})"
-    return f"coalesce(nullif(split_part({part}, '=', 2), ''), {part})"
+def decoded_path(path: str) -> str:
+    """A file URI as the store names the file: percent signs and what follows are resolved."""
+    return f"url_decode(replace({path}, '+', '%2B'))"
 
 
 def path_columns(path: str) -> list[str]:
-    """Partition values read from ``…/<type>/dt=<date>/hh=<hour>/<file>``.
+    """Partition values read from a decoded path, by the names of its levels.
 
-    For folders written elsewhere; these columns do not prune a scan.
+    ``dt=`` and ``hh=`` are found wherever they stand, so further levels such as
+    ``batch_id=`` do no harm; a missing hour is NULL. The type is the value of
+    ``event_type=``, in which special characters are escaped, or else the plain folder
+    in front of ``dt=``. For folders written elsewhere; these columns do not prune a scan.
     """
+    named = f"nullif(regexp_extract({path}, '/event_type=([^/]*)/', 1), '')"
+    plain = f"nullif(regexp_extract({path}, '/([^/=]+)/dt=[^/]+/', 1), '')"
     return [
-        f"{path_part(path, 4)} AS event_type",
-        f"to_date({path_part(path, 3)}, 'yyyy-MM-dd') AS dt",
-        f"try_cast({path_part(path, 2)} AS INT) AS hh",
+        f"coalesce({decoded_path(named)}, {plain}) AS event_type",
+        f"to_date(nullif(regexp_extract({path}, '/dt=([^/]+)/', 1), ''), 'yyyy-MM-dd') AS dt",
+        f"try_cast(nullif(regexp_extract({path}, '/hh=([^/]+)/', 1), '') AS INT) AS hh",
     ]

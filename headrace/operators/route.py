@@ -41,26 +41,35 @@ def route(records: DataFrame, threshold: float = S.DEFAULT_HIGH_VALUE_THRESHOLD)
     ).selectExpr("*", "is_high_value OR is_fraud AS is_alert")
 
 
+# What an alert says of its event, besides the event itself.
+ALERT_COLUMNS = (
+    "is_alert",
+    "partition_key",
+    "approximate_arrival_timestamp",
+    f"{fields.text('payload', 'event_id')} AS alert_event_id",
+    f"{fields.text('payload', 'event_type')} AS alert_event_type",
+)
+
+
 def alerts(routed: DataFrame) -> DataFrame:
-    """One message per alerting event.
+    """One message per alerting record."""
+    told = with_event_json(routed.where("is_alert"), "body")
+    return alert_messages(told.selectExpr("sequence_number", "body", *ALERT_COLUMNS))
+
 
-    ``alert_key`` is the event id, or a hash of the message where the event has
-    none, so that a repeated delivery can be told from a new alert.
+def alert_messages(told: DataFrame) -> DataFrame:
+    """Alerts out of records that carry ``ALERT_COLUMNS`` and the event as ``body``.
+
+    Every delivered record that alerts gives one. ``alert_key`` names the delivery: its
+    sequence number, or a hash of the record where it has none.
     """
-    return (
-        with_event_json(routed.where("is_alert"), "message")
-        .selectExpr(
-            f"{fields.text('payload', 'event_id')} AS event_id",
-            f"coalesce({fields.text('payload', 'event_type')}, '{S.UNKNOWN}') AS event_type",
-            "message",
-        )
-        .selectExpr(
-            "coalesce(event_id, sha2(message, 256)) AS alert_key",
-            "event_id",
-            "event_type",
-            f"'{S.ALERT_SUBJECT}' || event_type AS subject",
-            "message",
-        )
+    record = "sha2(concat_ws('|', partition_key, approximate_arrival_timestamp, body), 256)"
+    return told.where("is_alert").selectExpr(
+        f"coalesce(nullif(sequence_number, ''), {record}) AS alert_key",
+        "alert_event_id AS event_id",
+        f"coalesce(alert_event_type, '{S.UNKNOWN}') AS event_type",
+        f"'{S.ALERT_SUBJECT}' || coalesce(alert_event_type, '{S.UNKNOWN}') AS subject",
+        "body AS message",
     )
 
 
@@ -116,6 +125,17 @@ def batch_metrics(classified: DataFrame, alert: str, undelivered: str = "false")
     )
 
 
+def delivery_metrics(classified: DataFrame, delivered: int, alerts: int) -> DataFrame:
+    """The counters of a batch whose deliveries and alerts were counted as they were written."""
+    return classified.selectExpr(
+        "count_if(reason IS NULL) AS processed",
+        f"{delivered}L AS delivered",
+        f"{alerts}L AS alerts",
+        "count(DISTINCT CASE WHEN reason IS NOT NULL THEN nullif(sequence_number, '') END) AS failed",
+        f"count_if(reason IS NULL) - {delivered}L AS firehose_failed",
+    )
+
+
 def batch_failures(classified: DataFrame, undelivered: str = "false") -> DataFrame:
     """The distinct sequence numbers to retry, each with one reason class."""
     return (

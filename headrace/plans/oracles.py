@@ -129,6 +129,14 @@ FROM (SELECT *, CASE WHEN k < 50 THEN props ELSE 'event ' || event_id || ' broke
       FROM coded)
 """
 
+# What was sent for each code that does not decode.
+_RECEIVED = """CASE k WHEN 0 THEN NULL WHEN 1 THEN ''
+    WHEN 2 THEN lpad(id, 12, '0') || 'Q' WHEN 3 THEN lpad(id, 12, '0') || 'é'
+    WHEN 4 THEN base64(encode('not json ' || id))
+    WHEN 5 THEN base64(encode('{"event_id":"' || id || '"} x'))
+    WHEN 6 THEN base64(encode('[' || id || ']')) WHEN 7 THEN base64(encode('"' || id || '"'))
+    WHEN 8 THEN base64(unhex('FFFE') || encode(id)) END"""
+
 _CURATED_COLUMNS = "SELECT * EXCLUDE (k, dt) FROM curated"
 
 _CONTRACT_RULES = {
@@ -204,7 +212,13 @@ _EXPECTED = {
                CAST(arrived AS DATE) AS dt, CAST(hour(arrived) AS INTEGER) AS hh
         FROM d WHERE landing_error IS NOT NULL""",
     "external_scan": """
-        SELECT session AS session_id, ev_type AS event_type, dt, hh FROM landed""",
+        SELECT session AS session_id,
+               CASE WHEN kind = 'order' AND k = 33 THEN ev_type || ' a=b:c' ELSE ev_type END AS event_type,
+               dt, CASE WHEN hh < 12 OR dt >= DATE '2024-01-16' THEN hh END AS hh,
+               CASE WHEN hh < 12 THEN 'hourly' WHEN dt < DATE '2024-01-16' THEN 'daily'
+                    ELSE 'stream' END AS layout,
+               true AS has_lineage
+        FROM landed""",
     "raw_ingest": """
         SELECT ev_id AS event_id, session AS session_id, ev_type AS event_type,
                ev_ts AS event_time, uid AS user_id,
@@ -215,12 +229,14 @@ _EXPECTED = {
         SELECT ev_type AS event_type, CAST(ev_ts AS DATE) AS event_date, count(*) AS events
         FROM landed GROUP BY ALL""",
     "file_error_gate": """
-        SELECT file, seq AS sequence_number, session AS session_id
-        FROM (SELECT *, count(*) OVER (PARTITION BY file) AS n,
-                     count(*) FILTER (bad) OVER (PARTITION BY file) AS n_bad
-              FROM (SELECT *, CAST(arrived AS DATE) AS file,
-                           NOT ok OR (isodow(arrived) >= 6 AND k < 20) AS bad FROM b))
-        WHERE NOT bad AND n_bad * 10 <= n""",
+        SELECT event_type, dt, CASE WHEN broken THEN NULL ELSE n END AS rows,
+               CASE WHEN broken THEN NULL ELSE n_bad END AS bad_rows,
+               CASE WHEN broken THEN 'unreadable' WHEN n_bad * 10 > n THEN 'skipped' ELSE 'loaded' END AS outcome,
+               CASE WHEN broken OR n_bad * 10 > n THEN 0 ELSE n - n_bad END AS loaded
+        FROM (SELECT ev_type AS event_type, dt, ev_type = 'order' AND dt = DATE '2024-01-10' AS broken,
+                     count(*) AS n,
+                     count(*) FILTER (isodow(dt) >= 6 AND kind = 'page_view' AND '/p/' || k < '/p/45') AS n_bad
+              FROM landed GROUP BY ALL)""",
     "curated_projection": _CURATED_COLUMNS,
     "curated_rejects": """
         SELECT ev_id AS event_id, session AS session_id, reject_rule
@@ -234,7 +250,13 @@ _EXPECTED = {
         SELECT event_type, count(*) AS incremental, count(*) AS replayed,
                CAST(0 AS BIGINT) AS differing
         FROM curated GROUP BY event_type""",
-    "compact_curated": "SELECT event_id, event_type, event_date, amount FROM curated",
+    "compact_curated": _CURATED_COLUMNS,
+    "merge_after_compact": """
+        SELECT event_type, count(*) AS events, count(DISTINCT event_id) AS ids,
+               (SELECT count(*) FROM curated WHERE k BETWEEN 50 AND 59) AS added_0,
+               (SELECT count(*) FROM curated WHERE k NOT BETWEEN 50 AND 59) AS added_1,
+               CAST(0 AS BIGINT) AS added_2, CAST(0 AS BIGINT) AS added_3, CAST(0 AS BIGINT) AS added_4
+        FROM curated GROUP BY event_type""",
     "late_repair": _REPAIRED,
     "late_repair_summary": f"""
         SELECT DATE '2024-01-15' AS event_date, CAST(NULL AS VARCHAR) AS event_type,
@@ -246,8 +268,8 @@ _EXPECTED = {
                count(*) FILTER (k NOT BETWEEN 60 AND 74) AS raw
         FROM landed GROUP BY ALL HAVING count(*) FILTER (k BETWEEN 60 AND 74) > 0""",
     "retry_split": """
-        SELECT seq AS sequence_number, CAST(k // 2 + 1 AS BIGINT) AS attempts,
-               CASE WHEN k // 2 + 1 > 3 THEN 'dead-letter' ELSE 'retry' END AS outcome
+        SELECT seq AS sequence_number, CAST(CASE WHEN k BETWEEN 4 AND 8 THEN 2 ELSE 1 END AS BIGINT) AS attempts,
+               CASE WHEN k BETWEEN 4 AND 8 THEN 'dead-letter' ELSE 'retry' END AS outcome
         FROM b WHERE NOT ok AND seq IS NOT NULL""",
     "dlq_envelope": _LETTERS,
     "dlq_archive": f"""
@@ -281,6 +303,29 @@ _EXPECTED = {
                (SELECT count(*) FROM d WHERE high_value OR fraud) AS alert_rows,
                count(*) FILTER (NOT ok AND seq IS NOT NULL) AS failure_rows
         FROM b""",
+    "stream_alerts": """
+        SELECT seq AS sequence_number, CAST(CASE WHEN seq IS NULL THEN 64 ELSE 16 END AS INTEGER) AS key_length,
+               ev_id AS event_id, coalesce(ev_type, 'unknown') AS event_type,
+               'Streaming alert: ' || coalesce(ev_type, 'unknown') AS subject, user_segment,
+               session AS session_id,
+               CASE WHEN kind = 'order' THEN 'Article "A", größe 1' END AS product_name
+        FROM d WHERE high_value OR fraud""",
+    "stream_failures": f"""
+        SELECT seq AS sequence_number, CAST(user_id AS VARCHAR) AS partition_key, arrival, raw, reason,
+               {_RECEIVED} AS data
+        FROM b WHERE NOT ok""",
+    "stream_dead_letters": f"""
+        SELECT seq AS sequence_number, coalesce({_RECEIVED}, '') AS body,
+               CAST(CAST(trunc(arrival * 1000) AS BIGINT) AS VARCHAR) AS sent_timestamp,
+               '2024-02-02T12:00:00.000000+00:00' AS received_at, DATE '2024-02-02' AS dt, 12 AS hh
+        FROM b WHERE NOT ok""",
+    "chain": """
+        SELECT * EXCLUDE (k, dt) REPLACE (
+            CASE WHEN dt = DATE '2024-01-15' THEN TIMESTAMP '2024-02-02 06:00:00'
+                 ELSE ingested_at END AS ingested_at,
+            CASE WHEN dt = DATE '2024-01-15' THEN TIMESTAMP '2024-02-02 12:00:00'
+                 ELSE TIMESTAMP '2024-02-01 07:00:00' END AS curated_at)
+        FROM curated""",
 }
 
 
@@ -292,13 +337,15 @@ _COLUMNS = {
     "landing_errors": ("dt",),
     "external_scan": ("dt",),
     "raw_clustered": ("event_date",),
-    "file_error_gate": ("file",),
+    "file_error_gate": ("dt",),
     "curated_projection": (*_AS_DOUBLE, "event_date"),
     "dedup_first_write": _MONEY,
     "merge_idempotent": _MONEY,
     "replay_merge": _MONEY,
     "incremental_merge": (*_AS_DOUBLE, "event_date"),
-    "compact_curated": (*_MONEY, "event_date"),
+    "compact_curated": (*_AS_DOUBLE, "event_date"),
+    "chain": (*_AS_DOUBLE, "event_date"),
+    "stream_dead_letters": ("dt",),
     "late_repair": (*_MONEY, "event_date"),
     "late_repair_summary": ("event_date",),
     "reconcile_counts": ("dt",),

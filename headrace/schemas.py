@@ -70,6 +70,12 @@ DECODED = (
 
 FAILED = "sequence_number string, raw string, reason string"
 
+# A failure as it is stored: with everything that was received.
+FAILURES = (
+    "sequence_number string, partition_key string, approximate_arrival_timestamp double, "
+    "raw string, reason string, data string"
+)
+
 USERS = "user_id string, segment string, country string, lifetime_value decimal(14,2)"
 
 LANDING = "payload variant, event_type string, dt date, hh int"
@@ -96,6 +102,9 @@ CURATED = (
 
 ALERTS = "alert_key string, event_id string, event_type string, subject string, message string"
 
+# What became of a landed file.
+LEDGER = "source_file string, rows bigint, bad_rows bigint, outcome string"
+
 # One batch of dead-letter messages as JSON, nested as it arrives.
 DEAD_LETTER_BATCH = (
     "Records array<struct<messageId: string, body: string, attributes: map<string,string>, "

@@ -78,3 +78,20 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused folder name below the shared root."""
     return f"{shared_root(spark)}/headrace/{name}-{uuid.uuid4().hex}"
+
+
+def _located(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    store, found = _located(spark, path)
+    return store.exists(found)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that is no longer read."""
+    store, found = _located(spark, path)
+    store.delete(found, True)

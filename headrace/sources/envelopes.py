@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from headrace import schemas as S
 
+# A file is taken whatever its age: Spark would leave out those a week older than the newest.
+ANY_AGE = {"maxFileAge": "36500d"}
+
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.ENVELOPE).parquet(path)
@@ -15,7 +18,7 @@ def read_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -
     """Envelope files as they arrive; the trigger bound keeps a batch finite."""
     return (
         spark.readStream.schema(S.ENVELOPE)
-        .option("maxFilesPerTrigger", files_per_trigger)
+        .options(maxFilesPerTrigger=files_per_trigger, **ANY_AGE)
         .parquet(path)
     )
 

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headrace import schemas as S
-from headrace.operators.land import path_columns
+from headrace.operators.land import decoded_path, path_columns
+from headrace.sources.envelopes import ANY_AGE
 
-_SOURCE = ("_metadata.file_path AS source_file", "_metadata.row_index + 1 AS source_row")
+_SOURCE = (
+    f"{decoded_path('_metadata.file_path')} AS source_file",
+    "_metadata.row_index + 1 AS source_row",
+)
 
 
 def scan(
@@ -33,12 +39,37 @@ def scan_paths(spark: SparkSession, path: str) -> DataFrame:
     return lineage.selectExpr("*", *path_columns("source_file"))
 
 
-def stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Landed files as they appear, each read once per checkpoint."""
+def new_files(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
+    """Paths of landed files as they appear, each once per checkpoint; none is opened."""
     return (
-        spark.readStream.schema(S.LANDING)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .option("ignoreMissingFiles", "true")
-        .parquet(path)
-        .selectExpr("*", *_SOURCE)
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .options(maxFilesPerTrigger=files_per_trigger, recursiveFileLookup="true", **ANY_AGE)
+        .load(path)
+        .select("path")
     )
+
+
+def read_files(spark: SparkSession, root: str, files: list[str]) -> DataFrame:
+    """Landed rows of some files below a landing folder, with their lineage."""
+    reader = spark.read.schema(S.LANDING).option("basePath", root)
+    return reader.parquet(*files).selectExpr("*", *_SOURCE)
+
+
+def readable(spark: SparkSession, root: str, files: list[str]) -> tuple[list[str], list[str]]:
+    """Files that can be read to their end, and those that cannot.
+
+    All are tried together; only if that fails is the list halved, again and again, so
+    one bad file among many costs a few reads.
+    """
+    if not files:
+        return [], []
+    try:
+        read_files(spark, root, files).write.format("noop").mode("overwrite").save()
+        return files, []
+    except (Py4JJavaError, PySparkException):
+        if len(files) == 1:
+            return [], files
+    half = len(files) // 2
+    parts = [readable(spark, root, files[:half]), readable(spark, root, files[half:])]
+    return parts[0][0] + parts[1][0], parts[0][1] + parts[1][1]

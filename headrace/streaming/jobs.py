@@ -1,5 +1,8 @@
 """Structured Streaming wiring around the operators.
 
+A batch has one run time, stored before its first try, and each of its outputs is written
+once: a replay reads that time, leaves alone what was committed and writes the rest anew.
+
 Each function starts a query and returns it. ``trigger`` is passed to the writer:
 ``EVERY_MINUTE`` in service, ``DRAIN`` to take what is there and stop. Batch ids count from 1, since batch
 0 is the empty start of a target table.
@@ -7,15 +10,20 @@ Each function starts a query and returns it. ``trigger`` is passed to the writer
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headrace import schemas as S
-from headrace.operators import curate, decode, enrich, land, raw, route
+from headrace import session as stores
+from headrace.functions.once import rows_seen
+from headrace.operators import curate, deadletter, decode, enrich, land, raw, route
 from headrace.sources import envelopes, landing
 
 DRAIN = {"availableNow": True}
@@ -35,6 +43,44 @@ def _adaptive(batch: DataFrame) -> SparkSession:
     return spark
 
 
+def _kept(spark: SparkSession, path: str, schema: str) -> list:
+    """The rows of a one-row table, or none if it was not written to the end."""
+    return spark.read.schema(schema).parquet(path).collect() if stores.exists(spark, path) else []
+
+
+def run_time(spark: SparkSession, state: str, batch_id: int, clock) -> datetime:
+    """The time of a batch, taken at its first try and the same in every later one."""
+    path, schema = f"{state}/times/batch_id={batch_id}", "run_at timestamp_ntz"
+    if not (known := _kept(spark, path, schema)):
+        spark.createDataFrame([(clock(),)], schema).coalesce(1).write.mode("overwrite").parquet(path)
+        known = _kept(spark, path, schema)
+    return known[0]["run_at"]
+
+
+def once(spark: SparkSession, state: str, output: str, batch_id: int, write: Callable[[], int]) -> int:
+    """Write an output of a batch unless it was committed before; returns its rows.
+
+    Files that are committed stay as they are, so a stream that reads them never loses one.
+    """
+    path, schema = f"{state}/{output}/batch_id={batch_id}", "rows bigint"
+    if not (known := _kept(spark, path, schema)):
+        rows = spark.createDataFrame([(write(),)], schema)
+        rows.coalesce(1).write.mode("overwrite").parquet(path)
+        known = _kept(spark, path, schema)
+    return known[0]["rows"]
+
+
+def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write a frame and return its rows, counted on the way."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return rows_seen(seen)
+
+
+def _replace(path: str) -> Callable[[DataFrame], None]:
+    return lambda df: df.write.mode("overwrite").parquet(path)
+
+
 def decode_stream(
     spark: SparkSession, source: str, out: str, checkpoint: str, files_per_trigger: int = 1000,
     trigger: dict = DRAIN,
@@ -62,47 +108,53 @@ def process_stream(
     partitions: tuple[str, ...] = land.PARTITIONS,
     clock=_utc_now,
     trigger: dict = DRAIN,
+    salts: int = 1,
 ) -> StreamingQuery:
     """Decode, enrich and route each micro-batch into its tables below ``root``.
 
-    ``events`` and ``errors`` are landed, ``alerts`` are merged by key, ``failures``
-    and ``metrics`` are kept per batch. ``users`` and ``user_rows`` are callables, so
-    that the dimension is read anew for each batch. Every output of a batch goes to
-    folders of that batch, which a replay overwrites.
+    ``events`` and ``errors`` are landed; ``alerts`` has a row for each alerting record,
+    ``failures`` each record that did not decode with all that was received, ``reports``
+    the numbers to retry and ``metrics`` the counters of the batch, its ``delivered`` and
+    ``alerts`` counted from what was written. ``users`` and ``user_rows`` are callables,
+    so that the dimension is read anew for each batch; ``salts`` is for dimensions too
+    large to broadcast.
     """
-    curate.create_target(spark, f"{root}/alerts", S.ALERTS)
 
     def handle(batch: DataFrame, epoch: int) -> None:
         session = _adaptive(batch)
-        batch_id = epoch + 1
-        # Several sinks hang off one decode; a lost copy is rebuilt from the files.
-        classified = decode.decode(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        batch_id, state = epoch + 1, f"{root}/state"
+        if _kept(session, f"{state}/metrics/batch_id={batch_id}", "rows bigint"):
+            return
+        run_at = run_time(session, state, batch_id, clock)
+        # Several sinks hang off one decode and one lookup; a lost copy is rebuilt from the files.
+        classified = decode.decode(batch, keep_data=True).persist(StorageLevel.MEMORY_AND_DISK)
         dimension = users(session) if users else None
         size = user_rows(session) if users and user_rows else None
-        joined = enrich.enrich(decode.decoded(classified), dimension, user_rows=size)
+        joined = enrich.enrich(decode.decoded(classified), dimension, salts=salts, user_rows=size)
         routed = route.route(joined, threshold)
-        landed = land.prepare(routed, clock()).persist(StorageLevel.MEMORY_AND_DISK)
+        landed = land.prepare(routed, run_at, keep=route.ALERT_COLUMNS).persist(
+            StorageLevel.MEMORY_AND_DISK
+        )
+
+        def land_part(part: DataFrame, name: str, levels: tuple[str, ...]) -> int:
+            def write(df: DataFrame) -> None:
+                _land_batch(df, f"{root}/{name}", levels, batch_id)
+
+            return once(session, state, name, batch_id, lambda: _counted(part, write))
+
+        def keep(part: DataFrame, name: str) -> int:
+            path = f"{root}/{name}/batch_id={batch_id}"
+            return once(session, state, name, batch_id, lambda: _counted(part, _replace(path)))
+
         try:
-            _land_batch(land.landable(landed), f"{root}/events", partitions, batch_id)
-            error_partitions = ("error_type", *partitions[1:])
-            _land_batch(land.unlandable(landed), f"{root}/errors", error_partitions, batch_id)
-            curate.merge(
-                session,
-                route.alerts(routed),
-                f"{root}/alerts",
-                batch_id,
-                f"{root}/alerts-stage/{batch_id}",
-                S.ALERTS,
-                "alert_key",
-                ("message",),
-            )
-            flagged = route.route(classified, threshold)
-            route.batch_failures(classified).write.mode("overwrite").parquet(
-                f"{root}/failures/batch_id={batch_id}"
-            )
-            route.batch_metrics(flagged, "is_alert").write.mode("overwrite").parquet(
-                f"{root}/metrics/batch_id={batch_id}"
+            delivered = land_part(land.landable(landed), "events", partitions)
+            delivered += land_part(
+                land.unlandable(landed), "errors", ("error_type", *partitions[1:])
             )
+            alerting = keep(route.alert_messages(landed), "alerts")
+            keep(decode.failures(classified, S.FAILURES), "failures")
+            keep(route.batch_failures(classified), "reports")
+            keep(route.delivery_metrics(classified, delivered, alerting), "metrics")
         finally:
             landed.unpersist()
             classified.unpersist()
@@ -116,6 +168,36 @@ def process_stream(
     )
 
 
+def archive_stream(
+    spark: SparkSession,
+    failures_path: str,
+    root: str,
+    checkpoint: str,
+    files_per_trigger: int = 1000,
+    clock=_utc_now,
+    trigger: dict = DRAIN,
+    prefix: str = S.DEAD_LETTER_PREFIX,
+) -> StreamingQuery:
+    """Archive the stored failures of ``process_stream`` as dead letters, each once."""
+    source = (
+        spark.readStream.schema(S.FAILURES)
+        .options(maxFilesPerTrigger=files_per_trigger, recursiveFileLookup="true", **envelopes.ANY_AGE)
+        .parquet(failures_path)
+    )
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        session, state = _adaptive(batch), f"{checkpoint}/batches"
+        run_at = run_time(session, state, epoch + 1, clock)
+        deadletter.archive(deadletter.letters(batch), root, run_at, prefix, batch=str(epoch + 1))
+
+    return (
+        source.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def _land_batch(part: DataFrame, path: str, partitions: tuple[str, ...], batch_id: int) -> None:
     """Write one batch under its own last folder level, replacing an earlier try."""
     (
@@ -138,25 +220,53 @@ def ingest_stream(
     clock=_utc_now,
     trigger: dict = DRAIN,
 ) -> StreamingQuery:
-    """Load landed files once each, leaving out files with too many bad rows.
+    """Load landed files once each, leaving out unreadable ones and those with too many bad rows.
 
-    The source never splits a file over batches, so a file's share of bad rows is
-    known within its batch, and the files of a batch are bounded by the trigger, so
-    the skipped names are safe to broadcast.
+    The stream is one of file names, at most ``files_per_trigger`` at a time, so a file
+    that cannot be read takes no other with it. What became of each file is written to
+    ``{raw_path}.ledger``.
     """
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        _adaptive(batch)
-        bad = raw.bad_row()
-        verdicts = raw.file_verdicts(batch, bad, "source_file")
-        skipped = verdicts.where("skipped").select("source_file")
-        good = raw.gate_files(batch, bad, "source_file", skipped, files_per_trigger)
-        raw.to_raw(good, clock()).write.mode("overwrite").parquet(
-            f"{raw_path}/batch_id={epoch + 1}"
-        )
+        session = _adaptive(batch)
+        batch_id, state = epoch + 1, f"{raw_path}.state"
+        run_at = run_time(session, state, batch_id, clock)
+        folder = f"batch_id={batch_id}"
+        ledger = _replace(f"{raw_path}.ledger/{folder}")
+
+        def load(good: list[str], broken: list[str]) -> None:
+            lost = session.createDataFrame([(f, None, None, "unreadable") for f in broken], S.LEDGER)
+            if not good:
+                once(session, state, "ledger", batch_id, lambda: _counted(lost, ledger))
+                return
+            rows = landing.read_files(session, landing_path, good)
+            rows = rows.selectExpr("*", f"{raw.bad_row()} AS _bad").persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                judged = raw.file_verdicts(rows, "_bad", "source_file").selectExpr(
+                    "source_file", "rows", "bad_rows", "IF(skipped, 'skipped', 'loaded') AS outcome"
+                )
+                told = judged.unionByName(lost)
+                once(session, state, "ledger", batch_id, lambda: _counted(told, ledger))
+                skipped = session.read.schema(S.LEDGER).parquet(f"{raw_path}.ledger/{folder}")
+                skipped = skipped.where("outcome = 'skipped'").select("source_file")
+                kept = raw.gate_files(rows, "_bad", "source_file", skipped, files_per_trigger)
+                write = _replace(f"{raw_path}/{folder}")
+                once(session, state, "rows", batch_id, lambda: _counted(raw.to_raw(kept, run_at), write))
+            finally:
+                rows.unpersist()
+
+        files = [r["path"] for r in batch.collect()]
+        try:
+            load(files, [])
+        except (Py4JJavaError, PySparkException):
+            # Nothing of the batch was written. Find the files that cannot be read, if any.
+            good, broken = landing.readable(session, landing_path, files)
+            if not broken:
+                raise
+            load(good, broken)
 
     return (
-        landing.stream(spark, landing_path, files_per_trigger)
+        landing.new_files(spark, landing_path, files_per_trigger)
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
@@ -164,6 +274,10 @@ def ingest_stream(
     )
 
 
+def read_ledger(spark: SparkSession, raw_path: str) -> DataFrame:
+    return spark.read.schema(f"{S.LEDGER}, batch_id bigint").parquet(f"{raw_path}.ledger")
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(f"{S.RAW}, batch_id bigint").parquet(path)
 
@@ -184,16 +298,15 @@ def merge_stream(
     curate.create_target(spark, f"{curated_path}/events")
     source = (
         spark.readStream.schema(S.RAW)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .option("ignoreMissingFiles", "true")
-        .option("recursiveFileLookup", "true")
+        .options(maxFilesPerTrigger=files_per_trigger, recursiveFileLookup="true", **envelopes.ANY_AGE)
         .parquet(raw_path)
     )
 
     def handle(batch: DataFrame, epoch: int) -> None:
         session = _adaptive(batch)
         batch_id = epoch + 1
-        projected = curate.project(batch, clock()).persist(StorageLevel.MEMORY_AND_DISK)
+        run_at = run_time(session, f"{curated_path}/state", batch_id, clock)
+        projected = curate.project(batch, run_at).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             curate.rejects(projected).write.mode("overwrite").parquet(
                 f"{curated_path}/rejects/batch_id={batch_id}"

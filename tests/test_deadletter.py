@@ -45,7 +45,7 @@ def test_envelope_and_archive(spark, tmp_path):
 
     assert deadletter.archive(df, str(tmp_path), RUN, "streaming-dlq/") == {"archived": 6, "failed": 0}
     folder = tmp_path / "streaming-dlq" / "dt=2024-02-02" / "hh=09"
-    assert list(folder.glob("*.json"))
+    assert list(folder.rglob("*.json"))
     stored = spark.read.schema(S.DEAD_LETTER_ARCHIVE).json(deadletter.archive_path(str(tmp_path)))
     assert stored.count() == 6
     assert {r.j for r in stored.selectExpr("to_json(body) AS j").collect()} == {
@@ -72,7 +72,13 @@ def test_nested_batches(spark, tmp_path):
 
 
 def test_empty_archive(spark, tmp_path):
-    assert deadletter.archive(letters(spark, "x").where("false"), str(tmp_path), RUN)["archived"] == 0
+    assert deadletter.archive(letters(spark, "x").where("false"), str(tmp_path), RUN) == {"archived": 0}
+
+
+def test_a_batch_archived_twice_is_there_once(spark, tmp_path):
+    for batch in ("1", "2", "1"):
+        assert deadletter.archive(letters(spark, "a", "b"), str(tmp_path), RUN, batch=batch)["archived"] == 2
+    assert spark.read.schema(S.DEAD_LETTER_ARCHIVE).json(f"{tmp_path}/streaming-dlq").count() == 4
 
 
 def test_positions_of_a_hot_key(spark):

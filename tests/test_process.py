@@ -217,5 +217,29 @@ def test_a_hot_user_is_spread_over_tasks(spark, users):
         spark.conf.set(coalesce, "true")
 
 
-def test_repeated_users_are_found(users):
-    assert [r.user_id for r in enrich.repeated_users(users(VIP, VIP, ("u2", "a", "b", None))).collect()] == ["u1"]
+def test_a_repeated_user_gives_one_row(envelopes, users):
+    """However the dimension is joined, an event stays one event."""
+    twice = users(VIP, VIP, ("u1", "a", None, None), ("u2", "b", "c", None))
+    records = decode.decoded(decode.decode(envelopes({"user_id": "u1"}, {"user_id": "u2"}, {"user_id": ""})))
+    results = []
+    for how in ({"user_rows": 4}, {}, {"salts": 3}):
+        rows = enrich.enrich(records, twice, **how).selectExpr(
+            "sequence_number", "hit", "try_variant_get(user_segment, '$', 'string') AS s"
+        ).collect()
+        results.append(sorted(map(tuple, rows)))
+    assert results[0] == results[1] == results[2]
+    assert [r[:2] for r in results[0]] == [("seq-0", True), ("seq-1", True), ("seq-2", False)]
+
+
+def test_records_without_a_user_are_spread(spark, envelopes, users):
+    """With a dimension too large to broadcast and without adaptive execution."""
+    records = decode.decoded(decode.decode(envelopes(*({"event_id": str(i)} for i in range(400)))))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = enrich.enrich(records, users(VIP)).selectExpr("hit", "spark_partition_id() AS p")
+        sizes = [r["count"] for r in joined.groupBy("p").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 400 and max(sizes) < 150

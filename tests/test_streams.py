@@ -37,15 +37,17 @@ def test_process_stream_restarts_where_it_stopped(spark, envelopes, tmp_path):
     assert metrics() == {1: (3, 1, 1)}
     run()
     assert metrics() == {1: (3, 1, 1)}
-    # The alerting event comes again, with a new one.
+    # The alerting event is sent again, with a new one: every delivery alerts.
     envelopes(
         ("seq-8", {"event_id": "1", "event_type": "order", "amount": 900}),
         ("seq-9", {"event_id": "5", "event_type": "page_view", "risk_flag": "geo_mismatch"}),
     ).coalesce(1).write.mode("append").parquet(source)
     run()
     assert metrics() == {1: (3, 1, 1), 2: (2, 2, 0)}
-    alerts = curate.read_target(spark, f"{root}/alerts", S.ALERTS)
-    assert sorted(r.event_id for r in alerts.collect()) == ["1", "5"]
+    alerts = spark.read.schema(S.ALERTS).parquet(f"{root}/alerts")
+    assert sorted((r.alert_key, r.event_id) for r in alerts.collect()) == [
+        ("seq-0", "1"), ("seq-8", "1"), ("seq-9", "5"),
+    ]
     events = spark.read.schema(f"{S.LANDING}, batch_id int").parquet(f"{root}/events")
     assert events.count() == 4
     errors = spark.read.schema(S.LANDING_ERRORS).parquet(f"{root}/errors")
