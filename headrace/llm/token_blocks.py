@@ -25,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from headrace.llm import arrow, frames, vocabulary
+from headrace.llm import arrow, frames, vocabulary, words
 
 BLOCK = 128
 PERCENTILE = 90
@@ -104,50 +104,94 @@ def unpack(block_at: np.ndarray, payload: bytes) -> np.ndarray:
     return (rest + low[:, None]).ravel()
 
 
-class _Encoder:
-    """Ids of texts from the library, which meets each distinct piece once while it is kept."""
+SLICE_BYTES = 4 << 20
+CACHED_WORDS = 1_500_000
 
-    def __init__(self, shared: Broadcast):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.vocab = vocabulary.load(shared, "blocks")
-        self.known: dict[str, bytes] = {}
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.vocab.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+class Known:
+    """Ids of words met by a worker, by the value of the word (``words.py``)."""
 
-    def __call__(self, texts: list[str], end: bytes) -> list[bytes]:
-        known, special = self.known, tuple(self.vocab.special)
-        split: list[list[str] | None] = [
-            None if any(s in t for s in special) else self.vocab.pieces.findall(t) for t in texts
-        ]
-        new = list({p for pieces in split if pieces for p in pieces if p not in known})
-        if len(known) + len(new) > vocabulary.CACHED_PIECES:
-            known.clear()
-            new = list({p for pieces in split if pieces for p in pieces})
-        known.update(zip(new, self._library(new)))
-        return [
-            (self._library([t])[0] if pieces is None else b"".join([known[p] for p in pieces])) + end
-            for t, pieces in zip(texts, split)
-        ]
+    def __init__(self) -> None:
+        self.value, self.first = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def add(self, value: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """Add words, ascending, that are not known yet; beyond the limit earlier ones go."""
+        if len(self.value) + len(value) > CACHED_WORDS:
+            self.__init__()
+        first = np.cumsum(size) - size + len(self.ids)
+        at = np.searchsorted(self.value, value)
+        self.first = np.insert(self.first, at, first)
+        self.size = np.insert(self.size, at, size)
+        self.value = np.insert(self.value, at, value)
+        self.ids = np.concatenate([self.ids, ids])
+
+
+_known: dict[vocabulary.Vocabulary, Known] = {}
+
+
+def _library(vocab: vocabulary.Vocabulary, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of texts as the library gives them, one behind the other, and their numbers."""
+    found = [e.ids for e in vocab.library.encode_batch_fast(texts, add_special_tokens=False)]
+    size = np.fromiter(map(len, found), np.int64, len(found))
+    return size, np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
+
+
+def _ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, …, ``size[0]`` of them, then from first[1] on."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def encode(vocab: vocabulary.Vocabulary, column: pa.Array, end_id: int) -> list[np.ndarray]:
+    """The ids of whole texts, each with the end id behind them.
+
+    White space separates words for good in these vocabularies and letter case is dropped, so
+    the library encodes each distinct word once while it is kept. Texts that hold a special
+    token go to it whole.
+    """
+    known, w = _known.setdefault(vocab, Known()), words.words(column, words.SPACED)
+    at = np.searchsorted(known.value, w.value)
+    at[at == len(known.value)] = 0
+    miss = known.value[at] != w.value if len(known.value) else np.ones(len(at), bool)
+    value, where = np.unique(w.value[miss], return_index=True)
+    where = np.flatnonzero(miss)[where]
+    runs = zip(w.start[where].tolist(), w.end[where].tolist())
+    size, ids = _library(vocab, [w.raw[a:b].tobytes().decode() for a, b in runs])
+    # Known and new ids side by side; a word's place in the one or the other.
+    first = np.empty(len(w.value), np.int64)
+    count = np.empty(len(w.value), np.int64)
+    hit = ~miss
+    first[hit], count[hit] = known.first[at[hit]], known.size[at[hit]]
+    new = np.searchsorted(value, w.value[miss])
+    first[miss], count[miss] = (np.cumsum(size) - size)[new] + len(known.ids), size[new]
+    flat = np.concatenate([known.ids, ids])[_ragged(first, count)]
+    known.add(value, size, ids)
+    until = np.append(0, np.cumsum(count))[w.first]
+    out = [np.append(flat[a:b], np.uint32(end_id)) for a, b in zip(until[:-1].tolist(), until[1:].tolist())]
+    buffer = w.raw.tobytes()
+    if any(s.encode() in buffer for s in vocab.special):
+        for k, text in enumerate(column.to_pylist()):
+            if any(s in (text or "") for s in vocab.special):
+                out[k] = np.append(_library(vocab, [text])[1], np.uint32(end_id))
+    return out
 
 
 def write(docs: DataFrame, path: str, vocab_path: str, end_id: int = 2) -> None:
     """Encode every document, append the end id, and write pages and shards below ``path``."""
     shared = vocabulary.share(docs.sparkSession, vocab_path)
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, encode = TaskContext.get().partitionId(), _Encoder(shared)
-        start = page = 0
-        waiting: list[tuple[int | None, bytes]] = []
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are the parallelism
+        shard, vocab = TaskContext.get().partitionId(), vocabulary.load(shared, "blocks")
+        start = page = held = 0
+        waiting: list[tuple[int | None, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join([w[1] for w in waiting]), "<u4")
+            ids = np.concatenate([w[1] for w in waiting])
             block_at, payload = pack(ids)
             values = [
                 [shard], [page], [start], [len(ids)], [[w[0] for w in waiting]],
-                [[len(w[1]) // 4 for w in waiting]], [block_at], [payload],
+                [[len(w[1]) for w in waiting]], [block_at], [payload],
             ]
             types = [
                 pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()),
@@ -158,14 +202,14 @@ def write(docs: DataFrame, path: str, vocab_path: str, end_id: int = 2) -> None:
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for low in range(0, len(texts), 256):
-                ids = encode(texts[low : low + 256], end)
-                waiting += zip(batch.column(0).slice(low, 256).to_pylist(), ids)
-                held = sum(len(w[1]) for w in waiting) // 4
-                if held >= PAGE_IDS:
-                    yield flush()
-                    start, page, waiting = start + held, page + 1, []
+            for part in words.slices(batch, "text", SLICE_BYTES):
+                ids = encode(vocab, part.column(1), end_id)
+                for doc_id, some in zip(part.column(0).to_pylist(), ids):
+                    waiting.append((doc_id, some))
+                    held += len(some)
+                    if held >= PAGE_IDS:
+                        yield flush()
+                        start, page, held, waiting = start + held, page + 1, 0, []
         if waiting:
             yield flush()
 
