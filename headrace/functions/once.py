@@ -18,13 +18,13 @@ def with_once(df: DataFrame, values: dict[str, str]) -> DataFrame:
     return df.selectExpr("*", f"inline(array(named_struct({pairs})))")
 
 
-def rows_seen(observation: Observation) -> int:
-    """The count observed under ``rows`` by an action that has ended.
+def rows_seen(observation: Observation, name: str = "rows") -> int:
+    """A number observed by an action that has ended.
 
     A part of a plan that turns out to be empty is taken out of it, and with it the
     counter; there is then nothing to report.
     """
     try:
-        return observation.get["rows"]
+        return observation.get[name] or 0
     except Py4JJavaError:
         return 0

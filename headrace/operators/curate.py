@@ -9,7 +9,7 @@ from headrace import schemas as S
 from headrace import session
 from headrace.functions import fields
 from headrace.functions.once import rows_seen, with_once
-from headrace.operators.skew import BROADCAST_ROWS
+from headrace.operators.skew import BROADCAST_BYTES, BROADCAST_ROWS
 
 _TEXT_FIELDS = (
     "event_id", "event_type", "user_id", "session_id", "source", "order_id", "product_id",
@@ -112,12 +112,14 @@ def insert_large(
         .join(held, key, "left")
         .where("_held OR _copies > 1")
         .select(key, F.coalesce("_held", F.lit(False)).alias("_held"))
-        .observe(counted, F.count(F.lit(1)).alias("rows"))
+        .observe(
+            counted, F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(key)).alias("bytes")
+        )
         .write.mode("overwrite")
         .parquet(stage)
     )
     special = spark.read.schema(f"{key} string, _held boolean").parquet(stage)
-    if rows_seen(counted) > BROADCAST_ROWS:
+    if rows_seen(counted) > BROADCAST_ROWS or rows_seen(counted, "bytes") > BROADCAST_BYTES:
         return first_write(batch, key, order).join(held, key, "left_anti")
     marked = batch.join(F.broadcast(special), key, "left")
     single = marked.where("_held IS NULL").select(*batch.columns)
@@ -179,14 +181,17 @@ def merge(
     staged = Observation()
     (
         batch.select(*S.columns(schema))
-        .observe(staged, F.count(F.lit(1)).alias("rows"))
+        .observe(
+            staged, F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(key)).alias("bytes")
+        )
         .write.mode("overwrite")
         .parquet(f"{stage_path}/rows")
     )
     fixed = spark.read.schema(schema).parquet(f"{stage_path}/rows")
     size = rows_seen(staged) if batch_rows is None else batch_rows
     others = read_target(spark, path, schema).where(F.col("batch_id") != batch_id)
-    insert = insert_small if size <= BROADCAST_ROWS else insert_large
+    small = size <= BROADCAST_ROWS and rows_seen(staged, "bytes") <= BROADCAST_BYTES
+    insert = insert_small if small else insert_large
     fresh = insert(fixed, others, key, order, f"{stage_path}/keys")
     inserted = Observation()
     counted = fresh.observe(inserted, F.count(F.lit(1)).alias("rows"))

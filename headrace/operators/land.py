@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from headrace import session
 from headrace.functions import fields
 from headrace.functions.once import with_once
 from headrace.operators.enrich import with_event_json
@@ -109,13 +110,14 @@ def write(
 
     A layout without hours leaves the hour out.
     """
-    (
-        layout(without_hour(df, partitions), partitions, salts)
-        .write.mode(mode)
-        .option("compression", "snappy")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+    with session.settings(df.sparkSession, session.FULL_FILES):
+        (
+            layout(without_hour(df, partitions), partitions, salts)
+            .write.mode(mode)
+            .option("compression", "snappy")
+            .partitionBy(*partitions)
+            .parquet(path)
+        )
 
 
 def write_lines(lines: DataFrame, path: str) -> None:

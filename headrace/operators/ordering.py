@@ -15,31 +15,34 @@ def ordered(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return df.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
 
 
-def positions(df: DataFrame, key: str, order: list[str], chunk: str) -> DataFrame:
+def positions(df: DataFrame, key: str, order: list[str], stage: str) -> DataFrame:
     """The position of each row within its key, from 1, as ``position``.
 
-    ``chunk``, a SQL expression, cuts a key into slices that follow the order, such
-    as the hour of the leading order column; NULL is the first slice. Rows are
-    numbered within a slice, and the sizes of the earlier slices, a small table, are
-    added; no task sorts a whole key. The rows are shuffled once, by slice, for the
-    numbering and the join alike.
+    The rows are sorted over all partitions and stored in ``stage``, numbered from the
+    start of their partition; they are computed and ranged once, and a hot key spans as
+    many partitions as its rows fill. A table with a row for each key and partition tells
+    where a key begins in a partition and how many of its rows come before; it is joined
+    back by both, so no task of the join holds more than a partition had.
     """
-    cut = df.selectExpr("*", f"named_struct('key', {key}, 'at', CAST({chunk} AS BIGINT)) AS _slice")
-    numbered = cut.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
+    spark = df.sparkSession
+    numbered = ordered(df, key, order).selectExpr(
+        "*", "spark_partition_id() AS _part", "monotonically_increasing_id() AS _at"
     )
+    numbered.write.parquet(stage)
+    stored = spark.read.schema(numbered.schema).parquet(stage)
     before = (
-        Window.partitionBy("_slice.key")
-        .orderBy(F.col("_slice.at").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        cut.groupBy("_slice")
-        .agg(F.count("*").alias("_size"))
-        .select("_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+        Window.partitionBy("_key").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
     )
+    shifts = (
+        stored.groupBy(F.col(key).alias("_key"), F.col("_part").alias("_in"))
+        .agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+        .select(
+            "_key", "_in",
+            (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+        )
+    )
     return (
-        numbered.join(offsets, "_slice")
-        .withColumn("position", F.col("_offset") + F.col("_local"))
-        .drop("_slice", "_local", "_offset")
+        stored.join(shifts, (F.col("_part") == F.col("_in")) & F.col(key).eqNullSafe(F.col("_key")))
+        .withColumn("position", F.col("_at") + F.col("_shift"))
+        .select(*df.columns, "position")
     )

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A join side of at most this many measured rows is broadcast: about 100 MB.
+# A join side of at most this many measured rows, and bytes where its values have no
+# bound of their own, is broadcast.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def salted_join(

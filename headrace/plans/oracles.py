@@ -129,6 +129,13 @@ FROM (SELECT *, CASE WHEN k < 50 THEN props ELSE 'event ' || event_id || ' broke
       FROM coded)
 """
 
+_LANDED = """ev_id AS event_id, session AS session_id, 'web' AS source,
+    CASE WHEN kind = 'order' THEN 'O-' || id END AS order_id,
+    CASE WHEN kind = 'order' THEN 'P-' || k END AS product_id,
+    CASE WHEN kind = 'page_view' THEN '/p/' || k END AS page,
+    CASE WHEN kind = 'signup' THEN 'u' || id || '@example.org' END AS email,
+    user_segment, user_country, tag AS ingestion_pipeline"""
+
 # What was sent for each code that does not decode.
 _RECEIVED = """CASE k WHEN 0 THEN NULL WHEN 1 THEN ''
     WHEN 2 THEN lpad(id, 12, '0') || 'Q' WHEN 3 THEN lpad(id, 12, '0') || 'é'
@@ -204,8 +211,8 @@ _EXPECTED = {
                CASE WHEN kind = 'order' THEN 'Article "A", größe 1' END AS product_name,
                user_segment, CAST(user_ltv AS DOUBLE) AS user_ltv, tag, false AS broken_line
         FROM d""",
-    "landing_partitions": """
-        SELECT ev_id AS event_id, session AS session_id, ev_type AS event_type, dt, hh
+    "landing_partitions": f"""
+        SELECT {_LANDED}, ev_time AS event_time, uid AS user_id, ev_type AS event_type, dt, hh
         FROM landed""",
     "landing_errors": """
         SELECT seq0 AS sequence_number, session AS session_id, landing_error AS error_type,
@@ -219,15 +226,17 @@ _EXPECTED = {
                     ELSE 'stream' END AS layout,
                true AS has_lineage
         FROM landed""",
-    "raw_ingest": """
-        SELECT ev_id AS event_id, session AS session_id, ev_type AS event_type,
+    "raw_ingest": f"""
+        SELECT {_LANDED}, ev_type AS event_type,
                ev_ts AS event_time, uid AS user_id,
                TIMESTAMP '2024-02-01 06:00:00' AS ingested_at,
                'snowpipe-firehose' AS pipeline, true AS has_lineage
         FROM landed""",
     "raw_clustered": """
-        SELECT ev_type AS event_type, CAST(ev_ts AS DATE) AS event_date, count(*) AS events
-        FROM landed GROUP BY ALL""",
+        SELECT ev_id AS event_id, session AS session_id, ev_type AS event_type,
+               CAST(ev_ts AS DATE) AS event_date, ev_ts AS event_time, uid AS user_id,
+               TIMESTAMP '2024-02-01 06:00:00' AS ingested_at, 'snowpipe-firehose' AS pipeline
+        FROM landed""",
     "file_error_gate": """
         SELECT event_type, dt, CASE WHEN broken THEN NULL ELSE n END AS rows,
                CASE WHEN broken THEN NULL ELSE n_bad END AS bad_rows,

@@ -276,11 +276,17 @@ def ndjson_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- land and ingest --------------------------------------------------------
 
 
+_LANDED_FIELDS = (
+    "event_id", "session_id", "event_time", "user_id", "source", "order_id", "product_id", "page",
+    "email", "user_segment", "user_country", "ingestion_pipeline",
+)
+
+
 @_query
 def landing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events written by type, arrival date and hour, then read back."""
     return landing.scan(spark, _land(spark, sf_dir)).selectExpr(
-        *_texts("payload", "event_id", "session_id"), "event_type", "dt", "hh"
+        *_texts("payload", *_LANDED_FIELDS), "event_type", "dt", "hh"
     )
 
 
@@ -330,7 +336,7 @@ def raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark, landed, table, state, files_per_trigger=10_000, clock=lambda: FIRST_RUN
         ).awaitTermination()
     return raw.raw_id(jobs.read_raw(spark, table)).selectExpr(
-        *_texts("payload", "event_id", "session_id"),
+        *_texts("payload", *(f for f in _LANDED_FIELDS if f not in ("event_time", "user_id"))),
         "event_type",
         "event_time",
         "user_id",
@@ -345,11 +351,10 @@ def raw_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows laid out by type and day; events without a time have no day."""
     path = fresh_dir(spark, "raw-clustered")
     raw.write_clustered(_loaded(spark, sf_dir, FIRST_RUN), path)
-    return (
-        raw.read_clustered(spark, path)
-        .groupBy("event_type", "event_date")
-        .agg(F.count("*").alias("events"))
-    )
+    return raw.read_clustered(spark, path).selectExpr(
+        *_texts("payload", "event_id", "session_id"), "event_type", "event_date", "event_time",
+        "user_id", "ingested_at", "pipeline",
+    )
 
 
 # Files of these types and days: one that is no Parquet, and those with bad rows.
@@ -634,7 +639,8 @@ def per_key_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_texts("payload", "session_id"),
     )
     order = ["arrival", "sequence_number", "session_id"]
-    return ordering.positions(records, "partition_key", order, "floor(arrival / 3600)").select(
+    stage = fresh_dir(spark, "ordered")
+    return ordering.positions(records, "partition_key", order, stage).select(
         "partition_key", "session_id", "position"
     )
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -40,6 +42,27 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Files of a landing are cut at the advisory size, however many cores there are; without
+# this, adaptive execution prefers as many small files as cores.
+FULL_FILES = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+
+
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Run with other settings, then put the earlier ones back."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def build(master: str = "local[*]", app: str = "headrace", **conf: str) -> SparkSession:
     """A session for tests and for the bench."""
     builder = (

@@ -14,13 +14,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.ENVELOPE).parquet(path)
 
 
-def read_stream(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Envelope files as they arrive; the trigger bound keeps a batch finite."""
-    return (
-        spark.readStream.schema(S.ENVELOPE)
-        .options(maxFilesPerTrigger=files_per_trigger, **ANY_AGE)
-        .parquet(path)
-    )
+def read_stream(
+    spark: SparkSession, path: str, files_per_trigger: int = 1000, bytes_per_trigger: int | None = None
+) -> DataFrame:
+    """Envelope files as they arrive; the trigger bound, of files or bytes, keeps a batch finite."""
+    if bytes_per_trigger is None:
+        bound = {"maxFilesPerTrigger": files_per_trigger}
+    else:
+        bound = {"maxBytesPerTrigger": bytes_per_trigger}
+    return spark.readStream.schema(S.ENVELOPE).options(**bound, **ANY_AGE).parquet(path)
 
 
 def flatten(batches: DataFrame) -> DataFrame:

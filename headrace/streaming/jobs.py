@@ -37,9 +37,11 @@ def _utc_now() -> datetime:
 
 
 def _adaptive(batch: DataFrame) -> SparkSession:
-    """The micro-batch session, with adaptive execution for the batch work in it."""
+    """The micro-batch session, with adaptive execution and full files for the work in it."""
     spark = batch.sparkSession
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for key, value in stores.FULL_FILES.items():
+        spark.conf.set(key, value)
     return spark
 
 
@@ -109,6 +111,7 @@ def process_stream(
     clock=_utc_now,
     trigger: dict = DRAIN,
     salts: int = 1,
+    bytes_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Decode, enrich and route each micro-batch into its tables below ``root``.
 
@@ -117,7 +120,8 @@ def process_stream(
     the numbers to retry and ``metrics`` the counters of the batch, its ``delivered`` and
     ``alerts`` counted from what was written. ``users`` and ``user_rows`` are callables,
     so that the dimension is read anew for each batch; ``salts`` is for dimensions too
-    large to broadcast.
+    large to broadcast. ``bytes_per_trigger`` bounds a batch by its size instead of its
+    files.
     """
 
     def handle(batch: DataFrame, epoch: int) -> None:
@@ -160,7 +164,7 @@ def process_stream(
             classified.unpersist()
 
     return (
-        envelopes.read_stream(spark, source, files_per_trigger)
+        envelopes.read_stream(spark, source, files_per_trigger, bytes_per_trigger)
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)

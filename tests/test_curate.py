@@ -132,10 +132,12 @@ def brute_force(events):
     return kept
 
 
-@pytest.mark.parametrize("limit", [skew.BROADCAST_ROWS, 150, 0])
+@pytest.mark.parametrize(
+    "limit", [("ROWS", skew.BROADCAST_ROWS), ("ROWS", 150), ("ROWS", 0), ("BYTES", 300), ("BYTES", 0)]
+)
 def test_any_split_gives_one_result(spark, tmp_path, monkeypatch, limit):
     """Small, key-first and fully shuffled merges all keep the first copies."""
-    monkeypatch.setattr(curate, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(curate, f"BROADCAST_{limit[0]}", limit[1])
     events = random_events(5)
     path, stage = f"{tmp_path}/t", f"{tmp_path}/s"
     curate.create_target(spark, path)
