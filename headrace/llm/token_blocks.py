@@ -145,10 +145,20 @@ def _ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
 def encode(vocab: vocabulary.Vocabulary, column: pa.Array, end_id: int) -> list[np.ndarray]:
     """The ids of whole texts, each with the end id behind them.
 
-    White space separates words for good in these vocabularies and letter case is dropped, so
-    the library encodes each distinct word once while it is kept. Texts that hold a special
-    token go to it whole.
+    Where the vocabulary drops white space and letter case, the library encodes each distinct
+    word once while it is kept. Texts that hold a special token go to it whole, as do all
+    texts with other vocabularies.
     """
+    if not vocab.lowers:
+        size, flat = _library(vocab, [t or "" for t in column.to_pylist()])
+        ends = np.cumsum(size)
+        return [np.append(flat[e - s : e], np.uint32(end_id)) for s, e in zip(size.tolist(), ends.tolist())]
+    odd: dict[int, str] = {}
+    buffer = words.buffers(column)[0].tobytes()
+    if any(s.encode() in buffer for s in vocab.special):
+        texts = column.to_pylist()
+        odd = {k: t for k, t in enumerate(texts) if t and any(s in t for s in vocab.special)}
+        column = pa.array(["" if k in odd else t for k, t in enumerate(texts)], pa.string())
     known, w = _known.setdefault(vocab, Known()), words.words(column, words.SPACED)
     at = np.searchsorted(known.value, w.value)
     at[at == len(known.value)] = 0
@@ -168,11 +178,8 @@ def encode(vocab: vocabulary.Vocabulary, column: pa.Array, end_id: int) -> list[
     known.add(value, size, ids)
     until = np.append(0, np.cumsum(count))[w.first]
     out = [np.append(flat[a:b], np.uint32(end_id)) for a, b in zip(until[:-1].tolist(), until[1:].tolist())]
-    buffer = w.raw.tobytes()
-    if any(s.encode() in buffer for s in vocab.special):
-        for k, text in enumerate(column.to_pylist()):
-            if any(s in (text or "") for s in vocab.special):
-                out[k] = np.append(_library(vocab, [text])[1], np.uint32(end_id))
+    for k, text in odd.items():
+        out[k] = np.append(_library(vocab, [text])[1], np.uint32(end_id))
     return out
 
 

@@ -132,8 +132,9 @@ def test_runs_are_read_from_the_blocks_that_hold_them(spark, docs):
         assert got == whole[start : start + length].tolist()
 
 
-def test_words_that_differ_in_case_of_special_tokens():
-    with open(WORD, encoding="utf-8") as file:
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_stored_ids_are_the_library_s_with_special_tokens_and_case(path):
+    with open(path, encoding="utf-8") as file:
         vocab = vocabulary.Vocabulary(file.read())
     texts = ["<|endoftext|> A<|startoftext|>b", "<|ENDOFTEXT|>", None, "é  x\x1cy", "THE the ThE"]
     for text, ids in zip(texts, token_blocks.encode(vocab, pa.array(texts), 2)):
