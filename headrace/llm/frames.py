@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +14,8 @@ from headrace import session
 
 # Batches are bounded by bytes as well as rows, so that long texts do not pile up.
 BATCH_CONF = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -39,9 +41,34 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared folder and read back: computed once, lineage cut."""
+def _store(frame: DataFrame, name: str) -> tuple[str, DataFrame]:
     spark = frame.sparkSession
     path = session.fresh_dir(spark, f"llm-{name}")
     frame.write.parquet(path)
-    return tune(spark).read.schema(frame.schema).parquet(path)
+    return path, tune(spark).read.schema(frame.schema).parquet(path)
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The frame written to the shared folder and read back: computed once, lineage cut."""
+    return _store(frame, name)[1]
+
+
+# Stores a step that is only needed until the result of its operator is stored.
+Store = Callable[[DataFrame, str], DataFrame]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Store]:
+    """Steps stored with what is given are removed at the end."""
+    paths: list[str] = []
+
+    def store(frame: DataFrame, name: str) -> DataFrame:
+        path, step = _store(frame, name)
+        paths.append(path)
+        return step
+
+    try:
+        yield store
+    finally:
+        for path in paths:
+            session.remove(spark, path)

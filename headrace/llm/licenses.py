@@ -144,14 +144,15 @@ def scan(docs: DataFrame, notices: dict[str, str] | None = None) -> DataFrame:
     """
     notices = NOTICES if notices is None else notices
     vocabulary = sorted({w for text in notices.values() for w in text.split()})
-    found = frames.stored(places(docs, vocabulary), "licenses")
-    blocks = found.selectExpr("row", "explode(blocks) as tokens")
-    order = _order(blocks, vocabulary)
-    by_row = (
-        matches(blocks, notices, order)
-        .groupBy("row")
-        .agg(F.collect_set("label").alias("added"), F.max("share").alias("share"))
-    )
+    with frames.scratch(docs.sparkSession) as store:
+        found = store(places(docs, vocabulary), "licenses")
+        blocks = found.selectExpr("row", "explode(blocks) as tokens")
+        met = matches(blocks, notices, _order(blocks, vocabulary))
+        by_row = met.groupBy("row").agg(F.collect_set("label").alias("added"), F.max("share").alias("share"))
+        return frames.stored(_labelled(found, by_row), "license-labels")
+
+
+def _labelled(found: DataFrame, by_row: DataFrame) -> DataFrame:
     nothing = "cast(array() as array<string>)"
     return found.join(by_row, "row", "left").selectExpr(
         "doc_id", "n_words", "n_base", "first_word", "last_word",

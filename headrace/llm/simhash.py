@@ -159,25 +159,25 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, store: frames.Store = frames.stored) -> DataFrame:
     """``node`` and ``root`` of every node that has a link ``a``–``b``; roots are shared.
 
     Each round moves every node to its smallest neighbour, if that is smaller, and keeps the
     links between different places.
     """
-    edges = frames.stored(edges, "links")
+    edges = store(edges, "links")
     nodes = edges.selectExpr("a as node").union(edges.selectExpr("b as node")).distinct()
-    placed = frames.stored(nodes.selectExpr("node", "node as root"), "roots")
+    placed = store(nodes.selectExpr("node", "node as root"), "roots")
     while not edges.isEmpty():
         both = edges.union(edges.selectExpr("b as a", "a as b"))
-        step = frames.stored(
+        step = store(
             both.groupBy("a").agg(F.min("b").alias("to")).selectExpr("a as at", "least(a, to) as to"), "steps"
         )
-        placed = frames.stored(
+        placed = store(
             placed.join(step, F.col("root") == F.col("at"), "left").selectExpr("node", "coalesce(to, root) as root"),
             "roots",
         )
-        edges = frames.stored(
+        edges = store(
             edges.join(step.selectExpr("at as a", "to as to_a"), "a")
             .join(step.selectExpr("at as b", "to as to_b"), "b")
             .where("to_a != to_b")
@@ -190,18 +190,20 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id``, ``fingerprint`` (hexadecimal) and ``component_id`` of every document."""
-    printed = frames.stored(fingerprints(docs, shingle), "fingerprints")
-    nodes = frames.stored(printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    placed = components(links(nodes, max_bits))
-    rooted = nodes.join(placed, F.col("fp") == F.col("node"), "left").selectExpr(
-        "fp", "first", "coalesce(root, fp) as root"
-    )
-    rooted = frames.stored(rooted, "rooted")
-    smallest = frames.stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "components")
-    classes = frames.stored(rooted.join(smallest, "root").select("fp", "component_id"), "classes")
-    return printed.join(classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    with frames.scratch(docs.sparkSession) as store:
+        printed = store(fingerprints(docs, shingle), "fingerprints")
+        nodes = store(printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+        placed = components(links(nodes, max_bits), store)
+        rooted = nodes.join(placed, F.col("fp") == F.col("node"), "left").selectExpr(
+            "fp", "first", "coalesce(root, fp) as root"
+        )
+        rooted = store(rooted, "rooted")
+        smallest = store(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "components")
+        classes = store(rooted.join(smallest, "root").select("fp", "component_id"), "classes")
+        found = printed.join(classes, "fp").select(
+            "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        )
+        return frames.stored(found, "near-duplicates")
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

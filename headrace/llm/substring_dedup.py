@@ -94,7 +94,12 @@ def spans(docs: DataFrame) -> DataFrame:
         .where("kept < last")
         .select("digest", "kept")
     )
-    repeated = frames.stored(repeated, "repeated-units")
+    with frames.scratch(docs.sparkSession) as store:
+        return frames.stored(_spans(found, store(repeated, "repeated-units")), "repeated-spans")
+
+
+def _spans(found: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The spans of units that are not the kept occurrence of their digest."""
     removed = (
         found.join(repeated, "digest", "left")
         .withColumn("kept", F.coalesce("kept", "doc_id"))

@@ -18,7 +18,7 @@ BASE = 0x9E3779B97F4A7C15
 MIX_1 = 0xBF58476D1CE4E5B9
 MIX_2 = 0x94D049BB133111EB
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def _fold(is_word) -> np.ndarray:

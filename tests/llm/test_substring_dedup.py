@@ -60,16 +60,17 @@ def test_small_table(spark):
 
 def test_passages_inside_lines_are_cut_and_offsets_are_those_of_the_text(spark, docs):
     draw = random.Random(7)
-    fresh = lambda n: " ".join(f"é{draw.randrange(10**9)}" for _ in range(n))
+    fresh = lambda n: " ".join(f"w{draw.randrange(10**9)}" for _ in range(n))
     passages = [fresh(55) for _ in range(20)]
-    texts = [f"{fresh(9)} {p} {fresh(5)}\n{fresh(30)}" for p in passages]
-    texts += [f"{fresh(3)}\n{fresh(4)} {p.upper()} {fresh(2)}" for p in passages]
+    texts = [f"é {fresh(9)} {p} {fresh(5)}\n{fresh(30)}" for p in passages]
+    texts += [f"ü{fresh(3)}\n{fresh(4)} {p.upper()} {fresh(2)}" for p in passages]
     texts += [fresh(100) for _ in range(20)]
     frame = docs(*texts)
     found = check(frame, list(enumerate(texts)))
     assert {i for i, _, _ in found} == set(range(20, 40))
     for i, low, high in found:
-        assert texts[i][low:high].lower() in passages[i - 20] and high - low > len(passages[0]) / 2
+        assert texts[i][low:high].lower() in passages[i - 20]
+    assert sum(high - low for _, low, high in found) > 0.6 * sum(map(len, passages))
     kept = {r["doc_id"]: r["text"] for r in substring_dedup.clean(frame).collect()}
     for i, text in enumerate(texts):
         for _, low, high in sorted((f for f in found if f[0] == i), reverse=True):
