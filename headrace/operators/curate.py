@@ -127,9 +127,13 @@ def insert_large(
     return single.unionByName(first_write(repeated, key, order))
 
 
-# Batch ids below this are compactions; stream batches and repairs lie above.
-COMPACTIONS = -(1 << 62)
-MANIFEST = "version bigint, compaction bigint, retired array<bigint>"
+# Compacted rows lie in buckets of their id, so that a batch is matched with its buckets only.
+BUCKETS = 64
+MANIFEST = "version bigint, retired array<bigint>"
+
+
+def bucket(key: str = "event_id") -> str:
+    return f"CAST(pmod(xxhash64({key}), {BUCKETS}) AS INT)"
 
 
 def create_target(spark: SparkSession, path: str, schema: str = S.CURATED) -> None:
@@ -137,23 +141,32 @@ def create_target(spark: SparkSession, path: str, schema: str = S.CURATED) -> No
     spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch_id=0")
 
 
-def _manifest(spark: SparkSession, path: str) -> tuple[int, int | None, list[int]]:
-    """The latest version: its number, the live compaction and the batches it replaced."""
+def _manifest(spark: SparkSession, path: str) -> tuple[int, list[int]]:
+    """The latest compaction, 0 if there was none, and the batches it replaced."""
     folder = f"{path}.manifest"
     if not session.exists(spark, folder):
-        return 0, None, []
-    versions = spark.read.schema(MANIFEST).parquet(folder)
-    row = versions.orderBy(F.desc("version")).first()
-    return (row["version"], row["compaction"], row["retired"]) if row else (0, None, [])
+        return 0, []
+    row = spark.read.schema(MANIFEST).parquet(folder).orderBy(F.desc("version")).first()
+    return (row["version"], row["retired"]) if row else (0, [])
 
 
-def read_target(spark: SparkSession, path: str, schema: str = S.CURATED) -> DataFrame:
-    """The live rows. Folders are chosen by their batch id, so no other one is opened."""
-    _, compaction, retired = _manifest(spark, path)
-    live = F.col("batch_id") > COMPACTIONS
-    if compaction is not None:
-        live = (live & ~F.col("batch_id").isin(retired)) | (F.col("batch_id") == compaction)
-    return spark.read.schema(f"{schema}, batch_id bigint").parquet(path).where(live)
+def read_target(
+    spark: SparkSession, path: str, schema: str = S.CURATED, buckets: list[int] | None = None
+) -> DataFrame:
+    """The live rows: those of the latest compaction, as batch 0, and of the batches since.
+
+    With ``buckets`` only these are read of the compaction. Batches and buckets are
+    folders, so no other one is opened.
+    """
+    version, retired = _manifest(spark, path)
+    batches = spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
+    if not version:
+        return batches
+    compacted = spark.read.schema(f"{schema}, bucket int").parquet(f"{path}.compacted/{version}")
+    if buckets is not None:
+        compacted = compacted.where(F.col("bucket").isin(buckets))
+    compacted = compacted.withColumn("batch_id", F.lit(0).cast("bigint")).drop("bucket")
+    return compacted.unionByName(batches.where(~F.col("batch_id").isin(retired)))
 
 
 def merge(
@@ -176,8 +189,8 @@ def merge(
     at a time; batch 0 is the empty start, stream batches count from 1 and repairs down
     from -1.
     """
-    if batch_id == 0 or batch_id <= COMPACTIONS:
-        raise ValueError("batch_id 0 is the empty start of the target, the lowest are compactions")
+    if batch_id == 0:
+        raise ValueError("batch_id 0 is the start of the target")
     staged = Observation()
     (
         batch.select(*S.columns(schema))
@@ -189,7 +202,9 @@ def merge(
     )
     fixed = spark.read.schema(schema).parquet(f"{stage_path}/rows")
     size = rows_seen(staged) if batch_rows is None else batch_rows
-    others = read_target(spark, path, schema).where(F.col("batch_id") != batch_id)
+    # As many rows as there are buckets; a small batch touches few of them.
+    touched = [r[0] for r in fixed.selectExpr(bucket(key)).distinct().collect()]
+    others = read_target(spark, path, schema, touched).where(F.col("batch_id") != batch_id)
     small = size <= BROADCAST_ROWS and rows_seen(staged, "bytes") <= BROADCAST_BYTES
     insert = insert_small if small else insert_large
     fresh = insert(fixed, others, key, order, f"{stage_path}/keys")
@@ -204,30 +219,33 @@ def merge(
 
 
 def compact(spark: SparkSession, path: str) -> int:
-    """Rewrite all live rows by date, type and id into one batch; returns its id.
+    """Rewrite all live rows into buckets, sorted by date, type and id; returns the version.
 
-    The rows are written to a folder that readers do not see until a new version of the
-    manifest names it and retires the batches it replaces; these are then removed. The
-    id ends the range key so that one hot date and type spans many files. A replay of a
-    retired batch finds its rows in the compaction and adds none.
+    Readers do not see the new version until the manifest names it and retires the batches
+    it replaces; these and the version before are then removed. The range key goes on
+    behind the bucket, so one bucket may span many files. A replay of a retired batch finds
+    its rows in the compaction and adds none.
     """
-    version, compaction, retired = _manifest(spark, path)
-    live = [r[0] for r in read_target(spark, path).select("batch_id").distinct().collect()]
-    replaced = sorted(set(live) | set(retired))
-    fresh = COMPACTIONS - 1 - version
+    version, _ = _manifest(spark, path)
+    stored = spark.read.schema("batch_id bigint").parquet(path)
+    replaced = sorted(r[0] for r in stored.distinct().collect() if r[0] != 0)
+    fresh = f"{path}.compacted/{version + 1}"
+    order = ("bucket", "event_date", "event_type", "event_id")
     (
         read_target(spark, path)
         .drop("batch_id")
-        .repartitionByRange("event_date", "event_type", "event_id")
-        .sortWithinPartitions("event_date", "event_type", "event_id")
+        .withColumn("bucket", F.expr(bucket()))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("compression", "snappy")
-        .parquet(f"{path}/batch_id={fresh}")
+        .partitionBy("bucket")
+        .parquet(fresh)
     )
-    retire = [b for b in replaced if b > COMPACTIONS]
-    spark.createDataFrame([(version + 1, fresh, retire)], MANIFEST).coalesce(1).write.mode(
+    spark.createDataFrame([(version + 1, replaced)], MANIFEST).coalesce(1).write.mode(
         "overwrite"
     ).parquet(f"{path}.manifest/v={version + 1}")
-    for batch_id in live:
+    for batch_id in replaced:
         session.remove(spark, f"{path}/batch_id={batch_id}")
-    return fresh
+    session.remove(spark, f"{path}.compacted/{version}")
+    return version + 1

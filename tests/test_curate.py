@@ -151,11 +151,26 @@ def test_any_split_gives_one_result(spark, tmp_path, monkeypatch, limit):
         assert stored(spark, path) == brute_force(events)
         assert merge(spark, path, stage, batch_id, project(spark, *events)) == 0
         assert merge(spark, path, stage, 1, project(spark, *events[:40])) == 0  # a replay
+        assert merge(spark, path, stage, -5, project(spark, *events[:40])) == 0
         assert curate.read_target(spark, path).count() == len(brute_force(events))
     assert merge(spark, path, stage, 11, project(spark, event("new"))) == 1
     assert not list(tmp_path.glob("s/*")) and not session.exists(spark, f"{path}/batch_id=2")
 
 
+def test_a_small_batch_reads_its_buckets_only(spark, tmp_path, capsys):
+    path, stage = f"{tmp_path}/t", f"{tmp_path}/s"
+    curate.create_target(spark, path)
+    merge(spark, path, stage, 1, project(spark, *(event(str(i), amount=i) for i in range(500))))
+    curate.compact(spark, path)
+    few = curate.read_target(spark, path, buckets=[3, 5])
+    assert 0 < few.count() < 60
+    assert few.selectExpr(f"{curate.bucket()} AS b").distinct().count() == 2
+    few.explain()
+    assert "PartitionFilters: [bucket" in capsys.readouterr().out.replace("isnotnull(bucket", "bucket")
+    assert merge(spark, path, stage, 2, project(spark, event("7"), event("new"))) == 1
+    assert curate.read_target(spark, path).count() == 501
+
+
 def test_first_write_keeps_every_column(spark):
     rows = curate.accepted(project(spark, event("1", page="a"), event("2", email="b")))
     kept = curate.first_write(rows)
