@@ -50,20 +50,21 @@ def late_repair(
     event_type: str | None = None,
     lookback_h: int = S.DEFAULT_LOOKBACK_HOURS,
     batch_id: int | None = None,
+    stage_path: str | None = None,
 ) -> DataFrame:
     """Merge what landed on a date but is not curated; returns the one-row summary.
 
     Lateness is unlimited. The repair has a negative batch id, by default a hash of
-    its time, date and type: running it again replaces its own rows and no others.
+    its time, date and type: running it again replaces its own rows and no others. The
+    landed date is read once, into ``stage_path``, by default a folder below the shared one.
     """
     if batch_id is None:
         batch_id = repair_id(run_at, landing_date, event_type)
     if batch_id >= 0:
         raise ValueError("a repair needs a negative batch_id")
     rows = candidates(spark, landing_path, landing_date, run_at, event_type, lookback_h)
-    merged = curate.merge(
-        spark, curate.accepted(rows), curated_path, batch_id, fresh_dir(spark, "repair-stage")
-    )
+    stage = stage_path or fresh_dir(spark, "repair-stage")
+    merged = curate.merge(spark, curate.accepted(rows), curated_path, batch_id, stage)
     return spark.range(1).select(
         F.lit(str(landing_date)).cast("date").alias("event_date"),
         F.lit(event_type).cast("string").alias("event_type"),
