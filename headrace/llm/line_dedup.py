@@ -5,16 +5,16 @@ if the Jaccard similarity of their sets is at least 4/5; a line is removed if an
 (by ``doc_id``, null last, then by place) is like it, removed itself or not.
 
 Lines of equal sets form a class, of which the first one stands for all. Words are ordered
-by rarity: by the lines that hold them, counted over all documents in ``BUCKETS`` hashed
+by rarity: by how often they stand in all documents, counted in ``BUCKETS`` hashed
 buckets, so that the counts have a fixed size. Alike sets share one of the first
 n - ceil(4n/5) + 1 words of each. Rows of these prefixes are brought together by word, and
-each class is compared with the earlier ones at that word, from the first on, until one
-passes the filters on lengths, on what is left behind the shared word, and on a 64-bit
-parity of the sets (which differs in no more bits than the sets do in words). These pairs
-are verified by their whole sets. A class none of whose pairs is confirmed is then compared
-with all its partners that pass, so nothing depends on the first choice.
+each class is compared with the earlier ones at that word, from the first on, until
+``PARTNERS`` of them pass the filters on lengths, on what is left behind the shared word,
+and on a 128-bit parity of the sets (which differs in no more bits than the sets do in
+words). What is left is verified by the whole sets. A class none of whose pairs is confirmed, and that had more partners at some
+word, is then compared with all of them, so nothing depends on the first choices.
 
-So every prefix row gives one pair at most, however many copies a line has, and large groups
+So a prefix row gives a few pairs at most, however many copies a line has, and large groups
 are settled by their first members. Words are compared by their 64-bit values. Lines without
 a word are kept. Null text has no lines. Rows that share a ``doc_id`` are taken together and
 each loses the same lines; an empty table gives an empty result; ``lines`` and ``report``
@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from headrace.llm import arrow, frames, words
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 19
+PARTNERS = 4
 LINE_FEED = 10
 NO_ID = (1 << 63) - 1  # stands for a null doc_id
 BROADCAST_LINES = 500_000
@@ -42,19 +43,39 @@ BROADCAST_LINES = 500_000
 ALIKE = "9 * shared >= 4 * (n_a + n_b)"
 
 LINES = (
-    "doc_id long, digest long, line int, repeats array<int>, n int, parity long, prefix array<long>"
+    "doc_id long, digest long, line int, repeats array<int>, n int, parity long, parity_2 long, "
+    "prefix array<int>"
 )
 
 
-def _sets(w: words.Words) -> tuple[np.ndarray, ...]:
-    """Text and number of each line that has words, and its sorted distinct words, in runs."""
+def _order(of: np.ndarray, rarity: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The order by line, then by rarity (8 bits), then by value.
+
+    One key of 64 bits sorts several times faster than three; where it does not tell two
+    words apart, the three are used.
+    """
+    if len(of) and of[-1] < 1 << 16:
+        key = of.astype(np.uint64) << np.uint64(48) | rarity << np.uint64(40) | value >> np.uint64(24)
+        order = np.argsort(key)
+        key, sorted_ = key[order], value[order]
+        if not ((key[1:] == key[:-1]) & (sorted_[1:] != sorted_[:-1])).any():
+            return order
+    return np.lexsort((value, rarity, of))
+
+
+def _sets(w: words.Words, rarity: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Text and number of each line that has words, and its distinct words, in runs.
+
+    The words of a line are in order of rarity, by the class of their bucket, if it is given.
+    """
     text = np.repeat(np.arange(len(w.at) - 1), np.diff(w.first))
-    feeds = np.cumsum(w.raw == LINE_FEED)
-    number = feeds[w.start] - np.append(0, feeds)[w.at[text]]
+    feeds = np.cumsum(w.raw == LINE_FEED, dtype=np.int32)
+    number = feeds[w.start] - np.append(np.int32(0), feeds)[w.at[text]]
     new = np.ones(len(text), bool)
     new[1:] = (text[1:] != text[:-1]) | (number[1:] != number[:-1])
     of = np.cumsum(new) - 1
-    order = np.lexsort((w.value, of))
+    rank = np.zeros(len(of), np.uint64) if rarity is None else rarity[_bucket(w.value)].astype(np.uint64)
+    order = _order(of, rank, w.value)
     of_word, value = of[order], w.value[order]
     use = np.ones(len(of_word), bool)
     use[1:] = (of_word[1:] != of_word[:-1]) | (value[1:] != value[:-1])
@@ -62,7 +83,25 @@ def _sets(w: words.Words) -> tuple[np.ndarray, ...]:
 
 
 def _bucket(value: np.ndarray) -> np.ndarray:
-    return (value >> np.uint64(46)).astype(np.int64)
+    return (value >> np.uint64(45)).astype(np.int64)
+
+
+def _lists(values: np.ndarray, first: np.ndarray, size: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """The runs of values that begin at ``first`` as lists."""
+    offsets = np.append(0, np.cumsum(size)).astype(np.int32)
+    at = np.repeat(first - offsets[:-1], size) + np.arange(offsets[-1])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[at], kind))
+
+
+def _parities(of: np.ndarray, value: np.ndarray, n_lines: int) -> tuple[np.ndarray, np.ndarray]:
+    """For two times 64 classes of words whether a set has an odd number of them."""
+    if not n_lines:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    head = np.searchsorted(of, np.arange(n_lines))
+    bit = np.uint64(1) << (value >> np.uint64(20) & np.uint64(63))
+    second = value >> np.uint64(26) & np.uint64(1)
+    halves = bit * (np.uint64(1) - second), bit * second
+    return tuple(np.bitwise_xor.reduceat(h, head).view(np.int64) for h in halves)
 
 
 def _digests(of: np.ndarray, value: np.ndarray, n_lines: int) -> np.ndarray:
@@ -72,14 +111,17 @@ def _digests(of: np.ndarray, value: np.ndarray, n_lines: int) -> np.ndarray:
 
 
 def _rarity(docs: DataFrame) -> np.ndarray:
-    """For each bucket of words the lines that hold one; a fixed number of rows."""
+    """For each bucket of words a class of how often they stand in all documents.
+
+    The number of rows and of classes is fixed; a class holds counts that differ by an eighth.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for part in words.slices(batch, "text"):
-                of_value = _sets(words.words(part.column(1), words.SPACED))[3]
-                total += np.bincount(_bucket(of_value), minlength=BUCKETS)
+                found = _bucket(words.words(part.column(1), words.SPACED).value)
+                total += np.bincount(found, minlength=BUCKETS)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["bucket", "n"]
@@ -87,9 +129,10 @@ def _rarity(docs: DataFrame) -> np.ndarray:
 
     counted = docs.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     rows = counted.toArrow()
-    out = np.zeros(BUCKETS, np.int64)
-    out[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
-    return out
+    out = np.zeros(BUCKETS, np.uint64)
+    n = rows.column("n").to_numpy()
+    out[rows.column("bucket").to_numpy()] = np.minimum(6 * np.log2(n), 255).astype(np.uint64)
+    return out.astype(np.uint8)
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -101,20 +144,15 @@ def lines(docs: DataFrame) -> DataFrame:
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in words.slices(batch, "text"):
-            text, number, of, value = _sets(words.words(part.column(1), words.SPACED))
+            text, number, of, value = _sets(words.words(part.column(1), words.SPACED), rarity.value)
             digest = _digests(of, value, len(text))
             n = np.bincount(of, minlength=len(text))
-            parity = np.zeros(len(text), np.uint64)
-            if len(text):
-                head = np.searchsorted(of, np.arange(len(text)))
-                bit = np.uint64(1) << (value >> np.uint64(20) & np.uint64(63))
-                parity = np.bitwise_xor.reduceat(bit, head)
-            # The rarest words of each line; three words or fewer are like equal sets only.
-            order = np.lexsort((value, rarity.value[_bucket(value)], of))
-            place = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            parity, parity_2 = _parities(of, value, len(text))
+            # The rarest words of each line, by half their value, which is enough to meet;
+            # three words or fewer are like equal sets only.
+            ranked = (value >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            begin = np.cumsum(n) - n
             size = np.where(n > 3, n - -(-4 * n // 5) + 1, 0)
-            prefix = value[order][place < size[of]]
-            until = np.cumsum(size)
             # Lines of equal sets in one document become one row.
             by = np.lexsort((number, digest, text))
             new = np.ones(len(by), bool)
@@ -125,104 +163,115 @@ def lines(docs: DataFrame) -> DataFrame:
             empty = np.setdiff1d(np.arange(part.num_rows), text)
             none = len(empty)
 
-            def column(values, kind: pa.DataType) -> pa.Array:
-                return pa.concat_arrays([pa.array(values, kind), pa.nulls(none, kind)])
+            def column(values: pa.Array) -> pa.Array:
+                return pa.concat_arrays([values, pa.nulls(none, values.type)])
 
-            ids = part.column(0).take(pa.array(np.concatenate([text[first], empty])))
-            repeats = [number[by[a + 1 : b]].astype(np.int32) for a, b in zip(head, tail)]
             columns = [
-                ids,
-                column(digest[first].view(np.int64), pa.int64()),
-                column(number[first].astype(np.int32), pa.int32()),
-                column(repeats, pa.list_(pa.int32())),
-                column(n[first].astype(np.int32), pa.int32()),
-                column(parity[first].view(np.int64), pa.int64()),
-                column([prefix[until[k] - size[k] : until[k]].view(np.int64) for k in first], pa.list_(pa.int64())),
+                part.column(0).take(pa.array(np.concatenate([text[first], empty]))),
+                column(pa.array(digest[first].view(np.int64))),
+                column(pa.array(number[first].astype(np.int32))),
+                column(_lists(number[by].astype(np.int32), head + 1, tail - head - 1, pa.int32())),
+                column(pa.array(n[first].astype(np.int32))),
+                column(pa.array(parity[first])),
+                column(pa.array(parity_2[first])),
+                column(_lists(ranked, begin[first], size[first], pa.int32())),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in LINES.split(", ")])
 
     return arrow.map_batches(docs, LINES, make)
 
 
-PAIRS = "digest_a long, digest_b long, from_a long, from_b long, line_a int, line_b int, n_a int, n_b int"
-
-
-def _pair_batch(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    columns = []
-    for name in ("digest", "doc_id", "line", "n"):
-        columns += [pa.array(rows[name][a]), pa.array(rows[name][b])]
-    return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in PAIRS.split(", ")])
+ID = ("doc_id", "line", "parity", "n")  # of a class: the place of its first line, and its set
+PAIR = [f"{c}_{s}" for s in "ab" for c in ID]
+PAIRS = ", ".join(f"{c} {k}" for c, k in zip(PAIR, ("long", "int", "long", "int") * 2)) + ", more boolean"
 
 
 def _passes(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The filters: lengths, words left behind the shared one, and parity."""
     n_a, n_b = rows["n"][a].astype(np.int64), rows["n"][b].astype(np.int64)
     need = -(-4 * (n_a + n_b) // 9)
+    differing = sum(
+        np.bitwise_count((rows[c][a] ^ rows[c][b]).view(np.uint64)).astype(np.int64)
+        for c in ("parity", "parity_2")
+    )
     return (
         (5 * np.minimum(n_a, n_b) >= 4 * np.maximum(n_a, n_b))
         & (np.minimum(n_a - rows["place"][a], n_b - rows["place"][b]) >= need)
-        & (np.bitwise_count(rows["parity"][a] ^ rows["parity"][b]) <= n_a + n_b - 2 * need)
+        & (differing <= n_a + n_b - 2 * need)
     )
 
 
-def _first_partners(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """For each row the first earlier one of the same word that passes, if there is one.
+def _first_partners(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row the first earlier ones of the same word that pass, and whether the search
+    ended before the last one.
 
-    All words are worked on at once: each round compares the rows that have none yet with
-    the next earlier row of their word.
+    All words are worked on at once: each round compares the rows that look for more with the
+    next earlier row of their word.
     """
     word = rows["word"]
     new = np.ones(len(word), bool)
     new[1:] = word[1:] != word[:-1]
     head = np.flatnonzero(new)[np.cumsum(new) - 1]
+    got = np.zeros(len(word), np.int64)
     open_, step = np.flatnonzero(~new), 0
-    found_a, found_b = [], []
+    found: list[tuple[np.ndarray, np.ndarray]] = [(open_[:0], open_[:0])]
+    more = np.zeros(len(word), bool)
     while len(open_):
         partner = head[open_] + step
         ok = _passes(rows, open_, partner)
-        found_a.append(open_[ok])
-        found_b.append(partner[ok])
+        found.append((open_[ok], partner[ok]))
+        got[open_[ok]] += 1
         step += 1
-        open_ = open_[~ok]
         open_ = open_[head[open_] + step < open_]
-    none = [np.zeros(0, np.int64)]
-    return np.concatenate(found_a or none), np.concatenate(found_b or none)
+        full = got[open_] >= PARTNERS
+        more[open_[full]] = True
+        open_ = open_[~full]
+    a, b = (np.concatenate(side) for side in zip(*found))
+    return a, b, more[a]
 
 
-_ROW = ("word", "doc_id", "line", "digest", "place", "n", "parity")
+_ROW = ("word", "doc_id", "line", "place", "n", "parity", "parity_2")
+HELD_ROWS = 1 << 18  # prefix rows that are worked on together
 
 
 def _prefix_rows(classes: DataFrame) -> DataFrame:
     return classes.select(
-        F.posexplode("prefix").alias("place", "word"), "doc_id", "line", "digest", "n", "parity"
+        F.posexplode("prefix").alias("place", "word"), "doc_id", "line", "n", "parity", "parity_2"
     ).select(*_ROW)
 
 
 def _candidates(prefixes: DataFrame) -> DataFrame:
-    """One pair for each prefix row that has an earlier partner at its word."""
+    """The first partners of each prefix row at its word, and whether it has more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        n_held = 0
 
-        def pairs(table: pa.Table) -> pa.RecordBatch:
+        def pairs() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
             rows = {c: table.column(c).to_numpy() for c in _ROW}
-            rows["parity"] = rows["parity"].view(np.uint64)
-            return _pair_batch(rows, *_first_partners(rows))
+            order = np.lexsort((rows["line"], rows["doc_id"], rows["word"]))
+            rows = {c: v[order] for c, v in rows.items()}
+            a, b, more = _first_partners(rows)
+            columns = [pa.array(rows[c][side]) for side in (a, b) for c in ID] + [pa.array(more)]
+            return pa.RecordBatch.from_arrays(columns, names=[*PAIR, "more"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             word = batch.column(0).to_numpy(zero_copy_only=False)
             cut = int(np.searchsorted(word, word[-1]))  # the last word may go on
-            if cut:
+            if cut and n_held + cut >= HELD_ROWS:
                 held.append(batch.slice(0, cut))
-                yield pairs(pa.Table.from_batches(held))
-                held = []
-            held.append(batch.slice(cut))
+                yield pairs()
+                held, n_held, batch = [], 0, batch.slice(cut)
+            held.append(batch)
+            n_held += batch.num_rows
         if held:
-            yield pairs(pa.Table.from_batches(held))
+            yield pairs()
 
-    return prefixes.repartition("word").sortWithinPartitions("word", "doc_id", "line").mapInArrow(run, PAIRS)
+    # One integer key sorts fastest; the rows of a word are put in order where they are compared.
+    return prefixes.repartition("word").sortWithinPartitions("word").mapInArrow(run, PAIRS)
 
 
 def _all_candidates(some: DataFrame, prefixes: DataFrame) -> DataFrame:
@@ -231,53 +280,61 @@ def _all_candidates(some: DataFrame, prefixes: DataFrame) -> DataFrame:
         "a.word = b.word and (b.doc_id < a.doc_id or b.doc_id = a.doc_id and b.line < a.line) "
         "and 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n) "
         "and 9 * least(a.n - a.place, b.n - b.place) >= 4 * (a.n + b.n) "
-        "and 9 * bit_count(a.parity ^ b.parity) <= a.n + b.n"
+        "and 9 * (bit_count(a.parity ^ b.parity) + bit_count(a.parity_2 ^ b.parity_2)) <= a.n + b.n"
     )
-    pairs = some.alias("a").join(prefixes.alias("b"), on)
-    names = {"digest": "digest", "doc_id": "from", "line": "line", "n": "n"}
-    both = [F.col(f"{s}.{c}").alias(f"{to}_{s}") for c, to in names.items() for s in "ab"]
-    return pairs.select(*both).distinct()
+    both = [F.col(f"{s}.{c}").alias(f"{c}_{s}") for s in "ab" for c in ID]
+    return some.alias("a").join(prefixes.alias("b"), on).select(*both).distinct()
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def _confirmed(docs: DataFrame, pairs: DataFrame, store: frames.Store) -> DataFrame:
     """``digest`` of the classes that have a pair whose sets are alike."""
-    pairs = frames.stored(pairs.distinct(), "line-pairs")
-    wanted = (
-        pairs.selectExpr("from_a as doc", "digest_a as digest")
-        .union(pairs.selectExpr("from_b as doc", "digest_b as digest"))
-        .distinct()
-    )
-    wanted = frames.stored(wanted.groupBy("doc").agg(F.collect_list("digest").alias("wanted")), "lines-wanted")
+    pairs = store(pairs.distinct(), "line-pairs")
+    of = {side: [F.col(f"{c}_{side}").alias(c) for c in ID] for side in "ab"}
+    wanted = store(
+        pairs.select(*of["a"]).union(pairs.select(*of["b"])).distinct()
+        .groupBy(F.col("doc_id").alias("doc")).agg(F.collect_list(F.struct("line", "parity")).alias("wanted")),
+        "lines-wanted",
+    )
     size = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
-    # Sixteen bytes a line; more lines than this are joined by a shuffle.
+    # Some twenty bytes a line; more lines than this are joined by a shuffle.
     side = F.broadcast(wanted) if size <= BROADCAST_LINES else wanted
     chosen = docs.join(side, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("doc")).select("doc", "text", "wanted")
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in words.slices(batch, "text"):
-            text, _, of, value = _sets(words.words(part.column(1), words.SPACED))
-            digest = _digests(of, value, len(text))
-            n = np.bincount(of, minlength=len(text))
-            until = np.cumsum(n)
-            rows = []
-            for k, some in enumerate(part.column(2)):
-                low, high = np.searchsorted(text, [k, k + 1])
-                asked = some.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                _, at, _ = np.intersect1d(digest[low:high], asked, return_indices=True)
-                rows += (low + at).tolist()
+            text, number, of_word, value = _sets(words.words(part.column(1), words.SPACED))
+            parity, _ = _parities(of_word, value, len(text))
+            n = np.bincount(of_word, minlength=len(text))
+            listed = part.column(2)
+            asked = listed.flatten()
+            row = np.repeat(np.arange(part.num_rows), listed.value_lengths().to_numpy(zero_copy_only=False))
+            line = asked.field("line").to_numpy(zero_copy_only=False)
+            want = asked.field("parity").to_numpy(zero_copy_only=False)
+            # Where the line stands among those of its text; a text of the same id may lack it.
+            place = text.astype(np.int64) << 32 | number
+            key = row.astype(np.int64) << 32 | line
+            at = np.minimum(np.searchsorted(place, key), max(len(place) - 1, 0))
+            found = (place[at] == key) & (parity[at] == want) if len(place) else np.zeros(len(key), bool)
+            at = at[found]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digest[rows].view(np.int64)),
-                 pa.array([value[until[r] - n[r] : until[r]].view(np.int64) for r in rows], pa.list_(pa.int64()))],
-                names=["digest", "words"],
+                [part.column(0).take(pa.array(row[found])), pa.array(number[at].astype(np.int32)),
+                 pa.array(parity[at]), pa.array(_digests(of_word, value, len(text))[at].view(np.int64)),
+                 _lists(value.view(np.int64), (np.cumsum(n) - n)[at], n[at], pa.int64())],
+                names=["doc_id", "line", "parity", "digest", "words"],
             )
 
-    # Rows that share a doc_id may give a set twice.
-    sets = arrow.map_batches(chosen, "digest long, words array<long>", make).dropDuplicates(["digest"])
-    sets = frames.stored(sets, "line-sets")
+    schema = "doc_id long, line int, parity long, digest long, words array<long>"
+    sets = arrow.map_batches(chosen, schema, make)
+
+    def named(side: str) -> DataFrame:
+        keys = [F.col(c).alias(f"{c}_{side}") for c in ID[:3]]
+        return sets.select(*keys, F.col("digest").alias(f"digest_{side}"), F.col("words").alias(side))
+
     return (
-        pairs.select("digest_a", "digest_b", "n_a", "n_b")
-        .join(sets.selectExpr("digest as digest_a", "words as a"), "digest_a")
-        .join(sets.selectExpr("digest as digest_b", "words as b"), "digest_b")
+        pairs.join(named("b"), [f"{c}_b" for c in ID[:3]])
+        .join(named("a"), [f"{c}_a" for c in ID[:3]])
+        # Always so; with it both sides need the same columns, and their shuffle is made once.
+        .where("digest_a != digest_b")
         .selectExpr("digest_a as digest", "n_a", "n_b", "size(array_intersect(a, b)) as shared")
         .where(ALIKE)
         .select("digest")
@@ -285,35 +342,38 @@ def _confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def _outcome(docs: DataFrame) -> DataFrame:
+def _outcome(docs: DataFrame, store: frames.Store) -> DataFrame:
     """Rows of ``lines`` with ``kept`` and ``near``: whether the first one of the row stays, and
     whether it goes for a line that is alike but not equal."""
-    found = frames.stored(lines(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))), "lines")
+    found = store(lines(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))), "lines")
     classes = (
         found.where("digest is not null")
         .groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "line", "n", "parity", "prefix")).alias("first"))
+        .agg(F.min(F.struct("doc_id", "line", "n", "parity", "parity_2", "prefix")).alias("first"))
         .select("digest", "first.*")
     )
-    classes = frames.stored(classes, "line-classes")
+    classes = store(classes, "line-classes")
     prefixes = _prefix_rows(classes)
-    tried = frames.stored(_candidates(prefixes).distinct(), "line-candidates")
-    near = frames.stored(_confirmed(docs, tried), "lines-near")
-    left = frames.stored(
-        tried.selectExpr("digest_a as digest").distinct().join(near, "digest", "left_anti"), "lines-left"
+    tried = store(_candidates(prefixes), "line-candidates")
+    near = store(_confirmed(docs, tried.select(*PAIR), store), "lines-near")
+    # Classes whose first partners were not like them, and that have more.
+    more = tried.where("more").select(*[F.col(f"{c}_a").alias(c) for c in ID[:3]]).distinct()
+    left = store(
+        classes.join(more, list(ID[:3]), "left_semi").join(near, "digest", "left_anti"), "lines-left"
     )
-    if not left.isEmpty():
-        rest = _prefix_rows(classes.join(left, "digest", "left_semi"))
-        more = _confirmed(docs, _all_candidates(rest, prefixes))
-        near = frames.stored(near.union(more), "lines-near")
-    classes = frames.stored(
+    rest, n_rest = _prefix_rows(left), left.agg(F.sum(F.size("prefix"))).first()[0]
+    if n_rest:
+        rest = F.broadcast(rest) if n_rest <= BROADCAST_LINES else rest
+        found_more = _confirmed(docs, _all_candidates(rest, prefixes), store)
+        near = store(near.union(found_more), "lines-near")
+    classes = store(
         classes.select("digest", F.col("doc_id").alias("first"))
         .join(near.withColumn("near", F.lit(True)), "digest", "left")
         .select("digest", "first", F.coalesce("near", F.lit(False)).alias("near")),
         "line-outcome",
     )
     return (
-        found.drop("parity", "prefix", "n")
+        found.drop("parity", "parity_2", "prefix", "n")
         .join(classes, "digest", "left")
         .withColumn("kept", F.expr("coalesce(first = doc_id and not near, true)"))
     )
@@ -322,9 +382,15 @@ def _outcome(docs: DataFrame) -> DataFrame:
 def report(docs: DataFrame) -> DataFrame:
     """Per document its lines with words and the numbers (from 0) of those removed."""
     gone = "if(digest is null, cast(array() as array<int>), if(kept, repeats, concat(array(line), repeats)))"
+    with frames.scratch(docs.sparkSession) as store:
+        found = _outcome(frames.texts(docs), store)
+        rows = found.selectExpr("doc_id", "digest", "repeats", f"{gone} as gone", "not kept and near as near")
+        return frames.stored(_by_document(rows), "line-report")
+
+
+def _by_document(rows: DataFrame) -> DataFrame:
     return (
-        _outcome(frames.texts(docs))
-        .selectExpr("doc_id", "digest", "repeats", f"{gone} as gone", "not kept and near as near")
+        rows
         .groupBy("doc_id")
         .agg(
             F.sum(F.expr("if(digest is null, 0, 1 + size(repeats))")).cast("long").alias("n_lines"),
@@ -343,14 +409,10 @@ def clean(docs: DataFrame) -> DataFrame:
 
     A document that had words and has lost them all is dropped.
     """
-    gone = (
-        _outcome(frames.texts(docs))
-        .where("not kept")
-        .groupBy("doc_id")
-        .agg(F.collect_list("digest").alias("gone"))
-        .withColumnRenamed("doc_id", "_id")
-    )
-    gone = frames.stored(gone, "lines-gone")
+    with frames.scratch(docs.sparkSession) as store:
+        gone = _outcome(frames.texts(docs), store).where("not kept")
+        gone = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("digest").alias("gone"))
+        gone = frames.stored(gone, "lines-gone")
     joined = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text")).join(
         gone, F.coalesce(F.col("row.doc_id"), F.lit(NO_ID)) == F.col("_id"), "left"
     )

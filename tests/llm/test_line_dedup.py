@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import edge
 import pytest
+from pyspark.sql import functions as F
 
 from headrace.llm import frames, line_dedup
 
@@ -42,7 +43,9 @@ def check(frame, texts):
 def alike():
     draw = random.Random(2)
     rare = [f"w{i}" for i in range(300)]
-    texts, base = [], [draw.sample(rare, draw.randint(1, 30)) for _ in range(60)]
+    base = [draw.sample(rare, draw.randint(1, 30)) for _ in range(60)]
+    base += [draw.sample(rare, draw.randint(90, 250)) for _ in range(6)]
+    texts: list[tuple[int, str]] = []
     for i in range(60):
         lines = []
         for _ in range(draw.randint(0, 8)):
@@ -68,9 +71,20 @@ def test_against_brute_force(spark, alike):
             assert texts[i] == "\n".join(lines)
 
 
-def test_pairs_that_only_pass_the_filters_do_not_settle(spark, alike, monkeypatch):
-    """With filters that let everything pass, first choices fail and the rest is compared."""
-    monkeypatch.setattr(line_dedup, "_passes", lambda rows, a, b: a >= 0)
+@pytest.mark.parametrize("broadcast", [0, 500_000])
+def test_first_choices_that_are_not_alike_do_not_settle(spark, alike, monkeypatch, broadcast):
+    """The first earlier line of the same word, whatever it is, instead of one that passes."""
+
+    def first(prefixes):
+        on = "a.word = b.word and (b.doc_id < a.doc_id or b.doc_id = a.doc_id and b.line < a.line)"
+        named = [F.expr(f"a.{c}").alias(f"{c}_a") for c in line_dedup.ID]
+        pairs = prefixes.alias("a").join(prefixes.alias("b"), F.expr(on)).groupBy("a.word", *named)
+        least = pairs.agg(F.min(F.struct(*(f"b.{c}" for c in line_dedup.ID))).alias("b"))
+        chosen = [F.col(f"b.{c}").alias(f"{c}_b") for c in line_dedup.ID]
+        return least.select(*(f"{c}_a" for c in line_dedup.ID), *chosen, F.lit(True).alias("more"))
+
+    monkeypatch.setattr(line_dedup, "_candidates", first)
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", broadcast)
     check(spark.createDataFrame(edge.rows(alike), edge.SCHEMA), alike)
 
 
