@@ -33,7 +33,7 @@ from headrace.llm import arrow, frames, words
 WINDOW = 13
 HIT_SHARE = 20
 BLOCK_BYTES = 32 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 
 _KEY = np.dtype((np.void, 4 * WINDOW))
 

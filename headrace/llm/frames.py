@@ -15,7 +15,7 @@ from headrace import session
 # Batches are bounded by bytes as well as rows, so that long texts do not pile up.
 BATCH_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(2 << 20),
 }
 
 ROOT = str(Path(__file__).resolve().parents[2])
