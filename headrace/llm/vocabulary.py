@@ -41,8 +41,8 @@ PLAIN = re.compile(f"[{LETTERS}]+")
 END = "\0"  # stands for the mark at the end of a word
 NEVER = 1 << 60
 
-CACHED_PIECES = 300_000
-CACHED_PAIRS = 600_000
+CACHED_PIECES = 200_000
+CACHED_PAIRS = 300_000
 
 
 def _byte_letters() -> dict[int, str]:
