@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame
 
 from headrace.llm import arrow, frames, vocabulary
 
+# Counts are small, so more of them are kept than of encoded pieces.
+COUNTED_PIECES = 400_000
+TESTED_PAIRS = 600_000
+
 
 def prefix_counts(vocab: vocabulary.Vocabulary, word: str) -> list[int]:
     """The number of tokens of each prefix of a word given in byte letters."""
@@ -41,7 +45,7 @@ def text_count(vocab: vocabulary.Vocabulary, counts: dict[str, int], text: str)
         try:
             total += sum([counts[p] for p in pieces])
         except KeyError:
-            if len(counts) >= vocabulary.CACHED_PIECES:
+            if len(counts) >= COUNTED_PIECES:
                 counts.clear()
             for piece in pieces:
                 known = counts.get(piece)
@@ -115,6 +119,7 @@ def count(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
 
     def make(batch: pa.RecordBatch):
         vocab = vocabulary.load(shared, "count")
+        vocab.most_pairs = TESTED_PAIRS
         sizes, counts = [], []
         for text in batch.column(1).to_pylist():
             sizes.append(len((text or "").encode()))

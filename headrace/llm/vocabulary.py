@@ -91,6 +91,7 @@ class Vocabulary:
                 self._automaton.add_word(string, (i, len(string)))
         self._automaton.make_automaton()
         self._pairs: dict[int, bool] = {}
+        self.most_pairs = CACHED_PAIRS
         self._cache: dict[str, object] = {}
 
     def _plain(self, string: str) -> str:
@@ -141,7 +142,7 @@ class Vocabulary:
         key = left << 32 | right
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) >= CACHED_PAIRS:
+            if len(self._pairs) >= self.most_pairs:
                 self._pairs.clear()
             known = self._pairs[key] = not self._crossed(left, right, NEVER)
         return known
