@@ -72,7 +72,7 @@ def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.spans(frames.table(spark, sf_dir, "documents"))
+    return substring_dedup.spans(frames.table(spark, sf_dir, "documents"), line_words=1)
 
 
 @query

@@ -1,22 +1,24 @@
 """Repeated lines and passages, removed but for their earliest occurrence.
 
 Units are hashed after normalising: words between white space, A-Z lower-cased. A unit is a
-line of at least ``UNIT_WORDS`` words, or ``UNIT_WORDS`` consecutive words that begin at a
-word chosen by its own value (one in ``EVERY``), so that a passage gives the same units
-wherever it stands, inside a line or over several. A repeated passage of ``UNIT_WORDS`` + n
-words holds such a unit unless none of n + 1 words is chosen; of 50 words that is one in
-2,000.
+line of at least ``line_words`` words, or any ``UNIT_WORDS`` consecutive words, inside a line
+or over several. So every repeated passage of ``UNIT_WORDS`` words or more is covered from its
+first word to its last, and every repeated line of enough words whatever its length.
 
 Digests, of 64 bits, are grouped globally. The occurrence in the smallest ``doc_id`` (null
-last), there the first one, is kept; every other one is removed. In one document, only
-occurrences behind the end of its first one count. Removed units that touch form one span,
-which carries its offsets in the original text, in code points.
-
-A document's repeats of its own units are found within its row. Across documents only the
-smallest ``doc_id`` of each digest is needed, combined before the shuffle, and only digests
-that stand in two documents are joined back. Rows that share a ``doc_id`` count as copies of
-one document. Null and blank text has no units; an empty table gives an empty result; the
-spans need only ``doc_id`` and ``text``, and cleaning keeps columns of any name.
+last), there the first one, is kept; every other one is
+removed. In one document, only occurrences behind the end of its first one count. Removed
+units that touch form one span, which carries its offsets in the original text, in code points.
+
+Most units occur once. A first pass sends nothing but digests, packed by their leading bits,
+to find those that occur twice; they set bits in a table of ``1 << BITS`` bits, and only units
+whose bit is set go on. The table has a fixed size: when many units repeat more of the others
+pass, and nothing is lost. A document's repeats of its own units are found within its row.
+Across documents only the smallest ``doc_id`` of each digest is needed, combined before the shuffle,
+and only digests that stand in two documents are joined back.
+
+Rows that share a ``doc_id`` count as copies of one document. Null and blank text has no
+units; an empty table gives an empty result; the spans need only ``doc_id`` and ``text``, and cleaning keeps columns of any name.
 """
 
 from __future__ import annotations
@@ -25,21 +27,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headrace.llm import arrow, frames, words
 
 UNIT_WORDS = 16
-EVERY = 5
+EVERY = 1  # a unit begins at one in so many words, chosen by value; beyond 1 passages are missed
 LINE_FEED = 10
 NO_ID = (1 << 63) - 1  # stands for a null doc_id
 
+BITS = 27  # of the table of repeated digests
+BUCKET_CHARS = 1 << 21  # text whose digests are compared at a time
+HELD_DIGESTS = 1 << 21  # digests that are packed together
+
 UNITS = "doc_id long, digest long, from int, until int, again boolean"
 SPANS = "doc_id long, from long, until long, n_units long, kept_doc_id long"
 
 
-def _units(w: words.Words) -> tuple[np.ndarray, ...]:
+def _units(w: words.Words, line_words: int) -> tuple[np.ndarray, ...]:
     """Text, digest, first word and end word of every unit."""
     n = len(w.start)
     text = np.repeat(np.arange(len(w.at) - 1), np.diff(w.first))
@@ -48,23 +55,80 @@ def _units(w: words.Words) -> tuple[np.ndarray, ...]:
     head[1:] = line[1:] != line[:-1]
     first = np.flatnonzero(head)
     last = np.append(first[1:], n)[: len(first)]
-    whole = last - first >= UNIT_WORDS
+    whole = last - first >= line_words
     chosen = w.value % np.uint64(EVERY) == 0
     chosen = np.flatnonzero(chosen & (np.arange(n) + UNIT_WORDS <= w.first[1:][text]))
     begin = np.concatenate([first[whole], chosen])
     end = np.concatenate([last[whole], chosen + UNIT_WORDS])
-    digest = words.runs(w.value, begin, end)
-    order = np.lexsort((begin, digest, text[begin]))
-    return text[begin[order]], digest[order], begin[order], end[order]
-
-
-def units(docs: DataFrame) -> DataFrame:
-    """The units of each document: ``again`` tells repeats within it from first occurrences."""
+    return text[begin], words.runs(w.value, begin, end), begin, end
+
+
+def _slot(digest: np.ndarray) -> np.ndarray:
+    return (digest >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def _repeated(docs: DataFrame, line_words: int) -> np.ndarray:
+    """The table of bits, eight to a byte, in which every digest that occurs twice has one."""
+    size = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    lead = min(max((size // BUCKET_CHARS).bit_length(), 10), BITS - 3)
+    rest = np.uint64(32 - lead)  # bits that are not sent; without them a few units more pass
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def packed() -> pa.RecordBatch:
+            digest = np.sort(np.concatenate(held) >> rest)
+            use = np.ones(len(digest), bool)
+            use[2:] = digest[2:] != digest[:-2]  # two of a kind tell as much as more
+            digest = digest[use]
+            bucket, at = np.unique(digest >> np.uint64(32), return_index=True)
+            parts = [d.tobytes() for d in np.split(digest.astype(np.uint32), at[1:])]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket.astype(np.int32)), pa.array(parts, pa.binary())], names=["bucket", "digests"]
+            )
+
+        for batch in batches:
+            for part in words.slices(batch, "text") if batch.num_rows else ():
+                found = _units(words.words(part.column(1), words.SPACED), line_words)[1]
+                if len(found):
+                    held.append(found)
+                if sum(map(len, held)) >= HELD_DIGESTS:
+                    yield packed()
+                    held = []
+        if held:
+            yield packed()
+
+    def compare(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        digest = np.sort(np.concatenate([np.frombuffer(d.as_py(), np.uint32) for d in table.column("digests")]))
+        twice = digest[1:][digest[1:] == digest[:-1]]
+        bits = np.zeros(1 << BITS - lead, bool)
+        bits[twice >> np.uint32(32 - BITS + lead)] = True
+        return pa.table({"bucket": pa.array([bucket], pa.int32()), "bits": pa.array([np.packbits(bits).tobytes()])})
+
+    packs = docs.mapInArrow(pack, "bucket int, digests binary")
+    found = packs.groupBy("bucket").applyInArrow(compare, "bucket int, bits binary").toArrow()
+    out = np.zeros((1 << lead, 1 << BITS - 3 - lead), np.uint8)
+    for bucket, bits in zip(found.column("bucket").to_pylist(), found.column("bits")):
+        out[bucket] = np.frombuffer(bits.as_py(), np.uint8)
+    return out.ravel()
+
+
+def units(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
+    """The units of each document that may stand elsewhere too: ``again`` tells repeats within
+    it from first occurrences."""
+    docs = frames.texts(docs)
+    spark = docs.sparkSession
+    bits: Broadcast = spark.sparkContext.broadcast(_repeated(docs, line_words))
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in words.slices(batch, "text"):
             w = words.words(part.column(1), words.SPACED)
-            text, digest, begin, end = _units(w)
+            text, digest, begin, end = _units(w, line_words)
+            slot = _slot(digest)
+            use = np.flatnonzero(bits.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1)
+            use = use[np.lexsort((begin[use], digest[use], text[use]))]
+            text, digest, begin, end = text[use], digest[use], begin[use], end[use]
             new = np.ones(len(text), bool)
             new[1:] = (text[1:] != text[:-1]) | (digest[1:] != digest[:-1])
             kept_end = end[np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -81,12 +145,13 @@ def units(docs: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in UNITS.split(", ")])
 
-    return arrow.map_batches(frames.texts(docs), UNITS, make)
+    return arrow.map_batches(docs, UNITS, make)
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """The removed spans: ``doc_id``, ``from``, ``until``, and the document that keeps the text."""
-    found = units(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+def spans(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
+    """The removed spans: ``doc_id``, ``from``, ``until``, and the document that
+    keeps the text. Lines of fewer than ``line_words`` words are no units of their own."""
+    found = units(docs, line_words).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
     repeated = (
         found.where("not again")
         .groupBy("digest")
@@ -130,9 +195,10 @@ def _spans(found: DataFrame, repeated: DataFrame) -> DataFrame:
     return arrow.map_batches(removed, SPANS, make)
 
 
-def clean(docs: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
     """The documents without their removed spans, with all their columns."""
-    cuts = spans(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("from", "until")).alias("cuts"))
+    cuts = spans(docs, line_words).groupBy(F.col("doc_id").alias("_id"))
+    cuts = cuts.agg(F.collect_list(F.struct("from", "until")).alias("cuts"))
     joined = docs.select(F.struct("*").alias("row")).join(cuts, F.col("row.doc_id").eqNullSafe(F.col("_id")), "left")
     text = next(k for k, name in enumerate(docs.columns) if name.lower() == "text")
 

@@ -6,7 +6,7 @@ import re
 import edge
 import pyarrow as pa
 
-from headrace.llm import frames, substring_dedup, words
+from headrace.llm import frames, queries, substring_dedup, words
 
 SMALL = "/root/testdata/sf0.001"
 N, EVERY = substring_dedup.UNIT_WORDS, substring_dedup.EVERY
@@ -88,3 +88,24 @@ def test_edges(spark, edges, empty):
     assert {r["text"] for r in kept.where("doc_id = 4").collect()} == {""}
     assert kept.where("doc_id = 1 and text is null").count() == 1
     assert substring_dedup.spans(empty).count() == substring_dedup.clean(empty).count() == 0
+
+
+def test_every_repeated_passage_is_cut_whole(spark, docs):
+    """Also passages of few distinct words, down to the length of a unit, at their exact ends."""
+    draw = random.Random(8)
+    fresh = lambda n: " ".join(f"w{draw.randrange(10**9)}" for _ in range(n))
+    passages = [fresh(n) for n in (16, 17, 20, 30) for _ in range(10)]
+    passages += [" ".join(draw.choice([f"{k}a", f"{k}b", f"{k}c"]) for _ in range(40)) for k in range(10)]
+    texts = [f"{fresh(5)} {p} {fresh(5)}" for p in passages] + [f"{fresh(7)} {p} {fresh(3)}" for p in passages]
+    n = len(passages)
+    got = [(r["doc_id"], r["from"], r["until"]) for r in substring_dedup.spans(docs(*texts)).collect()]
+    want = [(n + i, at, at + len(p)) for i, p in enumerate(passages) for at in [texts[n + i].index(p)]]
+    assert sorted(g for g in got if g[0] >= n) == want
+
+
+def test_short_lines_are_units_of_the_query(spark, tmp_path):
+    texts = ["a title\nfirst text", "other\nA  Title", "x\n\nother\nend"]
+    path = tmp_path.as_uri()
+    spark.createDataFrame(edge.rows(list(enumerate(texts))), edge.SCHEMA).write.parquet(f"{path}/documents.parquet")
+    got = queries.all_queries()["op1_substring_dedup"](spark, path).collect()
+    assert sorted((r["doc_id"], r["from"], r["until"], r["kept_doc_id"]) for r in got) == [(1, 6, 14, 0), (2, 3, 8, 1)]
