@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headrace.llm import arrow, frames
@@ -63,13 +63,15 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp`` of every document."""
+    """``doc_id``, ``text_hash`` and ``fp`` of every document."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = [fingerprint(t or "", shingle) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
+        columns = [batch.column(0), batch.column(2), pa.array(found, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "fp"])
 
-    return arrow.map_batches(frames.texts(docs), "doc_id long, fp long", make)
+    given = frames.texts(docs).withColumn("text_hash", F.xxhash64("text"))
+    return arrow.map_batches(given, "doc_id long, text_hash long, fp long", make)
 
 
 _nearest: list[np.ndarray] = []
@@ -188,18 +190,27 @@ def components(edges: DataFrame, store: frames.Store = frames.stored) -> DataFra
     return placed
 
 
+def _classes(order: DataFrame, store: frames.Store, max_bits: int) -> DataFrame:
+    """``fp`` and ``first``, the least ``first`` in the component of each fingerprint.
+
+    ``order`` has each fingerprint once, with the least of its rows in ``first``.
+    """
+    nodes = store(order, "nodes")
+    placed = components(links(nodes, max_bits), store)
+    rooted = nodes.join(placed, F.col("fp") == F.col("node"), "left").selectExpr(
+        "fp", "first", "coalesce(root, fp) as root"
+    )
+    rooted = store(rooted, "rooted")
+    smallest = store(rooted.groupBy("root").agg(F.min("first").alias("least")), "components")
+    return store(rooted.join(smallest, "root").selectExpr("fp", "least as first"), "classes")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``doc_id``, ``fingerprint`` (hexadecimal) and ``component_id`` of every document."""
     with frames.scratch(docs.sparkSession) as store:
         printed = store(fingerprints(docs, shingle), "fingerprints")
-        nodes = store(printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-        placed = components(links(nodes, max_bits), store)
-        rooted = nodes.join(placed, F.col("fp") == F.col("node"), "left").selectExpr(
-            "fp", "first", "coalesce(root, fp) as root"
-        )
-        rooted = store(rooted, "rooted")
-        smallest = store(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "components")
-        classes = store(rooted.join(smallest, "root").select("fp", "component_id"), "classes")
+        order = printed.groupBy("fp").agg(F.min("doc_id").alias("first"))
+        classes = _classes(order, store, max_bits).withColumnRenamed("first", "component_id")
         found = printed.join(classes, "fp").select(
             "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
         )
@@ -207,19 +218,20 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each component, the one with the smallest ``doc_id``, with all its columns.
-
-    Of rows that share a ``doc_id`` the one whose text has the smallest hash stays.
+    """One row of each component with all its columns: the one with the smallest ``doc_id``, null
+    last, and of those that share it the one whose text has the smallest hash.
     """
-    groups = near_duplicates(docs, shingle, max_bits)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept"))
-    kept = frames.stored(kept.distinct(), "representatives")
     row = F.struct("*").alias("row")
-    by_id = Window.partitionBy("id").orderBy("h")
-    return (
-        docs.select(row, F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("h"))
-        .join(kept, F.col("id").eqNullSafe(F.col("kept")), "left_semi")
-        .withColumn("nth", F.row_number().over(by_id))
-        .where("nth = 1")
-        .select("row.*")
-    )
+    text_hash = F.xxhash64(F.col("text").cast("string"))
+    least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    with frames.scratch(docs.sparkSession) as store:
+        printed = store(fingerprints(docs, shingle), "fingerprints")
+        order = printed.groupBy("fp").agg(F.min(least).alias("first"))
+        classes = _classes(order, store, max_bits)
+        kept = classes.select(F.col("first.doc_id").alias("kept"), F.col("first.text_hash").alias("kept_hash"))
+        kept = frames.stored(kept.distinct(), "representatives")
+    rows = docs.select(row, F.col("doc_id").cast("bigint").alias("id"), text_hash.alias("h"))
+    # The hash leads: it spreads rows without an id. Rows equal in both are combined in their tasks.
+    on = (F.col("h") == F.col("kept_hash")) & F.col("id").eqNullSafe(F.col("kept"))
+    found = rows.join(kept, on, "left_semi")
+    return found.groupBy("id", "h").agg(F.first("row").alias("row")).select("row.*")

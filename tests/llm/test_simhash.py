@@ -107,3 +107,13 @@ def test_edges(spark, edges, empty):
     ids = [r["doc_id"] for r in kept.collect()]
     assert len(ids) == len(set(ids)) and {1, 2, 4}.isdisjoint(ids) and None in ids
     assert simhash.near_duplicates(empty).count() == simhash.representatives(empty).count() == 0
+
+
+def test_representatives_are_rows_not_ids(spark):
+    one, two, three = edge.PROSE, edge.LONG, "another text of its own with enough words to be far from the rest"
+    texts = [(0, two), (1, one), (1, two), (None, three), (None, three), (None, three + " and more words follow here"), (None, "x y z")]
+    frame = spark.createDataFrame(edge.rows(texts), edge.SCHEMA)
+    got = sorted((r["doc_id"] is None, r["doc_id"], r["text"]) for r in simhash.representatives(frame).collect())
+    root = roots([plain(t) for _, t in texts])
+    want = sorted((texts[k][0] is None, texts[k][0], texts[k][1]) for k in sorted(set(root)))
+    assert got == want and (False, 1, one) in got and sum(g[0] for g in got) >= 2
