@@ -6,7 +6,7 @@ or over several. So every repeated passage of ``UNIT_WORDS`` words or more is co
 first word to its last, and every repeated line of enough words whatever its length.
 
 Digests, of 64 bits, are grouped globally. The occurrence in the smallest ``doc_id`` (null
-last), there the first one, is kept; every other one is
+last, texts under one id by their hash), there the first one, is kept; every other one is
 removed. In one document, only occurrences behind the end of its first one count. Removed
 units that touch form one span, which carries its offsets in the original text, in code points.
 
@@ -14,11 +14,13 @@ Most units occur once. A first pass sends nothing but digests, packed by their l
 to find those that occur twice; they set bits in a table of ``1 << BITS`` bits, and only units
 whose bit is set go on. The table has a fixed size: when many units repeat more of the others
 pass, and nothing is lost. A document's repeats of its own units are found within its row.
-Across documents only the smallest ``doc_id`` of each digest is needed, combined before the shuffle,
+Across documents only the smallest row of each digest is needed, combined before the shuffle,
 and only digests that stand in two documents are joined back.
 
-Rows that share a ``doc_id`` count as copies of one document. Null and blank text has no
-units; an empty table gives an empty result; the spans need only ``doc_id`` and ``text``, and cleaning keeps columns of any name.
+A document is a ``doc_id`` and a text, named by ``text_hash``: different texts under one id,
+or without one, are different documents. Rows equal in both are copies of one document, which
+are cut alike. Null and blank text has no units; an empty table gives an empty result; the
+spans need only ``doc_id`` and ``text``, and cleaning keeps columns of any name.
 """
 
 from __future__ import annotations
@@ -38,12 +40,12 @@ EVERY = 1  # a unit begins at one in so many words, chosen by value; beyond 1 pa
 LINE_FEED = 10
 NO_ID = (1 << 63) - 1  # stands for a null doc_id
 
-BITS = 27  # of the table of repeated digests
+BITS = 28  # of the table of repeated digests
 BUCKET_CHARS = 1 << 21  # text whose digests are compared at a time
 HELD_DIGESTS = 1 << 21  # digests that are packed together
 
-UNITS = "doc_id long, digest long, from int, until int, again boolean"
-SPANS = "doc_id long, from long, until long, n_units long, kept_doc_id long"
+UNITS = "doc_id long, text_hash long, digest long, from int, until int, again boolean"
+SPANS = "doc_id long, text_hash long, from long, until long, n_units long, kept_doc_id long"
 
 
 def _units(w: words.Words, line_words: int) -> tuple[np.ndarray, ...]:
@@ -67,6 +69,10 @@ def _slot(digest: np.ndarray) -> np.ndarray:
     return (digest >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return frames.texts(docs).withColumn("text_hash", F.xxhash64("text"))
+
+
 def _repeated(docs: DataFrame, line_words: int) -> np.ndarray:
     """The table of bits, eight to a byte, in which every digest that occurs twice has one."""
     size = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
@@ -106,7 +112,7 @@ def _repeated(docs: DataFrame, line_words: int) -> np.ndarray:
         bits[twice >> np.uint32(32 - BITS + lead)] = True
         return pa.table({"bucket": pa.array([bucket], pa.int32()), "bits": pa.array([np.packbits(bits).tobytes()])})
 
-    packs = docs.mapInArrow(pack, "bucket int, digests binary")
+    packs = docs.select("doc_id", "text").mapInArrow(pack, "bucket int, digests binary")
     found = packs.groupBy("bucket").applyInArrow(compare, "bucket int, bits binary").toArrow()
     out = np.zeros((1 << lead, 1 << BITS - 3 - lead), np.uint8)
     for bucket, bits in zip(found.column("bucket").to_pylist(), found.column("bits")):
@@ -117,7 +123,7 @@ def _repeated(docs: DataFrame, line_words: int) -> np.ndarray:
 def units(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
     """The units of each document that may stand elsewhere too: ``again`` tells repeats within
     it from first occurrences."""
-    docs = frames.texts(docs)
+    docs = _keyed(docs)
     spark = docs.sparkSession
     bits: Broadcast = spark.sparkContext.broadcast(_repeated(docs, line_words))
 
@@ -138,6 +144,7 @@ def units(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
             offset = chars[w.at[text]]
             columns = [
                 part.column(0).take(pa.array(text)),
+                part.column(2).take(pa.array(text)),
                 pa.array(digest.view(np.int64)),
                 pa.array((chars[w.start[begin]] - offset).astype(np.int32)),
                 pa.array((chars[w.end[end - 1]] - offset).astype(np.int32)),
@@ -149,15 +156,16 @@ def units(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
 
 
 def spans(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
-    """The removed spans: ``doc_id``, ``from``, ``until``, and the document that
+    """The removed spans: ``doc_id``, ``text_hash``, ``from``, ``until``, and the document that
     keeps the text. Lines of fewer than ``line_words`` words are no units of their own."""
     found = units(docs, line_words).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    row = F.struct("doc_id", "text_hash")
     repeated = (
         found.where("not again")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last"))
+        .agg(F.min(row).alias("kept"), F.max(row).alias("last"))
         .where("kept < last")
-        .select("digest", "kept")
+        .select("digest", F.col("kept.doc_id").alias("kept"), F.col("kept.text_hash").alias("kept_hash"))
     )
     with frames.scratch(docs.sparkSession) as store:
         return frames.stored(_spans(found, store(repeated, "repeated-units")), "repeated-spans")
@@ -168,14 +176,14 @@ def _spans(found: DataFrame, repeated: DataFrame) -> DataFrame:
     removed = (
         found.join(repeated, "digest", "left")
         .withColumn("kept", F.coalesce("kept", "doc_id"))
-        .where("again or doc_id != kept")
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("from", "until", "kept")).alias("units"))
+        .where("again or doc_id != kept or text_hash != kept_hash")
+        .groupBy("doc_id", "text_hash")
+        .agg(F.collect_set(F.struct("from", "until", "kept")).alias("units"))
     )
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = []
-        for doc_id, listed in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for doc_id, text_hash, listed in zip(*(c.to_pylist() for c in batch.columns[:2]), batch.column(2)):
             values = listed.values.flatten()
             begin, until, kept = (v.to_numpy(zero_copy_only=False).astype(np.int64) for v in values)
             order = np.lexsort((until, begin))
@@ -186,7 +194,7 @@ def _spans(found: DataFrame, repeated: DataFrame) -> DataFrame:
             low = np.minimum.reduceat(kept, head)
             for h, t, k in zip(head.tolist(), tail.tolist(), low.tolist()):
                 rows.append(
-                    (None if doc_id == NO_ID else doc_id, int(begin[h]), int(reach[t]), t - h + 1,
+                    (None if doc_id == NO_ID else doc_id, text_hash, int(begin[h]), int(reach[t]), t - h + 1,
                      None if k == NO_ID else k)
                 )
         columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
@@ -197,9 +205,12 @@ def _spans(found: DataFrame, repeated: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
     """The documents without their removed spans, with all their columns."""
-    cuts = spans(docs, line_words).groupBy(F.col("doc_id").alias("_id"))
+    cuts = spans(docs, line_words).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     cuts = cuts.agg(F.collect_list(F.struct("from", "until")).alias("cuts"))
-    joined = docs.select(F.struct("*").alias("row")).join(cuts, F.col("row.doc_id").eqNullSafe(F.col("_id")), "left")
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col("text").cast("string")).alias("hash"))
+    # The hash leads: it spreads rows without an id.
+    on = (F.col("hash") == F.col("_hash")) & F.col("row.doc_id").cast("bigint").eqNullSafe(F.col("_id"))
+    joined = rows.join(cuts, on, "left")
     text = next(k for k, name in enumerate(docs.columns) if name.lower() == "text")
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

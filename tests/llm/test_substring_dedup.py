@@ -109,3 +109,18 @@ def test_short_lines_are_units_of_the_query(spark, tmp_path):
     spark.createDataFrame(edge.rows(list(enumerate(texts))), edge.SCHEMA).write.parquet(f"{path}/documents.parquet")
     got = queries.all_queries()["op1_substring_dedup"](spark, path).collect()
     assert sorted((r["doc_id"], r["from"], r["until"], r["kept_doc_id"]) for r in got) == [(1, 6, 14, 0), (2, 3, 8, 1)]
+
+
+def test_texts_that_share_an_id_or_have_none_are_documents_of_their_own(spark):
+    draw = random.Random(9)
+    fresh = lambda n: " ".join(f"w{draw.randrange(10**9)}" for _ in range(n))
+    one, two = fresh(30), fresh(30)
+    texts = [(None, f"{fresh(k)} {one} {fresh(3)}") for k in (1, 5, 9)] + [(None, fresh(60))]
+    texts += [(7, f"{fresh(2)} {two}"), (7, f"{fresh(6)} {two} {fresh(40)}")]
+    frame = spark.createDataFrame(edge.rows(texts), edge.SCHEMA)
+    kept = [r["text"] for r in substring_dedup.clean(frame).collect()]
+    assert sum(one in t for t in kept) == sum(two in t for t in kept) == 1
+    cut = {t for _, t in texts} | {t.replace(p, "") for _, t in texts for p in (one, two)}
+    assert len(kept) == len(texts) and set(kept) <= cut
+    spans = substring_dedup.spans(frame).collect()
+    assert len(spans) == 3 and len({r["text_hash"] for r in spans}) == 3
