@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from headrace import session
-from headrace.llm import bpe, contamination, frames, language, licenses, line_dedup, quality, simhash, substring_dedup, token_blocks, token_counts
+from headrace.llm import (
+    alignment, bpe, centroids, contamination, frames, language, licenses, line_dedup, quality, simhash,
+    substring_dedup, suffix_dedup, token_blocks, token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(f: Query) -> Query:
@@ -78,3 +82,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(frames.table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(frames.table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(frames.table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
+@query
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(frames.table(spark, sf_dir, "documents"))

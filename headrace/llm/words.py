@@ -104,6 +104,17 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def buffers_of_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a binary column without nulls, and the offsets of its values."""
+    column = column.cast(pa.large_binary())
+    if len(column) == 0:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return raw[at[0] : at[-1]], at - at[0]
+
+
 def words(column: pa.Array, fold: np.ndarray) -> Words:
     raw, at = buffers(column)
     folded = fold[raw]
