@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from headrace import schemas as S
 from headrace import session
 from headrace.functions import fields
 from headrace.functions.once import rows_seen, with_once
+from headrace.operators import versions
 from headrace.operators.skew import BROADCAST_BYTES, BROADCAST_ROWS
 
 _TEXT_FIELDS = (
@@ -129,7 +132,7 @@ def insert_large(
 
 # Compacted rows lie in buckets of their id, so that a batch is matched with its buckets only.
 BUCKETS = 64
-MANIFEST = "version bigint, retired array<bigint>"
+FAN = 8  # parts of one level that are compacted together
 
 
 def bucket(key: str = "event_id") -> str:
@@ -137,36 +140,40 @@ def bucket(key: str = "event_id") -> str:
 
 
 def create_target(spark: SparkSession, path: str, schema: str = S.CURATED) -> None:
-    """Make an empty target folder, so that the first merge can read it."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch_id=0")
+    """Begin the log of an empty table, unless it has one."""
+    if not versions.latest(spark, path).number:
+        versions.publish(spark, path, versions.Version())
+
 
+def _rows(
+    spark: SparkSession, path: str, parts: list[versions.Part], schema: str, buckets: list[int] | None = None
+) -> DataFrame:
+    """The rows of some parts with the ``batch_id`` that wrote them, 0 if they were compacted.
 
-def _manifest(spark: SparkSession, path: str) -> tuple[int, list[int]]:
-    """The latest compaction, 0 if there was none, and the batches it replaced."""
-    folder = f"{path}.manifest"
-    if not session.exists(spark, folder):
-        return 0, []
-    row = spark.read.schema(MANIFEST).parquet(folder).orderBy(F.desc("version")).first()
-    return (row["version"], row["retired"]) if row else (0, [])
+    With ``buckets`` only these are read of compacted parts. They are folders, so no other
+    one is opened.
+    """
+    merged = [p.path for p in parts if p.level == 0]
+    compacted = [p.path for p in parts if p.level]
+    out = spark.createDataFrame([], f"{schema}, batch_id bigint")
+    if merged:
+        reader = spark.read.schema(f"{schema}, batch_id bigint, try string").option("basePath", path)
+        out = reader.parquet(*merged).drop("try")
+    if compacted:
+        reader = spark.read.schema(f"{schema}, part string, bucket int").option("basePath", f"{path}.compacted")
+        rows = reader.parquet(*compacted)
+        if buckets is not None:
+            rows = rows.where(F.col("bucket").isin(buckets))
+        rows = rows.withColumn("batch_id", F.lit(0).cast("bigint")).drop("bucket", "part")
+        out = rows.unionByName(out) if merged else rows
+    return out
 
 
 def read_target(
     spark: SparkSession, path: str, schema: str = S.CURATED, buckets: list[int] | None = None
 ) -> DataFrame:
-    """The live rows: those of the latest compaction, as batch 0, and of the batches since.
-
-    With ``buckets`` only these are read of the compaction. Batches and buckets are
-    folders, so no other one is opened.
-    """
-    version, retired = _manifest(spark, path)
-    batches = spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
-    if not version:
-        return batches
-    compacted = spark.read.schema(f"{schema}, bucket int").parquet(f"{path}.compacted/{version}")
-    if buckets is not None:
-        compacted = compacted.where(F.col("bucket").isin(buckets))
-    compacted = compacted.withColumn("batch_id", F.lit(0).cast("bigint")).drop("bucket")
-    return compacted.unionByName(batches.where(~F.col("batch_id").isin(retired)))
+    """The rows of the newest version. What is merged or compacted later changes nothing of it."""
+    return _rows(spark, path, list(versions.latest(spark, path).parts), schema, buckets)
 
 
 def merge(
@@ -184,13 +191,14 @@ def merge(
 
     The first copy of a key stays for good: nothing is updated or deleted. The batch is
     computed once, into ``stage_path``, which is removed at the end. ``batch_rows``, or
-    else the rows staged, picks how keys are matched. Rows go to the folder of their
-    batch, which a replay of the same batch overwrites. One merge or compaction may run
-    at a time; batch 0 is the empty start, stream batches count from 1 and repairs down
-    from -1.
+    else the rows staged, picks how keys are matched. Rows become a part of the table when a
+    version names it. If another merge or compaction was first, the keys are matched again with
+    what it left; any number of jobs may write. A batch merged again takes the place of its
+    earlier rows, if they were not compacted yet. Stream batches count from 1 and
+    repairs down from -1.
     """
     if batch_id == 0:
-        raise ValueError("batch_id 0 is the start of the target")
+        raise ValueError("batch_id 0 stands for compacted rows")
     staged = Observation()
     (
         batch.select(*S.columns(schema))
@@ -202,50 +210,97 @@ def merge(
     )
     fixed = spark.read.schema(schema).parquet(f"{stage_path}/rows")
     size = rows_seen(staged) if batch_rows is None else batch_rows
-    # As many rows as there are buckets; a small batch touches few of them.
-    touched = [r[0] for r in fixed.selectExpr(bucket(key)).distinct().collect()]
-    others = read_target(spark, path, schema, touched).where(F.col("batch_id") != batch_id)
     small = size <= BROADCAST_ROWS and rows_seen(staged, "bytes") <= BROADCAST_BYTES
     insert = insert_small if small else insert_large
-    fresh = insert(fixed, others, key, order, f"{stage_path}/keys")
-    inserted = Observation()
-    counted = fresh.observe(inserted, F.count(F.lit(1)).alias("rows"))
-    clustered = [c for c in ("event_date", "event_type") if c in fresh.columns]
-    if clustered:
-        counted = counted.sortWithinPartitions(*clustered)
-    counted.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-    session.remove(spark, stage_path)
-    return rows_seen(inserted)
-
-
-def compact(spark: SparkSession, path: str) -> int:
-    """Rewrite all live rows into buckets, sorted by date, type and id; returns the version.
-
-    Readers do not see the new version until the manifest names it and retires the batches
-    it replaces; these and the version before are then removed. The range key goes on
-    behind the bucket, so one bucket may span many files. A replay of a retired batch finds
-    its rows in the compaction and adds none.
+    # As many rows as there are buckets; a small batch touches few of them.
+    touched = [r[0] for r in fixed.selectExpr(bucket(key)).distinct().collect()]
+    try:
+        while True:
+            now = versions.latest(spark, path)
+            own = [p for p in now.parts if p.batch_id == batch_id]
+            others = _rows(spark, path, [p for p in now.parts if p not in own], schema, touched)
+            fresh = insert(fixed, others, key, order, f"{stage_path}/keys")
+            part = f"{path}/batch_id={batch_id}/try={versions.new_name()}"
+            inserted = Observation()
+            counted = fresh.observe(inserted, F.count(F.lit(1)).alias("rows"))
+            clustered = [c for c in ("event_date", "event_type") if c in fresh.columns]
+            if clustered:
+                counted = counted.sortWithinPartitions(*clustered)
+            counted.write.parquet(part)
+            rows = rows_seen(inserted)
+            changed = now.dropping(own).adding(versions.Part(part, rows, 0, batch_id))
+            if versions.publish(spark, path, changed):
+                return rows
+            session.remove(spark, part)
+    finally:
+        session.remove(spark, stage_path)
+
+
+def _rewrite(spark: SparkSession, path: str, parts: list[versions.Part], level: int, schema: str) -> int | None:
+    """Put the rows of some parts into one, by bucket and sorted by date, type and id.
+
+    Returns the version that has it, or none if another compaction took one of the parts.
     """
-    version, _ = _manifest(spark, path)
-    stored = spark.read.schema("batch_id bigint").parquet(path)
-    replaced = sorted(r[0] for r in stored.distinct().collect() if r[0] != 0)
-    fresh = f"{path}.compacted/{version + 1}"
+    fresh = f"{path}.compacted/part={versions.new_name()}"
     order = ("bucket", "event_date", "event_type", "event_id")
+    written = Observation()
     (
-        read_target(spark, path)
+        _rows(spark, path, parts, schema)
         .drop("batch_id")
         .withColumn("bucket", F.expr(bucket()))
+        # The range key goes on behind the bucket, so one bucket may span many files.
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .option("compression", "snappy")
+        .observe(written, F.count(F.lit(1)).alias("rows"))
+        .write.option("compression", "snappy")
         .partitionBy("bucket")
         .parquet(fresh)
     )
-    spark.createDataFrame([(version + 1, replaced)], MANIFEST).coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{path}.manifest/v={version + 1}")
-    for batch_id in replaced:
-        session.remove(spark, f"{path}/batch_id={batch_id}")
-    session.remove(spark, f"{path}.compacted/{version}")
-    return version + 1
+    made = versions.Part(fresh, rows_seen(written), level, 0)
+
+    def swap(now: versions.Version) -> versions.Version | None:
+        if not set(parts) <= set(now.parts):
+            return None
+        swapped = now.dropping(parts).adding(made)
+        return replace(swapped, compactions=(*now.compactions, now.number + 1)[-10:])
+
+    if (changed := versions.update(spark, path, swap)) is None:
+        session.remove(spark, fresh)
+        return None
+    versions.expire(spark, path)
+    return changed.number + 1
+
+
+def compact(spark: SparkSession, path: str, schema: str = S.CURATED) -> int | None:
+    """Rewrite all live rows into one part; returns its version.
+
+    Rows merged meanwhile stay live beside it. The parts it replaces are read on by those who
+    began before, and deleted by the compaction after this one. A replay of a compacted batch
+    finds its rows in the compaction and adds none.
+    """
+    parts = list(versions.latest(spark, path).parts)
+    return _rewrite(spark, path, parts, max([1, *(p.level for p in parts)]), schema) if parts else None
+
+
+def compact_levels(spark: SparkSession, path: str, fan: int = FAN, schema: str = S.CURATED) -> list[int]:
+    """Merge each level that has ``fan`` parts into one part of the next level.
+
+    A row is rewritten once a level, as often as the logarithm of the table's batches, and
+    most rounds touch small parts only. Parts without rows are dropped. Returns the levels that
+    were merged.
+    """
+    def without_empty(now: versions.Version) -> versions.Version | None:
+        empty = [p for p in now.parts if not p.rows]
+        return now.dropping(empty) if empty else None
+
+    versions.update(spark, path, without_empty)
+    done: list[int] = []
+    while True:
+        levels: dict[int, list[versions.Part]] = {}
+        for part in versions.latest(spark, path).parts:
+            levels.setdefault(part.level, []).append(part)
+        full = min((k for k, parts in levels.items() if len(parts) >= fan), default=None)
+        if full is None:
+            return done
+        if _rewrite(spark, path, levels[full], full + 1, schema) is not None:
+            done.append(full)

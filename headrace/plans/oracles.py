@@ -335,6 +335,17 @@ _EXPECTED = {
             CASE WHEN dt = DATE '2024-01-15' THEN TIMESTAMP '2024-02-02 12:00:00'
                  ELSE TIMESTAMP '2024-02-01 07:00:00' END AS curated_at)
         FROM curated""",
+    "stream_restart": _CURATED_COLUMNS,
+    "repair_after_compact": """
+        SELECT count(*) FILTER (on_time OR dt IN (DATE '2024-01-15', DATE '2024-01-16')) AS events,
+               count(DISTINCT event_id) FILTER (on_time OR dt IN (DATE '2024-01-15', DATE '2024-01-16')) AS ids,
+               count(*) FILTER (NOT on_time AND dt = DATE '2024-01-15') AS repaired_1,
+               count(*) FILTER (NOT on_time AND dt = DATE '2024-01-16') AS repaired_2
+        FROM (SELECT *, k NOT BETWEEN 60 AND 74 AS on_time FROM curated)""",
+    "levelled_compaction": """
+        SELECT event_type, count(*) AS events, count(DISTINCT event_id) AS ids, CAST(1 AS BIGINT) AS batches,
+               CAST(1 AS BIGINT) AS parts, CAST(2 AS BIGINT) AS level
+        FROM curated GROUP BY event_type""",
 }
 
 
@@ -354,6 +365,7 @@ _COLUMNS = {
     "incremental_merge": (*_AS_DOUBLE, "event_date"),
     "compact_curated": (*_AS_DOUBLE, "event_date"),
     "chain": (*_AS_DOUBLE, "event_date"),
+    "stream_restart": (*_AS_DOUBLE, "event_date"),
     "stream_dead_letters": ("dt",),
     "late_repair": (*_MONEY, "event_date"),
     "late_repair_summary": ("event_date",),

@@ -25,6 +25,7 @@ from headrace.operators import (
     ordering,
     raw,
     route,
+    versions,
 )
 from headrace.session import fresh_dir, tune
 from headrace.sources import bindings, landing
@@ -35,6 +36,7 @@ FIRST_RUN = datetime(2024, 2, 1, 6, 0, 0)
 SECOND_RUN = datetime(2024, 2, 1, 7, 0, 0)
 REPAIR_RUN = datetime(2024, 2, 2, 12, 0, 0)
 REPAIR_DATE = "2024-01-15"
+NEXT_DATE = "2024-01-16"
 
 # Codes of the events sent a second time, and of those that reach the landing
 # folder but are late for the raw table.
@@ -780,3 +782,60 @@ def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.merge_stream(spark, kept, curated, fresh_dir(spark, "state"), clock=lambda: SECOND_RUN).awaitTermination()
     late.late_repair(spark, f"{root}/events", f"{curated}/events", REPAIR_DATE, REPAIR_RUN)
     return _plain(curate.read_target(spark, f"{curated}/events"))
+
+
+@_query
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated table after all jobs ran twice over one place, each time with new checkpoints.
+
+    Each run gets the envelopes of other codes; the second one sees the files of both.
+    """
+    root, raw_table, curated = (fresh_dir(spark, n) for n in ("processed", "raw", "curated"))
+    for half in (0, 1):
+        source, state = fresh_dir(spark, "envelopes"), fresh_dir(spark, "state")
+        bindings.envelopes(spark, sf_dir, f"k % 2 = {half}").write.parquet(source)
+        jobs.process_stream(
+            spark, source, root, f"{state}/process", partitions=land.DAILY, clock=lambda: FIRST_RUN,
+            users=lambda session: bindings.users(session, sf_dir),
+            user_rows=lambda session: bindings.user_rows(session, sf_dir),
+        ).awaitTermination()
+        jobs.ingest_stream(
+            spark, f"{root}/events", raw_table, f"{state}/ingest", clock=lambda: FIRST_RUN
+        ).awaitTermination()
+        jobs.merge_stream(
+            spark, raw_table, curated, f"{state}/merge", clock=lambda: FIRST_RUN
+        ).awaitTermination()
+    return _plain(curate.read_target(spark, f"{curated}/events"))
+
+
+@_query
+def repair_after_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two repairs under one batch id with compactions between: rows reported and rows there."""
+    landed, path = _land(spark, sf_dir, land.DAILY), fresh_dir(spark, "curated")
+    on_time = curate.project(_loaded(spark, sf_dir, FIRST_RUN, ON_TIME), FIRST_RUN)
+    _merge_all(spark, path, (1, _stored(spark, on_time)))
+    added = []
+    for day in (REPAIR_DATE, NEXT_DATE):
+        summary = late.late_repair(spark, landed, path, day, REPAIR_RUN, batch_id=-9)
+        added.append(summary.first()["rows_merged"])
+        curate.compact(spark, path)
+    return curate.read_target(spark, path).agg(
+        F.count("*").alias("events"), F.countDistinct("event_id").alias("ids")
+    ).selectExpr("*", *(f"{n}L AS repaired_{k}" for k, n in enumerate(added, 1)))
+
+
+@_query
+def levelled_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine batches, three parts of a level compacted at a time: parts left, by level."""
+    path = fresh_dir(spark, "curated")
+    rows = _stored(spark, _first_curated(spark, sf_dir))
+    curate.create_target(spark, path)
+    for batch_id in range(9):
+        part = rows.where(f"pmod(xxhash64(event_id), 9) = {batch_id}")
+        curate.merge(spark, part, path, batch_id + 1, fresh_dir(spark, "merge-stage"))
+        curate.compact_levels(spark, path, fan=3)
+    parts = versions.latest(spark, path).parts
+    return curate.read_target(spark, path).groupBy("event_type").agg(
+        F.count("*").alias("events"), F.countDistinct("event_id").alias("ids"),
+        F.countDistinct("batch_id").alias("batches"),
+    ).selectExpr("*", f"{len(parts)}L AS parts", f"{max(p.level for p in parts)}L AS level")

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Runtime settings every operator relies on.
@@ -118,3 +119,56 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that is no longer read."""
     store, found = _located(spark, path)
     store.delete(found, True)
+
+
+def remove_empty(spark: SparkSession, path: str) -> None:
+    """Delete a folder if nothing is in it."""
+    store, found = _located(spark, path)
+    if store.exists(found) and not store.listStatus(found):
+        store.delete(found, False)
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """The names in a folder, in order; none if it is not there."""
+    store, found = _located(spark, folder)
+    if not store.exists(found):
+        return []
+    return sorted(entry.getPath().getName() for entry in store.listStatus(found))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    store, found = _located(spark, path)
+    stream = store.open(found)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file unless it is there already; whether it was written.
+
+    The text is complete under another name before it gets this one, and the store does not
+    rename onto a file that exists, so of several writers one succeeds.
+    """
+    folder, _, name = path.rpartition("/")
+    draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    store, source = _located(spark, draft)
+    stream = store.create(source, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(store.makeQualified(source), store.makeQualified(target), plain)
+        return True
+    except Py4JJavaError as error:
+        if not store.exists(target):
+            raise
+        store.delete(source, False)
+        return False

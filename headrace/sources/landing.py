@@ -56,18 +56,47 @@ def read_files(spark: SparkSession, root: str, files: list[str]) -> DataFrame:
     return reader.parquet(*files).selectExpr("*", *_SOURCE)
 
 
+# What readers of the format say about a file that is broken, in classes and messages.
+_BROKEN_CLASSES = ("org.apache.parquet.", "java.io.EOFException", "org.apache.hadoop.fs.ChecksumException")
+_BROKEN_TEXTS = ("is not a Parquet file", "can not read class org.apache.parquet.format")
+
+
+def is_broken(error: Exception) -> bool:
+    """Whether an error is about the content of a file, not about the store or the job.
+
+    The classes and messages of the error's causes decide. A stack trace doesn't: a timeout in
+    the middle of a file has passed through the same readers.
+    """
+    cause = error.java_exception if isinstance(error, Py4JJavaError) else getattr(error, "_origin", None)
+    for _ in range(20):
+        if cause is None:
+            break
+        name, text = cause.getClass().getName(), (cause.getMessage() or "").partition("\n")[0]
+        if name.startswith(_BROKEN_CLASSES) or any(t in text for t in _BROKEN_TEXTS):
+            return True
+        cause = cause.getCause()
+    return False
+
+
+def same_file(path: str) -> str:
+    """A decoded path in one spelling: ``file:/x`` and ``file:///x`` name the same file."""
+    return f"regexp_replace({path}, '^([A-Za-z][A-Za-z0-9+.-]*):/+', '$1:/')"
+
+
 def readable(spark: SparkSession, root: str, files: list[str]) -> tuple[list[str], list[str]]:
-    """Files that can be read to their end, and those that cannot.
+    """Files that can be read to their end, and those whose content is broken.
 
     All are tried together; only if that fails is the list halved, again and again, so
-    one bad file among many costs a few reads.
+    one bad file among many costs a few reads. Any other error, as of the store, is raised.
     """
     if not files:
         return [], []
     try:
         read_files(spark, root, files).write.format("noop").mode("overwrite").save()
         return files, []
-    except (Py4JJavaError, PySparkException):
+    except (Py4JJavaError, PySparkException) as error:
+        if not is_broken(error):
+            raise
         if len(files) == 1:
             return [], files
     half = len(files) // 2

@@ -4,8 +4,10 @@ A batch has one run time, stored before its first try, and each of its outputs i
 once: a replay reads that time, leaves alone what was committed and writes the rest anew.
 
 Each function starts a query and returns it. ``trigger`` is passed to the writer:
-``EVERY_MINUTE`` in service, ``DRAIN`` to take what is there and stop. Batch ids count from 1, since batch
-0 is the empty start of a target table.
+``EVERY_MINUTE`` in service, ``DRAIN`` to take what is there and stop. Several streams may
+write to one place: each takes a number there, kept with its checkpoint, and its batches are
+named by it and their epoch. Those of the first stream count from 1. A stream that starts over
+with a new checkpoint is another one: it sees all files again and replaces nothing.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from headrace import schemas as S
 from headrace import session as stores
 from headrace.functions.once import rows_seen
-from headrace.operators import curate, deadletter, decode, enrich, land, raw, route
+from headrace.operators import curate, deadletter, decode, enrich, land, raw, route, versions
 from headrace.sources import envelopes, landing
 
 DRAIN = {"availableNow": True}
@@ -124,9 +126,11 @@ def process_stream(
     files.
     """
 
+    writer = versions.writer_number(spark, f"{root}/state/writers", checkpoint)
+
     def handle(batch: DataFrame, epoch: int) -> None:
         session = _adaptive(batch)
-        batch_id, state = epoch + 1, f"{root}/state"
+        batch_id, state = versions.batch_number(writer, epoch), f"{root}/state"
         if _kept(session, f"{state}/metrics/batch_id={batch_id}", "rows bigint"):
             return
         run_at = run_time(session, state, batch_id, clock)
@@ -189,10 +193,13 @@ def archive_stream(
         .parquet(failures_path)
     )
 
+    writer = versions.writer_number(spark, f"{deadletter.archive_path(root, prefix)}.state/writers", checkpoint)
+
     def handle(batch: DataFrame, epoch: int) -> None:
         session, state = _adaptive(batch), f"{checkpoint}/batches"
-        run_at = run_time(session, state, epoch + 1, clock)
-        deadletter.archive(deadletter.letters(batch), root, run_at, prefix, batch=str(epoch + 1))
+        batch_id = versions.batch_number(writer, epoch)
+        run_at = run_time(session, state, batch_id, clock)
+        deadletter.archive(deadletter.letters(batch), root, run_at, prefix, batch=str(batch_id))
 
     return (
         source.writeStream.foreachBatch(handle)
@@ -224,16 +231,21 @@ def ingest_stream(
     clock=_utc_now,
     trigger: dict = DRAIN,
 ) -> StreamingQuery:
-    """Load landed files once each, leaving out unreadable ones and those with too many bad rows.
+    """Load landed files once each, leaving out broken ones and those with too many bad rows.
 
     The stream is one of file names, at most ``files_per_trigger`` at a time, so a file
-    that cannot be read takes no other with it. What became of each file is written to
-    ``{raw_path}.ledger``.
+    whose content is broken takes no other with it. What became of each file is written to
+    ``{raw_path}.ledger``; a file that it has as loaded or skipped is not taken again, whatever
+    checkpoint the stream has. Broken files stay open: each batch tries as many of them again,
+    and those that were repaired are loaded. An error of the store fails the batch, which is
+    then tried as a whole.
     """
 
+    writer = versions.writer_number(spark, f"{raw_path}.state/writers", checkpoint)
+
     def handle(batch: DataFrame, epoch: int) -> None:
         session = _adaptive(batch)
-        batch_id, state = epoch + 1, f"{raw_path}.state"
+        batch_id, state = versions.batch_number(writer, epoch), f"{raw_path}.state"
         run_at = run_time(session, state, batch_id, clock)
         folder = f"batch_id={batch_id}"
         ledger = _replace(f"{raw_path}.ledger/{folder}")
@@ -259,11 +271,18 @@ def ingest_stream(
             finally:
                 rows.unpersist()
 
-        files = [r["path"] for r in batch.collect()]
+        told = _told(session, f"{raw_path}.ledger/{folder}")
+        if told:  # an earlier try has settled what is loaded
+            load([f for f, outcome in told if outcome != "unreadable"], [])
+            return
+        files, open_ = _to_load(session, raw_path, batch, files_per_trigger)
+        files += landing.readable(session, landing_path, open_)[0]
         try:
             load(files, [])
-        except (Py4JJavaError, PySparkException):
-            # Nothing of the batch was written. Find the files that cannot be read, if any.
+        except (Py4JJavaError, PySparkException) as error:
+            if not landing.is_broken(error):
+                raise
+            # Nothing of the batch was written. Find the files that are broken, if any.
             good, broken = landing.readable(session, landing_path, files)
             if not broken:
                 raise
@@ -278,6 +297,32 @@ def ingest_stream(
     )
 
 
+def _told(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """File and outcome of each row of a batch's ledger, or nothing if it has none."""
+    return [(r["source_file"], r["outcome"]) for r in _kept(spark, folder, S.LEDGER)]
+
+
+def _to_load(
+    spark: SparkSession, raw_path: str, batch: DataFrame, most: int
+) -> tuple[list[str], list[str]]:
+    """Files of a batch that the ledger does not have, and up to ``most`` broken ones it has open."""
+    named = batch.selectExpr("path", f"{landing.same_file('path')} AS name")
+    files = {r["name"]: r["path"] for r in named.collect()}
+    if not stores.exists(spark, f"{raw_path}.ledger"):
+        return list(files.values()), []
+    # As many names as a trigger takes; the ledger has one row per file and is not shuffled for them.
+    ledger = read_ledger(spark, raw_path).selectExpr(
+        f"{landing.same_file('source_file')} AS name", "source_file", "outcome <> 'unreadable' AS done"
+    )
+    asked = spark.createDataFrame([(n,) for n in files], "name string")
+    known = ledger.where("done").join(F.broadcast(asked), "name", "left_semi").select("name").distinct()
+    for row in known.collect():
+        del files[row["name"]]
+    waiting = ledger.groupBy("name").agg(F.max("done").alias("done"), F.max("source_file").alias("path"))
+    broken = [r["path"] for r in waiting.where("NOT done").orderBy("name").limit(most).collect() if r["name"] not in files]
+    return list(files.values()), [path for path in broken if stores.exists(spark, path)]
+
+
 def read_ledger(spark: SparkSession, raw_path: str) -> DataFrame:
     return spark.read.schema(f"{S.LEDGER}, batch_id bigint").parquet(f"{raw_path}.ledger")
 
@@ -294,10 +339,12 @@ def merge_stream(
     files_per_trigger: int = 1000,
     clock=_utc_now,
     trigger: dict = DRAIN,
+    fan: int | None = curate.FAN,
 ) -> StreamingQuery:
     """Merge new raw rows into the curated table; rejects are kept per batch.
 
-    Without new files no batch runs.
+    Without new files no batch runs. After each batch levels with ``fan`` parts are compacted;
+    None leaves that to another job.
     """
     curate.create_target(spark, f"{curated_path}/events")
     source = (
@@ -306,9 +353,11 @@ def merge_stream(
         .parquet(raw_path)
     )
 
+    writer = versions.writer_number(spark, f"{curated_path}/state/writers", checkpoint)
+
     def handle(batch: DataFrame, epoch: int) -> None:
         session = _adaptive(batch)
-        batch_id = epoch + 1
+        batch_id = versions.batch_number(writer, epoch)
         run_at = run_time(session, f"{curated_path}/state", batch_id, clock)
         projected = curate.project(batch, run_at).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -322,6 +371,8 @@ def merge_stream(
                 batch_id,
                 f"{curated_path}/stage/{batch_id}",
             )
+            if fan:
+                curate.compact_levels(session, f"{curated_path}/events", fan)
         finally:
             projected.unpersist()
 

@@ -7,6 +7,7 @@ import time
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.errors import PySparkRuntimeError
 
 from headrace import schemas as S
 from headrace.operators import decode, land, raw
@@ -177,3 +178,53 @@ def test_paths_give_the_values_that_were_written(spark, tmp_path, levels, stream
 def test_whole_data_is_kept_for_failures_only(envelopes):
     df = decode.decode(envelopes(b"bad", {"a": 1}), keep_data=True).collect()
     assert [(r.data is not None) == (r.reason is not None) for r in df] == [True, True]
+
+
+def test_a_store_error_loses_no_file(spark, tmp_path, monkeypatch):
+    """The store refuses three times; the stream fails, starts again and loads all."""
+    files, table, real = tmp_path / "events", f"{tmp_path}/raw", landing.read_files
+    for kind in "ab":
+        land_rows(spark, files, 2, kind)
+    refusals = iter(range(3))
+
+    def refusing(*args):
+        if next(refusals, None) is not None:
+            raise PySparkRuntimeError("slow down")
+        return real(*args)
+
+    def run():
+        jobs.ingest_stream(spark, str(files), table, f"{tmp_path}/s", clock=lambda: RUN).awaitTermination()
+
+    monkeypatch.setattr(landing, "read_files", refusing)
+    for _ in range(3):
+        with pytest.raises(Exception, match="slow down"):
+            run()
+    run()
+    assert jobs.read_raw(spark, table).count() == 4
+    assert {r.outcome for r in jobs.read_ledger(spark, table).collect()} == {"loaded"}
+
+
+def test_a_repaired_file_is_loaded_later(spark, tmp_path):
+    files, table = tmp_path / "events", f"{tmp_path}/raw"
+    for kind in "ab":
+        land_rows(spark, files, 2, kind)
+    (broken,) = (files / "event_type=b").rglob("part-*.parquet")
+    whole = broken.read_bytes()
+    broken.write_bytes(whole[:-30])
+    for crc in files.rglob(".*.crc"):
+        crc.unlink()
+
+    def run():
+        jobs.ingest_stream(spark, str(files), table, f"{tmp_path}/s", clock=lambda: RUN).awaitTermination()
+        return jobs.read_raw(spark, table).count()
+
+    assert run() == 2
+    land_rows(spark, files, 2, "c")
+    assert run() == 4
+    broken.write_bytes(whole)
+    land_rows(spark, files, 2, "d")
+    assert run() == 8
+    land_rows(spark, files, 2, "e")
+    assert run() == 10
+    ledger = [r.outcome for r in jobs.read_ledger(spark, table).collect()]
+    assert sorted(ledger) == ["loaded"] * 5 + ["unreadable"]
