@@ -6,10 +6,11 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 
 def map_batches(
-    frame: DataFrame, schema: str, make: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]
+    frame: DataFrame, schema: str | StructType, make: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]
 ) -> DataFrame:
     """Apply ``make`` to every batch that has rows."""
 

@@ -61,23 +61,28 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """Adds ``decoded``: the vocabulary strings of an id array joined by a space.
 
-    An id outside the vocabulary has no string and is left out, as the library does.
+    An id outside the vocabulary has no string and is left out, as the library does. A null
+    array gives an empty text. Columns keep their names; one called ``decoded`` is replaced.
     """
     spark = encoded.sparkSession
     vocab = vocabulary.Vocabulary(vocabulary.share(spark, path).value)
     rows = [(i, s) for i, s in vocab.strings.items()]  # as many as the vocabulary has
     strings = F.broadcast(spark.createDataFrame(rows, "id int, string string"))
-    key = F.monotonically_increasing_id()
-    keyed = frames.stored(encoded.withColumn("_row", key), "decode")
+    given = encoded.select(
+        F.struct("*").alias("given"), F.col(ids).alias("ids"), F.monotonically_increasing_id().alias("number")
+    )
+    keyed = frames.stored(given, "decode")
     joined = (
-        keyed.select("_row", F.posexplode(ids).alias("at", "id"))
+        keyed.select("number", F.posexplode("ids").alias("at", "id"))
         .join(strings, "id")
-        .groupBy("_row")
+        .groupBy("number")
         .agg(F.sort_array(F.collect_list(F.struct("at", "string"))).alias("parts"))
-        .select("_row", F.concat_ws(" ", F.col("parts.string")).alias("decoded"))
+        .select("number", F.concat_ws(" ", F.col("parts.string")).alias("text"))
     )
-    filled = F.coalesce(F.col("decoded"), F.lit(""))
-    return keyed.join(joined, "_row", "left").withColumn("decoded", filled).drop("_row")
+    filled = F.coalesce(F.col("text"), F.lit("")).alias("text")
+    out = keyed.join(joined, "number", "left").select("given", filled)
+    kept = [F.col("given")[c].alias(c) for c in encoded.columns if c != "decoded"]
+    return out.select(*kept, F.col("text").alias("decoded"))
 
 
 def digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:

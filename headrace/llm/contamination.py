@@ -171,7 +171,7 @@ def _mark(state: DataFrame, ix: Index) -> DataFrame:
                 names=["row", "text", "n_words", "spans", "items"],
             )
 
-    return arrow.map_batches(state, state.schema.simpleString()[len("struct<") : -1], make)
+    return arrow.map_batches(state, state.schema, make)
 
 
 def judge(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

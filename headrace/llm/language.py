@@ -187,7 +187,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                 names=["row", "lang_pred", "score"],
             )
 
-    schema = f"row {docs.schema.simpleString()}, lang_pred string, score double"
+    schema = given.select("row").schema.add("lang_pred", "string").add("score", "double")
     return arrow.map_batches(given, schema, make)
 
 

@@ -440,5 +440,4 @@ def clean(docs: DataFrame) -> DataFrame:
             out = pa.RecordBatch.from_arrays(columns, names=[f.name for f in row.type])
             yield out.filter(pa.array(stays))
 
-    schema = docs.schema.simpleString()[len("struct<") : -1]
-    return arrow.map_batches(joined.select("row", "text", "gone"), schema, make)
+    return arrow.map_batches(joined.select("row", "text", "gone"), docs.schema, make)

@@ -1,7 +1,7 @@
 """Repeated lines and passages, removed but for their earliest occurrence.
 
 Units are hashed after normalising: words between white space, A-Z lower-cased. A unit is a
-line of at least ``line_words`` words, or any ``UNIT_WORDS`` consecutive words, inside a line
+line of at least ``line_words`` words, 1 if not given, or any ``UNIT_WORDS`` consecutive words, inside a line
 or over several. So every repeated passage of ``UNIT_WORDS`` words or more is covered from its
 first word to its last, and every repeated line of enough words whatever its length.
 
@@ -10,12 +10,13 @@ last, texts under one id by their hash), there the first one, is kept; every oth
 removed. In one document, only occurrences behind the end of its first one count. Removed
 units that touch form one span, which carries its offsets in the original text, in code points.
 
-Most units occur once. A first pass sends nothing but digests, packed by their leading bits,
-to find those that occur twice; they set bits in a table of ``1 << BITS`` bits, and only units
+Most units occur once. A first pass sends nothing but digests, ``SENT`` bits of each beside those
+of its bucket, to find those that occur twice; they set bits in a table of ``1 << BITS`` bits, and only units
 whose bit is set go on. The table has a fixed size: when many units repeat more of the others
 pass, and nothing is lost. A document's repeats of its own units are found within its row.
-Across documents only the smallest row of each digest is needed, combined before the shuffle,
-and only digests that stand in two documents are joined back.
+Across documents only the smallest row of each digest is needed, combined before the shuffle.
+The digests that stand in two documents set bits in a second table of that size, and a third
+pass sends only units that it lets through, to be joined with their digests.
 
 A document is a ``doc_id`` and a text, named by ``text_hash``: different texts under one id,
 or without one, are different documents. Rows equal in both are copies of one document, which
@@ -36,11 +37,11 @@ from pyspark.sql import functions as F
 from headrace.llm import arrow, frames, words
 
 UNIT_WORDS = 16
-EVERY = 1  # a unit begins at one in so many words, chosen by value; beyond 1 passages are missed
 LINE_FEED = 10
 NO_ID = (1 << 63) - 1  # stands for a null doc_id
 
 BITS = 28  # of the table of repeated digests
+SENT = 24  # bits of a digest that are sent beside those of its bucket
 BUCKET_CHARS = 1 << 21  # text whose digests are compared at a time
 HELD_DIGESTS = 1 << 21  # digests that are packed together
 
@@ -58,8 +59,7 @@ def _units(w: words.Words, line_words: int) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(head)
     last = np.append(first[1:], n)[: len(first)]
     whole = last - first >= line_words
-    chosen = w.value % np.uint64(EVERY) == 0
-    chosen = np.flatnonzero(chosen & (np.arange(n) + UNIT_WORDS <= w.first[1:][text]))
+    chosen = np.flatnonzero(np.arange(n) + UNIT_WORDS <= w.first[1:][text])
     begin = np.concatenate([first[whole], chosen])
     end = np.concatenate([last[whole], chosen + UNIT_WORDS])
     return text[begin], words.runs(w.value, begin, end), begin, end
@@ -73,11 +73,17 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return frames.texts(docs).withColumn("text_hash", F.xxhash64("text"))
 
 
+def _unpacked(packed: bytes) -> np.ndarray:
+    """Values of three bytes: all upper bytes, then the two lower ones of each."""
+    n = len(packed) // 3
+    return np.frombuffer(packed, np.uint8, n).astype(np.uint32) << np.uint32(16) | np.frombuffer(packed, "<u2", n, n)
+
+
 def _repeated(docs: DataFrame, line_words: int) -> np.ndarray:
     """The table of bits, eight to a byte, in which every digest that occurs twice has one."""
     size = docs.agg(F.sum(F.char_length("text"))).first()[0] or 0
     lead = min(max((size // BUCKET_CHARS).bit_length(), 10), BITS - 3)
-    rest = np.uint64(32 - lead)  # bits that are not sent; without them a few units more pass
+    rest = np.uint64(64 - SENT - lead)  # bits that are not sent; without them a few units more pass
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -87,8 +93,10 @@ def _repeated(docs: DataFrame, line_words: int) -> np.ndarray:
             use = np.ones(len(digest), bool)
             use[2:] = digest[2:] != digest[:-2]  # two of a kind tell as much as more
             digest = digest[use]
-            bucket, at = np.unique(digest >> np.uint64(32), return_index=True)
-            parts = [d.tobytes() for d in np.split(digest.astype(np.uint32), at[1:])]
+            bucket, at = np.unique(digest >> np.uint64(SENT), return_index=True)
+            # The upper bytes of sorted values are runs, which the shuffle compresses to little.
+            upper, lower = (digest >> np.uint64(16)).astype(np.uint8), digest.astype(np.uint16)
+            parts = [u.tobytes() + v.tobytes() for u, v in zip(np.split(upper, at[1:]), np.split(lower, at[1:]))]
             return pa.RecordBatch.from_arrays(
                 [pa.array(bucket.astype(np.int32)), pa.array(parts, pa.binary())], names=["bucket", "digests"]
             )
@@ -106,10 +114,10 @@ def _repeated(docs: DataFrame, line_words: int) -> np.ndarray:
 
     def compare(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        digest = np.sort(np.concatenate([np.frombuffer(d.as_py(), np.uint32) for d in table.column("digests")]))
+        digest = np.sort(np.concatenate([_unpacked(d.as_py()) for d in table.column("digests")]))
         twice = digest[1:][digest[1:] == digest[:-1]]
         bits = np.zeros(1 << BITS - lead, bool)
-        bits[twice >> np.uint32(32 - BITS + lead)] = True
+        bits[twice >> np.uint32(SENT - BITS + lead)] = True
         return pa.table({"bucket": pa.array([bucket], pa.int32()), "bits": pa.array([np.packbits(bits).tobytes()])})
 
     packs = docs.select("doc_id", "text").mapInArrow(pack, "bucket int, digests binary")
@@ -120,12 +128,30 @@ def _repeated(docs: DataFrame, line_words: int) -> np.ndarray:
     return out.ravel()
 
 
-def units(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
-    """The units of each document that may stand elsewhere too: ``again`` tells repeats within
-    it from first occurrences."""
-    docs = _keyed(docs)
-    spark = docs.sparkSession
-    bits: Broadcast = spark.sparkContext.broadcast(_repeated(docs, line_words))
+def _marked(repeated: DataFrame) -> np.ndarray:
+    """The table of bits of these digests."""
+    lead = 10
+    slot, within = f"shiftrightunsigned(digest, {64 - BITS})", BITS - lead
+    slots = repeated.selectExpr(
+        f"CAST(shiftright({slot}, {within}) AS INT) AS bucket", f"CAST({slot} & {(1 << within) - 1} AS INT) AS at"
+    ).distinct()
+
+    def mark(table: pa.Table) -> pa.Table:
+        bits = np.zeros(1 << within, bool)
+        bits[table.column("at").to_numpy()] = True
+        return pa.table({"bucket": table.column("bucket")[:1], "bits": pa.array([np.packbits(bits).tobytes()])})
+
+    found = slots.groupBy("bucket").applyInArrow(mark, "bucket int, bits binary").toArrow()
+    out = np.zeros((1 << lead, 1 << within - 3), np.uint8)
+    for bucket, bits in zip(found.column("bucket").to_pylist(), found.column("bits")):
+        out[bucket] = np.frombuffer(bits.as_py(), np.uint8)
+    return out.ravel()
+
+
+def units(docs: DataFrame, line_words: int, bits: Broadcast, across: Broadcast | None = None) -> DataFrame:
+    """The units of each document that may stand elsewhere too, by the table ``bits``: ``again``
+    tells repeats within it from first occurrences. With the table ``across`` first occurrences
+    go on only if their digest may stand in two documents."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in words.slices(batch, "text"):
@@ -139,6 +165,9 @@ def units(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
             new[1:] = (text[1:] != text[:-1]) | (digest[1:] != digest[:-1])
             kept_end = end[np.flatnonzero(new)][np.cumsum(new) - 1]
             use = new | (begin >= kept_end)
+            if across is not None:
+                slot = _slot(digest)
+                use &= ~new | (across.value[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
             text, digest, begin, end, new = text[use], digest[use], begin[use], end[use], new[use]
             chars = words.char_offsets(w.raw)
             offset = chars[w.at[text]]
@@ -155,20 +184,27 @@ def units(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
     return arrow.map_batches(docs, UNITS, make)
 
 
-def spans(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
+def spans(docs: DataFrame, line_words: int = 1) -> DataFrame:
     """The removed spans: ``doc_id``, ``text_hash``, ``from``, ``until``, and the document that
     keeps the text. Lines of fewer than ``line_words`` words are no units of their own."""
-    found = units(docs, line_words).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    spark, docs = docs.sparkSession, _keyed(docs)
+    bits = spark.sparkContext.broadcast(_repeated(docs, line_words))
+
+    def found(across: Broadcast | None = None) -> DataFrame:
+        return units(docs, line_words, bits, across).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+
     row = F.struct("doc_id", "text_hash")
     repeated = (
-        found.where("not again")
+        found().where("not again")
         .groupBy("digest")
         .agg(F.min(row).alias("kept"), F.max(row).alias("last"))
         .where("kept < last")
         .select("digest", F.col("kept.doc_id").alias("kept"), F.col("kept.text_hash").alias("kept_hash"))
     )
-    with frames.scratch(docs.sparkSession) as store:
-        return frames.stored(_spans(found, store(repeated, "repeated-units")), "repeated-spans")
+    with frames.scratch(spark) as store:
+        repeated = store(repeated, "repeated-units")
+        across = spark.sparkContext.broadcast(_marked(repeated))
+        return frames.stored(_spans(found(across), repeated), "repeated-spans")
 
 
 def _spans(found: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -203,7 +239,7 @@ def _spans(found: DataFrame, repeated: DataFrame) -> DataFrame:
     return arrow.map_batches(removed, SPANS, make)
 
 
-def clean(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
+def clean(docs: DataFrame, line_words: int = 1) -> DataFrame:
     """The documents without their removed spans, with all their columns."""
     cuts = spans(docs, line_words).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     cuts = cuts.agg(F.collect_list(F.struct("from", "until")).alias("cuts"))
@@ -223,4 +259,4 @@ def clean(docs: DataFrame, line_words: int = UNIT_WORDS) -> DataFrame:
         columns[text] = pa.array(texts, columns[text].type)
         yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in row.type])
 
-    return arrow.map_batches(joined.select("row", "cuts"), docs.schema.simpleString()[len("struct<") : -1], make)
+    return arrow.map_batches(joined.select("row", "cuts"), docs.schema, make)

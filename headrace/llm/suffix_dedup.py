@@ -47,6 +47,7 @@ from headrace.llm.runindex import RunIndex
 LENGTH = 50
 GRAM = 24
 BITS = 28  # of the tables of values
+SENT = 24  # bits of a value that are sent beside those of its bucket
 BUCKET_BYTES = 1 << 21  # text whose values are compared at a time
 HELD_VALUES = 1 << 21  # values that are packed together
 HELD_BYTES = 1 << 20  # segments whose bytes are held by a task
@@ -126,10 +127,10 @@ def _table(frame: DataFrame, size: int) -> np.ndarray:
 
     def compare(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        value = np.sort(np.concatenate([np.frombuffer(d.as_py(), np.uint32) for d in table.column("packed")]))
+        value = np.sort(np.concatenate([_unpacked(d.as_py()) for d in table.column("packed")]))
         twice = value[1:][value[1:] == value[:-1]]
         bits = np.zeros(1 << BITS - lead, bool)
-        bits[twice >> np.uint32(32 - BITS + lead)] = True
+        bits[twice >> np.uint32(SENT - BITS + lead)] = True
         return pa.table({"bucket": pa.array([bucket], pa.int32()), "bits": pa.array([np.packbits(bits).tobytes()])})
 
     found = frame.groupBy("bucket").applyInArrow(compare, "bucket int, bits binary").toArrow()
@@ -140,19 +141,27 @@ def _table(frame: DataFrame, size: int) -> np.ndarray:
 
 
 def _packed(value: np.ndarray, lead: int) -> pa.RecordBatch:
-    """Values by their leading bits, 32 further bits of each; the rest is not sent, so that a few
-    more pass. Two of a kind tell as much as more."""
-    value = np.sort(value >> np.uint64(32 - lead))
+    """Values by their leading bits, ``SENT`` further bits of each; the rest is not sent, so that
+    a few more pass. Two of a kind tell as much as more. The upper bytes of sorted values are
+    runs, which the shuffle compresses to little."""
+    value = np.sort(value >> np.uint64(64 - SENT - lead))
     use = np.ones(len(value), bool)
     use[2:] = value[2:] != value[:-2]
     value = value[use]
-    bucket, at = np.unique(value >> np.uint64(32), return_index=True)
-    parts = [v.tobytes() for v in np.split(value.astype(np.uint32), at[1:])]
+    bucket, at = np.unique(value >> np.uint64(SENT), return_index=True)
+    upper, lower = (value >> np.uint64(16)).astype(np.uint8), value.astype(np.uint16)
+    parts = [u.tobytes() + v.tobytes() for u, v in zip(np.split(upper, at[1:]), np.split(lower, at[1:]))]
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket.astype(np.int32)), pa.array(parts, pa.binary())], names=["bucket", "packed"]
     )
 
 
+def _unpacked(packed: bytes) -> np.ndarray:
+    """Values of three bytes: all upper bytes, then the two lower ones of each."""
+    n = len(packed) // 3
+    return np.frombuffer(packed, np.uint8, n).astype(np.uint32) << np.uint32(16) | np.frombuffer(packed, "<u2", n, n)
+
+
 def _buckets(size: int) -> int:
     return 1 << min(max((size // BUCKET_BYTES).bit_length(), 10), BITS - 3)
 
@@ -363,28 +372,37 @@ def _marked(several: DataFrame) -> np.ndarray:
 def _cuts(places: DataFrame, known: DataFrame) -> DataFrame:
     """The removed ranges of each document, from its segments and what is known of them."""
     gone = places.join(known, ["value", "segment"]).where("doc_id > first or runs is not null")
-    whole = "array(named_struct('from', 0, 'until', n))"
-    rows = gone.selectExpr("doc_id", "text_hash", "start", f"if(doc_id > first, {whole}, runs) as runs")
-    listed = rows.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "runs")).alias("found"))
+    # First and end of the starts that are removed, in one number; a segment's are few.
+    whole = "array(struct(0 as from, n as until))"
+    rows = gone.selectExpr("doc_id", "text_hash", "start", f"explode(if(doc_id > first, {whole}, runs)) as run")
+    range_ = "shiftleft(CAST(start + run.from AS BIGINT), 8) | (run.until - run.from) as range"
+    listed = rows.selectExpr("doc_id", "text_hash", range_).groupBy("doc_id", "text_hash")
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        out = []
-        for found in batch.column(2).to_pylist():
-            pairs = sorted((f["start"] + r["from"], f["start"] + r["until"] + LENGTH - 1) for f in found for r in f["runs"])
-            merged: list[list[int]] = []
-            for low, high in pairs:
-                if merged and low <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], high)
-                else:
-                    merged.append([low, high])
-            out.append([{"from": low, "until": high} for low, high in merged])
-        kind = pa.list_(pa.struct([("from", pa.int32()), ("until", pa.int32())]))
+        found = batch.column(2)
+        of = np.repeat(np.arange(len(found)), found.value_lengths().to_numpy(zero_copy_only=False))
+        value = found.flatten().to_numpy(zero_copy_only=False)
+        order = np.lexsort((value, of))
+        of, value = of[order], value[order]
+        low = value >> 8
+        high = low + (value & 255) + LENGTH - 1
+        # Ranges of one document that overlap or touch become one.
+        shift = of.astype(np.int64) << 32
+        reach = np.maximum.accumulate(high + shift)
+        head = np.flatnonzero(np.append(True, (low + shift)[1:] > reach[:-1])[: len(low)])
+        tail = np.append(head[1:], len(low))[: len(head)] - 1
+        spans = pa.StructArray.from_arrays(
+            [pa.array(low[head].astype(np.int32)), pa.array((reach[tail] - shift[tail]).astype(np.int32))],
+            names=["from", "until"],
+        )
+        first = np.searchsorted(of[head], np.arange(len(found) + 1)).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(out, kind)], names=["doc_id", "text_hash", "spans"]
+            [batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(first), spans)],
+            names=["doc_id", "text_hash", "spans"],
         )
 
     schema = "doc_id long, text_hash long, spans array<struct<from:int,until:int>>"
-    return arrow.map_batches(listed, schema, make)
+    return arrow.map_batches(listed.agg(F.collect_set("range").alias("ranges")), schema, make)
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:

@@ -4,34 +4,33 @@ import random
 import re
 
 import edge
-import pyarrow as pa
+import pytest
 
-from headrace.llm import frames, queries, substring_dedup, words
+from headrace.llm import frames, queries, substring_dedup
 
 SMALL = "/root/testdata/sf0.001"
-N, EVERY = substring_dedup.UNIT_WORDS, substring_dedup.EVERY
+N = substring_dedup.UNIT_WORDS
 
 
-def units(text: str):
+def units(text: str, line_words: int):
     found = list(re.finditer(r"[^\x20\x09-\x0D]+", text))
     lowered = [edge.lower(m.group()) for m in found]
-    value = words.words(pa.array([text]), words.SPACED).value
-    places = {(i, i + N) for i in range(len(found) - N + 1) if int(value[i]) % EVERY == 0}
+    places = {(i, i + N) for i in range(len(found) - N + 1)}
     at = 0
     for line in text.split("\n"):
         n = len(edge.spaced(line))
-        if n >= N:
+        if n >= line_words:
             places.add((at, at + n))
         at += n
     return [(a, b, tuple(lowered[a:b]), found[a].start(), found[b - 1].end()) for a, b in sorted(places)]
 
 
-def brute(texts):
+def brute(texts, line_words=1):
     """Merged spans that are removed, for documents with ids of their own."""
     keeper, out = {}, []
     for i, text in sorted(texts, key=lambda t: (t[0] is None, t[0] or 0)):
         here, cut = {}, []
-        for a, b, key, low, high in units(text or ""):
+        for a, b, key, low, high in units(text or "", line_words):
             if key in here and a < here[key]:
                 continue
             if key in here or keeper.setdefault(key, i) != i:
@@ -47,15 +46,16 @@ def brute(texts):
     return sorted(out, key=repr)
 
 
-def check(frame, texts):
-    got = [(r["doc_id"], r["from"], r["until"]) for r in substring_dedup.spans(frame).collect()]
-    assert sorted(got, key=repr) == brute(texts)
+def check(frame, texts, line_words=1):
+    got = [(r["doc_id"], r["from"], r["until"]) for r in substring_dedup.spans(frame, line_words).collect()]
+    assert sorted(got, key=repr) == brute(texts, line_words)
     return got
 
 
-def test_small_table(spark):
+@pytest.mark.parametrize("line_words", [1, N])
+def test_small_table(spark, line_words):
     documents = frames.table(spark, SMALL, "documents")
-    assert check(documents, [(r["doc_id"], r["text"]) for r in documents.collect()])
+    assert check(documents, [(r["doc_id"], r["text"]) for r in documents.collect()], line_words)
 
 
 def test_passages_inside_lines_are_cut_and_offsets_are_those_of_the_text(spark, docs):
@@ -66,12 +66,12 @@ def test_passages_inside_lines_are_cut_and_offsets_are_those_of_the_text(spark,
     texts += [f"ü{fresh(3)}\n{fresh(4)} {p.upper()} {fresh(2)}" for p in passages]
     texts += [fresh(100) for _ in range(20)]
     frame = docs(*texts)
-    found = check(frame, list(enumerate(texts)))
+    found = check(frame, list(enumerate(texts)), N)
     assert {i for i, _, _ in found} == set(range(20, 40))
     for i, low, high in found:
         assert texts[i][low:high].lower() in passages[i - 20]
     assert sum(high - low for _, low, high in found) > 0.6 * sum(map(len, passages))
-    kept = {r["doc_id"]: r["text"] for r in substring_dedup.clean(frame).collect()}
+    kept = {r["doc_id"]: r["text"] for r in substring_dedup.clean(frame, N).collect()}
     for i, text in enumerate(texts):
         for _, low, high in sorted((f for f in found if f[0] == i), reverse=True):
             text = text[:low] + text[high:]
