@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -41,8 +42,19 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
 
 
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished steps go that no frame refers to any more.
+
+    Spark deletes them when the driver's collector finds their plans unused, which it may not
+    look for until much later: a job of several steps would hold the files of all of them.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def _store(frame: DataFrame, name: str) -> tuple[str, DataFrame]:
     spark = frame.sparkSession
+    release(spark)
     path = session.fresh_dir(spark, f"llm-{name}")
     frame.write.parquet(path)
     return path, tune(spark).read.schema(frame.schema).parquet(path)

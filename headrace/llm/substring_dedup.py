@@ -204,7 +204,10 @@ def spans(docs: DataFrame, line_words: int = 1) -> DataFrame:
     with frames.scratch(spark) as store:
         repeated = store(repeated, "repeated-units")
         across = spark.sparkContext.broadcast(_marked(repeated))
-        return frames.stored(_spans(found(across), repeated), "repeated-spans")
+        cut = frames.stored(_spans(found(across), repeated), "repeated-spans")
+    for table in (bits, across):
+        table.destroy()
+    return cut
 
 
 def _spans(found: DataFrame, repeated: DataFrame) -> DataFrame:

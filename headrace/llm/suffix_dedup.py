@@ -347,7 +347,10 @@ def spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
             _by_strings(variants.join(often, "value", "left_semi"))
         )
         found = store(found, "streamed")
-        return frames.stored(_cuts(places, first.join(found, ["value", "segment"], "left")), "removed-bytes")
+        cut = frames.stored(_cuts(places, first.join(found, ["value", "segment"], "left")), "removed-bytes")
+    for table in (shared, bits):
+        table.destroy()
+    return cut
 
 
 def _marked(several: DataFrame) -> np.ndarray:
@@ -410,6 +413,7 @@ def _with_spans(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     rows = docs.select(F.struct("*").alias("row"), text.alias("text"), F.xxhash64(text).alias("hash"))
     gone = spans(docs).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "spans")
+    frames.release(docs.sparkSession)
     # The hash leads: it spreads rows that share an id.
     on = (F.col("hash") == F.col("_hash")) & (F.col("row.doc_id").cast("bigint") == F.col("_id"))
     return rows.join(gone, on, "left").select("row", "text", "spans")
