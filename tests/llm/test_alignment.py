@@ -114,19 +114,24 @@ def test_edges(edges, libraries, spark, empty):
     assert alignment.report(empty, A, B).count() == 0
 
 
-def test_parts_give_the_ids_of_the_whole(libraries):
+def test_both_sides_give_the_libraries_ids(libraries):
     with open(B, "rb") as file:
         pieces = alignment.Pieces(file.read())
+    with open(A, encoding="utf-8") as file:
+        plain = alignment.Plain(file.read())
+    assert plain.fast is not None
     draw = random.Random(5)
-    signs = [*"abc  \n\t .,é́日　 ​😀ﬁ²\x00\x7f<0x41>", "the", "▁", "tion"]
-    for _ in range(3000):
-        text = "".join(draw.choices(signs, k=draw.randint(1, 30)))
-        ids, spelled = pieces.encode(" " + text)
-        _, side = tokens(libraries, text)
-        if side:
-            assert np.frombuffer(ids, "<u4").tolist() == [i for i, _ in side], text
-        else:
-            assert spelled != (" " + text).encode(), text
+    signs = [*"abc  \n\t .,é́日　 ​😀ﬁ²\x00\x7f<0x41>'s", "the", "▁", "tion", "'ll", "<|endoftext|>"]
+    settled = [chr(c) for c in range(0x250)] + [chr(c) for c in range(0x2010, 0x2028)]
+    texts = ["".join(draw.choices(signs, k=draw.randint(1, 30))) for _ in range(2000)]
+    texts += ["".join(draw.choices(settled, k=draw.randint(1, 30))) for _ in range(3000)]
+    texts += [x + c + y for c in settled for x in ("a", " ", "1", ".") for y in ("a", " ", "  b", "1", ".", "'s", "\n")]
+    texts += ["a" * 499, "a" * 500, " " * 499 + "b", " " * 500 + "b", "\n" * 700, "ab1." * 300]
+    for text in texts:
+        ids, spelled = plain.encode(" " + text)
+        assert ids.tolist() == libraries[0].encode(" " + text, add_special_tokens=False).ids, repr(text)
+        assert spelled == (" " + text).encode()
+        assert pieces.encode(" " + text)[0].tolist() == libraries[1].encode(text)
 
 
 def test_cuts():
