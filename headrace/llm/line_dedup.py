@@ -2,49 +2,56 @@
 
 A line is the set of its words (between white space, A-Z lower-cased). Two lines are alike
 if the Jaccard similarity of their sets is at least 4/5; a line is removed if an earlier one
-(by ``doc_id``, null last, then by place) is like it, removed itself or not.
-
-Lines of equal sets form a class, of which the first one stands for all. Words are ordered
-by rarity: by how often they stand in all documents, counted in ``BUCKETS`` hashed
-buckets, so that the counts have a fixed size. Alike sets share one of the first
-n - ceil(4n/5) + 1 words of each. Rows of these prefixes are brought together by word, and
-each class is compared with the earlier ones at that word, from the first on, until
-``PARTNERS`` of them pass the filters on lengths, on what is left behind the shared word,
-and on a 128-bit parity of the sets (which differs in no more bits than the sets do in
-words). What is left is verified by the whole sets. A class none of whose pairs is confirmed, and that had more partners at some
-word, is then compared with all of them, so nothing depends on the first choices.
-
-So a prefix row gives a few pairs at most, however many copies a line has, and large groups
-are settled by their first members. Words are compared by their 64-bit values. Lines without
-a word are kept. Null text has no lines. Rows that share a ``doc_id`` are taken together and
-each loses the same lines; an empty table gives an empty result; ``lines`` and ``report``
-need only ``doc_id`` and ``text``, and cleaning keeps columns of any name.
+(by ``doc_id``, null last, then by the hash of the text, then by place) is like it, removed
+itself or not.
+
+Lines of equal sets form a class, of which the first one stands for all, so a line costs the
+same however many copies it has. Words are ordered by rarity: by how often they stand in all
+documents, counted in ``BUCKETS`` hashed buckets, so that the counts have a fixed size. Alike
+sets share one of the first n - ceil(4n/5) + 1 words of each. Rows of these prefixes are
+brought together by word, and at each word every two classes are compared that pass the
+filters on lengths, on what is left behind the shared word, and on a 128-bit parity of the
+sets (which differs in no more bits than the sets do in words). Pairs that pass are verified by
+the whole sets. All links between different classes are found: ``links`` returns them, and
+``report`` tells the class of each line and how many others it is linked to.
+
+A word with more than ``BLOCK`` prefix rows is split: its rows are dealt into blocks, and each
+two blocks meet in a task of their own. Words are compared by their 64-bit values. Lines without
+a word are kept. Null text has no lines. Rows equal in id and text are copies of one document,
+which has one row in the report and of which each copy loses the same lines; rows of one id, or
+without an id, that differ in text are different documents. An empty table gives an empty result;
+``lines``, ``links`` and ``report`` need only ``doc_id`` and ``text``, and cleaning keeps columns
+of any name.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headrace.llm import arrow, frames, words
 
 BUCKETS = 1 << 19
-PARTNERS = 4
 LINE_FEED = 10
-NO_ID = (1 << 63) - 1  # stands for a null doc_id
-BROADCAST_LINES = 500_000
+BROADCAST_LINES = 500_000  # of some 40 bytes
+BLOCK = 1 << 16  # prefix rows of a word that are compared in one task
+HELD_ROWS = 1 << 18  # prefix rows that are worked on together
+COMPARED = 1 << 20  # pairs that are compared at once
 
 # Alike: shared / union >= 4/5, or 9 * shared >= 4 * (n_a + n_b).
-ALIKE = "9 * shared >= 4 * (n_a + n_b)"
+ALIKE = "9 * size(array_intersect(words_a, words_b)) >= 4 * (size(words_a) + size(words_b))"
 
+# A document: its id, null last, and the hash of its text.
+DOC = ("no_id", "doc_id", "key")
 LINES = (
-    "doc_id long, digest long, line int, repeats array<int>, n int, parity long, parity_2 long, "
-    "prefix array<int>"
+    "no_id boolean, doc_id long, key long, digest long, line int, repeats array<int>, n int, "
+    "parity long, parity_2 long, prefix array<int>"
 )
 
 
@@ -120,14 +127,14 @@ def _rarity(docs: DataFrame) -> np.ndarray:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for part in words.slices(batch, "text"):
-                found = _bucket(words.words(part.column(1), words.SPACED).value)
+                found = _bucket(words.words(part.column(0), words.SPACED).value)
                 total += np.bincount(found, minlength=BUCKETS)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["bucket", "n"]
         )
 
-    counted = docs.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     rows = counted.toArrow()
     out = np.zeros(BUCKETS, np.uint64)
     n = rows.column("n").to_numpy()
@@ -135,16 +142,28 @@ def _rarity(docs: DataFrame) -> np.ndarray:
     return out.astype(np.uint8)
 
 
+def _documents(docs: DataFrame) -> DataFrame:
+    """The text and what tells documents apart; an id that is null reads as 0 behind ``no_id``."""
+    return frames.texts(docs).select("text", *_named())
+
+
+def _named(row: str = "") -> list[Column]:
+    doc_id, text = F.col(f"{row}doc_id").cast("bigint"), F.col(f"{row}text").cast("string")
+    values = doc_id.isNull(), F.coalesce(doc_id, F.lit(0).cast("bigint")), F.xxhash64(text)
+    return [value.alias(name) for value, name in zip(values, DOC)]
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """The different lines of each document, with the numbers of their repeats there.
 
     A document without lines has one row without a digest.
     """
+    docs = _documents(docs)
     rarity: Broadcast = docs.sparkSession.sparkContext.broadcast(_rarity(docs))
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in words.slices(batch, "text"):
-            text, number, of, value = _sets(words.words(part.column(1), words.SPACED), rarity.value)
+            text, number, of, value = _sets(words.words(part.column(0), words.SPACED), rarity.value)
             digest = _digests(of, value, len(text))
             n = np.bincount(of, minlength=len(text))
             parity, parity_2 = _parities(of, value, len(text))
@@ -167,7 +186,7 @@ def lines(docs: DataFrame) -> DataFrame:
                 return pa.concat_arrays([values, pa.nulls(none, values.type)])
 
             columns = [
-                part.column(0).take(pa.array(np.concatenate([text[first], empty]))),
+                *(part.column(k).take(pa.array(np.concatenate([text[first], empty]))) for k in (1, 2, 3)),
                 column(pa.array(digest[first].view(np.int64))),
                 column(pa.array(number[first].astype(np.int32))),
                 column(_lists(number[by].astype(np.int32), head + 1, tail - head - 1, pa.int32())),
@@ -181,80 +200,76 @@ def lines(docs: DataFrame) -> DataFrame:
     return arrow.map_batches(docs, LINES, make)
 
 
-ID = ("doc_id", "line", "parity", "n")  # of a class: the place of its first line, and its set
-PAIR = [f"{c}_{s}" for s in "ab" for c in ID]
-PAIRS = ", ".join(f"{c} {k}" for c, k in zip(PAIR, ("long", "int", "long", "int") * 2)) + ", more boolean"
+_ROW = ("word", "digest", "place", "n", "parity", "parity_2")
+PAIRS = "digest_a long, digest_b long"
 
 
-def _passes(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The filters: lengths, words left behind the shared one, and parity."""
-    n_a, n_b = rows["n"][a].astype(np.int64), rows["n"][b].astype(np.int64)
-    need = -(-4 * (n_a + n_b) // 9)
-    differing = sum(
-        np.bitwise_count((rows[c][a] ^ rows[c][b]).view(np.uint64)).astype(np.int64)
-        for c in ("parity", "parity_2")
-    )
-    return (
-        (5 * np.minimum(n_a, n_b) >= 4 * np.maximum(n_a, n_b))
-        & (np.minimum(n_a - rows["place"][a], n_b - rows["place"][b]) >= need)
-        & (differing <= n_a + n_b - 2 * need)
-    )
-
+def _passes(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that pass the filters on words left behind the shared one and on parity.
 
-def _first_partners(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each row the first earlier ones of the same word that pass, and whether the search
-    ended before the last one.
-
-    All words are worked on at once: each round compares the rows that look for more with the
-    next earlier row of their word.
+    Their lengths fit already.
     """
-    word = rows["word"]
-    new = np.ones(len(word), bool)
-    new[1:] = word[1:] != word[:-1]
-    head = np.flatnonzero(new)[np.cumsum(new) - 1]
-    got = np.zeros(len(word), np.int64)
-    open_, step = np.flatnonzero(~new), 0
-    found: list[tuple[np.ndarray, np.ndarray]] = [(open_[:0], open_[:0])]
-    more = np.zeros(len(word), bool)
-    while len(open_):
-        partner = head[open_] + step
-        ok = _passes(rows, open_, partner)
-        found.append((open_[ok], partner[ok]))
-        got[open_[ok]] += 1
-        step += 1
-        open_ = open_[head[open_] + step < open_]
-        full = got[open_] >= PARTNERS
-        more[open_[full]] = True
-        open_ = open_[~full]
-    a, b = (np.concatenate(side) for side in zip(*found))
-    return a, b, more[a]
-
-
-_ROW = ("word", "doc_id", "line", "place", "n", "parity", "parity_2")
-HELD_ROWS = 1 << 18  # prefix rows that are worked on together
-
-
-def _prefix_rows(classes: DataFrame) -> DataFrame:
-    return classes.select(
-        F.posexplode("prefix").alias("place", "word"), "doc_id", "line", "n", "parity", "parity_2"
-    ).select(*_ROW)
-
-
-def _candidates(prefixes: DataFrame) -> DataFrame:
-    """The first partners of each prefix row at its word, and whether it has more."""
+    both = rows["n"][a] + rows["n"][b]
+    need = -(-4 * both // 9)
+    ok = np.minimum(rows["left"][a], rows["left"][b]) >= need
+    ok &= rows["digest"][a] != rows["digest"][b]
+    a, b, most = a[ok], b[ok], (both - 2 * need)[ok]
+    for parity in ("parity", "parity_2"):
+        differing = np.bitwise_count((rows[parity][a] ^ rows[parity][b]).view(np.uint64))
+        ok = differing <= most
+        a, b, most = a[ok], b[ok], most[ok] - differing[ok]
+    return a, b
+
+
+def _compared(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one word that pass, some at a time.
+
+    Each row is compared with those before it in the order of word and length, from the first
+    one that is long enough.
+    """
+    order = np.lexsort((rows["n"], rows["word"]))
+    rows = {c: v[order] for c, v in rows.items()}
+    rows["left"] = rows["n"] - rows["place"]
+    run = np.cumsum(np.append(0, rows["word"][1:] != rows["word"][:-1])) << 32
+    low = np.searchsorted(run | rows["n"], run | -(-4 * rows["n"] // 5))
+    size = np.arange(len(low)) - low
+    done = np.append(0, np.cumsum(size))
+    begin = 0
+    while begin < len(low):
+        end = max(begin + 1, int(np.searchsorted(done, done[begin] + COMPARED, "right")) - 1)
+        n = size[begin:end]
+        a = np.repeat(np.arange(begin, end), n)
+        b = np.repeat(low[begin:end] - done[begin:end] + done[begin], n) + np.arange(len(a))
+        a, b = _passes(rows, a, b)
+        if len(a):
+            yield rows["digest"][a], rows["digest"][b]
+        begin = end
+
+
+def _candidates(classes: DataFrame, store: frames.Store) -> DataFrame:
+    """All pairs of classes that pass at a word of both prefixes, each pair once."""
+    prefixes = classes.select(F.posexplode("prefix").alias("place", "word"), *_ROW[1:2], *_ROW[3:]).select(*_ROW)
+    many = (
+        prefixes.groupBy(F.expr("shiftrightunsigned(word, 13)").alias("bucket"))
+        .agg(F.count("*").alias("n_bucket"))
+        .where(F.col("n_bucket") > BLOCK)
+        .select("bucket", F.ceil(F.col("n_bucket") / BLOCK).cast("int").alias("blocks"))
+    )
+    many = store(many, "line-words")
+    if not many.isEmpty():
+        prefixes = _split(prefixes, many)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         n_held = 0
 
-        def pairs() -> pa.RecordBatch:
+        def pairs() -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held)
             rows = {c: table.column(c).to_numpy() for c in _ROW}
-            order = np.lexsort((rows["line"], rows["doc_id"], rows["word"]))
-            rows = {c: v[order] for c, v in rows.items()}
-            a, b, more = _first_partners(rows)
-            columns = [pa.array(rows[c][side]) for side in (a, b) for c in ID] + [pa.array(more)]
-            return pa.RecordBatch.from_arrays(columns, names=[*PAIR, "more"])
+            rows |= {c: rows[c].astype(np.int64) for c in ("place", "n")}
+            for a, b in _compared(rows):
+                sides = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
+                yield pa.RecordBatch.from_arrays(sides, names=["digest_a", "digest_b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -263,143 +278,165 @@ def _candidates(prefixes: DataFrame) -> DataFrame:
             cut = int(np.searchsorted(word, word[-1]))  # the last word may go on
             if cut and n_held + cut >= HELD_ROWS:
                 held.append(batch.slice(0, cut))
-                yield pairs()
+                yield from pairs()
                 held, n_held, batch = [], 0, batch.slice(cut)
             held.append(batch)
             n_held += batch.num_rows
         if held:
-            yield pairs()
+            yield from pairs()
 
     # One integer key sorts fastest; the rows of a word are put in order where they are compared.
-    return prefixes.repartition("word").sortWithinPartitions("word").mapInArrow(run, PAIRS)
+    together = prefixes.repartition("word").sortWithinPartitions("word")
+    return store(together.mapInArrow(run, PAIRS).distinct(), "line-pairs")
+
 
+def _split(prefixes: DataFrame, many: DataFrame) -> DataFrame:
+    """Prefix rows in which words of crowded buckets are replaced by pairs of blocks.
 
-def _all_candidates(some: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """All earlier partners that pass, for the prefix rows of some classes."""
-    on = F.expr(
-        "a.word = b.word and (b.doc_id < a.doc_id or b.doc_id = a.doc_id and b.line < a.line) "
-        "and 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n) "
-        "and 9 * least(a.n - a.place, b.n - b.place) >= 4 * (a.n + b.n) "
-        "and 9 * (bit_count(a.parity ^ b.parity) + bit_count(a.parity_2 ^ b.parity_2)) <= a.n + b.n"
+    A row goes to the pairs that hold its block, so each two rows of a word meet. ``many`` has
+    at most a row for each of the 2^19 buckets. Words that get the same value by chance only
+    give pairs that are not confirmed.
+    """
+    return (
+        prefixes.join(F.broadcast(many), F.expr("shiftrightunsigned(word, 13) = bucket"), "left")
+        .withColumn("block", F.expr("if(blocks is null, 0, pmod(xxhash64(digest), blocks))"))
+        .withColumn("other", F.explode(F.expr("sequence(0, coalesce(blocks, 1) - 1)")))
+        .withColumn(
+            "word",
+            F.expr("if(blocks is null, word, hash(word, least(block, other), greatest(block, other)))"),
+        )
+        .select(*_ROW)
     )
-    both = [F.col(f"{s}.{c}").alias(f"{c}_{s}") for s in "ab" for c in ID]
-    return some.alias("a").join(prefixes.alias("b"), on).select(*both).distinct()
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, store: frames.Store) -> DataFrame:
-    """``digest`` of the classes that have a pair whose sets are alike."""
-    pairs = store(pairs.distinct(), "line-pairs")
-    of = {side: [F.col(f"{c}_{side}").alias(c) for c in ID] for side in "ab"}
+def _links(docs: DataFrame, classes: DataFrame, store: frames.Store) -> DataFrame:
+    """Each two classes whose sets are alike, once, and which of them begins later."""
+    pairs = _candidates(classes, store)
+    asked = pairs.selectExpr("explode(array(digest_a, digest_b)) as digest").distinct()
     wanted = store(
-        pairs.select(*of["a"]).union(pairs.select(*of["b"])).distinct()
-        .groupBy(F.col("doc_id").alias("doc")).agg(F.collect_list(F.struct("line", "parity")).alias("wanted")),
+        classes.join(asked, "digest", "left_semi").groupBy(*DOC)
+        .agg(F.collect_list(F.struct("line", "digest")).alias("wanted")),
         "lines-wanted",
     )
     size = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
-    # Some twenty bytes a line; more lines than this are joined by a shuffle.
     side = F.broadcast(wanted) if size <= BROADCAST_LINES else wanted
-    chosen = docs.join(side, F.coalesce("doc_id", F.lit(NO_ID)) == F.col("doc")).select("doc", "text", "wanted")
+    chosen = _documents(docs).join(side, list(DOC)).select("text", *DOC, "wanted")
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in words.slices(batch, "text"):
-            text, number, of_word, value = _sets(words.words(part.column(1), words.SPACED))
-            parity, _ = _parities(of_word, value, len(text))
+            text, number, of_word, value = _sets(words.words(part.column(0), words.SPACED))
             n = np.bincount(of_word, minlength=len(text))
-            listed = part.column(2)
-            asked = listed.flatten()
-            row = np.repeat(np.arange(part.num_rows), listed.value_lengths().to_numpy(zero_copy_only=False))
+            asked = part.column(4).flatten()
+            sizes = part.column(4).value_lengths().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(part.num_rows), sizes)
             line = asked.field("line").to_numpy(zero_copy_only=False)
-            want = asked.field("parity").to_numpy(zero_copy_only=False)
-            # Where the line stands among those of its text; a text of the same id may lack it.
-            place = text.astype(np.int64) << 32 | number
-            key = row.astype(np.int64) << 32 | line
-            at = np.minimum(np.searchsorted(place, key), max(len(place) - 1, 0))
-            found = (place[at] == key) & (parity[at] == want) if len(place) else np.zeros(len(key), bool)
-            at = at[found]
+            at = np.searchsorted(text.astype(np.int64) << 32 | number, row.astype(np.int64) << 32 | line)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(row[found])), pa.array(number[at].astype(np.int32)),
-                 pa.array(parity[at]), pa.array(_digests(of_word, value, len(text))[at].view(np.int64)),
-                 _lists(value.view(np.int64), (np.cumsum(n) - n)[at], n[at], pa.int64())],
-                names=["doc_id", "line", "parity", "digest", "words"],
+                [*(part.column(k).take(pa.array(row)) for k in (1, 2, 3)), asked.field("line"),
+                 asked.field("digest"), _lists(value.view(np.int64), (np.cumsum(n) - n)[at], n[at], pa.int64())],
+                names=[*DOC, "line", "digest", "words"],
             )
 
-    schema = "doc_id long, line int, parity long, digest long, words array<long>"
-    sets = arrow.map_batches(chosen, schema, make)
+    schema = "no_id boolean, doc_id long, key long, line int, digest long, words array<long>"
+    # The copies of a document differ in nothing, so any of them stands for all. Both sides of the
+    # join need the same columns, and their shuffle is made once.
+    sets = arrow.map_batches(chosen, schema, make).groupBy("digest").agg(
+        F.first(F.struct(*DOC, "line")).alias("first"), F.first("words").alias("words")
+    )
 
     def named(side: str) -> DataFrame:
-        keys = [F.col(c).alias(f"{c}_{side}") for c in ID[:3]]
-        return sets.select(*keys, F.col("digest").alias(f"digest_{side}"), F.col("words").alias(side))
+        return sets.select(*(F.col(c).alias(f"{c}_{side}") for c in sets.columns))
 
-    return (
-        pairs.join(named("b"), [f"{c}_b" for c in ID[:3]])
-        .join(named("a"), [f"{c}_a" for c in ID[:3]])
-        # Always so; with it both sides need the same columns, and their shuffle is made once.
-        .where("digest_a != digest_b")
-        .selectExpr("digest_a as digest", "n_a", "n_b", "size(array_intersect(a, b)) as shared")
-        .where(ALIKE)
-        .select("digest")
-        .distinct()
-    )
+    found = pairs.join(named("a"), "digest_a").join(named("b"), "digest_b").where(ALIKE)
+    return found.selectExpr("digest_a", "digest_b", "first_a > first_b as a_later")
 
 
-def _outcome(docs: DataFrame, store: frames.Store) -> DataFrame:
-    """Rows of ``lines`` with ``kept`` and ``near``: whether the first one of the row stays, and
-    whether it goes for a line that is alike but not equal."""
-    found = store(lines(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))), "lines")
+def _found(docs: DataFrame, store: frames.Store) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lines, classes and links."""
+    found = store(lines(docs), "lines")
     classes = (
         found.where("digest is not null")
         .groupBy("digest")
-        .agg(F.min(F.struct("doc_id", "line", "n", "parity", "parity_2", "prefix")).alias("first"))
+        .agg(F.min(F.struct(*DOC, "line", "n", "parity", "parity_2", "prefix")).alias("first"))
         .select("digest", "first.*")
     )
     classes = store(classes, "line-classes")
-    prefixes = _prefix_rows(classes)
-    tried = store(_candidates(prefixes), "line-candidates")
-    near = store(_confirmed(docs, tried.select(*PAIR), store), "lines-near")
-    # Classes whose first partners were not like them, and that have more.
-    more = tried.where("more").select(*[F.col(f"{c}_a").alias(c) for c in ID[:3]]).distinct()
-    left = store(
-        classes.join(more, list(ID[:3]), "left_semi").join(near, "digest", "left_anti"), "lines-left"
-    )
-    rest, n_rest = _prefix_rows(left), left.agg(F.sum(F.size("prefix"))).first()[0]
-    if n_rest:
-        rest = F.broadcast(rest) if n_rest <= BROADCAST_LINES else rest
-        found_more = _confirmed(docs, _all_candidates(rest, prefixes), store)
-        near = store(near.union(found_more), "lines-near")
+    return found, classes, store(_links(docs, classes, store), "line-links")
+
+
+def _outcome(docs: DataFrame, store: frames.Store) -> DataFrame:
+    """Rows of ``lines`` with ``kept``, ``near`` and ``links``: whether the first one of the row stays,
+    whether it goes for a line that is alike but not equal, and to how many classes its own is linked."""
+    found, classes, links = _found(docs, store)
+    linked = (
+        links.selectExpr("inline(array(struct(digest_a as digest, a_later as later), "
+                         "struct(digest_b as digest, not a_later as later)))")
+        .groupBy("digest")
+        .agg(F.count("*").alias("links"), F.bool_or("later").alias("near"))
+    )
     classes = store(
-        classes.select("digest", F.col("doc_id").alias("first"))
-        .join(near.withColumn("near", F.lit(True)), "digest", "left")
-        .select("digest", "first", F.coalesce("near", F.lit(False)).alias("near")),
+        classes.select("digest", F.struct(*DOC).alias("first"))
+        .join(linked, "digest", "left")
+        .fillna({"links": 0, "near": False}),
         "line-outcome",
     )
     return (
         found.drop("parity", "parity_2", "prefix", "n")
         .join(classes, "digest", "left")
-        .withColumn("kept", F.expr("coalesce(first = doc_id and not near, true)"))
+        .withColumn("kept", F.coalesce((F.col("first") == F.struct(*DOC)) & ~F.col("near"), F.lit(True)))
     )
 
 
+def links(docs: DataFrame) -> DataFrame:
+    """All links: each two classes of lines that are alike but not equal, once.
+
+    ``line_a`` and ``line_b`` are the places of their first lines, the earlier one first.
+    """
+    with frames.scratch(docs.sparkSession) as store:
+        _, classes, linked = _found(docs, store)
+        place = "struct(if(no_id, null, doc_id) as doc_id, line)"
+        of = {s: classes.selectExpr(f"digest as digest_{s}", f"{place} as line_{s}") for s in "ab"}
+        pairs = linked.selectExpr(
+            "if(a_later, digest_b, digest_a) as digest_a", "if(a_later, digest_a, digest_b) as digest_b"
+        )
+        joined = pairs.join(of["a"], "digest_a").join(of["b"], "digest_b")
+        return frames.stored(joined.select("digest_a", "line_a", "digest_b", "line_b"), "line-links")
+
+
 def report(docs: DataFrame) -> DataFrame:
-    """Per document its lines with words and the numbers (from 0) of those removed."""
+    """Per document its lines with words, the numbers (from 0) of those removed, and its ``classes``.
+
+    Those have a row for each different line: where it stands first, its class, and how many
+    other classes are alike.
+    """
     gone = "if(digest is null, cast(array() as array<int>), if(kept, repeats, concat(array(line), repeats)))"
     with frames.scratch(docs.sparkSession) as store:
-        found = _outcome(frames.texts(docs), store)
-        rows = found.selectExpr("doc_id", "digest", "repeats", f"{gone} as gone", "not kept and near as near")
+        found = _outcome(docs, store)
+        rows = found.selectExpr(
+            *DOC, "digest", "repeats", f"{gone} as gone", "not kept and near as near",
+            "if(digest is null, null, struct(line, digest as class, links)) as class",
+        )
         return frames.stored(_by_document(rows), "line-report")
 
 
 def _by_document(rows: DataFrame) -> DataFrame:
     return (
         rows
-        .groupBy("doc_id")
+        .groupBy(*DOC)
         .agg(
-            F.sum(F.expr("if(digest is null, 0, 1 + size(repeats))")).cast("long").alias("n_lines"),
-            F.count_if("near").alias("n_near"),
-            F.array_sort(F.flatten(F.collect_list("gone"))).alias("removed_lines"),
+            # Copies of a document repeat its rows.
+            F.collect_set(F.struct("digest", "repeats", "gone", "near", "class")).alias("rows"),
         )
         .select(
-            F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "n_lines",
-            F.size("removed_lines").cast("long").alias("n_removed"), "n_near", "removed_lines",
+            F.expr("if(no_id, null, doc_id)").alias("doc_id"),
+            F.expr("aggregate(rows, 0L, (s, r) -> s + if(r.digest is null, 0, 1 + size(r.repeats)))").alias("n_lines"),
+            F.array_sort(F.flatten("rows.gone")).alias("removed_lines"),
+            F.expr("cast(size(filter(rows, r -> r.near)) as long)").alias("n_near"),
+            F.expr("array_sort(filter(rows.class, c -> c is not null))").alias("classes"),
+        )
+        .select(
+            "doc_id", "n_lines", F.size("removed_lines").cast("long").alias("n_removed"), "n_near",
+            F.expr("aggregate(classes, 0L, (s, c) -> s + c.links)").alias("n_links"), "removed_lines", "classes",
         )
     )
 
@@ -410,12 +447,12 @@ def clean(docs: DataFrame) -> DataFrame:
     A document that had words and has lost them all is dropped.
     """
     with frames.scratch(docs.sparkSession) as store:
-        gone = _outcome(frames.texts(docs), store).where("not kept")
-        gone = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("digest").alias("gone"))
+        gone = _outcome(docs, store).where("not kept")
+        gone = gone.groupBy(*(F.col(c).alias(f"_{c}") for c in DOC)).agg(F.collect_set("digest").alias("gone"))
         gone = frames.stored(gone, "lines-gone")
-    joined = docs.select(F.struct("*").alias("row"), F.col("text").cast("string").alias("text")).join(
-        gone, F.coalesce(F.col("row.doc_id"), F.lit(NO_ID)) == F.col("_id"), "left"
-    )
+    joined = docs.select(F.struct("*").alias("row")).select("row", F.col("row.text").cast("string").alias("text"))
+    same = [value == F.col(f"_{name}") for value, name in zip(_named("row."), DOC)]
+    joined = joined.join(gone, functools.reduce(lambda x, y: x & y, same), "left")
     place = next(k for k, name in enumerate(docs.columns) if name.lower() == "text")
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

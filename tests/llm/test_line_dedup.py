@@ -12,15 +12,19 @@ from headrace.llm import frames, line_dedup
 SMALL = "/root/testdata/sf0.001"
 
 
+def _sets(texts):
+    """Word sets of the lines of each document, in order of doc_id (null last)."""
+    for i, text in sorted(texts, key=lambda t: (t[0] is None, t[0] or 0)):
+        lines = enumerate((text or "").split("\n"))
+        yield i, [(k, w) for k, line in lines if (w := frozenset(edge.spaced(edge.lower(line))))]
+
+
 def brute(texts):
     """Numbers of removed lines of each document, in order of doc_id (null last)."""
     seen, sets, holding, out = set(), [], defaultdict(list), {}
-    for i, text in sorted(texts, key=lambda t: (t[0] is None, t[0] or 0)):
+    for i, lines in _sets(texts):
         gone = []
-        for k, line in enumerate((text or "").split("\n")):
-            words = frozenset(edge.spaced(edge.lower(line)))
-            if not words:
-                continue
+        for k, words in lines:
             shared = Counter(j for w in words for j in holding[w])
             if words in seen or any(9 * n >= 4 * (len(words) + len(sets[j])) for j, n in shared.items()):
                 gone.append(k)
@@ -33,9 +37,35 @@ def brute(texts):
     return out
 
 
+def brute_links(texts):
+    """For each document the first place of each different line and its number of links."""
+    found = list(_sets(texts))
+    holding, links = defaultdict(set), {}
+    for words in {w for _, lines in found for _, w in lines}:
+        shared = Counter(other for w in words for other in holding[w])
+        alike = [o for o, n in shared.items() if 9 * n >= 4 * (len(words) + len(o))]
+        links[words] = len(alike)
+        for o in alike:
+            links[o] += 1
+        for w in words:
+            holding[w].add(words)
+    out = {}
+    for i, lines in found:
+        first = {}
+        for k, words in lines:
+            first.setdefault(words, k)
+        out[i] = sorted((k, links[w]) for w, k in first.items())
+    return out, links
+
+
 def check(frame, texts):
-    got = {r["doc_id"]: list(r["removed_lines"]) for r in line_dedup.report(frame).collect()}
+    rows = line_dedup.report(frame).collect()
+    got = {r["doc_id"]: list(r["removed_lines"]) for r in rows}
     assert got == brute(texts)
+    linked, links = brute_links(texts)
+    assert {r["doc_id"]: [(c["line"], c["links"]) for c in r["classes"]] for r in rows} == linked
+    assert all(r["n_links"] == sum(c["links"] for c in r["classes"]) for r in rows)
+    assert len({c["class"] for r in rows for c in r["classes"]}) == len(links)
     return got
 
 
@@ -71,21 +101,37 @@ def test_against_brute_force(spark, alike):
             assert texts[i] == "\n".join(lines)
 
 
-@pytest.mark.parametrize("broadcast", [0, 500_000])
-def test_first_choices_that_are_not_alike_do_not_settle(spark, alike, monkeypatch, broadcast):
-    """The first earlier line of the same word, whatever it is, instead of one that passes."""
+@pytest.mark.parametrize(("block", "held", "compared"), [(4, 1 << 18, 1 << 20), (1, 8, 3), (1 << 16, 1, 1)])
+def test_split_words_lose_no_pair(spark, alike, monkeypatch, block, held, compared):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    monkeypatch.setattr(line_dedup, "HELD_ROWS", held)
+    monkeypatch.setattr(line_dedup, "COMPARED", compared)
+    check(spark.createDataFrame(edge.rows(alike), edge.SCHEMA), alike)
 
-    def first(prefixes):
-        on = "a.word = b.word and (b.doc_id < a.doc_id or b.doc_id = a.doc_id and b.line < a.line)"
-        named = [F.expr(f"a.{c}").alias(f"{c}_a") for c in line_dedup.ID]
-        pairs = prefixes.alias("a").join(prefixes.alias("b"), F.expr(on)).groupBy("a.word", *named)
-        least = pairs.agg(F.min(F.struct(*(f"b.{c}" for c in line_dedup.ID))).alias("b"))
-        chosen = [F.col(f"b.{c}").alias(f"{c}_b") for c in line_dedup.ID]
-        return least.select(*(f"{c}_a" for c in line_dedup.ID), *chosen, F.lit(True).alias("more"))
 
-    monkeypatch.setattr(line_dedup, "_candidates", first)
-    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", broadcast)
-    check(spark.createDataFrame(edge.rows(alike), edge.SCHEMA), alike)
+def test_many_partners_of_one_line(spark):
+    """Some thousand links at a few words: every one is found, with its earlier line first."""
+    base = [f"w{k}" for k in range(20)]
+    texts = [(i, " ".join([*base, f"own{i}"])) for i in range(60)]
+    frame = spark.createDataFrame(edge.rows(texts), edge.SCHEMA)
+    check(frame, texts)
+    pairs = {(r["line_a"]["doc_id"], r["line_b"]["doc_id"]) for r in line_dedup.links(frame).collect()}
+    assert pairs == {(i, j) for j in range(60) for i in range(j)}
+
+
+def test_documents_without_an_id_or_of_one_id(spark):
+    """They differ by their texts; rows equal in both are copies of one document."""
+    line = "the very same line of seven words"
+    texts = [(None, f"{line}\nnumber {k} alone") for k in "abc"] + [(None, f"{line}\nnumber a alone")]
+    frame = spark.createDataFrame(edge.rows(texts), edge.SCHEMA)
+    rows = line_dedup.report(frame).collect()
+    assert sorted(r["n_removed"] for r in rows) == [0, 1, 1]
+    kept = [r["text"] for r in line_dedup.clean(frame).collect()]
+    assert len(kept) == 4 and sum(line in text for text in kept) in (1, 2)
+    assert len({text for text in kept if line in text}) == 1
+    texts = [(1, "a b c d e f"), (1, "a b c d e f\nand more of it")]
+    frame = spark.createDataFrame(edge.rows(texts), edge.SCHEMA)
+    assert sum(r["n_removed"] for r in line_dedup.report(frame).collect()) == 1
 
 
 def test_shuffled_join_of_wanted_lines(spark, alike, monkeypatch):

@@ -48,7 +48,7 @@ def test_stages(spark):
 
 def test_run_is_registered(spark):
     assert entry.queries()["pipeline"](spark, SMALL).columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    assert sum(n.startswith("op") for n in entry.queries()) == 10
+    assert sum(n.startswith("op") for n in entry.queries()) == 13
 
 
 def test_edges(spark, edges, empty, tmp_path):
