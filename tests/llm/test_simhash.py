@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import edge
 import numpy as np
+import pytest
 import xxhash
 
 from headrace.llm import frames, simhash
@@ -86,6 +87,20 @@ def test_chain_is_one_component(spark):
     assert len({placed[k] for k in range(60)}) == 1 and placed[100] == placed[101] != placed[0]
 
 
+@pytest.mark.parametrize("step", [1, -1])
+def test_an_ordered_path_takes_few_rounds(spark, step):
+    frame = spark.range(999).selectExpr(f"{step} * id as x", f"{step} * (id + 1) as y").selectExpr("least(x, y) a", "greatest(x, y) b")
+    rounds = []
+
+    def store(step, name):
+        rounds.append(name)
+        return frames.stored(step, name)
+
+    placed = {r["node"]: r["root"] for r in simhash.components(frame, store).collect()}
+    assert len(placed) == 1000 and len(set(placed.values())) == 1
+    assert rounds.count("steps") <= 20
+
+
 def test_small_table(spark):
     documents = frames.table(spark, SMALL, "documents")
     rows = sorted((r["doc_id"], r["text"]) for r in documents.select("doc_id", "text").collect())
