@@ -1,7 +1,8 @@
 """License scans: phrases, and blocks that contain the words of a license notice.
 
-A block is a line. A notice is found in a block that holds at least nine tenths of the
-notice's distinct words. That is an exact set-similarity join: the words of all notices are
+A block is a line and the ``WRAPPED`` - 1 lines behind it, from each line on, as notices are
+wrapped. A notice is found in a block that holds at least nine tenths of the notice's distinct
+words. That is an exact set-similarity join: the words of all notices are
 counted over all blocks and put in order, rarest first; a block can only reach the threshold
 if it holds one of the first words of the notice, has enough words, and has enough left
 behind the place of a shared word in either order; the overlap of what remains is counted.
@@ -26,18 +27,27 @@ PHRASES = {
 
 # Notices of public licenses, as words.
 NOTICES = {
+    "agpl": "under the terms of the gnu affero general public license",
     "apache-2.0": "licensed under the apache license version 2 0",
+    "boost": "distributed under the boost software license version 1 0",
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted",
     "cc-by": "this work is licensed under a creative commons attribution 4 0 international license",
     "cc-by-nc": "licensed under cc by nc 4 0",
     "cc-by-sa": "licensed under cc by sa 4 0",
     "gpl": "this work is licensed under the gnu general public license version 3",
+    "gpl-text": "this program is free software you can redistribute it and or modify it under the terms of the "
+    "gnu general public license as published by the free software foundation",
+    "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee "
+    "is hereby granted",
+    "lgpl": "under the terms of the gnu lesser general public license",
     "mit": "released under the mit license",
     "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software",
     "mpl-2.0": "this source code form is subject to the terms of the mozilla public license",
     "unlicense": "this is free and unencumbered software released into the public domain",
+    "zlib": "this software is provided as is without any express or implied warranty",
 }
 PERCENT = 90
+WRAPPED = 4  # lines of a block: enough for the longest notice, begun in the middle of a line
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 NOT_WORD = "[\\\\x00-\\\\x2F\\\\x3A-\\\\x60\\\\x7B-\\\\x7F]+"
@@ -51,8 +61,9 @@ def _needed(size: int) -> int:
     return -(-size * PERCENT // 100)
 
 
-def places(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """Per document its words, the places of phrases, and the notice words of each block."""
+def places(docs: DataFrame, vocabulary: list[str], least: int) -> DataFrame:
+    """Per document its words, the places of phrases, and the notice words of each block that has
+    as many as ``least``."""
     lines = (
         frames.texts(docs)
         .withColumn("row", F.monotonically_increasing_id())
@@ -65,10 +76,13 @@ def places(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
     # Every word stands between spaces of its own, so that neighbours share none.
     words = lines.selectExpr(
         "row", "doc_id",
-        f"filter(transform(lines, x -> array_intersect(x, {_strings(vocabulary)})), x -> size(x) > 0) as blocks",
+        f"transform(lines, x -> array_intersect(x, {_strings(vocabulary)})) as known",
         "flatten(lines) as w",
     ).selectExpr(
-        "row", "doc_id", "blocks", "size(w) as n_words",
+        "row", "doc_id",
+        f"filter(transform(known, (x, i) -> array_distinct(flatten(slice(known, i + 1, {WRAPPED})))), "
+        f"x -> size(x) >= {least}) as blocks",
+        "size(w) as n_words",
         "if(size(w) = 0, '', concat(' ', array_join(w, '  '), ' ')) as spaced",
     )
     count = "char_length({0}) - char_length(replace({0}, ' ', ''))"
@@ -144,8 +158,9 @@ def scan(docs: DataFrame, notices: dict[str, str] | None = None) -> DataFrame:
     """
     notices = NOTICES if notices is None else notices
     vocabulary = sorted({w for text in notices.values() for w in text.split()})
+    least = min((_needed(len(set(text.split()))) for text in notices.values()), default=1)
     with frames.scratch(docs.sparkSession) as store:
-        found = store(places(docs, vocabulary), "licenses")
+        found = store(places(docs, vocabulary, least), "licenses")
         blocks = found.selectExpr("row", "explode(blocks) as tokens")
         met = matches(blocks, notices, _order(blocks, vocabulary))
         by_row = met.groupBy("row").agg(F.collect_set("label").alias("added"), F.max("share").alias("share"))

@@ -38,9 +38,13 @@ oracle(
         SELECT r, count(*) AS n, min(place) AS a, max(place) AS z, list(DISTINCT label) AS labels FROM hit GROUP BY r
     ), notice(words, label) AS (
         VALUES {", ".join(f"({_literal(sorted(set(t.split())))}, '{l}')" for l, t in licenses.NOTICES.items())}
-    ), block AS (
-        SELECT r, list_distinct(regexp_extract_all(line, '{_ALNUM}')) AS b
-        FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+    ), line AS (SELECT r, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d),
+    block AS (
+        SELECT r, list_distinct(regexp_extract_all(lines, '{_ALNUM}')) AS b FROM (
+            SELECT r, string_agg(line, chr(10)) OVER (
+                PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND {licenses.WRAPPED - 1} FOLLOWING
+            ) AS lines FROM line
+        )
     ), added AS (
         SELECT r, list(DISTINCT label) AS labels, max(len(list_intersect(b, words)) / len(words)) AS share
         FROM block, notice WHERE 100 * len(list_intersect(b, words)) >= {licenses.PERCENT} * len(words) GROUP BY r

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import textwrap
 
 import edge
 from compare import expected, normal
@@ -19,8 +20,9 @@ def brute(text: str | None):
         places += at
         base |= {label} if at else set()
     added, share = set(), 0.0
-    for line in (text or "").split("\n"):
-        block = set(edge.alnum(line))
+    lines = (text or "").split("\n")
+    for k in range(len(lines)):
+        block = set(edge.alnum("\n".join(lines[k : k + licenses.WRAPPED])))
         for label, notice in licenses.NOTICES.items():
             want = set(notice.split())
             if 100 * len(want & block) >= licenses.PERCENT * len(want):
@@ -53,6 +55,21 @@ def test_notices_with_words_missing_and_added(spark, docs):
     assert sum(r[6] != r[5] for r in got) >= 10
 
 
+def test_notices_as_they_are_written(spark, docs):
+    """Wrapped at several widths, commented, begun in the middle of a line."""
+    texts, labels = [], []
+    for label, notice in licenses.NOTICES.items():
+        for width in (50, 72, 100):
+            for mark in ("# ", " * ", ""):
+                lines = textwrap.wrap("Copyright 2020 The Authors. " + notice.capitalize() + ". More text.", width)
+                texts.append("\n".join(["import os", "", *(mark + line for line in lines), "", "x = 1"]))
+                labels.append(label)
+    texts.append("\n".join([*licenses.NOTICES["bsd"].split()[:7], *["x"] * 4, *licenses.NOTICES["bsd"].split()[7:]]))
+    got = check(docs(*texts), list(enumerate(texts)))
+    by_id = {r[0]: r[6].split(",") for r in got}
+    assert all(label in by_id[k] for k, label in enumerate(labels)) and by_id[len(labels)] == [""]
+
+
 def test_edges(spark, edges, empty):
     check(edges, edge.TEXTS)
     assert licenses.scan(empty).count() == 0
