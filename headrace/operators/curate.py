@@ -11,7 +11,7 @@ from headrace import schemas as S
 from headrace import session
 from headrace.functions import fields
 from headrace.functions.once import rows_seen, with_once
-from headrace.operators import versions
+from headrace.operators import keyindex, versions
 from headrace.operators.skew import BROADCAST_BYTES, BROADCAST_ROWS
 
 _TEXT_FIELDS = (
@@ -146,15 +146,16 @@ def create_target(spark: SparkSession, path: str, schema: str = S.CURATED) -> No
 
 
 def _rows(
-    spark: SparkSession, path: str, parts: list[versions.Part], schema: str, buckets: list[int] | None = None
+    spark: SparkSession, path: str, parts: list[versions.Part], schema: str,
+    buckets: list[int] | None = None, files: list[str] = (),
 ) -> DataFrame:
     """The rows of some parts with the ``batch_id`` that wrote them, 0 if they were compacted.
 
     With ``buckets`` only these are read of compacted parts. They are folders, so no other
-    one is opened.
+    one is opened. ``files`` of other compacted parts are read beside them.
     """
     merged = [p.path for p in parts if p.level == 0]
-    compacted = [p.path for p in parts if p.level]
+    compacted = [*(p.path for p in parts if p.level), *files]
     out = spark.createDataFrame([], f"{schema}, batch_id bigint")
     if merged:
         reader = spark.read.schema(f"{schema}, batch_id bigint, try string").option("basePath", path)
@@ -176,6 +177,27 @@ def read_target(
     return _rows(spark, path, list(versions.latest(spark, path).parts), schema, buckets)
 
 
+def rivals(
+    spark: SparkSession, path: str, parts: list[versions.Part], fixed: DataFrame, rows: int,
+    schema: str = S.CURATED, key: str = "event_id",
+) -> DataFrame:
+    """Rows of some parts among which are all that share an id with a batch of ``rows`` rows.
+
+    Of parts with a key index a small batch reads only the files that may hold one of its ids,
+    a larger one the buckets its ids fall in. Merged parts, which are small, are read as a whole.
+    """
+    files: list[str] = []
+    if rows <= keyindex.LOOKUP_IDS and (indexed := [p for p in parts if p.slots]):
+        indexes = [(p.path, keyindex.path(path, p.path), p.slots) for p in indexed]
+        files = keyindex.holding(spark, indexes, keyindex.hashes(fixed, key))
+        parts = [p for p in parts if not p.slots]
+    if not any(p.level for p in parts):
+        return _rows(spark, path, parts, schema, files=files)
+    # As many rows as there are buckets.
+    touched = [r[0] for r in fixed.selectExpr(bucket(key)).distinct().collect()]
+    return _rows(spark, path, parts, schema, touched, files)
+
+
 def merge(
     spark: SparkSession,
     batch: DataFrame,
@@ -212,13 +234,11 @@ def merge(
     size = rows_seen(staged) if batch_rows is None else batch_rows
     small = size <= BROADCAST_ROWS and rows_seen(staged, "bytes") <= BROADCAST_BYTES
     insert = insert_small if small else insert_large
-    # As many rows as there are buckets; a small batch touches few of them.
-    touched = [r[0] for r in fixed.selectExpr(bucket(key)).distinct().collect()]
     try:
         while True:
             now = versions.latest(spark, path)
             own = [p for p in now.parts if p.batch_id == batch_id]
-            others = _rows(spark, path, [p for p in now.parts if p not in own], schema, touched)
+            others = rivals(spark, path, [p for p in now.parts if p not in own], fixed, size, schema, key)
             fresh = insert(fixed, others, key, order, f"{stage_path}/keys")
             part = f"{path}/batch_id={batch_id}/try={versions.new_name()}"
             inserted = Observation()
@@ -256,7 +276,9 @@ def _rewrite(spark: SparkSession, path: str, parts: list[versions.Part], level:
         .partitionBy("bucket")
         .parquet(fresh)
     )
-    made = versions.Part(fresh, rows_seen(written), level, 0)
+    count, index = rows_seen(written), keyindex.path(path, fresh)
+    kept = spark.read.schema(f"{schema}, bucket int").parquet(fresh)
+    made = versions.Part(fresh, count, level, 0, keyindex.build(spark, kept, "event_id", index, count))
 
     def swap(now: versions.Version) -> versions.Version | None:
         if not set(parts) <= set(now.parts):
@@ -266,6 +288,7 @@ def _rewrite(spark: SparkSession, path: str, parts: list[versions.Part], level:
 
     if (changed := versions.update(spark, path, swap)) is None:
         session.remove(spark, fresh)
+        session.remove(spark, index)
         return None
     versions.expire(spark, path)
     return changed.number + 1

@@ -346,6 +346,8 @@ _EXPECTED = {
         SELECT event_type, count(*) AS events, count(DISTINCT event_id) AS ids, CAST(1 AS BIGINT) AS batches,
                CAST(1 AS BIGINT) AS parts, CAST(2 AS BIGINT) AS level
         FROM curated GROUP BY event_type""",
+    "key_index": """
+        SELECT event_type, count(*) AS events, count(*) AS indexed FROM curated GROUP BY event_type""",
 }
 
 

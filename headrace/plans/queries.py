@@ -20,6 +20,7 @@ from headrace.operators import (
     deadletter,
     decode,
     enrich,
+    keyindex,
     land,
     late,
     ordering,
@@ -839,3 +840,25 @@ def levelled_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("events"), F.countDistinct("event_id").alias("ids"),
         F.countDistinct("batch_id").alias("batches"),
     ).selectExpr("*", f"{len(parts)}L AS parts", f"{max(p.level for p in parts)}L AS level")
+
+
+@_query
+def key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per type: compacted rows, and those whose index row names the file that holds them."""
+    path = fresh_dir(spark, "curated")
+    for_merge = [(k, _stored(spark, rows)) for k, rows in enumerate(
+        (_first_curated(spark, sf_dir), _resent_curated(spark, sf_dir)), 1
+    )]
+    _merge_all(spark, path, *for_merge)
+    curate.compact(spark, path)
+    (part,) = versions.latest(spark, path).parts
+    rows = spark.read.schema(f"{S.CURATED}, bucket int").parquet(part.path)
+    held = rows.select(
+        "event_type", F.xxhash64("event_id").alias("hash"), "bucket", F.col("_metadata.file_name").alias("file")
+    )
+    index = keyindex.read(spark, keyindex.path(path, part.path))
+    return (
+        held.join(index.withColumn("named", F.lit(1)), ["hash", "bucket", "file"], "left")
+        .groupBy("event_type")
+        .agg(F.count("*").alias("events"), F.count("named").alias("indexed"))
+    )
