@@ -58,14 +58,16 @@ def archive_path(root: str, prefix: str = S.DEAD_LETTER_PREFIX) -> str:
 def letters(failures: DataFrame) -> DataFrame:
     """Stored failures as dead-letter messages: the body is all that was received.
 
-    A record without a sequence number is named by a hash of what it holds.
+    A record without a sequence number is named by a hash of what it holds. A column
+    ``attempts`` tells how often a record was received, otherwise it was once.
     """
+    received = "CAST(attempts AS STRING)" if "attempts" in failures.columns else "'1'"
     name = "sha2(concat_ws('|', partition_key, approximate_arrival_timestamp, data), 256)"
     sent = "CAST(CAST(approximate_arrival_timestamp * 1000 AS BIGINT) AS STRING)"
     return failures.selectExpr(
         f"coalesce(nullif(sequence_number, ''), {name}) AS message_id",
         "coalesce(data, '') AS body",
-        f"map('ApproximateReceiveCount', '1', 'SentTimestamp', {sent}, 'Reason', reason) AS attributes",
+        f"map('ApproximateReceiveCount', {received}, 'SentTimestamp', {sent}, 'Reason', reason) AS attributes",
         "CAST(NULL AS VARIANT) AS message_attributes",
         "CAST(NULL AS STRING) AS event_source_arn",
     )

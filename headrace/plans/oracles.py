@@ -346,6 +346,11 @@ _EXPECTED = {
         SELECT event_type, count(*) AS events, count(DISTINCT event_id) AS ids, CAST(1 AS BIGINT) AS batches,
                CAST(1 AS BIGINT) AS parts, CAST(2 AS BIGINT) AS level
         FROM curated GROUP BY event_type""",
+    "bounded_retry": f"""
+        SELECT seq AS sequence_number, coalesce({_RECEIVED}, '') AS body,
+               CAST(CAST(trunc(arrival * 1000) AS BIGINT) AS VARCHAR) AS sent_timestamp,
+               CASE WHEN seq IS NULL THEN '1' ELSE '4' END AS approximate_receive_count
+        FROM b WHERE NOT ok""",
     "key_index": """
         SELECT event_type, count(*) AS events, count(*) AS indexed FROM curated GROUP BY event_type""",
 }

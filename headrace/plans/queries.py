@@ -862,3 +862,30 @@ def key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("event_type")
         .agg(F.count("*").alias("events"), F.count("named").alias("indexed"))
     )
+
+
+@_query
+def bounded_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record that fails is sent again three times, then archived with its receive count."""
+    source, root, dead = _staged_envelopes(spark, sf_dir), fresh_dir(spark, "processed"), fresh_dir(spark, "dead")
+    again, first, later, state = (fresh_dir(spark, n) for n in ("again", "state", "state", "state"))
+
+    def process(path: str, checkpoint: str) -> None:
+        jobs.process_stream(
+            spark, path, root, checkpoint, partitions=land.DAILY, clock=lambda: FIRST_RUN
+        ).awaitTermination()
+
+    process(source, first)
+    for sent in range(S.MAX_RETRIES + 1):
+        if sent:
+            process(f"{again}/*", later)
+        jobs.retry_stream(
+            spark, f"{root}/failures", again, dead, state, backoff_s=0, clock=lambda: REPAIR_RUN
+        ).awaitTermination()
+    stored = spark.read.schema(S.DEAD_LETTER_ARCHIVE).json(deadletter.archive_path(dead))
+    return stored.selectExpr(
+        "IF(startswith(source_message_id, 'seq-'), source_message_id, NULL) AS sequence_number",
+        "coalesce(try_variant_get(body, '$', 'string'), to_json(body)) AS body",
+        "sent_timestamp",
+        "approximate_receive_count",
+    )

@@ -27,6 +27,7 @@ from headrace import session as stores
 from headrace.functions.once import rows_seen
 from headrace.operators import curate, deadletter, decode, enrich, land, raw, route, versions
 from headrace.sources import envelopes, landing
+from headrace.streaming import retries
 
 DRAIN = {"availableNow": True}
 # The service intervals: landed files are cut every minute, or at the advisory
@@ -209,6 +210,60 @@ def archive_stream(
     )
 
 
+def retry_stream(
+    spark: SparkSession,
+    failures_path: str,
+    redeliver_path: str,
+    root: str,
+    checkpoint: str,
+    max_retries: int = S.MAX_RETRIES,
+    backoff_s: float = 1.0,
+    forget_s: float = 86_400.0,
+    files_per_trigger: int = 1000,
+    clock=_utc_now,
+    trigger: dict = DRAIN,
+    prefix: str = S.DEAD_LETTER_PREFIX,
+) -> StreamingQuery:
+    """Send the failures of ``process_stream`` again, each a bounded number of times.
+
+    Due records become envelopes below ``redeliver_path``, which another ``process_stream`` over
+    ``{redeliver_path}/*`` with the same root takes up; its failures come back here. Records
+    that failed once more after their last retry are archived below ``root`` with the number of
+    times they were received. The state store is the session's; RocksDB suits many records in trouble.
+    """
+    source = (
+        spark.readStream.schema(S.FAILURES)
+        .options(maxFilesPerTrigger=files_per_trigger, recursiveFileLookup="true", **envelopes.ANY_AGE)
+        .parquet(failures_path)
+    )
+    writer = versions.writer_number(spark, f"{redeliver_path}.state/writers", checkpoint)
+
+    def handle(batch: DataFrame, epoch: int) -> None:
+        session, state = _adaptive(batch), f"{checkpoint}/batches"
+        batch_id = versions.batch_number(writer, epoch)
+        run_at = run_time(session, state, batch_id, clock)
+        # Both outputs hang off one step of the state.
+        told = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            again = told.where(F.col("outcome") == retries.RETRY).select(*S.columns(S.ENVELOPE))
+            write = _replace(f"{redeliver_path}/batch_id={batch_id}")
+            once(session, state, "redelivered", batch_id, lambda: _counted(again, write))
+            given_up = told.where(F.col("outcome") == retries.DEAD)
+            deadletter.archive(deadletter.letters(given_up), root, run_at, prefix, batch=str(batch_id))
+        finally:
+            told.unpersist()
+
+    decided = retries.outcomes(source, max_retries, backoff_s, forget_s)
+    with stores.settings(spark, retries.DRAINING if trigger == DRAIN else {}):
+        return (
+            decided.writeStream.foreachBatch(handle)
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger)
+            .start()
+        )
+
+
 def _land_batch(part: DataFrame, path: str, partitions: tuple[str, ...], batch_id: int) -> None:
     """Write one batch under its own last folder level, replacing an earlier try."""
     (
