@@ -276,6 +276,9 @@ _EXPECTED = {
         SELECT ev_type AS event_type, dt, count(*) AS landed,
                count(*) FILTER (k NOT BETWEEN 60 AND 74) AS raw
         FROM landed GROUP BY ALL HAVING count(*) FILTER (k BETWEEN 60 AND 74) > 0""",
+    "digest_audit": """
+        SELECT ev_type AS event_type, dt, count(*) AS left_events, count(*) AS right_events
+        FROM landed GROUP BY ALL HAVING count(*) FILTER (k BETWEEN 60 AND 74) > 0""",
     "retry_split": """
         SELECT seq AS sequence_number, CAST(CASE WHEN k BETWEEN 4 AND 8 THEN 2 ELSE 1 END AS BIGINT) AS attempts,
                CASE WHEN k BETWEEN 4 AND 8 THEN 'dead-letter' ELSE 'retry' END AS outcome
@@ -377,6 +380,7 @@ _COLUMNS = {
     "late_repair": (*_MONEY, "event_date"),
     "late_repair_summary": ("event_date",),
     "reconcile_counts": ("dt",),
+    "digest_audit": ("dt",),
     "dlq_archive": ("dt",),
     "order_amount_audit": ("quantity", "unit_price", "amount"),
 }

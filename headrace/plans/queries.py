@@ -566,6 +566,27 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.reconcile(landed, loaded)
 
 
+@_query
+def digest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types and dates with as many loaded as landed events but other ids.
+
+    The raw side is the sum of two batches' digests; late events came with other ids.
+    """
+    landed = landing.scan(spark, _land(spark, sf_dir, land.DAILY)).select(
+        "event_type", "dt", F.expr(fields.text("payload", "event_id")).alias("event_id")
+    )
+
+    def kept(rows: str, event_id: str) -> DataFrame:
+        loaded = _loaded(spark, sf_dir, FIRST_RUN, rows).selectExpr(
+            "event_type", "to_date(split_part(source_file, '/', 2)) AS dt", f"{event_id} AS event_id"
+        )
+        return audit.digests(loaded)
+
+    plain = fields.text("payload", "event_id")
+    batches = kept(ON_TIME, plain), kept(f"NOT ({ON_TIME})", f"'other-' || {plain}")
+    return audit.differing(audit.digests(landed), audit.merge_digests(*batches))
+
+
 # --- dead letters -----------------------------------------------------------
 
 
