@@ -6,7 +6,8 @@ document.
 
 Equal strings are brought together by content. The grams of ``GRAM`` bytes in a string have
 hashes; the smallest one is the string's value, which equal strings share. Neighbouring strings
-of one value make a segment, at most 2 ``LENGTH`` - ``GRAM`` bytes. Three scans of the texts:
+of one value make a segment, at most ``STARTS`` of them: text that repeats itself within a gram
+gives one value to strings without end, which are several segments then. Three scans of the texts:
 
 1. Values only, packed by their leading bits, to find those that stand in two documents. They
    set bits in a table of ``1 << BITS`` bits; when it fills up more pass, and nothing is lost.
@@ -46,6 +47,7 @@ from headrace.llm.runindex import RunIndex
 
 LENGTH = 50
 GRAM = 24
+STARTS = LENGTH - GRAM + 1  # of a segment at most, below 256; a gram lies in as many strings
 BITS = 28  # of the tables of values
 SENT = 24  # bits of a value that are sent beside those of its bucket
 BUCKET_BYTES = 1 << 21  # text whose values are compared at a time
@@ -110,7 +112,12 @@ def _runs(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
         end = np.append(start[1:], n)
         start, end, owner = start[inside], end[inside], owner[inside]
         size = np.minimum(end, stop[owner]) - start
-        parts.append([value[start], number[owner], start + low, size])
+        # A value that goes on, in text of a short period, is cut; its strings keep the value.
+        many = -(-size // STARTS)
+        run = np.repeat(np.arange(len(size)), many)
+        skip = STARTS * _ranges(np.zeros_like(many), many)
+        first_of = start[run] + skip
+        parts.append([value[first_of], number[owner][run], first_of + low, np.minimum(size[run] - skip, STARTS)])
     return tuple(np.concatenate(c) for c in zip(*parts))
 
 

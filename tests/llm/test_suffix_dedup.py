@@ -93,6 +93,15 @@ def test_borders(docs):
     check(docs(*texts), list(enumerate(texts)))
 
 
+def test_text_of_a_short_period(docs):
+    """One gram repeats without end, so strings of one value are more than a range holds."""
+    draw = random.Random(11)
+    units = ["x", "ab", "=" * 7 + "\n", "é ", *("".join(draw.choices("abcdefgh", k=k)) for k in (24, 26, 27, 28, 49, 51))]
+    texts = ["x" * 1000, "x" * 1000, "x" * 400, "ab" * 300, "q" + "ab" * 200]
+    texts += ["".join(draw.choice(units) * draw.randint(1, 40) for _ in range(3)) for _ in range(30)]
+    check(docs(*texts), list(enumerate(texts)))
+
+
 def test_odd_names(spark):
     frame = frames.tune(spark).createDataFrame(
         [(1, "x" * 60, 1), (2, "x" * 60, 2)], "doc_id long, text string, `my col` int"
