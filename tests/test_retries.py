@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from datetime import datetime
 
+import pandas as pd
 import pytest
 
 from headrace import schemas as S
@@ -61,6 +62,42 @@ def test_copies_in_one_batch_and_rows_without_a_number(stream):
     ], key=str)
 
 
+def test_a_record_costs_little():
+    """The step runs once a record in trouble, so its own work must be well below Spark's."""
+
+    class State:
+        hasTimedOut = exists = False
+
+        def update(self, value):
+            self.value = value
+
+        def setTimeoutDuration(self, millis):
+            pass
+
+    class Frame:
+        def selectExpr(self, *columns):
+            return self
+
+        groupBy = selectExpr
+
+        def applyInPandasWithState(self, step, *types):
+            return step
+
+    step = retries.outcomes(Frame(), backoff_s=0)
+    page = pd.DataFrame([("a", "key", 1.5, "raw", "json error", None)], columns=S.columns(S.FAILURES))
+    (out,) = step(("a", True), iter([page]), State())
+    assert out.columns.tolist() == S.columns(retries.OUTCOMES)
+    assert out.values.tolist() == [["retry", 1, "a", "key", 1.5, "raw", "json error", None]]
+
+    def seconds():
+        begin = time.perf_counter()
+        for _ in range(200):
+            list(step(("a", True), iter([page]), State()))
+        return time.perf_counter() - begin
+
+    assert min(seconds() for _ in range(3)) < 200 * 0.0012
+
+
 def test_back_off_and_end_of_state(stream):
     """A record is retried when its time has come, and forgotten if it does not fail again."""
     feed = stream(max_retries=1, backoff_s=0.2, forget_s=0.2)
