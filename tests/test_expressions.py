@@ -154,3 +154,8 @@ def test_timestamps_do_not_depend_on_the_session_zone(spark):
     finally:
         spark.conf.set(zone, "UTC")
     assert got == ["2023-11-14 22:13:20.25"]
+
+
+def test_stages_too_long_to_be_compiled_are_not_fused(spark):
+    """The JVM interprets a method of more than 8,000 bytes of code for good."""
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
