@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from headrace.operators.skew import spread
+
 ARRIVAL_LAG_SECONDS = 90
 
 _TABLES = {
@@ -24,15 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores when a small table sits in fewer files than there are cores.
-
-    At scale a table has many more splits than that and nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def user_rows(spark: SparkSession, sf_dir: str) -> int:
     """Rows of the user dimension, read from the file footers."""
     return table(spark, sf_dir, "customer").count()
