@@ -16,6 +16,21 @@ def text(payload: str, name: str) -> str:
     return f"try_variant_get({payload}, '$.{name}', 'string')"
 
 
+def members(payload: str, texts: tuple[str, ...] = (), values: tuple[str, ...] = ()) -> str:
+    """Several fields as one struct: the ``text`` of some, the ``field`` of others.
+
+    A path searches the payload's keys for its name, once for every path; the struct is read in
+    one pass over them. Put it in a column of its own and take the members from there.
+    """
+    kinds = ", ".join([*(f"{n}: string" for n in texts), *(f"{n}: variant" for n in values)])
+    return f"try_variant_get({payload}, '$', 'struct<{kinds}>')"
+
+
+def value_text(value: str) -> str:
+    """A field's Variant as text, as ``text`` gives it."""
+    return f"try_variant_get({value}, '$', 'string')"
+
+
 def _json_number(json: str) -> str:
     return f"CASE WHEN substr({json}, 1, 1) IN ({_DIGITS}) THEN try_cast({json} AS DOUBLE) END"
 
@@ -34,6 +49,11 @@ def truthy_text(payload: str, name: str) -> str:
     return f"CASE WHEN {truthy(field(payload, name))} THEN {text(payload, name)} END"
 
 
+def truthy_value(value: str) -> str:
+    """A field's Variant as text when truthy, else NULL."""
+    return f"CASE WHEN {truthy(value)} THEN {value_text(value)} END"
+
+
 def number_text(value: str) -> str:
     """A number written as text, NULL when it is not one.
 
@@ -77,12 +97,12 @@ def iso_timestamp(value: str) -> str:
     )
 
 
-def flag(payload: str, name: str) -> str:
-    """The field as a boolean, NULL when absent or not a truth value."""
-    word = f"lower(btrim({text(payload, name)}, {_SPACES}))"
+def flag(value: str) -> str:
+    """A field's Variant as a boolean, NULL when absent or not a truth value."""
+    word = f"lower(btrim({value_text(value)}, {_SPACES}))"
     return (
         f"CASE {word} WHEN 'on' THEN true WHEN 'off' THEN false "
-        f"ELSE try_variant_get({payload}, '$.{name}', 'boolean') END"
+        f"ELSE try_variant_get({value}, '$', 'boolean') END"
     )
 
 

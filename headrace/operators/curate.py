@@ -19,6 +19,7 @@ _TEXT_FIELDS = (
     "product_name", "category", "currency", "payment_method", "page", "referrer", "user_agent",
     "email", "country", "referral_source", "user_segment", "user_country",
 )
+_TYPED_FIELDS = ("event_time", "quantity", "unit_price", "amount", "user_lifetime_value")
 # Earliest first; file and row settle ties, so every run keeps the same copy.
 FIRST_WRITE = ("ingested_at", "source_file", "source_row")
 
@@ -30,19 +31,19 @@ def project(rows: DataFrame, curated_at, payload: str = "payload") -> DataFrame:
     ``ingested_at``. Rules are the admission test (id present, time readable), the
     NOT NULL columns and strict types; a bad row is set aside, never the batch.
     """
-    number = f"try_cast({fields.text(payload, 'quantity')} AS DECIMAL(38,0))"
+    read = fields.members(payload, texts=(*_TEXT_FIELDS, *_TYPED_FIELDS), values=("is_high_value",))
     typed = {
-        **{name: fields.text(payload, name) for name in _TEXT_FIELDS},
-        "event_time": fields.iso_timestamp(fields.text(payload, "event_time")),
-        "_quantity": number,
-        "unit_price": f"try_cast({fields.text(payload, 'unit_price')} AS DECIMAL(12,2))",
-        "amount": f"try_cast({fields.text(payload, 'amount')} AS DECIMAL(14,2))",
-        "is_high_value": fields.flag(payload, "is_high_value"),
-        "user_ltv": f"try_cast({fields.text(payload, 'user_lifetime_value')} AS DECIMAL(14,2))",
+        **{name: f"_read.{name}" for name in _TEXT_FIELDS},
+        "event_time": fields.iso_timestamp("_read.event_time"),
+        "_quantity": "try_cast(_read.quantity AS DECIMAL(38,0))",
+        "unit_price": "try_cast(_read.unit_price AS DECIMAL(12,2))",
+        "amount": "try_cast(_read.amount AS DECIMAL(14,2))",
+        "is_high_value": fields.flag("_read.is_high_value"),
+        "user_ltv": "try_cast(_read.user_lifetime_value AS DECIMAL(14,2))",
         "curated_at": fields.ntz(curated_at),
-        "_flag_text": fields.text(payload, "is_high_value"),
+        "_flag_text": fields.value_text("_read.is_high_value"),
     }
-    values = rows.selectExpr(
+    values = rows.selectExpr(*FIRST_WRITE, f"{read} AS _read").selectExpr(
         *FIRST_WRITE, *(f"{value} AS {name}" for name, value in typed.items())
     ).selectExpr(
         "*",

@@ -33,18 +33,17 @@ def enrich(
     where adaptive execution is off. Repeated user ids count once, see ``one_per_user``.
     """
     own = records.columns
-    tag = (
-        f"coalesce({fields.field('payload', _TAG)}, "
-        f"CAST('{S.INGESTION_PIPELINE}' AS VARIANT)) AS {_TAG}"
-    )
+    read = fields.members("payload", values=("user_id", *_ATTRIBUTES, _TAG))
+    records = records.selectExpr("*", f"{read} AS _read")
+    tag = f"coalesce(_read.{_TAG}, CAST('{S.INGESTION_PIPELINE}' AS VARIANT)) AS {_TAG}"
     if users is None:
-        kept = (f"{fields.field('payload', name)} AS {name}" for name in _ATTRIBUTES)
+        kept = (f"_read.{name} AS {name}" for name in _ATTRIBUTES)
         return records.selectExpr(*own, "false AS hit", *kept, tag)
 
     dimension = one_per_user(users).selectExpr(
         "user_id AS _user", *(f"{c} AS _{c}" for c in _ATTRIBUTES.values()), "true AS _hit"
     )
-    user = fields.truthy_text("payload", "user_id")
+    user = fields.truthy_value("_read.user_id")
     if user_rows is not None and user_rows <= BROADCAST_ROWS:
         # A falsy user id is never looked up: its key is NULL and matches nothing.
         keyed = records.selectExpr("*", f"{user} AS _user")
@@ -65,7 +64,7 @@ def enrich(
 
     merged = (
         f"""CASE WHEN _hit THEN coalesce(CAST(_{source} AS VARIANT), parse_json('null'))
-            ELSE {fields.field('payload', name)} END AS {name}"""
+            ELSE _read.{name} END AS {name}"""
         for name, source in _ATTRIBUTES.items()
     )
     return joined.selectExpr(*own, "coalesce(_hit, false) AS hit", *merged, tag)
@@ -83,13 +82,14 @@ def with_event_json(enriched: DataFrame, name: str) -> DataFrame:
         for attribute in _ATTRIBUTES
     ]
     added.append(
-        f"""CASE WHEN NOT {fields.has_field('payload', _TAG)}
+        f"""CASE WHEN _read.{_TAG} IS NULL
             THEN '"{_TAG}":' || to_json({_TAG}) END"""
     )
     inner = "nullif(substr(_text, 2, char_length(_text) - 2), '')"
-    own = " OR ".join(fields.has_field("payload", attribute) for attribute in _ATTRIBUTES)
+    own = " OR ".join(f"_read.{attribute} IS NOT NULL" for attribute in _ATTRIBUTES)
+    read = fields.members("payload", values=(*_ATTRIBUTES, _TAG))
     return (
-        enriched.selectExpr("*", "to_json(payload) AS _text")
+        enriched.selectExpr("*", "to_json(payload) AS _text", f"{read} AS _read")
         .selectExpr("*", f"'{{' || concat_ws(',', {inner}, {', '.join(added)}) || '}}' AS _joined")
         .selectExpr(
             *enriched.columns,

@@ -15,11 +15,12 @@ def to_raw(landed: DataFrame, ingested_at) -> DataFrame:
 
     File and row are the natural key; no counter is shared between tasks.
     """
-    return landed.selectExpr(
+    read = fields.members("payload", texts=("event_type", "event_time", "user_id"))
+    return landed.selectExpr("payload", "source_file", "source_row", f"{read} AS _read").selectExpr(
         "payload",
-        f"{fields.text('payload', 'event_type')} AS event_type",
-        f"{fields.iso_timestamp(fields.text('payload', 'event_time'))} AS event_time",
-        f"{fields.text('payload', 'user_id')} AS user_id",
+        "_read.event_type AS event_type",
+        f"{fields.iso_timestamp('_read.event_time')} AS event_time",
+        "_read.user_id AS user_id",
         "source_file",
         "source_row",
         f"{fields.ntz(ingested_at)} AS ingested_at",

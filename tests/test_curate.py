@@ -249,3 +249,9 @@ def test_contract(spark):
     assert {rule: n for rule, n in got.items() if n} == {
         "unknown type": 1, "missing source": 1, "incomplete signup": 1,
     }
+
+
+def test_the_payload_is_read_in_one_pass(spark):
+    """A path for each of the columns would search the payload's keys anew for each."""
+    plan = curate.accepted(project(spark, event()))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("variant_get(payload") == 1

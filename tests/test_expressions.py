@@ -159,3 +159,22 @@ def test_timestamps_do_not_depend_on_the_session_zone(spark):
 def test_stages_too_long_to_be_compiled_are_not_fused(spark):
     """The JVM interprets a method of more than 8,000 bytes of code for good."""
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_members_read_what_single_paths_read(spark):
+    """Both ways agree on every kind of value, and on what is no object."""
+    docs = [
+        '{"a":"x","b":1,"c":null,"A":"up"}', '{"a":{"z":1},"b":[1,2],"c":true,"d":1.50}', '{}', '[1]', '"a"', "null",
+        '{"b":12345678901234567890123,"a":1e400}', '{"a":"","b":false,"c":0}', '{"a":"é\\n\\"q","c":-0.0}', None,
+    ]
+    names = ("a", "b", "c", "d")
+    rows = spark.createDataFrame([(d,) for d in docs], "t string").selectExpr("try_parse_json(t) AS p")
+    both = rows.selectExpr(
+        "p", f"{fields.members('p', texts=names)} AS texts", f"{fields.members('p', values=names)} AS fields"
+    )
+    same = " AND ".join(
+        f"texts.{n} <=> {fields.text('p', n)} AND {fields.value_text(f'fields.{n}')} <=> {fields.text('p', n)} "
+        f"AND to_json(fields.{n}) <=> to_json({fields.field('p', n)})"
+        for n in names
+    )
+    assert both.where(same).count() == len(docs)
