@@ -26,15 +26,17 @@ def prepare(enriched: DataFrame, run_at, transform=None, keep: tuple[str, ...] =
     columns or expressions of ``keep`` follow unchanged.
     """
     records = enriched if transform is None else enriched.transform(transform)
-    kind_json = f"to_json({fields.field('payload', 'event_type')})"
+    # A type that is an object or a list is none.
     kind = (
-        f"CASE WHEN substr({kind_json}, 1, 1) NOT IN ('{{', '[') "
-        f"THEN nullif({fields.text('payload', 'event_type')}, '') END"
+        "CASE WHEN substr(to_json(_kind), 1, 1) NOT IN ('{', '[') "
+        f"THEN nullif({fields.value_text('_kind')}, '') END"
     )
     arrival = (
         f"coalesce({fields.epoch_to_ntz('approximate_arrival_timestamp')}, {fields.ntz(run_at)})"
     )
-    bodies = with_event_json(records, "body").selectExpr(
+    bodies = with_event_json(
+        records.selectExpr("*", f"{fields.field('payload', 'event_type')} AS _kind"), "body"
+    ).selectExpr(
         "sequence_number",
         "body",
         f"{kind} AS event_type",
@@ -110,7 +112,7 @@ def write(
 
     A layout without hours leaves the hour out.
     """
-    with session.settings(df.sparkSession, session.FULL_FILES):
+    with session.settings(df.sparkSession, session.ALL_CORES):
         (
             layout(without_hour(df, partitions), partitions, salts)
             .write.mode(mode)

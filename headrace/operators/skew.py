@@ -15,7 +15,7 @@ BROADCAST_BYTES = 64 << 20
 ROWS_PER_TASK = 250_000
 
 
-def spread(df: DataFrame, *keys) -> DataFrame:
+def spread(df: DataFrame, *keys, task_rows: int = ROWS_PER_TASK) -> DataFrame:
     """Give each task about as many rows of a frame of files, whatever the files and row groups.
 
     The splits of a file tell nothing about its rows: a row group is read by one task, however
@@ -24,7 +24,7 @@ def spread(df: DataFrame, *keys) -> DataFrame:
     the work that follows; ``keys`` should be as good as unique.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    rounds = max(1, -(-df.count() // (cores * ROWS_PER_TASK)))
+    rounds = max(1, -(-df.count() // (cores * task_rows)))
     return df.repartition(cores * rounds, *keys)
 
 

@@ -672,9 +672,14 @@ def per_key_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ----------------------------------------------------------------
 
 
+# Envelopes of a file. A batch of the streams takes four files and has its fixed costs.
+FILE_ROWS = 1_000_000
+
+
 def _staged_envelopes(spark: SparkSession, sf_dir: str) -> str:
     path = fresh_dir(spark, "envelopes")
-    bindings.envelopes(spark, sf_dir).select(*S.columns(S.ENVELOPE)).write.parquet(path)
+    sent = bindings.envelopes(spark, sf_dir, task_rows=FILE_ROWS)
+    sent.select(*S.columns(S.ENVELOPE)).write.parquet(path)
     return path
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headrace.operators.skew import spread
+from headrace.operators.skew import ROWS_PER_TASK, spread
 
 ARRIVAL_LAG_SECONDS = 90
 
@@ -33,7 +33,8 @@ def user_rows(spark: SparkSession, sf_dir: str) -> int:
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The user dimension; a negative balance leaves the lifetime value open."""
-    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    customer = spread(table(spark, sf_dir, "customer"), "c_custkey")
+    nation = table(spark, sf_dir, "nation")
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").selectExpr(
         "CAST(c_custkey AS STRING) AS user_id",
         "c_mktsegment AS segment",
@@ -113,15 +114,16 @@ def _coded(text: str) -> str:
 
 
 def envelopes(
-    spark: SparkSession, sf_dir: str, rows: str = "true", amount_shift: int = 0
+    spark: SparkSession, sf_dir: str, rows: str = "true", amount_shift: int = 0, task_rows: int = ROWS_PER_TASK
 ) -> DataFrame:
     """One envelope per event; ``k`` and ``ts`` ride along for later steps.
 
     ``rows`` picks a delivery of its own, such as the re-sent events, and
-    ``amount_shift`` tells its copies from the first ones.
+    ``amount_shift`` tells its copies from the first ones. Written out, ``task_rows`` of the
+    table make a file.
     """
     events = (
-        spread(table(spark, sf_dir, "events"), "event_id")
+        spread(table(spark, sf_dir, "events"), "event_id", task_rows=task_rows)
         .selectExpr(
             "CAST(event_id AS STRING) AS id",
             "ts",

@@ -24,8 +24,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from headrace import schemas as S
 from headrace import session as stores
+from headrace.functions import fields
 from headrace.functions.once import rows_seen
-from headrace.operators import curate, deadletter, decode, enrich, land, raw, route, versions
+from headrace.operators import curate, deadletter, decode, enrich, land, raw, route, skew, versions
 from headrace.sources import envelopes, landing
 from headrace.streaming import retries
 
@@ -57,7 +58,8 @@ def run_time(spark: SparkSession, state: str, batch_id: int, clock) -> datetime:
     """The time of a batch, taken at its first try and the same in every later one."""
     path, schema = f"{state}/times/batch_id={batch_id}", "run_at timestamp_ntz"
     if not (known := _kept(spark, path, schema)):
-        spark.createDataFrame([(clock(),)], schema).coalesce(1).write.mode("overwrite").parquet(path)
+        now = spark.range(1, numPartitions=1).selectExpr(f"{fields.ntz(clock())} AS run_at")
+        now.write.mode("overwrite").parquet(path)
         known = _kept(spark, path, schema)
     return known[0]["run_at"]
 
@@ -69,8 +71,8 @@ def once(spark: SparkSession, state: str, output: str, batch_id: int, write: Cal
     """
     path, schema = f"{state}/{output}/batch_id={batch_id}", "rows bigint"
     if not (known := _kept(spark, path, schema)):
-        rows = spark.createDataFrame([(write(),)], schema)
-        rows.coalesce(1).write.mode("overwrite").parquet(path)
+        rows = spark.range(1, numPartitions=1).selectExpr(f"{write()}L AS rows")
+        rows.write.mode("overwrite").parquet(path)
         known = _kept(spark, path, schema)
     return known[0]["rows"]
 
@@ -136,7 +138,9 @@ def process_stream(
             return
         run_at = run_time(session, state, batch_id, clock)
         # Several sinks hang off one decode and one lookup; a lost copy is rebuilt from the files.
-        classified = decode.decode(batch, keep_data=True).persist(StorageLevel.MEMORY_AND_DISK)
+        # A trigger's few files keep few cores busy, so their records are spread first.
+        records = skew.spread(batch, F.xxhash64(*S.columns(S.ENVELOPE)))
+        classified = decode.decode(records, keep_data=True).persist(StorageLevel.MEMORY_AND_DISK)
         dimension = users(session) if users else None
         size = user_rows(session) if users and user_rows else None
         joined = enrich.enrich(decode.decoded(classified), dimension, salts=salts, user_rows=size)
@@ -266,15 +270,16 @@ def retry_stream(
 
 def _land_batch(part: DataFrame, path: str, partitions: tuple[str, ...], batch_id: int) -> None:
     """Write one batch under its own last folder level, replacing an earlier try."""
-    (
-        land.layout(land.without_hour(part, partitions), partitions)
-        .withColumn("batch_id", F.lit(batch_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*partitions, "batch_id")
-        .parquet(path)
-    )
+    with stores.settings(part.sparkSession, stores.ALL_CORES):
+        (
+            land.layout(land.without_hour(part, partitions), partitions)
+            .withColumn("batch_id", F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "snappy")
+            .partitionBy(*partitions, "batch_id")
+            .parquet(path)
+        )
 
 
 def ingest_stream(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from headrace import session
-from headrace.operators import skew
 from headrace.sources import bindings
 
 PART = F.spark_partition_id
@@ -21,9 +20,8 @@ def test_a_row_group_is_no_task(spark):
     assert len(rows) == cores and max(rows) < 1.5 * sum(rows) / cores
 
 
-def test_tasks_grow_with_the_table(spark, monkeypatch):
+def test_tasks_grow_with_the_table(spark):
     """In whole rounds of the cores, eight here."""
-    monkeypatch.setattr(skew, "ROWS_PER_TASK", 5_000)
-    sent = bindings.envelopes(spark, "/root/testdata/sf0.1")
+    sent = bindings.envelopes(spark, "/root/testdata/sf0.1", task_rows=5_000)
     rows = [r["count"] for r in sent.groupBy(PART().alias("part")).count().collect()]
     assert len(rows) == 24 and max(rows) < 7_500

@@ -144,3 +144,16 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 def test_a_local_session_keeps_one_folder(spark):
     assert session.shared_root(spark) == session.shared_root(spark)
     assert session.fresh_dir(spark, "x") != session.fresh_dir(spark, "x")
+
+
+def test_the_records_of_one_file_keep_all_cores_busy(spark, tmp_path):
+    """A file of one row group is read by one task; what follows is not left to it."""
+    payload = "base64(encode('{\"event_type\":\"order\",\"amount\":5000,\"event_id\":\"' || id || '\"}', 'UTF-8'))"
+    spark.range(400).selectExpr(
+        "'seq-' || id AS sequence_number", "'key' AS partition_key", f"{payload} AS data",
+        "1700000000D + id AS approximate_arrival_timestamp",
+    ).coalesce(1).write.parquet(f"{tmp_path}/in")
+    jobs.process_stream(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/s", clock=lambda: RUN).awaitTermination()
+    alerts = spark.read.schema(S.ALERTS).parquet(f"{tmp_path}/out/alerts")
+    assert alerts.count() == 400
+    assert len(alerts.inputFiles()) == spark.sparkContext.defaultParallelism
