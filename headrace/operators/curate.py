@@ -12,7 +12,7 @@ from headrace import session
 from headrace.functions import fields
 from headrace.functions.once import rows_seen, with_once
 from headrace.operators import keyindex, versions
-from headrace.operators.skew import BROADCAST_BYTES, BROADCAST_ROWS
+from headrace.operators.skew import BROADCAST_BYTES, BROADCAST_ROWS, task_conf
 
 _TEXT_FIELDS = (
     "event_id", "event_type", "user_id", "session_id", "source", "order_id", "product_id",
@@ -240,14 +240,16 @@ def merge(
             now = versions.latest(spark, path)
             own = [p for p in now.parts if p.batch_id == batch_id]
             others = rivals(spark, path, [p for p in now.parts if p not in own], fixed, size, schema, key)
-            fresh = insert(fixed, others, key, order, f"{stage_path}/keys")
             part = f"{path}/batch_id={batch_id}/try={versions.new_name()}"
             inserted = Observation()
-            counted = fresh.observe(inserted, F.count(F.lit(1)).alias("rows"))
-            clustered = [c for c in ("event_date", "event_type") if c in fresh.columns]
-            if clustered:
-                counted = counted.sortWithinPartitions(*clustered)
-            counted.write.parquet(part)
+            # The rows of a task do not grow with the batch and the table.
+            with session.settings(spark, task_conf(spark, size + sum(p.rows for p in now.parts))):
+                fresh = insert(fixed, others, key, order, f"{stage_path}/keys")
+                counted = fresh.observe(inserted, F.count(F.lit(1)).alias("rows"))
+                clustered = [c for c in ("event_date", "event_type") if c in fresh.columns]
+                if clustered:
+                    counted = counted.sortWithinPartitions(*clustered)
+                counted.write.parquet(part)
             rows = rows_seen(inserted)
             changed = now.dropping(own).adding(versions.Part(part, rows, 0, batch_id))
             if versions.publish(spark, path, changed):
@@ -265,21 +267,22 @@ def _rewrite(spark: SparkSession, path: str, parts: list[versions.Part], level:
     fresh = f"{path}.compacted/part={versions.new_name()}"
     order = ("bucket", "event_date", "event_type", "event_id")
     written = Observation()
-    (
-        _rows(spark, path, parts, schema)
-        .drop("batch_id")
-        .withColumn("bucket", F.expr(bucket()))
-        # The range key goes on behind the bucket, so one bucket may span many files.
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.option("compression", "snappy")
-        .partitionBy("bucket")
-        .parquet(fresh)
-    )
-    count, index = rows_seen(written), keyindex.path(path, fresh)
-    kept = spark.read.schema(f"{schema}, bucket int").parquet(fresh)
-    made = versions.Part(fresh, count, level, 0, keyindex.build(spark, kept, "event_id", index, count))
+    with session.settings(spark, task_conf(spark, sum(p.rows for p in parts))):
+        (
+            _rows(spark, path, parts, schema)
+            .drop("batch_id")
+            .withColumn("bucket", F.expr(bucket()))
+            # The range key goes on behind the bucket, so one bucket may span many files.
+            .repartitionByRange(*order)
+            .sortWithinPartitions(*order)
+            .observe(written, F.count(F.lit(1)).alias("rows"))
+            .write.option("compression", "snappy")
+            .partitionBy("bucket")
+            .parquet(fresh)
+        )
+        count, index = rows_seen(written), keyindex.path(path, fresh)
+        kept = spark.read.schema(f"{schema}, bucket int").parquet(fresh)
+        made = versions.Part(fresh, count, level, 0, keyindex.build(spark, kept, "event_id", index, count))
 
     def swap(now: versions.Version) -> versions.Version | None:
         if not set(parts) <= set(now.parts):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A join side of at most this many measured rows, and bytes where its values have no
@@ -28,6 +28,16 @@ def spread(df: DataFrame, *keys, task_rows: int = ROWS_PER_TASK) -> DataFrame:
     return df.repartition(cores * rounds, *keys)
 
 
+def task_conf(spark: SparkSession, rows: int) -> dict[str, str]:
+    """Settings under which shuffles of so many rows have tasks of a bounded size.
+
+    The session's number of partitions is the least; adaptive execution merges small ones.
+    """
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(least, -(-rows // ROWS_PER_TASK))
+    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(wanted)}
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, on: str, how: str, salts: int, spread: list[str]
 ) -> DataFrame:

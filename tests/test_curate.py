@@ -255,3 +255,19 @@ def test_the_payload_is_read_in_one_pass(spark):
     """A path for each of the columns would search the payload's keys anew for each."""
     plan = curate.accepted(project(spark, event()))._jdf.queryExecution().analyzed().toString()
     assert plan.count("variant_get(payload") == 1
+
+
+def test_shuffles_of_a_merge_grow_with_its_rows(spark, tmp_path, monkeypatch):
+    """The rows of a task are bounded; the session's number of partitions is only the least."""
+    key, seen, plain = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", [], curate.first_write
+
+    def noted(*given):
+        seen.append(spark.conf.get(key, None))
+        return plain(*given)
+
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 10)
+    monkeypatch.setattr(curate, "first_write", noted)
+    rows = curate.accepted(project(spark, *(event(str(i)) for i in range(200))))
+    curate.create_target(spark, f"{tmp_path}/t")
+    assert curate.merge(spark, rows, f"{tmp_path}/t", 1, f"{tmp_path}/s") == 200
+    assert seen == ["20"] and spark.conf.get(key, None) is None
