@@ -65,8 +65,11 @@ def prepare(enriched: DataFrame, run_at, transform=None, keep: tuple[str, ...] =
     )
 
 
-def landable(prepared: DataFrame) -> DataFrame:
-    """The rows that can be partitioned, with the event as a Variant."""
+def landable(prepared: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The rows that can be partitioned, with the event as a Variant.
+
+    The columns of ``keep``, as ``prepare`` kept them, follow unchanged.
+    """
     lowered = (
         "to_variant_object(transform_keys("
         "try_variant_get(parse_json(body), '$', 'map<string,variant>'), (key, _) -> lower(key)))"
@@ -76,7 +79,7 @@ def landable(prepared: DataFrame) -> DataFrame:
     payload = (
         f"CASE WHEN _mixed AND error_type IS NULL THEN {lowered} ELSE parse_json(body) END"
     )
-    return prepared.where("error_type IS NULL").selectExpr(f"{payload} AS payload", *PARTITIONS)
+    return prepared.where("error_type IS NULL").selectExpr(f"{payload} AS payload", *PARTITIONS, *keep)
 
 
 def unlandable(prepared: DataFrame) -> DataFrame:

@@ -99,7 +99,11 @@ def _prepared(spark: SparkSession, sf_dir: str, rows: str = "true", shift: int =
 
 def _loaded(spark: SparkSession, sf_dir: str, run_at, rows: str = "true", shift: int = 0) -> DataFrame:
     """Raw rows of one delivery, straight from the decoded events."""
-    landed = land.landable(_prepared(spark, sf_dir, rows, shift)).selectExpr(
+    return _raw(land.landable(_prepared(spark, sf_dir, rows, shift)), run_at)
+
+
+def _raw(landable: DataFrame, run_at) -> DataFrame:
+    landed = landable.selectExpr(
         "payload",
         "concat_ws('/', event_type, dt, hh) AS source_file",
         f"try_cast({fields.text('payload', 'event_id')} AS BIGINT) AS source_row",
@@ -134,6 +138,20 @@ def _land(spark: SparkSession, sf_dir: str, partitions=land.PARTITIONS) -> str:
     return path
 
 
+def _delivered(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The folder of landed events by type and date, and the same rows with their code.
+
+    Envelopes are decoded, enriched and prepared once for both; the raw side of a query picks its
+    rows by the code.
+    """
+    stage, path = fresh_dir(spark, "landable"), fresh_dir(spark, "events")
+    prepared = land.prepare(_enriched(spark, sf_dir), FIRST_RUN, keep=("k",))
+    land.landable(prepared, keep=("k",)).write.parquet(stage)
+    rows = spark.read.schema("payload variant, event_type string, dt date, hh string, k int").parquet(stage)
+    land.write(rows.drop("k"), path, land.DAILY)
+    return path, rows
+
+
 def _texts(payload: str, *names: str) -> list[str]:
     return [f"{fields.text(payload, n)} AS {n}" for n in names]
 
@@ -535,9 +553,8 @@ def merge_after_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _repaired(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    landed, path = _land(spark, sf_dir, land.DAILY), fresh_dir(spark, "curated")
-    on_time = curate.project(_loaded(spark, sf_dir, FIRST_RUN, ON_TIME), FIRST_RUN)
-    _merge_all(spark, path, (1, _stored(spark, on_time)))
+    (landed, rows), path = _delivered(spark, sf_dir), fresh_dir(spark, "curated")
+    _merge_all(spark, path, (1, curate.accepted(curate.project(_raw(rows.where(ON_TIME), FIRST_RUN), FIRST_RUN))))
     return late.late_repair(spark, landed, path, REPAIR_DATE, REPAIR_RUN), path
 
 
@@ -838,9 +855,8 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def repair_after_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two repairs under one batch id with compactions between: rows reported and rows there."""
-    landed, path = _land(spark, sf_dir, land.DAILY), fresh_dir(spark, "curated")
-    on_time = curate.project(_loaded(spark, sf_dir, FIRST_RUN, ON_TIME), FIRST_RUN)
-    _merge_all(spark, path, (1, _stored(spark, on_time)))
+    (landed, rows), path = _delivered(spark, sf_dir), fresh_dir(spark, "curated")
+    _merge_all(spark, path, (1, curate.accepted(curate.project(_raw(rows.where(ON_TIME), FIRST_RUN), FIRST_RUN))))
     added = []
     for day in (REPAIR_DATE, NEXT_DATE):
         summary = late.late_repair(spark, landed, path, day, REPAIR_RUN, batch_id=-9)
