@@ -576,8 +576,9 @@ def late_repair_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Types and dates where the raw table lacks landed events."""
-    landed = landing.scan(spark, _land(spark, sf_dir, land.DAILY)).select("event_type", "dt")
-    loaded = _loaded(spark, sf_dir, FIRST_RUN, ON_TIME).selectExpr(
+    path, rows = _delivered(spark, sf_dir)
+    landed = landing.scan(spark, path).select("event_type", "dt")
+    loaded = _raw(rows.where(ON_TIME), FIRST_RUN).selectExpr(
         "event_type", "to_date(split_part(source_file, '/', 2)) AS dt"
     )
     return audit.reconcile(landed, loaded)
