@@ -590,12 +590,13 @@ def digest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The raw side is the sum of two batches' digests; late events came with other ids.
     """
-    landed = landing.scan(spark, _land(spark, sf_dir, land.DAILY)).select(
+    path, delivered = _delivered(spark, sf_dir)
+    landed = landing.scan(spark, path).select(
         "event_type", "dt", F.expr(fields.text("payload", "event_id")).alias("event_id")
     )
 
     def kept(rows: str, event_id: str) -> DataFrame:
-        loaded = _loaded(spark, sf_dir, FIRST_RUN, rows).selectExpr(
+        loaded = _raw(delivered.where(rows), FIRST_RUN).selectExpr(
             "event_type", "to_date(split_part(source_file, '/', 2)) AS dt", f"{event_id} AS event_id"
         )
         return audit.digests(loaded)

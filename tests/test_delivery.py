@@ -10,7 +10,7 @@ from headrace.plans import queries
 from headrace.sources import bindings, landing
 
 
-@pytest.mark.parametrize("name", ["late_repair", "late_repair_summary", "reconcile_counts"])
+@pytest.mark.parametrize("name", ["late_repair", "late_repair_summary", "reconcile_counts", "digest_audit"])
 def test_envelopes_are_built_once(spark, monkeypatch, name):
     built, read = [], bindings.envelopes
 
