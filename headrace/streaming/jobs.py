@@ -419,8 +419,11 @@ def merge_stream(
         session = _adaptive(batch)
         batch_id = versions.batch_number(writer, epoch)
         run_at = run_time(session, f"{curated_path}/state", batch_id, clock)
-        projected = curate.project(batch, run_at).persist(StorageLevel.MEMORY_AND_DISK)
+        # Projected once, for rejects and merge, into files: a batch may be a whole raw table.
+        stage = f"{curated_path}/stage/{batch_id}-projected"
         try:
+            curate.project(batch, run_at).write.mode("overwrite").parquet(stage)
+            projected = session.read.schema(f"{S.CURATED}, reject_rule string").parquet(stage)
             curate.rejects(projected).write.mode("overwrite").parquet(
                 f"{curated_path}/rejects/batch_id={batch_id}"
             )
@@ -434,7 +437,7 @@ def merge_stream(
             if fan:
                 curate.compact_levels(session, f"{curated_path}/events", fan)
         finally:
-            projected.unpersist()
+            stores.remove(session, stage)
 
     return (
         source.writeStream.foreachBatch(handle)

@@ -120,6 +120,25 @@ def test_merge_stream_without_new_files_runs_no_batch(spark, tmp_path):
     assert [r.reject_rule for r in rejected] == ["event_id missing"]
 
 
+def test_merge_stream_keeps_its_batch_in_files(spark, tmp_path, monkeypatch):
+    """A batch may be a whole raw table, which would fill the executors' memory."""
+    table, curated, state = (f"{tmp_path}/{n}" for n in ("raw", "curated", "state"))
+    payload = """parse_json('{"event_id":"1","event_type":"a","event_time":"2024-01-01T00:00:00Z"}')"""
+    rows = spark.sql(f"SELECT {payload} AS payload, 'f' AS source_file, 1L AS source_row")
+    raw.to_raw(rows, RUN).write.parquet(f"{table}/batch_id=1")
+    plans, merge = [], curate.merge
+
+    def seen(session, batch, *args, **kwargs):
+        plans.append(batch._jdf.queryExecution().executedPlan().toString())
+        return merge(session, batch, *args, **kwargs)
+
+    monkeypatch.setattr(curate, "merge", seen)
+    jobs.merge_stream(spark, table, curated, state, clock=lambda: RUN).awaitTermination()
+    assert len(plans) == 1 and "InMemoryTableScan" not in plans[0] and "FileScan" in plans[0]
+    assert curate.read_target(spark, f"{curated}/events").count() == 1
+    assert session.names(spark, f"{curated}/stage") == []
+
+
 class Session:
     """A session that only has settings."""
 
