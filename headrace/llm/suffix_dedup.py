@@ -23,7 +23,7 @@ gives one value to strings without end, which are several segments then. Three s
 
 A value with more than ``HOT`` different segments, such as a phrase of which every document
 makes something else, would be one task's work: its segments are cut into single strings, which
-are grouped by content. So no group of equal or of like strings is collected anywhere.
+are grouped by value and hash. So no group of equal or of like strings is collected anywhere.
 
 A document without ``doc_id`` is neither smaller nor greater than another: it keeps all bytes and
 removes none. Documents that share an id do not remove from each other. Null text is empty;
@@ -39,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headrace.llm import arrow, frames, words
@@ -321,12 +321,17 @@ def _in_tasks(variants: DataFrame) -> DataFrame:
 
 
 def _by_strings(variants: DataFrame) -> DataFrame:
-    """The same for the segments of hot values: each single string looks for its first document."""
+    """The same for the segments of hot values: each single string looks for its first document.
+
+    Strings are named by their value and a hash, as segments are, and shuffled once, without
+    their bytes.
+    """
+    string = F.expr(f"xxhash64(substring(bytes, at + 1, {LENGTH}))")
     strings = variants.select(
         "value", "segment", "doc_id", F.expr(f"explode(sequence(0, length(bytes) - {LENGTH}))").alias("at"), "bytes"
-    ).select("value", "segment", "doc_id", "at", F.expr(f"substring(bytes, at + 1, {LENGTH})").alias("string"))
-    least = strings.groupBy("string").agg(F.min("doc_id").alias("least"))
-    gone = strings.join(least, "string").where("least < doc_id")
+    ).select("value", string.alias("string"), "segment", "doc_id", "at")
+    least = F.min("doc_id").over(Window.partitionBy("value", "string"))
+    gone = strings.withColumn("least", least).where("least < doc_id")
     return gone.groupBy("value", "segment").agg(
         F.array_sort(F.collect_list(F.struct(F.col("at").alias("from"), (F.col("at") + 1).alias("until")))).alias("runs")
     )
@@ -338,23 +343,28 @@ def spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     shared = spark.sparkContext.broadcast(_in_two_documents(docs))
     with frames.scratch(spark) as store:
         places = segments(docs, shared)
-        first = places.groupBy("value", "segment").agg(F.min("doc_id").alias("first"))
-        first = store(first, "segments")
-        several = first.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
-        several = store(several, "values-of-several")
-        bits = spark.sparkContext.broadcast(_marked(several))
-        variants = (
-            segment_bytes(docs, bits)
-            .groupBy("value", "segment")
-            .agg(F.min("doc_id").alias("doc_id"), F.first("bytes").alias("bytes"))
-        )
-        variants = store(variants, "segment-bytes")
-        often = several.where(F.col("n") > hot).select("value")
-        found = _in_tasks(variants.join(often, "value", "left_anti")).unionByName(
-            _by_strings(variants.join(often, "value", "left_semi"))
-        )
-        found = store(found, "streamed")
-        cut = frames.stored(_cuts(places, first.join(found, ["value", "segment"], "left")), "removed-bytes")
+        ids = F.min("doc_id").alias("first"), (F.max("doc_id") > F.min("doc_id")).alias("again")
+        first = store(places.groupBy("value", "segment").agg(*ids), "segments")
+        # The bytes take more room than the rest, and are not needed beside the last shuffles.
+        with frames.scratch(spark) as step:
+            several = first.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
+            several = step(several, "values-of-several")
+            bits = spark.sparkContext.broadcast(_marked(several))
+            variants = (
+                segment_bytes(docs, bits)
+                .groupBy("value", "segment")
+                .agg(F.min("doc_id").alias("doc_id"), F.first("bytes").alias("bytes"))
+            )
+            variants = step(variants, "segment-bytes")
+            often = several.where(F.col("n") > hot).select("value")
+            found = _in_tasks(variants.join(often, "value", "left_anti")).unionByName(
+                _by_strings(variants.join(often, "value", "left_semi"))
+            )
+            found = store(found, "streamed")
+            del variants, several, often
+        # Segments that one document has and nothing of which is removed take part no more.
+        known = first.join(found, ["value", "segment"], "left").where("again or runs is not null").drop("again")
+        cut = frames.stored(_cuts(places, known), "removed-bytes")
     for table in (shared, bits):
         table.destroy()
     return cut

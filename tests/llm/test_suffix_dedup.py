@@ -7,6 +7,7 @@ import edge
 import numpy as np
 import pytest
 
+from headrace import session
 from headrace.llm import frames, runindex, suffix_dedup
 
 SMALL = "/root/testdata/sf0.001"
@@ -79,6 +80,35 @@ def test_hot_values_take_another_way(spark, repetitive):
     assert both[0] == both[1] and both[0]
 
 
+def test_bytes_are_gone_before_the_last_shuffles(spark, repetitive, monkeypatch):
+    frame = frames.tune(spark).createDataFrame(edge.rows(repetitive), edge.SCHEMA)
+    root, cuts, seen = f"{session.shared_root(spark)}/headrace", suffix_dedup._cuts, []
+    before = set(session.names(spark, root))
+
+    def last(places, known):
+        seen.extend(set(session.names(spark, root)) - before)
+        assert known.where("first is null").isEmpty()
+        return cuts(places, known)
+
+    monkeypatch.setattr(suffix_dedup, "_cuts", last)
+    assert suffix_dedup.spans(frame).count()
+    assert sorted(name.rpartition("-")[0] for name in seen) == ["llm-segments", "llm-streamed"]
+
+
+def test_strings_of_hot_values_are_shuffled_once(spark):
+    """And without their bytes; a second shuffle brings the strings of a segment together."""
+    row = (1, 2, 3, b"x" * (L + 5))
+    variants = spark.createDataFrame([row, (1, 4, 5, b"y" + b"x" * L)], suffix_dedup.BYTES).repartition(3)
+    found = suffix_dedup._by_strings(variants)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan
+    got = {(r["value"], r["segment"]): [tuple(x) for x in r["runs"]] for r in found.collect()}
+    assert got == {(1, 4): [(1, 2)]}
+    text = found._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in text.split("== Initial Plan ==")[0].split("\n") if "Exchange hashpartitioning" in line]
+    assert len(moved) == 2
+
+
 def test_edges(edges, empty):
     check(edges, edge.TEXTS)
     found = {r["doc_id"]: r for r in suffix_dedup.kept(edges).collect() if r["doc_id"] not in (4, None)}
