@@ -15,6 +15,15 @@ sets (which differs in no more bits than the sets do in words). Pairs that pass
 the whole sets. All links between different classes are found: ``links`` returns them, and
 ``report`` tells the class of each line and how many others it is linked to.
 
+Near copies of one line are many links, which are counted without making a row of each. Classes
+that share a key of their rarest words with ``FAMILY`` or more form families; the centre of one
+is the set of the words that over half of its classes have. Two sets of n and m words that differ
+from one centre in d and e words differ from each other in d + e at most, and are alike if they
+differ in no more than (n + m) / 9. So two classes of a family whose ``slack`` 9d - n and 9e - m sum to
+0 or less are alike, whatever their words are: how many each class has of those, and which begins
+first, follows from the numbers of classes by slack. Such pairs are left out of the comparison,
+and every other pair goes through it. Families only decide which way a link is found.
+
 A word with more than ``BLOCK`` prefix rows is split: its rows are dealt into blocks, and each
 two blocks meet in a task of their own. Words are compared by their 64-bit values. Lines without
 a word are kept. Null text has no lines. Rows equal in id and text are copies of one document,
@@ -42,7 +51,12 @@ LINE_FEED = 10
 BROADCAST_LINES = 500_000  # of some 40 bytes
 BLOCK = 1 << 16  # prefix rows of a word that are compared in one task
 HELD_ROWS = 1 << 18  # prefix rows that are worked on together
+HELD_WORDS = 1 << 20  # words of the classes of a family that are worked on together
 COMPARED = 1 << 20  # pairs that are compared at once
+FAMILY = 32  # classes of a key that make it a family
+KEYS = 4  # of a class; near copies share most of them
+ROUNDS = 2  # in which families that share classes become one
+NO_SLACK = 1 << 30  # of a class without a family
 
 # Alike: shared / union >= 4/5, or 9 * shared >= 4 * (n_a + n_b).
 ALIKE = "9 * size(array_intersect(words_a, words_b)) >= 4 * (size(words_a) + size(words_b))"
@@ -200,19 +214,154 @@ def lines(docs: DataFrame) -> DataFrame:
     return arrow.map_batches(docs, LINES, make)
 
 
-_ROW = ("word", "digest", "place", "n", "parity", "parity_2")
-PAIRS = "digest_a long, digest_b long"
+def _keyed(classes: DataFrame) -> DataFrame:
+    """Class and key: each key is made of the least hashes of two kinds in the prefix.
 
+    Sets of fewer than nine words have no slack, unless they are the centre themselves.
+    """
 
-def _passes(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs that pass the filters on words left behind the shared one and on parity.
+    def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        size = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
+        head = np.cumsum(size) - size
+        word = batch.column(1).flatten().to_numpy().view(np.uint32).astype(np.uint64)
+        for kind in range(KEYS):
+            mixed = words.mix(word | np.uint64(kind << 32))
+            upper = np.minimum.reduceat(mixed >> np.uint64(32), head)
+            lower = np.minimum.reduceat(mixed & np.uint64(0xFFFFFFFF), head)
+            key = words.mix(upper << np.uint64(32) | lower)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key.view(np.int64))], names=["digest", "key"])
+
+    return arrow.map_batches(classes.where("n >= 9").select("digest", "prefix"), "digest long, key long", make)
+
+
+def _families(classes: DataFrame, store: frames.Store) -> DataFrame | None:
+    """The ``family`` of each class that shares a key with many, None if there is no such key.
 
-    Their lengths fit already.
+    A class takes the largest of its keys. In each round a key takes the family that most of its
+    classes have, and a class the largest family of its keys.
     """
+    keys = _keyed(classes)
+    many = store(keys.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") >= FAMILY), "line-keys")
+    if many.isEmpty():
+        return None
+    held = store(keys.join(many, "key"), "line-keys-held")
+    largest = F.max(F.struct("size", "family")).alias("most")
+    chosen = held.withColumn("family", F.col("key")).groupBy("digest").agg(largest).select("digest", "most.*")
+    for _ in range(ROUNDS):
+        chosen = store(chosen, "line-families")
+        of_key = held.select("key", "digest").join(chosen, "digest").groupBy("key", "family", "size").count()
+        of_key = of_key.groupBy("key").agg(F.max(F.struct("count", "size", "family")).alias("most"))
+        of_key = of_key.select("key", "most.size", "most.family")
+        chosen = held.select("key", "digest").join(of_key, "key").groupBy("digest").agg(largest).select("digest", "most.*")
+    return store(chosen.select("digest", "family"), "line-families")
+
+
+def _measured(rows: pa.Table, known: tuple[int, np.ndarray]) -> tuple[np.ndarray, tuple[int, np.ndarray]]:
+    """The slack of each row, and the last family with its centre.
+
+    Rows are in order of family. A family that goes on from ``known`` keeps its centre.
+    """
+    family = rows.column("family").to_numpy()
+    sets = rows.column("words").combine_chunks()
+    n = sets.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    value = sets.flatten().to_numpy()
+    new = np.append(True, family[1:] != family[:-1])
+    of = np.repeat(np.cumsum(new) - 1, n)
+    order = np.lexsort((value, of))
+    first = np.ones(len(order), bool)
+    first[1:] = (of[order][1:] != of[order][:-1]) | (value[order][1:] != value[order][:-1])
+    head = np.flatnonzero(first)
+    often = 2 * np.diff(np.append(head, len(order))) > np.bincount(np.cumsum(new) - 1)[of[order][head]]
+    centre = np.bincount(of[order][head][often], minlength=int(new.sum()))
+    inside = np.empty(len(order), bool)
+    inside[order] = often[np.cumsum(first) - 1]
+    if known[0] == family[0]:
+        inside[of == 0] = np.isin(value[of == 0], known[1])
+        centre[0] = len(known[1])
+    shared = np.add.reduceat(inside, np.cumsum(n) - n, dtype=np.int64)
+    slack = 9 * (n + centre[np.cumsum(new) - 1] - 2 * shared) - n
+    if known[0] != family[-1]:
+        last = often & (of[order][head] == of[-1])
+        known = int(family[-1]), value[order][head][last]
+    return slack.astype(np.int32), known
+
+
+def _slacks(docs: DataFrame, classes: DataFrame, store: frames.Store) -> DataFrame | None:
+    """``family``, ``slack`` and first place of the classes of families.
+
+    A family's classes go through one task, which holds ``HELD_WORDS`` of them; the centre of one
+    with more is that of those it holds first.
+    """
+    families = _families(classes, store)
+    if families is None:
+        return None
+    names = ["digest", "family", "slack", *DOC, "line"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        known = (0, np.zeros(0, np.int64))
+
+        def measured(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            nonlocal known
+            slack, known = _measured(rows, known)
+            rows = rows.append_column("slack", pa.array(slack)).select(names)
+            yield from rows.to_batches()
+
+        n_held = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            n_held += len(batch.column(batch.schema.get_field_index("words")).flatten())
+            if n_held < HELD_WORDS:
+                continue
+            rows = pa.Table.from_batches(held)
+            family = rows.column("family").to_numpy()
+            cut = int(np.searchsorted(family, family[-1])) or len(family)  # the last family may go on
+            yield from measured(rows.slice(0, cut))
+            held = rows.slice(cut).to_batches()
+            n_held = sum(len(b.column(b.schema.get_field_index("words")).flatten()) for b in held)
+        if held:
+            yield from measured(pa.Table.from_batches(held))
+
+    sets = _word_rows(docs, classes.join(families, "digest"), store)
+    schema = "digest long, family long, slack int, no_id boolean, doc_id long, key long, line int"
+    found = sets.repartition("family").sortWithinPartitions("family").mapInArrow(run, schema)
+    found = found.dropDuplicates(["digest"]).select("digest", "family", "slack", F.struct(*DOC, "line").alias("first"))
+    return store(found, "line-slacks")
+
+
+def _counted(slacks: DataFrame) -> DataFrame:
+    """For each class its ``links`` inside its family that follow from the slacks alone, and whether
+    one of those begins earlier.
+
+    The classes of a family are put together by slack, of which there are few.
+    """
+    by_slack = slacks.groupBy("family", "slack").agg(F.count("*").alias("n"), F.min("first").alias("first"))
+    listed = by_slack.groupBy("family").agg(F.collect_list(F.struct("slack", "n", "first")).alias("listed"))
+    fits = "filter(listed, o -> o.slack + a.slack <= 0)"
+    sums = listed.selectExpr(
+        "family",
+        f"inline(transform(listed, a -> struct(a.slack as slack, aggregate({fits}, 0L, (s, o) -> s + o.n) as links, "
+        f"array_min(transform({fits}, o -> o.first)) as earliest)))",
+    )
+    return slacks.join(sums, ["family", "slack"]).selectExpr(
+        "digest", "links - if(slack <= 0, 1, 0) as links", "coalesce(earliest < first, false) as later"
+    )
+
+
+_ROW = ("word", "digest", "place", "n", "parity", "parity_2", "family", "slack")
+PAIRS = "digest_a long, digest_b long"
+
+
+def _passes(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that pass the filters on lengths, on words left behind the shared one and on
+    parity, and are not counted by their slack."""
     both = rows["n"][a] + rows["n"][b]
     need = -(-4 * both // 9)
     ok = np.minimum(rows["left"][a], rows["left"][b]) >= need
     ok &= rows["digest"][a] != rows["digest"][b]
+    ok &= (rows["family"][a] != rows["family"][b]) | (rows["slack"][a] + rows["slack"][b] > 0)
     a, b, most = a[ok], b[ok], (both - 2 * need)[ok]
     for parity in ("parity", "parity_2"):
         differing = np.bitwise_count((rows[parity][a] ^ rows[parity][b]).view(np.uint64))
@@ -221,29 +370,55 @@ def _passes(rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray) -> tuple[
     return a, b
 
 
+def _pairs(a: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each of ``a`` with all places from its ``low`` to its ``high``, some at a time."""
+    size = np.maximum(high - low, 0)
+    done = np.append(0, np.cumsum(size))
+    begin = 0
+    while begin < len(a):
+        end = max(begin + 1, int(np.searchsorted(done, done[begin] + COMPARED, "right")) - 1)
+        n = size[begin:end]
+        first = np.repeat(low[begin:end] - done[begin:end] + done[begin], n)
+        yield np.repeat(a[begin:end], n), first + np.arange(len(first))
+        begin = end
+
+
 def _compared(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of rows of one word that pass, some at a time.
 
     Each row is compared with those before it in the order of word and length, from the first
-    one that is long enough.
+    one that is long enough. Rows of one family with a slack of 0 or less need no comparison among
+    each other: they come last, and are compared with the others of fitting length, and with
+    those of the families before theirs.
     """
-    order = np.lexsort((rows["n"], rows["word"]))
-    rows = {c: v[order] for c, v in rows.items()}
-    rows["left"] = rows["n"] - rows["place"]
     run = np.cumsum(np.append(0, rows["word"][1:] != rows["word"][:-1])) << 32
-    low = np.searchsorted(run | rows["n"], run | -(-4 * rows["n"] // 5))
-    size = np.arange(len(low)) - low
-    done = np.append(0, np.cumsum(size))
-    begin = 0
-    while begin < len(low):
-        end = max(begin + 1, int(np.searchsorted(done, done[begin] + COMPARED, "right")) - 1)
-        n = size[begin:end]
-        a = np.repeat(np.arange(begin, end), n)
-        b = np.repeat(low[begin:end] - done[begin:end] + done[begin], n) + np.arange(len(a))
-        a, b = _passes(rows, a, b)
-        if len(a):
-            yield rows["digest"][a], rows["digest"][b]
-        begin = end
+    inner = rows["slack"] <= 0
+    outer = len(inner) - int(inner.sum())
+    if outer == len(inner):
+        order = np.argsort(run | rows["n"])
+    else:
+        order = np.lexsort((rows["n"], np.where(inner, rows["family"], 0), run, inner))
+    rows, run = {c: v[order] for c, v in rows.items()}, run[order]
+    rows["left"] = rows["n"] - rows["place"]
+    length, places = run[:outer] | rows["n"][:outer], np.arange(len(run))
+
+    def longer(of: slice) -> np.ndarray:
+        return np.searchsorted(length, run[of] | -(-4 * rows["n"][of] // 5))
+
+    some, rest = slice(0, outer), slice(outer, None)
+    new = np.ones(len(run) - outer, bool)
+    new[1:] = (run[rest][1:] != run[rest][:-1]) | (rows["family"][rest][1:] != rows["family"][rest][:-1])
+    begin = places[rest][new][np.cumsum(new) - 1]
+    meetings = (
+        (places[some], longer(some), places[some]),
+        (places[rest], longer(rest), np.searchsorted(length, run[rest] | 5 * rows["n"][rest] // 4, "right")),
+        (places[rest], outer + np.searchsorted(run[rest], run[rest]), begin),
+    )
+    for meeting in meetings:
+        for a, b in _pairs(*meeting):
+            a, b = _passes(rows, a, b)
+            if len(a):
+                yield rows["digest"][a], rows["digest"][b]
 
 
 def _candidates(classes: DataFrame, store: frames.Store) -> DataFrame:
@@ -266,7 +441,7 @@ def _candidates(classes: DataFrame, store: frames.Store) -> DataFrame:
         def pairs() -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held)
             rows = {c: table.column(c).to_numpy() for c in _ROW}
-            rows |= {c: rows[c].astype(np.int64) for c in ("place", "n")}
+            rows |= {c: rows[c].astype(np.int64) for c in ("place", "n", "slack")}
             for a, b in _compared(rows):
                 sides = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
                 yield pa.RecordBatch.from_arrays(sides, names=["digest_a", "digest_b"])
@@ -309,15 +484,15 @@ def _split(prefixes: DataFrame, many: DataFrame) -> DataFrame:
     )
 
 
-def _links(docs: DataFrame, classes: DataFrame, store: frames.Store) -> DataFrame:
-    """Each two classes whose sets are alike, once, and which of them begins later."""
-    pairs = _candidates(classes, store)
-    asked = pairs.selectExpr("explode(array(digest_a, digest_b)) as digest").distinct()
+def _word_rows(docs: DataFrame, classes: DataFrame, store: frames.Store) -> DataFrame:
+    """The words of the given classes, and where they stand first, read from the texts again.
+
+    Copies of a document each have the rows.
+    """
     wanted = store(
-        classes.join(asked, "digest", "left_semi").groupBy(*DOC)
-        .agg(F.collect_list(F.struct("line", "digest")).alias("wanted")),
+        classes.groupBy(*DOC).agg(F.collect_list(F.struct("line", "digest", "family")).alias("wanted")),
         "lines-wanted",
-    )
+    )
     size = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
     side = F.broadcast(wanted) if size <= BROADCAST_LINES else wanted
     chosen = _documents(docs).join(side, list(DOC)).select("text", *DOC, "wanted")
@@ -333,14 +508,29 @@ def _links(docs: DataFrame, classes: DataFrame, store: frames.Store) -> DataFram
             at = np.searchsorted(text.astype(np.int64) << 32 | number, row.astype(np.int64) << 32 | line)
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(k).take(pa.array(row)) for k in (1, 2, 3)), asked.field("line"),
-                 asked.field("digest"), _lists(value.view(np.int64), (np.cumsum(n) - n)[at], n[at], pa.int64())],
-                names=[*DOC, "line", "digest", "words"],
+                 asked.field("digest"), asked.field("family"),
+                 _lists(value.view(np.int64), (np.cumsum(n) - n)[at], n[at], pa.int64())],
+                names=[*DOC, "line", "digest", "family", "words"],
             )
 
-    schema = "no_id boolean, doc_id long, key long, line int, digest long, words array<long>"
+    schema = "no_id boolean, doc_id long, key long, line int, digest long, family long, words array<long>"
+    return arrow.map_batches(chosen, schema, make)
+
+
+def _links(docs: DataFrame, classes: DataFrame, slacks: DataFrame | None, store: frames.Store) -> DataFrame:
+    """Each two classes whose sets are alike, once, and which of them begins later.
+
+    Those that are counted by their slack are left out.
+    """
+    if slacks is None:
+        grouped = classes.selectExpr("*", "0L as family", f"{NO_SLACK} as slack")
+    else:
+        grouped = classes.join(slacks.drop("first"), "digest", "left").fillna({"family": 0, "slack": NO_SLACK})
+    pairs = _candidates(grouped, store)
+    asked = pairs.selectExpr("explode(array(digest_a, digest_b)) as digest").distinct()
     # The copies of a document differ in nothing, so any of them stands for all. Both sides of the
     # join need the same columns, and their shuffle is made once.
-    sets = arrow.map_batches(chosen, schema, make).groupBy("digest").agg(
+    sets = _word_rows(docs, grouped.join(asked, "digest", "left_semi"), store).groupBy("digest").agg(
         F.first(F.struct(*DOC, "line")).alias("first"), F.first("words").alias("words")
     )
 
@@ -351,8 +541,8 @@ def _links(docs: DataFrame, classes: DataFrame, store: frames.Store) -> DataFram
     return found.selectExpr("digest_a", "digest_b", "first_a > first_b as a_later")
 
 
-def _found(docs: DataFrame, store: frames.Store) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Lines, classes and links."""
+def _found(docs: DataFrame, store: frames.Store) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
+    """Lines, classes, links one by one, and the slacks that tell the other ones."""
     found = store(lines(docs), "lines")
     classes = (
         found.where("digest is not null")
@@ -361,19 +551,19 @@ def _found(docs: DataFrame, store: frames.Store) -> tuple[DataFrame, DataFrame,
         .select("digest", "first.*")
     )
     classes = store(classes, "line-classes")
-    return found, classes, store(_links(docs, classes, store), "line-links")
+    slacks = _slacks(docs, classes, store)
+    return found, classes, store(_links(docs, classes, slacks, store), "line-links"), slacks
 
 
 def _outcome(docs: DataFrame, store: frames.Store) -> DataFrame:
     """Rows of ``lines`` with ``kept``, ``near`` and ``links``: whether the first one of the row stays,
     whether it goes for a line that is alike but not equal, and to how many classes its own is linked."""
-    found, classes, links = _found(docs, store)
-    linked = (
-        links.selectExpr("inline(array(struct(digest_a as digest, a_later as later), "
-                         "struct(digest_b as digest, not a_later as later)))")
-        .groupBy("digest")
-        .agg(F.count("*").alias("links"), F.bool_or("later").alias("near"))
-    )
+    found, classes, links, slacks = _found(docs, store)
+    linked = links.selectExpr("inline(array(struct(digest_a as digest, 1L as links, a_later as later), "
+                              "struct(digest_b as digest, 1L as links, not a_later as later)))")
+    if slacks is not None:
+        linked = linked.unionByName(_counted(slacks))
+    linked = linked.groupBy("digest").agg(F.sum("links").alias("links"), F.bool_or("later").alias("near"))
     classes = store(
         classes.select("digest", F.struct(*DOC).alias("first"))
         .join(linked, "digest", "left")
@@ -393,7 +583,12 @@ def links(docs: DataFrame) -> DataFrame:
     ``line_a`` and ``line_b`` are the places of their first lines, the earlier one first.
     """
     with frames.scratch(docs.sparkSession) as store:
-        _, classes, linked = _found(docs, store)
+        _, classes, linked, slacks = _found(docs, store)
+        if slacks is not None:
+            near = {s: slacks.selectExpr(f"digest as digest_{s}", "family", f"slack as slack_{s}", f"first as first_{s}")
+                    for s in "ab"}
+            near = near["a"].join(near["b"], "family").where("slack_a + slack_b <= 0 and digest_a < digest_b")
+            linked = linked.unionByName(near.selectExpr("digest_a", "digest_b", "first_a > first_b as a_later"))
         place = "struct(if(no_id, null, doc_id) as doc_id, line)"
         of = {s: classes.selectExpr(f"digest as digest_{s}", f"{place} as line_{s}") for s in "ab"}
         pairs = linked.selectExpr(

@@ -153,3 +153,43 @@ def test_edges(spark, edges, empty):
     kept = edge.by_id(line_dedup.clean(edges))
     assert 4 not in kept and kept[1][0]["text"] is None and kept[0][0]["text"] == ""
     assert line_dedup.report(empty).count() == line_dedup.clean(empty).count() == 0
+
+
+def _families():
+    """Two families of near copies, one of them with a part of its own, and lines at their edges."""
+    draw = random.Random(3)
+    pool = [f"w{i}" for i in range(400)]
+    base = draw.sample(pool, 40)
+    other = base[:32] + draw.sample(pool, 8)
+    texts = []
+    for i in range(260):
+        line = list(base if i % 3 else other)
+        for _ in range(draw.choice([0, 1, 2, 3, 4, 5, 8])):
+            line[draw.randrange(len(line))] = draw.choice([*pool, f"own{i}"])
+        texts.append((i, " ".join(line)))
+    return texts
+
+
+@pytest.mark.parametrize(("family", "block"), [(32, 1 << 16), (2, 1 << 16), (4, 16)])
+def test_families_of_near_copies(spark, monkeypatch, family, block):
+    monkeypatch.setattr(line_dedup, "FAMILY", family)
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    texts = _families()
+    frame = spark.createDataFrame(edge.rows(texts), edge.SCHEMA)
+    check(frame, texts)
+    pairs = [(r["line_a"]["doc_id"], r["line_b"]["doc_id"]) for r in line_dedup.links(frame).collect()]
+    links = sum(brute_links(texts)[1].values()) // 2
+    assert len(pairs) == len(set(pairs)) == links and all(a < b for a, b in pairs)
+
+
+def test_links_of_near_copies_are_not_made_one_by_one(spark):
+    """Five times the copies make no more than some ten times the rows of links."""
+    found = []
+    for n in (100, 500):
+        texts = [(i, " ".join([*(f"w{k}" for k in range(30)), f"own{i}"])) for i in range(n)]
+        frame = spark.createDataFrame(edge.rows(texts), edge.SCHEMA)
+        with frames.scratch(spark) as store:
+            found.append(line_dedup._found(frame, store)[2].count())
+        rows = line_dedup.report(frame).collect()
+        assert {r["n_links"] for r in rows} == {n - 1} and sum(r["n_removed"] for r in rows) == n - 1
+    assert found[0] < 100 and found[1] < 10 * max(found[0], 50)
