@@ -154,9 +154,11 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         for n, (i, j) in enumerate(PAIRS)
     ]
     near = F.expr(f"a.fp < b.fp and bit_count(a.fp ^ b.fp) <= {max_bits} and ({' or '.join(f'({x})' for x in at)})")
+    # Spark takes the keys for as many rows as there are fingerprints and would broadcast them; there
+    # are up to 108 of each.
     return (
         keys.alias("a")
-        .join(keys.alias("b"), (F.col("a.key") == F.col("b.key")) & near)
+        .join(keys.alias("b").hint("merge"), (F.col("a.key") == F.col("b.key")) & near)
         .select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
         .distinct()
     )

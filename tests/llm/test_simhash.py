@@ -132,3 +132,11 @@ def test_representatives_are_rows_not_ids(spark):
     root = roots([plain(t) for _, t in texts])
     want = sorted((texts[k][0] is None, texts[k][0], texts[k][1]) for k in sorted(set(root)))
     assert got == want and (False, 1, one) in got and sum(g[0] for g in got) >= 2
+
+
+def test_keys_are_not_broadcast(spark):
+    """Fingerprints in a small file have a hundred times as many keys, which Spark does not see."""
+    with frames.scratch(spark) as store:
+        nodes = store(frames.tune(spark).range(2000).selectExpr("xxhash64(id) as fp"), "nodes")
+        plan = simhash.links(nodes)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
