@@ -9,7 +9,7 @@ from test_simhash import plain, roots
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from headrace.llm import frames
+from headrace.llm import frames, simhash
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -62,3 +62,17 @@ def test_edges(spark, edges, empty, tmp_path):
             docs = frames.stored(stage(spark, docs, folder), f"test-{name}")
             assert name == "bpe" or docs.columns == given.columns
         docs.count()
+
+
+def test_near_duplicates_broadcast_no_keys(spark, monkeypatch):
+    """The join of the keys, of which a document has a hundred, is a shuffled one in the pipeline too."""
+    plans, components = [], simhash.components
+
+    def seen(edges, *given):
+        plans.append(edges._jdf.queryExecution().executedPlan().toString())
+        return components(edges, *given)
+
+    monkeypatch.setattr(simhash, "components", seen)
+    docs = frames.table(spark, SMALL, "documents")
+    assert corpus_pipeline.dedup_documents(spark, docs, SMALL).columns == docs.columns
+    assert plans and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
