@@ -13,7 +13,7 @@ more with the present match is taken. So every pattern position gets the length
 match in the texts, and a row of it. All patterns of a set take their steps together, in numpy.
 
 Rows whose suffixes agree in their first ``depth`` symbols lie one behind the other; of each
-such stretch the first row and the least of the texts' marks (their documents) are kept. So a
+such stretch the least of the texts' marks (their documents) is kept for its rows. So a
 match of that length leads to the earliest document that has it, however many there are.
 """
 
@@ -46,7 +46,7 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     """The suffixes of texts that end in zeros; of equal ones the earlier text comes first."""
     n = len(text)
     ends = np.flatnonzero(text == 0)
-    end = ends[np.searchsorted(ends, np.arange(n))]
+    end = np.repeat(ends, np.diff(ends, prepend=-1))
     wide = text.astype(np.int64)
     key = np.zeros(n, np.int64)
     for j in range(FIRST):
@@ -54,9 +54,12 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     # Ends have key 0 at first; then, and always in their ranks, they are in order of their texts.
     tied = len(ends) - 1
     depth = FIRST
+    # Two ranks and a position fit one number, which sorts several times faster than by an order.
+    bits = np.int64(max(n, 1).bit_length())
+    packed = 3 * bits <= 63
+    order = np.argsort(key)
+    sorted_ = key[order]
     while True:
-        order = np.argsort(key)
-        sorted_ = key[order]
         new = np.append(True, sorted_[1:] != sorted_[:-1])
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(new) - 1 + tied
@@ -64,8 +67,14 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
         if np.count_nonzero(new) + tied == n:
             order[rank] = np.arange(n)
             return order
-        key = rank << np.int64(32) | rank[np.minimum(np.arange(n) + depth, end)]
+        key = rank << (bits if packed else np.int64(32)) | rank[np.minimum(np.arange(n) + depth, end)]
         key[ends] = np.arange(len(ends))
+        if packed:
+            both = np.sort(key << bits | np.arange(n))
+            order, sorted_ = both & ((1 << bits) - 1), both >> bits
+        else:
+            order = np.argsort(key)
+            sorted_ = key[order]
         tied = 0
         depth *= 2
 
@@ -78,8 +87,9 @@ class RunIndex:
         self.words = np.ndarray(len(self.text) + 4, "<u8", padded.tobytes(), strides=(2,))
         rows = suffix_order(self.text)
         agree = self.shared(rows[:-1], rows[1:], np.full(len(rows) - 1, depth))
-        self.stretch = np.append(0, np.flatnonzero(agree < depth) + 1)
-        self.least = np.minimum.reduceat(np.repeat(marks, size + 1)[rows], self.stretch)
+        stretch = np.append(0, np.flatnonzero(agree < depth) + 1)
+        least = np.minimum.reduceat(np.repeat(marks, size + 1)[rows], stretch)
+        self.least = np.repeat(least, np.diff(np.append(stretch, len(rows))))
         front = self.text[rows - 1]  # in front of the first text is the end of the last one
         first = np.flatnonzero(np.append(True, front[1:] != front[:-1]))
         length = np.diff(np.append(first, len(front)))
@@ -98,7 +108,7 @@ class RunIndex:
 
     def least_mark(self, row: np.ndarray) -> np.ndarray:
         """The least mark of the texts that share ``depth`` symbols with the suffixes of some rows."""
-        return self.least[np.searchsorted(self.stretch, row, "right") - 1]
+        return self.least[row]
 
     def shared(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """How many symbols agree from two positions on, up to ``most``."""

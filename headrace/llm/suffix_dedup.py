@@ -5,15 +5,15 @@ a smaller ``doc_id``. Texts are judged as given, as UTF-8 bytes, and matches end
 document.
 
 Equal strings are brought together by content. The grams of ``GRAM`` bytes in a string have
-hashes; the smallest one is the string's value, which equal strings share. Neighbouring strings
-of one value make a segment, at most ``STARTS`` of them: text that repeats itself within a gram
+hashes; the smallest one, mixed so that its leading bits are even, is the string's value, which
+equal strings share. Neighbouring strings of one value make a segment, at most ``STARTS`` of them: text that repeats itself within a gram
 gives one value to strings without end, which are several segments then. Three scans of the texts:
 
 1. Values only, packed by their leading bits, to find those that stand in two documents. They
    set bits in a table of ``1 << BITS`` bits; when it fills up more pass, and nothing is lost.
 2. Segments with such a value, named by value and hash, without their bytes. The smallest
    ``doc_id`` of each different segment is found by an aggregation, combined in the tasks. Every
-   occurrence in a later document goes whole.
+   occurrence in a later document goes whole. What one document has alone is not kept.
 3. Bytes of segments whose value belongs to two different segments, once for each of them and
    task. They differ, but parts of them may be equal: a passage and its surroundings. These
    are spread by value. A task builds a run-length index (``runindex``) of the segments of some
@@ -21,6 +21,9 @@ gives one value to strings without end, which are several segments then. Three s
    those of a value's first document. A position whose longest match has ``LENGTH`` bytes or
    more begins a string that is removed if the earliest document of the match is an earlier one.
 
+At last the places of segments of which something goes are made again, known by a second table of
+bits, and each document's are put together.
+
 A value with more than ``HOT`` different segments, such as a phrase of which every document
 makes something else, would be one task's work: its segments are cut into single strings, which
 are grouped by value and hash. So no group of equal or of like strings is collected anywhere.
@@ -117,7 +120,8 @@ def _runs(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
         run = np.repeat(np.arange(len(size)), many)
         skip = STARTS * _ranges(np.zeros_like(many), many)
         first_of = start[run] + skip
-        parts.append([value[first_of], number[owner][run], first_of + low, np.minimum(size[run] - skip, STARTS)])
+        # The smallest of many hashes is small; its leading bits would fill a corner of the tables.
+        parts.append([words.mix(value[first_of]), number[owner][run], first_of + low, np.minimum(size[run] - skip, STARTS)])
     return tuple(np.concatenate(c) for c in zip(*parts))
 
 
@@ -214,12 +218,16 @@ def _segments(part: pa.RecordBatch, bits: np.ndarray) -> tuple[np.ndarray, ...]:
     return raw, at, value, segment, text, start, n
 
 
-def segments(docs: DataFrame, bits: Broadcast) -> DataFrame:
-    """The segments of all documents whose value is in the table."""
+def segments(docs: DataFrame, bits: Broadcast, marks: Broadcast | None = None) -> DataFrame:
+    """The segments of all documents whose value is in the table, and whose hash is in ``marks`` if given."""
 
     def make(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in words.slices(batch, "text"):
-            _, at, value, segment, text, start, n = _segments(part, bits.value)
+            _, at, *found = _segments(part, bits.value)
+            if marks is not None:
+                use = _has(marks.value, found[1])
+                found = [column[use] for column in found]
+            value, segment, text, start, n = found
             row = pa.array(text)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(value.view(np.int64)), pa.array(segment.view(np.int64)), part.column(0).take(row),
@@ -342,39 +350,45 @@ def spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     docs, spark = _keyed(docs), docs.sparkSession
     shared = spark.sparkContext.broadcast(_in_two_documents(docs))
     with frames.scratch(spark) as store:
-        places = segments(docs, shared)
-        ids = F.min("doc_id").alias("first"), (F.max("doc_id") > F.min("doc_id")).alias("again")
-        first = store(places.groupBy("value", "segment").agg(*ids), "segments")
         # The bytes take more room than the rest, and are not needed beside the last shuffles.
         with frames.scratch(spark) as step:
-            several = first.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
-            several = step(several, "values-of-several")
-            bits = spark.sparkContext.broadcast(_marked(several))
+            with frames.scratch(spark) as early:
+                ids = F.min("doc_id").alias("first"), (F.max("doc_id") > F.min("doc_id")).alias("again")
+                first = early(segments(docs, shared).groupBy("value", "segment").agg(*ids), "segments-of-values")
+                several = first.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
+                several = step(several, "values-of-several")
+                again = store(first.where("again").drop("again"), "segments")
+                del first
+            bits = spark.sparkContext.broadcast(_marked(several, "value"))
             variants = (
                 segment_bytes(docs, bits)
                 .groupBy("value", "segment")
                 .agg(F.min("doc_id").alias("doc_id"), F.first("bytes").alias("bytes"))
             )
             variants = step(variants, "segment-bytes")
-            often = several.where(F.col("n") > hot).select("value")
+            # At most one value for every ``hot`` segments.
+            often = F.broadcast(several.where(F.col("n") > hot).select("value"))
             found = _in_tasks(variants.join(often, "value", "left_anti")).unionByName(
                 _by_strings(variants.join(often, "value", "left_semi"))
             )
             found = store(found, "streamed")
             del variants, several, often
-        # Segments that one document has and nothing of which is removed take part no more.
-        known = first.join(found, ["value", "segment"], "left").where("again or runs is not null").drop("again")
-        cut = frames.stored(_cuts(places, known), "removed-bytes")
-    for table in (shared, bits):
+        # Segments that one document has and nothing of which is removed take part no more. No
+        # document comes after the only one that has a segment.
+        both = again.select("segment").unionByName(found.select("segment"))
+        marks = spark.sparkContext.broadcast(_marked(both, "segment"))
+        known = again.join(found, ["value", "segment"], "full").fillna({"first": (1 << 63) - 1})
+        cut = frames.stored(_cuts(segments(docs, shared, marks), known), "removed-bytes")
+    for table in (shared, bits, marks):
         table.destroy()
     return cut
 
 
-def _marked(several: DataFrame) -> np.ndarray:
-    """The table of values that belong to several segments, at most as many bits as slots."""
-    slot = f"shiftrightunsigned(value, {64 - BITS})"
+def _marked(hashes: DataFrame, name: str) -> np.ndarray:
+    """The table of the values in a column, at most as many bits as slots."""
+    slot = f"shiftrightunsigned({name}, {64 - BITS})"
     lead = 10
-    rows = several.selectExpr(f"CAST(shiftright({slot}, {BITS - lead}) AS INT) AS bucket",
+    rows = hashes.selectExpr(f"CAST(shiftright({slot}, {BITS - lead}) AS INT) AS bucket",
                               f"CAST({slot} & {(1 << BITS - lead) - 1} AS INT) AS at")
 
     def mark(table: pa.Table) -> pa.Table:

@@ -204,3 +204,32 @@ def test_runs_do_not_grow_with_copies():
     text = bytes(draw.choices(b"abcdefgh", k=70))
     index = runindex.RunIndex(*_packed([text] * 300), np.arange(300), 50)
     assert index.n_runs <= 2 * len(text)
+
+
+def test_leading_bits_of_values_are_even():
+    """The tables of bits go by them; the smallest of 27 hashes would fill a small part of one."""
+    raw = np.frombuffer(bytes(random.Random(12).choices(b"abcdefgh", k=20_000)), np.uint8)
+    value = suffix_dedup._runs(raw, np.array([0, len(raw)]))[0]
+    assert 0.45 < (value >> np.uint64(63)).mean() < 0.55
+
+
+def test_segments_of_one_document_are_not_kept(spark, repetitive, monkeypatch):
+    """Neither stored beside the bytes nor shuffled with the places."""
+    frame = frames.tune(spark).createDataFrame(edge.rows(repetitive), edge.SCHEMA)
+    root, bytes_of, cuts = f"{session.shared_root(spark)}/headrace", suffix_dedup.segment_bytes, suffix_dedup._cuts
+    before, stored, rows = set(session.names(spark, root)), [], []
+
+    def held(docs, bits):
+        stored.extend(name.rpartition("-")[0] for name in set(session.names(spark, root)) - before)
+        return bytes_of(docs, bits)
+
+    def last(places, known):
+        # By the hash of the segment, which a few others share.
+        rows.extend((places.count(), places.join(known, ["value", "segment"]).count()))
+        return cuts(places, known)
+
+    monkeypatch.setattr(suffix_dedup, "segment_bytes", held)
+    monkeypatch.setattr(suffix_dedup, "_cuts", last)
+    assert suffix_dedup.spans(frame).count()
+    assert sorted(stored) == ["llm-segments", "llm-values-of-several"]
+    assert rows[0] - rows[1] <= 2
