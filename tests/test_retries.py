@@ -129,3 +129,65 @@ def test_a_failing_record_goes_round_and_is_archived(spark, envelopes, tmp_path)
     assert {(r.source_message_id, r.approximate_receive_count) for r in stored.collect()} == {("bad", "4"), ("gone", "4")}
     assert spark.read.parquet(f"{root}/events").count() == 1
     assert spark.read.parquet(f"{root}/failures").count() == 8
+
+
+class Bucket:
+    """The state of a key as Spark keeps it between the batches."""
+
+    hasTimedOut, exists, now, get, wait = False, False, 0, None, None
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+    def update(self, value):
+        self.get, self.exists = value, True
+
+    def setTimeoutDuration(self, millis):
+        self.wait = millis
+
+    def remove(self):
+        self.get, self.exists, self.wait = None, False, None
+
+
+class Keyed:
+    """A frame that tells the key and the step it is given."""
+
+    def selectExpr(self, *columns):
+        return self
+
+    def groupBy(self, *key):
+        self.key = key
+        return self
+
+    def applyInPandasWithState(self, step, *types):
+        return self.key, step
+
+
+def test_a_call_does_all_records_of_a_bucket():
+    """Spark calls the step for a bucket of records, not for each: those that failed and those that are due."""
+    key, step = retries.outcomes(Keyed(), max_retries=1, backoff_s=0.2, forget_s=5)
+    assert key == ("_bucket", "_named")
+    state = Bucket()
+
+    def call(now, *numbers):
+        page = pd.DataFrame([(n, "key", float("nan"), "raw", "why", f"{n}-{now}") for n in numbers], columns=S.columns(S.FAILURES))
+        state.now, state.hasTimedOut = now, not numbers
+        return [tuple(row) for frame in step((7, True), iter([page]), state) for row in frame.values.tolist()]
+
+    def told(outcome, attempts, n, at):
+        return (outcome, attempts, n, "key", None, "raw", "why", f"{n}-{at}")
+
+    assert call(1000, "a", "b", "a", "c") == [told("dead-letter", 2, "a", 1000)] and state.wait == 200
+    # What is due is done beside what failed again, with the counts of each.
+    assert call(1300, "c", "d") == [told("retry", 1, "b", 1000), told("dead-letter", 2, "c", 1300)] and state.wait == 200
+    assert call(1501) == [told("retry", 1, "d", 1300)] and state.wait == 6300 - 1501
+    assert call(6400, "d") == [told("dead-letter", 2, "d", 6400)] and not state.exists  # b was taken for delivered
+
+
+def test_records_of_a_bucket_cost_little():
+    _, step = retries.outcomes(Keyed(), backoff_s=0)
+    page = pd.DataFrame([(f"s{n}", "key", 1.5, "raw", "why", "data" * 100) for n in range(20_000)], columns=S.columns(S.FAILURES))
+    begin, state = time.perf_counter(), Bucket()
+    assert sum(map(len, step((7, True), iter([page]), state))) == 20_000
+    assert time.perf_counter() - begin < 20_000 * 0.0001
+    assert len(state.get[0]) < 20_000 * 50  # what was sent again is not held
